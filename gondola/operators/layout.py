@@ -22,10 +22,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as K
 from ..functions import physics as P
-from ..functions.numbers import normal, uniform
+from ..functions.numbers import half_up, normal, uniform
 from .profit import rack_profit, shelf_violations
 from .ranking import top_n
-from .whatif import with_move_scores
 
 MIN_WIDTH_CM = 1.0
 
@@ -280,29 +279,30 @@ def marginal_layout(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS,
 
 
 def ensemble_layout(df: DataFrame, n_candidates: int = 5, seed: int = 42,
-                    noise_step: float = 5.0, rack_keys: Sequence[str] = K.RACK_KEYS,
-                    key: str = "product_id", min_products: int = 2,
-                    min_width_cm: float = MIN_WIDTH_CM) -> DataFrame:
+                    noise_step: float = 5.0, scores: str = "scores",
+                    rack_keys: Sequence[str] = K.RACK_KEYS, key: str = "product_id",
+                    min_products: int = 2, min_width_cm: float = MIN_WIDTH_CM) -> DataFrame:
     """The best of ``n_candidates`` scored layouts per rack, by rack profit.
 
-    Candidate 0 uses the plain scores, candidate c adds noise of scale
-    ``c * noise_step``. The first candidate wins ties.
+    Candidate 0 uses the plain ``scores``, candidate c adds noise of scale
+    ``c * noise_step``. The first candidate wins ties; profits that differ by
+    summation noise only are ties.
     """
     keys = [*rack_keys, "candidate"]
-    scored = with_move_scores(df, rack_keys)
     sizes = df.groupBy(*rack_keys).agg(F.count(F.lit(1)).alias("rack_product_count"))
-    candidates = (scored.join(sizes, list(rack_keys))
+    candidates = (df.join(sizes, list(rack_keys))
                   .withColumn("candidate", F.explode(F.array(
                       *[F.lit(c) for c in range(n_candidates)]))))
-    noisy = F.when(F.col("candidate") == 0, F.col("scores")).otherwise(F.array(*[
-        F.element_at("scores", F.lit(s)) + F.col("candidate") * F.lit(noise_step)
+    noisy = F.when(F.col("candidate") == 0, F.col(scores)).otherwise(F.array(*[
+        F.element_at(scores, F.lit(s)) + F.col("candidate") * F.lit(noise_step)
         * normal(f"{seed}n{s}", *rack_keys, key, "candidate") for s in K.SHELVES]))
-    layouts = scored_layout(candidates.withColumn("scores", noisy), "scores", keys, key,
+    layouts = scored_layout(candidates.withColumn(scores, noisy), scores, keys, key,
                             min_products, min_width_cm)
     best = (rack_profit(layouts, keys).groupBy(*rack_keys)
-            .agg(F.max_by("candidate", F.struct("profit", -F.col("candidate")))
+            .agg(F.max_by("candidate", F.struct(half_up("profit", 4), -F.col("candidate")))
                  .alias("candidate")))
-    return layouts.join(best, keys, "left_semi").select(*df.columns)
+    return layouts.join(best, keys, "left_semi").select(
+        *[c for c in df.columns if c != scores])
 
 
 # --- baselines ---------------------------------------------------------------------

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("physics",)
+_MODULES = ("physics", "layouts")
 
 
 def _merged(attribute: str) -> dict:
