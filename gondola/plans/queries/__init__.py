@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("physics", "layouts")
+_MODULES = ("physics", "layouts", "enrichment", "knowledge")
 
 
 def _merged(attribute: str) -> dict:
