@@ -31,23 +31,37 @@ def key_block(key: Column | str, rows: int = BLOCK_ROWS) -> Column:
 
 
 def row_numbers(df: DataFrame, part: Sequence[str], order: Sequence,
-                block: Column, name: str = "row_no") -> DataFrame:
+                block: Column | Sequence[Column], name: str = "row_no") -> DataFrame:
     """``row_number() over (partition by part order by order)``, block by block.
 
-    ``block`` must never decrease along ``order``. One task sees one block of
-    a group; only the block counts of a group meet in one window.
+    ``block`` must never decrease along ``order``. Several blocks go from coarse to
+    fine, each within the one before. One task sees the rows of one finest block;
+    above that only counts meet: those of the blocks inside one coarser block.
     """
     part = list(part)
-    blocked = df.withColumn("_block", block)
-    counts = blocked.groupBy(*part, "_block").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*part).orderBy("_block").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *part, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy(*part, "_block").orderBy(*order)
-    return (blocked.join(offsets, [*part, "_block"])
+    levels = [block] if isinstance(block, Column) else list(block)
+    names = [f"_block{i}" for i in range(len(levels))]
+    blocked = df.withColumns(dict(zip(names, levels)))
+    counts = blocked.groupBy(*part, *names).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(*part, *names, F.lit(0).cast("bigint").alias("_offset"))
+    for depth, last in enumerate(names, start=1):
+        outer = [*part, *names[:depth - 1]]
+        before = Window.partitionBy(*outer).orderBy(last).rowsBetween(
+            Window.unboundedPreceding, -1)
+        sums = counts if depth == len(names) else counts.groupBy(*outer, last).agg(
+            F.sum("_n").alias("_n"))
+        level = sums.select(
+            *outer, last, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        if len(names) == 1:
+            offsets = level.withColumnRenamed("_before", "_offset")
+        else:
+            offsets = (offsets.join(level, [*outer, last])
+                       .withColumn("_offset", F.col("_offset") + F.col("_before"))
+                       .drop("_before"))
+    inside = Window.partitionBy(*part, *names).orderBy(*order)
+    return (blocked.join(offsets, [*part, *names])
             .withColumn(name, F.col("_offset") + F.row_number().over(inside))
-            .drop("_block", "_offset"))
+            .drop("_offset", *names))
 
 
 def previous_value(df: DataFrame, part: Sequence[str], order: Sequence[str],

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("physics", "layouts", "enrichment", "knowledge")
+_MODULES = ("physics", "layouts", "enrichment", "knowledge", "sales")
 
 
 def _merged(attribute: str) -> dict:
