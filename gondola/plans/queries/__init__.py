@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("physics", "layouts", "enrichment", "knowledge", "sales")
+_MODULES = ("physics", "layouts", "enrichment", "knowledge", "sales", "reports")
 
 
 def _merged(attribute: str) -> dict:

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql import types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import constants as K, schemas
 
@@ -148,3 +147,21 @@ def load_summary(df: DataFrame) -> DataFrame:
     category = next((c for c in df.columns if c.lower() == "category"), "category")
     return df.agg(F.count(F.lit(1)).alias("n_rows"), distinct(category, "n_categories"),
                   distinct("month_key", "n_months"), distinct("source_file", "n_files"))
+
+
+IDENTITY = ("Category", "name", "subtitle", "price", "discount_price")
+
+
+def with_product_id(df: DataFrame, part: Sequence[str] = ("month_key",),
+                    identity: Sequence[str] = IDENTITY) -> DataFrame:
+    """Adds a stable text key per row, unique within the month.
+
+    Rows that agree in all identity columns are numbered; the number depends on
+    the row's values only, not on where the row was read.
+    """
+    order = [c for c in df.columns if c not in part and c not in identity]
+    w = Window.partitionBy(*part, *identity).orderBy(*order)
+    text = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in identity])
+    return (df.withColumn("_copy", F.row_number().over(w))
+            .withColumn("product_id", F.concat_ws("-", F.md5(text), F.col("_copy")))
+            .drop("_copy"))
