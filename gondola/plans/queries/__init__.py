@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("physics", "layouts", "enrichment", "knowledge", "sales", "reports")
+_MODULES = ("physics", "layouts", "enrichment", "knowledge", "sales", "reports",
+            "models")
 
 
 def _merged(attribute: str) -> dict:

@@ -245,8 +245,7 @@ QUERIES = {
     "a7_rank_match": _rank_match,
     "f7_validate_layout": _validation,
     "f8_orphans": lambda s, d: ST.orphans(
-        T.table(s, d, "customer"), T.table(s, d, "orders"), "c_custkey", "o_custkey").select(
-            "c_custkey", "c_name"),
+        T.table(s, d, "documents"), T.table(s, d, "labels"), "doc_id").select("doc_id", "source"),
     "f6_catalog_report": lambda s, d: Q.catalog_report(T.catalog(s, d)),
     "f6_quality_report": _quality,
     "w6_expiry_discount": _expiry,
@@ -416,7 +415,7 @@ UNION ALL SELECT 'category_split', shelf_id || '/' || level || '/' || category,
 UNION ALL SELECT 'incompatible_neighbours', a.shelf_id || '/' || a.level || '/' || a.slot, 1e0
   FROM placement a JOIN placement b ON b.shelf_id = a.shelf_id AND b.level = a.level AND b.slot = a.slot + 1
   WHERE (a.category, b.category) IN (('ECONOMY', 'PROMO'), ('SMALL', 'LARGE'))""", _PLACEMENT),
-    "f8_orphans": "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    "f8_orphans": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "f6_catalog_report": """SELECT count(*) AS n_rows, 12 AS n_categories,
   count(*) FILTER (p_size % 5 = 3) AS n_blank_prices, count(*) FILTER (p_size % 5 = 4) AS n_bad_prices,
   0 AS n_null_category FROM part""".replace("12 AS", "CAST(12 AS BIGINT) AS").replace(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
@@ -23,16 +23,25 @@ def replace_months(batch: DataFrame, kb_path: str, key: str = "name") -> None:
 
 
 def stream_ingest(spark: SparkSession, folder: str, kb_path: str, checkpoint: str,
-                  max_files: int | None = None, key: str = "name") -> StreamingQuery:
+                  by_folder: bool = False, max_files: int | None = None,
+                  key: str = "name") -> StreamingQuery:
     """Ingest the files that are new since the last run, then stop.
 
-    ``checkpoint`` holds the list of files done; keep it on the shared folder.
+    Reads plain ``sales_*.csv`` files, or with ``by_folder`` the month folders of
+    ``write_monthly``. ``checkpoint`` holds the list of files done; keep it on the
+    shared folder.
     """
-    reader = (spark.readStream.schema(schemas.PLANOGRAM).option("header", True)
-              .option("pathGlobFilter", "sales_*.csv"))
+    fields = list(schemas.PLANOGRAM.fields)
+    reader = spark.readStream.option("header", True)
+    if by_folder:
+        fields.append(T.StructField("source_file", T.StringType()))
+    else:
+        reader = reader.option("pathGlobFilter", "sales_*.csv")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    stream = reader.csv(folder).withColumn("source_file", F.col("_metadata.file_name"))
+    stream = reader.schema(T.StructType(fields)).csv(folder)
+    if not by_folder:
+        stream = stream.withColumn("source_file", F.col("_metadata.file_name"))
     return (stream.writeStream
             .foreachBatch(lambda batch, _: replace_months(batch, kb_path, key))
             .option("checkpointLocation", checkpoint)
