@@ -11,6 +11,7 @@ from ..functions import demand as D
 from ..functions.numbers import half_up, uniform
 from ..functions.prices import parse_eur
 from ..functions.stock import month_number
+from ..session import written
 from ..sources.sinks import committed_batches
 from .layout import repair
 from .ranking import first_fraction, key_block, row_numbers
@@ -119,11 +120,15 @@ def assign_shelf(df: DataFrame, seed: int = 42,
 
 def generate_months(catalog: DataFrame, months: Sequence[str], seed: int = 42,
                     lo: float = 0.6, hi: float = 0.9, key: str = "product_id") -> DataFrame:
-    """Sampled, enriched, placed and repaired planograms of all months, in one plan."""
+    """Sampled, enriched, placed and repaired planograms of all months.
+
+    The placed rows feed the shelf sums, the repair and the result, so they are
+    written to the shared folder once.
+    """
     rows = sample_months(catalog, months, seed, lo, hi, key)
     enriched = enrich_heuristic(rows, seed, ("month_key", key))
     placed = assign_shelf(assign_rack(enriched, order=key), seed, ("month_key", key))
-    return repair(placed, "worst_fit", key=key)
+    return repair(written(placed), "worst_fit", key=key)
 
 
 def batch_rows(df: DataFrame, size: int, part: Sequence[str] = ("month_key",),

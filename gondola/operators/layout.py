@@ -22,9 +22,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as K
 from ..functions import physics as P
-from ..functions.numbers import half_up, normal, uniform
+from ..functions.numbers import half_up, uniform
 from .profit import rack_profit, shelf_violations
 from .ranking import top_n
+from .whatif import rack_state
 
 MIN_WIDTH_CM = 1.0
 
@@ -71,7 +72,13 @@ def _moves_with(moves: Column, item: Column, key: str, shelf: Column) -> Column:
 
 
 def _unfold(folded: DataFrame, rack_keys: Sequence[str]) -> DataFrame:
-    return folded.select(*rack_keys, F.inline("moves"))
+    """One row per move.
+
+    The outer form keeps Spark from testing the array for being empty first, which
+    would run the fold a second time.
+    """
+    return folded.select(*rack_keys, F.inline_outer("moves")).filter(
+        F.col("shelf_level").isNotNull())
 
 
 def apply_moves(df: DataFrame, moves: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS,
@@ -162,19 +169,27 @@ def repair_report(df: DataFrame, rule: str = "first_fit",
 
 # --- greedy and scored layouts ---------------------------------------------------
 
-def _fold_by_priority(df: DataFrame, rack_keys: Sequence[str], key: str,
-                      extras: Sequence[str], state: dict[str, Column], step,
-                      min_width_cm: float) -> DataFrame:
-    """Fold every rack's candidates, highest base profit first; returns the moves."""
+def _racks_by_priority(df: DataFrame, rack_keys: Sequence[str], key: str,
+                       extras: Sequence, min_width_cm: float) -> DataFrame:
+    """One row per rack: its candidates as ``items``, highest base profit first."""
     ranked = df.withColumn("_priority", P.base_profit())
     chosen = _candidates(ranked, rack_keys, [F.desc("_priority"), key], min_width_cm)
     item = F.struct((-F.col("_priority")).alias("order"), F.col(key),
                     F.col("shelf_level").alias("shelf"),
                     F.col("product_width_cm").alias("width"), *extras)
-    racks = chosen.groupBy(*rack_keys).agg(
-        F.sort_array(F.collect_list(item)).alias("items"))
-    start = F.struct(*[v.alias(k) for k, v in state.items()],
-                     F.array().cast(_moves_type(df, key)).alias("moves"))
+    return chosen.groupBy(*rack_keys).agg(F.sort_array(F.collect_list(item)).alias("items"))
+
+
+def _no_moves(df: DataFrame, key: str) -> Column:
+    return F.array().cast(_moves_type(df, key)).alias("moves")
+
+
+def _fold_by_priority(df: DataFrame, rack_keys: Sequence[str], key: str,
+                      extras: Sequence, state: dict[str, Column], step,
+                      min_width_cm: float) -> DataFrame:
+    """Fold every rack's candidates in priority order; returns the moves."""
+    racks = _racks_by_priority(df, rack_keys, key, extras, min_width_cm)
+    start = F.struct(*[v.alias(k) for k, v in state.items()], _no_moves(df, key))
     folded = racks.select(*rack_keys, F.aggregate("items", start, step)["moves"].alias("moves"))
     return _unfold(folded, rack_keys)
 
@@ -209,28 +224,34 @@ def greedy_layout(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS,
     return repair(placed, "first_fit", rack_keys, key, min_width_cm) if repair_after else placed
 
 
+def _best_with_room(room: Column, width: Column, score: Callable[[Column], Column],
+                    shelf: Column) -> Column:
+    """The shelf with room and the highest score, lowest first; else ``shelf``."""
+    fits = F.filter(_shelves(), lambda z: _at(room, z) >= width)
+    best = F.array_max(F.transform(
+        fits, lambda z: F.struct(score(z).alias("score"), (-z).alias("z"))))["z"]
+    return F.coalesce(-best, shelf)
+
+
 def scored_layout(df: DataFrame, scores: str = "scores",
                   rack_keys: Sequence[str] = K.RACK_KEYS, key: str = "product_id",
-                  min_products: int = 1, min_width_cm: float = MIN_WIDTH_CM) -> DataFrame:
+                  min_width_cm: float = MIN_WIDTH_CM) -> DataFrame:
     """Each product, best first, on its highest-scored shelf with room.
 
     ``scores`` holds one score per shelf 1..7, from the exact lifts
     (``with_move_scores``) or a fitted model. The lowest shelf wins ties. A
-    product that fits nowhere stays. Racks below ``min_products`` stay as they
-    are; that needs the ``rack_product_count`` column.
+    product that fits nowhere stays.
     """
     def step(state: Column, x: Column) -> Column:
-        fits = F.filter(_shelves(), lambda z: _at(state["room"], z) >= x["width"])
-        best = F.array_max(F.transform(fits, lambda z: F.struct(
-            _at(x[scores], z).alias("score"), (-z).alias("z"))))["z"]
-        return _bind(F.coalesce(-best, x["shelf"]), lambda to: F.struct(
+        to = _best_with_room(state["room"], x["width"], lambda z: _at(x[scores], z), x["shelf"])
+        return _bind(to, lambda to: F.struct(
             _add_at(state["room"], to, -x["width"]).alias("room"),
             _moves_with(state["moves"], x, key, to).alias("moves")))
 
-    rows = df if min_products <= 1 else df.filter(F.col("rack_product_count") >= min_products)
-    moves = _fold_by_priority(rows, rack_keys, key, [scores], {"room": _full_room()}, step,
+    moves = _fold_by_priority(df, rack_keys, key, [scores], {"room": _full_room()}, step,
                               min_width_cm)
-    return apply_moves(df, moves, rack_keys, key)
+    rest = df.select(*[c for c in df.columns if c != scores])
+    return apply_moves(rest, moves, rack_keys, key)
 
 
 def marginal_layout(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS,
@@ -278,6 +299,29 @@ def marginal_layout(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS,
     return apply_moves(df, moves, rack_keys, key)
 
 
+def _noise(seed: int, keys: Sequence[Column]) -> Column:
+    """Eight standard normals for the keys, the first seven for the shelves.
+
+    One hash gives four uniforms, and these give four normals.
+    """
+    def four(part: Column) -> Column:
+        text = F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys],
+                           part.cast("string"))
+
+        def normals(h: Column) -> Column:
+            u = [F.conv(F.substring(h, 8 * i + 1, 8), 16, 10).cast("bigint")
+                 / F.lit(4294967296.0) for i in range(4)]
+            turn = [F.lit(6.283185307179586) * u[1], F.lit(6.283185307179586) * u[3]]
+            size = [F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u[0])),
+                    F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u[2]))]
+            return F.array(size[0] * F.cos(turn[0]), size[0] * F.sin(turn[0]),
+                           size[1] * F.cos(turn[1]), size[1] * F.sin(turn[1]))
+
+        return _bind(F.md5(text), normals)
+
+    return F.flatten(F.transform(F.array(F.lit(0), F.lit(1)), four))
+
+
 def ensemble_layout(df: DataFrame, n_candidates: int = 5, seed: int = 42,
                     noise_step: float = 5.0, scores: str = "scores",
                     rack_keys: Sequence[str] = K.RACK_KEYS, key: str = "product_id",
@@ -286,23 +330,60 @@ def ensemble_layout(df: DataFrame, n_candidates: int = 5, seed: int = 42,
 
     Candidate 0 uses the plain ``scores``, candidate c adds noise of scale
     ``c * noise_step``. The first candidate wins ties; profits that differ by
-    summation noise only are ties.
+    summation noise only are ties. Racks below ``min_products`` stay as they are.
+
+    A rack's items are gathered once and folded once per candidate. The fold
+    carries the sums of the rack's shelves, all of its products included, so a
+    candidate's profit comes out of its moves.
     """
-    keys = [*rack_keys, "candidate"]
-    sizes = df.groupBy(*rack_keys).agg(F.count(F.lit(1)).alias("rack_product_count"))
-    candidates = (df.join(sizes, list(rack_keys))
-                  .withColumn("candidate", F.explode(F.array(
-                      *[F.lit(c) for c in range(n_candidates)]))))
-    noisy = F.when(F.col("candidate") == 0, F.col(scores)).otherwise(F.array(*[
-        F.element_at(scores, F.lit(s)) + F.col("candidate") * F.lit(noise_step)
-        * normal(f"{seed}n{s}", *rack_keys, key, "candidate") for s in K.SHELVES]))
-    layouts = scored_layout(candidates.withColumn(scores, noisy), scores, keys, key,
-                            min_products, min_width_cm)
-    best = (rack_profit(layouts, keys).groupBy(*rack_keys)
-            .agg(F.max_by("candidate", F.struct(half_up("profit", 4), -F.col("candidate")))
-                 .alias("candidate")))
-    return layouts.join(best, keys, "left_semi").select(
-        *[c for c in df.columns if c != scores])
+    rest = df.select(*[c for c in df.columns if c != scores])
+    price = F.col("price_numeric").alias("price")
+    items = _racks_by_priority(df, rack_keys, key, [scores, price], min_width_cm)
+    state = rack_state(rest, rack_keys).filter(F.col("rack_product_count") >= min_products)
+    racks = items.join(state, list(rack_keys))
+    start = F.struct(
+        _full_room().alias("room"),
+        F.transform("shelf_n", lambda n: n.cast("bigint")).alias("n"),
+        F.col("shelf_w").alias("w"), F.col("shelf_v").alias("v"), _no_moves(df, key))
+
+    def layout(candidate: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            keys = [*[F.col(k) for k in rack_keys], x[key], candidate]
+            noise = F.when(candidate == 0, F.array(*[F.lit(0.0)] * 8)).otherwise(
+                _noise(seed, keys))
+
+            def placed(bound: Column) -> Column:
+                to, a = bound, x["shelf"]
+                moved = F.when(to == a, F.lit(0.0)).otherwise(F.lit(1.0))
+                leaves = x["order"] * P.price_tier(x["price"], a) * moved
+                arrives = x["order"] * P.price_tier(x["price"], to) * moved
+                count = moved.cast("bigint")
+                return F.struct(
+                    _add_at(acc["room"], to, -x["width"]).alias("room"),
+                    _add_at(_add_at(acc["n"], a, -count), to, count).alias("n"),
+                    _add_at(_add_at(acc["w"], a, -moved * x["width"]), to,
+                            moved * x["width"]).alias("w"),
+                    _add_at(_add_at(acc["v"], a, leaves), to, -arrives).alias("v"),
+                    _moves_with(acc["moves"], x, key, to).alias("moves"))
+
+            return _bind(noise, lambda z7: _bind(
+                _best_with_room(acc["room"], x["width"],
+                                lambda z: _at(x[scores], z) + candidate * F.lit(noise_step)
+                                * _at(z7, z), x["shelf"]), placed))
+
+        def rated(acc: Column) -> Column:
+            used = F.size(F.filter(acc["n"], lambda n: n > 0))
+            values = F.transform(_shelves(), lambda z: P.shelf_value(
+                z, _at(acc["n"], z), _at(acc["w"], z), _at(acc["v"], z)))
+            profit = P.spread(used) * F.aggregate(values, F.lit(0.0), lambda t, g: t + g)
+            return F.struct(half_up(profit, 4).alias("profit"), (-candidate).alias("first"),
+                            acc["moves"].alias("moves"))
+
+        return F.aggregate("items", start, step, rated)
+
+    best = F.array_max(F.transform(F.array(*[F.lit(c) for c in range(n_candidates)]), layout))
+    moves = racks.select(*rack_keys, best["moves"].alias("moves"))
+    return apply_moves(rest, _unfold(moves, rack_keys), rack_keys, key)
 
 
 # --- baselines ---------------------------------------------------------------------

@@ -80,32 +80,30 @@ def previous_value(df: DataFrame, part: Sequence[str], order: Sequence[str],
             .drop("_block", "_carried"))
 
 
-def first_fraction(df: DataFrame, part: Sequence[str], score: Column, ties: Sequence,
+def first_fraction(df: DataFrame, part: Sequence[str], score: Column, ties: Sequence[str],
                    wanted: DataFrame, buckets: int = 65_536) -> DataFrame:
     """Exactly the ``n_keep`` rows with the lowest ``score`` of every group.
 
     ``score`` is uniform in [0, 1); ``wanted`` holds ``(*part, n_keep)``. A
-    count per score bucket finds the bucket where each group's quota ends.
-    Rows of lower buckets pass without a shuffle, and only the rows of that one
-    bucket are ranked.
+    count per score bucket finds the bucket where each group's quota ends, and
+    ranking that one bucket finds the last row to keep. The rows themselves are
+    then filtered where they are, against one cut per group.
     """
     part = list(part)
-    scored = (df.withColumn("_score", score)
-              .withColumn("_bucket", F.floor(F.col("_score") * buckets)))
-    counts = scored.groupBy(*part, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    scored = df.withColumn("_at", F.struct(score.alias("_score"), *ties))
+    bucketed = scored.select(*part, "_at", F.floor(F.col("_at._score") * buckets).alias("_bucket"))
+    counts = bucketed.groupBy(*part, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*part).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1)
     edge = (counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
             .join(wanted, part)
             .filter(F.col("_before") < F.col("n_keep"))
-            .groupBy(*part).agg(
-                F.max_by(F.struct("_bucket", (F.col("n_keep") - F.col("_before")).alias("_need")),
-                         "_bucket").alias("_edge"))
-            .select(*part, F.col("_edge._bucket").alias("_last"), "_edge._need"))
-    near = scored.join(edge, part).filter(F.col("_bucket") <= F.col("_last"))
-    sure = near.filter(F.col("_bucket") < F.col("_last"))
-    w = Window.partitionBy(*part).orderBy("_score", *ties)
-    rest = (near.filter(F.col("_bucket") == F.col("_last"))
-            .withColumn("_rn", F.row_number().over(w))
-            .filter(F.col("_rn") <= F.col("_need")).drop("_rn"))
-    return sure.unionByName(rest).drop("_score", "_bucket", "_last", "_need")
+            .groupBy(*part).agg(F.max(F.struct(
+                "_bucket", (F.col("n_keep") - F.col("_before")).alias("_need"))).alias("_edge"))
+            .select(*part, F.col("_edge._bucket").alias("_bucket"), "_edge._need"))
+    rank = F.row_number().over(Window.partitionBy(*part).orderBy("_at"))
+    cuts = (bucketed.join(edge, [*part, "_bucket"]).withColumn("_rn", rank)
+            .filter(F.col("_rn") <= F.col("_need"))
+            .groupBy(*part).agg(F.max("_at").alias("_cut")))
+    return (scored.join(cuts, part).filter(F.col("_at") <= F.col("_cut"))
+            .drop("_at", "_cut"))

@@ -40,10 +40,17 @@ def _checked_shelf(c: str) -> Column:
         F.raise_error(bad).cast("int"))
 
 
-def _with_context(df: DataFrame, rack_keys: Sequence[str]) -> DataFrame:
-    """Products with their rack's state and the effect of leaving their shelf."""
+def _with_context(df: DataFrame, rack_keys: Sequence[str],
+                  racks: DataFrame | None = None) -> DataFrame:
+    """Products with their rack's state and the effect of leaving their shelf.
+
+    ``racks`` are the planograms the state is taken from, ``df`` unless given.
+    """
     base = df.withColumn("original_shelf", _checked_shelf("shelf_level"))
-    joined = base.join(rack_state(df, rack_keys), list(rack_keys))
+    # Every rack has its state. As a left join, Spark drops the join where only
+    # columns of the products are used.
+    joined = base.join(rack_state(df if racks is None else racks, rack_keys),
+                       list(rack_keys), "left")
     a = F.col("original_shelf")
     v = P.base_profit()
     n_a, w_a = F.element_at("shelf_n", a), F.element_at("shelf_w", a)
@@ -108,8 +115,9 @@ def training_sample(df: DataFrame, n: int, seed: int,
     first key and products within their rack, both block by block.
     """
     rack_keys = list(rack_keys)
-    pool = racks_with(df, min_products, rack_keys) if min_products > 1 else df
-    moves = _with_context(pool, rack_keys)
+    columns = [*rack_keys, key, "price_numeric", "profit_margin_percentage",
+               "estimated_monthly_sales", "product_width_cm", "shelf_level"]
+    pool = (racks_with(df, min_products, rack_keys) if min_products > 1 else df).select(*columns)
     sizes = pool.groupBy(*rack_keys).agg(F.count(F.lit(1)).alias("_size"))
     racks = row_numbers(sizes, [], rack_keys, F.col(rack_keys[0]), name="_rack_no")
     n_racks = sizes.agg(F.count(F.lit(1))).scalar()
@@ -122,8 +130,9 @@ def training_sample(df: DataFrame, n: int, seed: int,
     picked = (draws.join(racks, "_rack_no")
               .withColumn("_product_no", F.floor(F.col("_up") * F.col("_size")) + 1)
               .select("draw_id", "new_shelf", "_product_no", *rack_keys))
-    numbered = row_numbers(moves, rack_keys, [key], key_block(key), name="_product_no")
-    return picked.join(numbered, [*rack_keys, "_product_no"]).select(
+    numbered = row_numbers(pool, rack_keys, [key], key_block(key), name="_product_no")
+    drawn = picked.join(numbered, [*rack_keys, "_product_no"])
+    return _with_context(drawn, rack_keys, pool).select(
         "draw_id", *rack_keys, key,
         "price_numeric", "profit_margin_percentage", "estimated_monthly_sales",
         "product_width_cm", "original_shelf", "new_shelf",

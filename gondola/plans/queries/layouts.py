@@ -183,9 +183,17 @@ _SCORES = f"""scored AS (
 
 
 def _normal(shelf: int) -> str:
-    keys = ("month_key", "rack_id", "product_id", "candidate")
-    return (f"(sqrt(-2e0 * ln(1e0 - {S.uniform(f'42n{shelf}r', *keys)})) "
-            f"* cos(6.283185307179586e0 * {S.uniform(f'42n{shelf}a', *keys)}))")
+    """Normals 1-4 come from the hash with suffix 0, 5-7 from the one with suffix 1."""
+    part, place = divmod(shelf - 1, 4)
+    keys = ("month_key", "rack_id", "product_id", "candidate", str(part))
+    text = " || '|' || ".join(["'42'"] + [f"CAST({k} AS VARCHAR)" for k in keys])
+
+    def u(i: int) -> str:
+        return f"(CAST(('0x' || substr(md5({text}), {8 * i + 1}, 8)) AS BIGINT) / 4294967296e0)"
+
+    pair = 2 * (place // 2)
+    turn = "cos" if place % 2 == 0 else "sin"
+    return f"(sqrt(-2e0 * ln(1e0 - {u(pair)})) * {turn}(6.283185307179586e0 * {u(pair + 1)}))"
 
 
 _NOISY = "[" + ", ".join(
