@@ -259,7 +259,8 @@ def marginal_layout(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS,
     """Each product, best first, where the rack profit placed so far gains most.
 
     The context of a step is the products placed within capacity before it. A
-    product that fits nowhere stays and uses up room, but is no context.
+    product that fits nowhere stays and uses up room, but is no context. The
+    lowest shelf wins ties up to summation noise.
     """
     zeros = F.array(*[F.lit(0.0)] * K.NUM_SHELVES)
 
@@ -272,7 +273,7 @@ def marginal_layout(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS,
                               _at(state["v"], z) - x["order"] * P.price_tier(x["price"], z))
             opens = F.when(_at(state["n"], z) > 0, F.lit(0)).otherwise(F.lit(1))
             profit = P.spread(used + opens) * (total - _at(state["g"], z) + g)
-            return F.struct(profit.alias("profit"), (-z).alias("z"), g.alias("g"))
+            return F.struct(half_up(profit, 4).alias("profit"), (-z).alias("z"), g.alias("g"))
 
         fits = F.filter(_shelves(), lambda z: _at(state["room"], z) >= x["width"])
         best = F.array_max(F.transform(fits, option))

@@ -41,8 +41,9 @@ def build_knowledge_base(spark: SparkSession, folder: str, kb_path: str) -> Data
 def train_lift_model(planogram: DataFrame, kind: str = "gbt", min_products: int = 3,
                      **params) -> tuple[PipelineModel, DataFrame]:
     """Sampled moves of all racks -> fitted lift model and its test metrics."""
+    # The planogram feeds both samples, and each sample several passes of the fit.
+    planogram = written(planogram)
     n = planogram.count()
-    # Both samples feed several passes of the fit, so they are written once.
     train = written(whatif.training_sample(planogram, max(20_000, 3 * n), 42,
                                            min_products=min_products))
     test = written(whatif.training_sample(planogram, max(3_000, n), 99,
