@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 # Rows of one ordered block when blocks are cut from a unique integer key.
 BLOCK_ROWS = 65_536
@@ -24,10 +24,20 @@ def top_n(df: DataFrame, part: Sequence[str], order: Sequence, n: int,
     return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= n)
 
 
-def key_block(key: Column | str, rows: int = BLOCK_ROWS) -> Column:
+def key_block(key: str, rows: int = BLOCK_ROWS) -> Column:
     """Ordered block of a unique integer key; holds at most ``rows`` rows."""
-    key = F.col(key) if isinstance(key, str) else key
-    return F.floor(key / F.lit(rows))
+    return F.floor(F.col(key) / F.lit(rows))
+
+
+def block_of(df: DataFrame, key: str) -> Column:
+    """Ordered block of a unique key of ``df``.
+
+    An integer key is cut into ranges of ``BLOCK_ROWS``. A text key is cut by its
+    first four characters, which spreads hash keys over 65,536 blocks.
+    """
+    if isinstance(df.schema[key].dataType, T.IntegralType):
+        return key_block(key)
+    return F.substring(F.col(key).cast("string"), 1, 4)
 
 
 def row_numbers(df: DataFrame, part: Sequence[str], order: Sequence,

@@ -99,10 +99,11 @@ def parse_estimates(replies: DataFrame, batches: DataFrame,
     """
     keys = list(keys)
     array = F.regexp_extract("reply_text", r"(?s)\[.*\]", 0)
-    items = F.from_json(array, "array<map<string,string>>")
-    parsed = replies.select(*keys, F.posexplode(items).alias("_pos", "_item")).select(
-        *keys, (F.col("_pos") + 1).alias("item_no"), "_item", F.lit(True).alias("_present"))
-    rows = batches.join(parsed, [*keys, "item_no"], "left")
+    elements = F.from_json(array, "array<string>")
+    parsed = replies.select(*keys, F.posexplode(elements).alias("_pos", "_text")).select(
+        *keys, (F.col("_pos") + 1).alias("item_no"), "_text", F.lit(True).alias("_present"))
+    rows = batches.join(parsed, [*keys, "item_no"], "left").withColumn(
+        "_item", F.from_json("_text", "map<string,string>"))
     names = ("estimated_monthly_sales", "profit_margin_percentage", "product_width_cm")
     number = {c: F.try_element_at("_item", F.lit(c)).try_cast("double") for c in names}
     bad = F.col("_present") & F.coalesce(F.col("_item").isNull(), F.lit(True))
@@ -120,7 +121,7 @@ def parse_estimates(replies: DataFrame, batches: DataFrame,
                              value(names[0], float(K.DEFAULT_SALES)).cast("bigint")),
         names[1]: clamp(value(names[1], K.DEFAULT_MARGIN), *K.MARGIN_RANGE),
         names[2]: clamp(value(names[2], K.DEFAULT_WIDTH), *K.WIDTH_RANGE),
-    }).drop("_item", "_present", "_bad")
+    }).drop("_text", "_item", "_present", "_bad")
 
 
 def parse_multipliers(replies: DataFrame, keys: Sequence[str] = ("month_key",)) -> DataFrame:

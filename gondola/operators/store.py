@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as K
 from ..functions import demand as D
-from .ranking import key_block, previous_value, row_numbers
+from .ranking import block_of, previous_value, row_numbers
 
 MAX_CENTRES = 1_000
 
@@ -131,7 +131,7 @@ def rank_match(products: DataFrame, slots: DataFrame, value: str = "margin",
     def ranked(df: DataFrame, score: str, key: str) -> DataFrame:
         # Coarse value ranges first; only exact ties are cut by key.
         blocks = [F.floor(-F.col(score) * 100),
-                  F.struct((-F.col(score)).alias("score"), key_block(key).alias("key"))]
+                  F.struct((-F.col(score)).alias("score"), block_of(df, key).alias("key"))]
         return row_numbers(df, [by], [F.desc(score), key], blocks, "_rank")
 
     a = ranked(products, value, product_key).select(by, "_rank", product_key, value)

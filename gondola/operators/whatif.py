@@ -10,7 +10,7 @@ from .. import constants as K
 from ..functions import physics as P
 from ..functions.numbers import uniform
 from .profit import racks_with, shelf_values
-from .ranking import key_block, row_numbers
+from .ranking import block_of, row_numbers
 
 
 def rack_state(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS) -> DataFrame:
@@ -130,7 +130,7 @@ def training_sample(df: DataFrame, n: int, seed: int,
     picked = (draws.join(racks, "_rack_no")
               .withColumn("_product_no", F.floor(F.col("_up") * F.col("_size")) + 1)
               .select("draw_id", "new_shelf", "_product_no", *rack_keys))
-    numbered = row_numbers(pool, rack_keys, [key], key_block(key), name="_product_no")
+    numbered = row_numbers(pool, rack_keys, [key], block_of(pool, key), name="_product_no")
     drawn = picked.join(numbered, [*rack_keys, "_product_no"])
     return _with_context(drawn, rack_keys, pool).select(
         "draw_id", *rack_keys, key,
