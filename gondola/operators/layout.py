@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import constants as K
 from ..functions import physics as P
 from ..functions.numbers import half_up, uniform
-from .profit import rack_profit, shelf_violations
+from .profit import rack_profit, shelf_violations, width_total
 from .ranking import top_n
 from .whatif import rack_state
 
@@ -95,7 +95,7 @@ def apply_moves(df: DataFrame, moves: DataFrame, rack_keys: Sequence[str] = K.RA
 def _first_fit(used: Column, shelf: Column, width: Column) -> Column:
     """The lowest other shelf with room."""
     fits = F.filter(_shelves(), lambda z: (z != shelf)
-                    & (_at(used, z) + width <= K.SHELF_WIDTH_CM))
+                    & (half_up(_at(used, z) + width, 4) <= K.SHELF_WIDTH_CM))
     return F.try_element_at(fits, F.lit(1))
 
 
@@ -103,7 +103,7 @@ def _worst_fit(used: Column, shelf: Column, width: Column) -> Column:
     """The other shelf with most room, if the product fits there."""
     best = F.array_max(F.transform(
         F.filter(_shelves(), lambda z: z != shelf),
-        lambda z: F.struct((F.lit(K.SHELF_WIDTH_CM) - _at(used, z)).alias("room"),
+        lambda z: F.struct(half_up(F.lit(K.SHELF_WIDTH_CM) - _at(used, z), 4).alias("room"),
                            (-z).alias("z"))))
     return _bind(best, lambda b: F.when(b["room"] >= width, -b["z"]))
 
@@ -121,7 +121,7 @@ def repair_moves(df: DataFrame, rule: str = "first_fit",
     """
     choose = _CHOOSERS[rule]
     shelves = (df.filter(F.col("shelf_level").between(1, K.NUM_SHELVES))
-               .groupBy(*rack_keys, "shelf_level").agg(F.sum("product_width_cm").alias("_w")))
+               .groupBy(*rack_keys, "shelf_level").agg(width_total().alias("_w")))
     used = shelves.groupBy(*rack_keys).agg(F.array(*[
         F.coalesce(F.max(F.when(F.col("shelf_level") == s, F.col("_w"))), F.lit(0.0))
         for s in K.SHELVES]).alias("used"))
@@ -140,9 +140,14 @@ def repair_moves(df: DataFrame, rule: str = "first_fit",
         width = -x["neg_width"]
         wanted = F.when(_at(state["used"], x["shelf"]) > K.SHELF_WIDTH_CM,
                         choose(state["used"], x["shelf"], width))
-        return _bind(F.coalesce(wanted, x["shelf"]), lambda to: F.struct(
-            _add_at(_add_at(state["used"], x["shelf"], -width), to, width).alias("used"),
-            _moves_with(state["moves"], x, key, to).alias("moves")))
+        def moved(to: Column) -> Column:
+            used = F.transform(state["used"], lambda u, i: F.when(
+                (i + 1 == to) & (to != x["shelf"]), half_up(u + width, 4)).when(
+                (i + 1 == x["shelf"]) & (to != x["shelf"]), half_up(u - width, 4)).otherwise(u))
+            return F.struct(used.alias("used"),
+                            _moves_with(state["moves"], x, key, to).alias("moves"))
+
+        return _bind(F.coalesce(wanted, x["shelf"]), moved)
 
     folded = racks.select(*rack_keys, F.aggregate("items", start, step)["moves"].alias("moves"))
     return _unfold(folded, rack_keys)

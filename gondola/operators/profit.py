@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import constants as K
 from ..functions import physics as P
+from ..functions.numbers import half_up
 from .ranking import top_n
 
 
@@ -64,11 +65,16 @@ def shelf_profit(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS,
             .drop("tier_value", "value"))
 
 
+def width_total() -> Column:
+    """Total width in whole micrometres: 300.0 stays 300.0 however it was added up."""
+    return half_up(F.sum("product_width_cm"), 4)
+
+
 def shelf_violations(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS) -> DataFrame:
     """Shelves 1..7 whose products are wider than the shelf."""
     return (df.filter(F.col("shelf_level").between(1, K.NUM_SHELVES))
             .groupBy(*rack_keys, "shelf_level")
-            .agg(F.sum("product_width_cm").alias("total_cm"))
+            .agg(width_total().alias("total_cm"))
             .filter(F.col("total_cm") > K.SHELF_WIDTH_CM))
 
 

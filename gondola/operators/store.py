@@ -143,8 +143,7 @@ def rank_match(products: DataFrame, slots: DataFrame, value: str = "margin",
 
 def orphans(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
     """Rows whose key is absent from the dimension."""
-    keys = dim.select(F.col(dim_key or key).alias(key)).distinct()
-    return df.join(keys, key, "left_anti")
+    return df.join(dim.select(F.col(dim_key or key).alias(key)), key, "left_anti")
 
 
 def validate_layout(placement: DataFrame, incompatible: DataFrame,
@@ -170,10 +169,11 @@ def validate_layout(placement: DataFrame, incompatible: DataFrame,
     blocks = (placement.groupBy("shelf_id", "level", "category")
               .agg((F.max("slot") - F.min("slot") + 1 - F.countDistinct("slot")).alias("gap"))
               .filter("gap > 0"))
-    right = placement.select("shelf_id", "level", (F.col("slot") - 1).alias("slot"),
-                             F.col("category").alias("other"))
-    clashes = (placement.select("shelf_id", "level", "slot", "category")
-               .join(right, ["shelf_id", "level", "slot"])
+    # Categories per slot first: two crowded slots make few pairs.
+    stands = placement.select("shelf_id", "level", "slot", "category").distinct()
+    right = stands.select("shelf_id", "level", (F.col("slot") - 1).alias("slot"),
+                          F.col("category").alias("other"))
+    clashes = (stands.join(right, ["shelf_id", "level", "slot"])
                .join(incompatible, ["category", "other"], "left_semi"))
     checks = [
         rows(placed, "product_placed_twice", F.col("product_id"), F.col("n")),

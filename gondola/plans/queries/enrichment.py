@@ -182,7 +182,20 @@ _SHELF = f"1 + CAST(floor({S.uniform('42f', 'month_key', 'product_id')} * 7) AS
 _DIRECTION = "CASE WHEN mult > 1 THEN 'UP' WHEN mult < 1 THEN 'DOWN' ELSE '--' END"
 _NEW_SALES = ("greatest(1, CAST(trunc(estimated_monthly_sales * mult) AS BIGINT))")
 
+
+def _generated() -> str:
+    from .layouts import _REPAIR_ITEMS, _REPAIR_START, _SHIFT, _WORST_CHOICE, _recursive, _steps
+    wide = f"wide AS (SELECT *, {_SHELF} AS shelf_level FROM racked)"
+    return _recursive(
+        "SELECT month_key, product_id, estimated_monthly_sales, profit_margin_percentage, "
+        "product_width_cm, rack_id, new_shelf AS shelf_level "
+        "FROM wide JOIN steps USING (month_key, rack_id, product_id)",
+        *_GEN_CTES, _SAMPLED, _ENRICHED, _RACKED, wide, _REPAIR_ITEMS,
+        _steps(_WORST_CHOICE, _REPAIR_START, _SHIFT))
+
+
 ORACLES = {
+    "job_generate_months": _generated(),
     "p1_parse_eur": S.query("""SELECT product_id,
   CASE form WHEN 0 THEN cents / 100e0 WHEN 1 THEN (100000 + cents) / 100e0
             WHEN 2 THEN cents / 100e0 ELSE 0e0 END AS value, form < 3 AS is_price

@@ -103,8 +103,6 @@ def _steps(choice: str, start: str, update: str, rack: str = "month_key, rack_id
 
 _RACKS = f"{_ROOM} AS room FROM (SELECT DISTINCT month_key, rack_id FROM items)"
 _TAKE = "room[z] - CASE WHEN z = to_shelf THEN w ELSE 0e0 END"
-_SHIFT = ("room[z] + CASE WHEN z = s THEN w ELSE 0e0 END "
-          "- CASE WHEN z = to_shelf THEN w ELSE 0e0 END")
 
 _GREEDY_CHOICE = """CASE WHEN i.s IN (3, 4, 5) THEN i.s
   WHEN st.room[3] >= i.w THEN 3 WHEN st.room[4] >= i.w THEN 4 WHEN st.room[5] >= i.w THEN 5
@@ -126,17 +124,14 @@ _SCORE_CHOICE = ("CASE " + " ".join(
     + " ELSE i.s END")
 
 _ORDER = f"{S.BASE} DESC, product_id"
-_REPAIR_START = """room FROM (
-    SELECT month_key, rack_id,
-           [300e0 - coalesce(sum(product_width_cm) FILTER (shelf_level = 1), 0e0),
-            300e0 - coalesce(sum(product_width_cm) FILTER (shelf_level = 2), 0e0),
-            300e0 - coalesce(sum(product_width_cm) FILTER (shelf_level = 3), 0e0),
-            300e0 - coalesce(sum(product_width_cm) FILTER (shelf_level = 4), 0e0),
-            300e0 - coalesce(sum(product_width_cm) FILTER (shelf_level = 5), 0e0),
-            300e0 - coalesce(sum(product_width_cm) FILTER (shelf_level = 6), 0e0),
-            300e0 - coalesce(sum(product_width_cm) FILTER (shelf_level = 7), 0e0)] AS room
-    FROM wide GROUP BY 1, 2)"""
-
+_FREE = ", ".join(
+    S.half_up(f"300e0 - coalesce(sum(product_width_cm) FILTER (shelf_level = {z}), 0e0)", 4)
+    for z in K.SHELVES)
+_REPAIR_START = (f"room FROM (SELECT month_key, rack_id, [{_FREE}] AS room "
+                 "FROM wide GROUP BY 1, 2)")
+
+_SHIFT = (f"CASE WHEN to_shelf <> s AND z = s THEN {S.half_up('room[z] + w', 4)} "
+          f"WHEN to_shelf <> s AND z = to_shelf THEN {S.half_up('room[z] - w', 4)} ELSE room[z] END")
 _REPAIR_ITEMS = _items("wide", "shelf_level, product_width_cm DESC, product_id")
 _GREEDY_CTES = (_items("wide", _ORDER), _steps(_GREEDY_CHOICE, _RACKS, _TAKE))
 _RESULT = ("SELECT month_key, rack_id, product_id, new_shelf AS shelf_level "

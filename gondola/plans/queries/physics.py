@@ -11,19 +11,34 @@ from .. import tables as T
 from . import sql as S
 
 
-def _factors(spark, d):
-    """P2-P8, P17: every factor of one planogram row."""
-    df = T.planogram(spark, d)
-    return df.select(
-        "month_key", "product_id",
-        P.shelf_multiplier("shelf_level").alias("multiplier"),
-        P.shelf_band("shelf_level").alias("band"),
-        half_up(P.basic_profit(), 4).alias("basic_profit"),
-        half_up(P.base_profit(), 4).alias("base_profit"),
-        P.crowding(F.col("product_id") % 21).alias("crowding"),
-        P.diminishing("shelf_level", F.col("product_width_cm") * 9).alias("diminishing"),
-        P.price_tier("price_numeric", "shelf_level").alias("price_tier"),
-        P.spread(F.col("product_id") % 8).alias("spread"))
+# Every factor of one planogram row: query name -> (column, expression, SQL).
+_FACTORS = {
+    "p2_shelf_multiplier": ("multiplier", P.shelf_multiplier, ("shelf_level",),
+                            S.mult("shelf_level")),
+    "p3_basic_profit": ("basic_profit", lambda: half_up(P.basic_profit(), 4), (),
+                        S.half_up(f"{S.BASE} * {S.mult('shelf_level')}", 4)),
+    "p4_base_profit": ("base_profit", lambda: half_up(P.base_profit(), 4), (),
+                       S.half_up(S.BASE, 4)),
+    "p5_crowding": ("crowding", lambda: P.crowding(F.col("product_id") % 21), (),
+                    S.crowd("(product_id % 21)")),
+    "p6_diminishing": ("diminishing",
+                       lambda: P.diminishing("shelf_level", F.col("product_width_cm") * 9), (),
+                       S.dim("shelf_level", "product_width_cm * 9")),
+    "p7_price_tier": ("price_tier", P.price_tier, ("price_numeric", "shelf_level"),
+                      S.tier("price_numeric", "shelf_level")),
+    "p8_spread": ("spread", lambda: P.spread(F.col("product_id") % 8), (),
+                  S.spread("product_id % 8")),
+    "p17_shelf_band": ("band", P.shelf_band, ("shelf_level",),
+                       "CASE WHEN shelf_level IN (1, 2) THEN 'bottom' "
+                       "WHEN shelf_level IN (3, 4, 5) THEN 'eye' "
+                       "WHEN shelf_level IN (6, 7) THEN 'top' END"),
+}
+
+
+def _factor(name):
+    column, expression, arguments, _ = _FACTORS[name]
+    return lambda spark, d: T.planogram(spark, d).select(
+        "month_key", "product_id", expression(*arguments).alias(column))
 
 
 def _profit(df, *columns):
@@ -65,7 +80,7 @@ def _noise(spark, d):
 
 
 QUERIES = {
-    "p2_p8_p17_physics_factors": _factors,
+    **{name: _factor(name) for name in _FACTORS},
     "g1_shelf_stats": lambda s, d: R.shelf_stats(T.planogram(s, d)),
     "g2_rack_profit": lambda s, d: _profit(
         R.rack_profit(T.planogram(s, d)),
@@ -175,17 +190,8 @@ draws AS (
 """
 
 ORACLES = {
-    "p2_p8_p17_physics_factors": S.query(f"""SELECT month_key, product_id,
-  {S.mult('shelf_level')} AS multiplier,
-  CASE WHEN shelf_level IN (1, 2) THEN 'bottom' WHEN shelf_level IN (3, 4, 5) THEN 'eye'
-       WHEN shelf_level IN (6, 7) THEN 'top' END AS band,
-  {S.half_up(f"{_V} * {S.mult('shelf_level')}", 4)} AS basic_profit,
-  {S.half_up(_V, 4)} AS base_profit,
-  {S.crowd('(product_id % 21)')} AS crowding,
-  {S.dim('shelf_level', 'product_width_cm * 9')} AS diminishing,
-  {S.tier('price_numeric', 'shelf_level')} AS price_tier,
-  {S.spread('product_id % 8')} AS spread
-FROM retail""", S.PLANOGRAM),
+    **{name: S.query(f"SELECT month_key, product_id, {sql} AS {column} FROM retail", S.PLANOGRAM)
+       for name, (column, _, _, sql) in _FACTORS.items()},
     "g1_shelf_stats": S.query("""SELECT month_key, rack_id, shelf_level, count(*) AS n_products,
   sum(product_width_cm) AS width_cm,
   count(*) OVER (PARTITION BY month_key, rack_id) AS n_shelves_used

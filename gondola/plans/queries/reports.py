@@ -95,10 +95,21 @@ def _rotation(spark, d):
     return _rounded(RP.stock_rotation(df), 6, "rotation", "mean_stock")
 
 
+_FIELDS = ("profit_before", "profit_after", "delta_pct", "impact", "occupancy", "avg_margin",
+           "total_sales", "sales_before", "sales_last")
+_NAMES = ("month_key", "rack_id", "product_id", "category")
+
+
 def _report(spark, d):
+    """The report with its JSON payloads taken apart."""
     df = _wide(spark, d)
-    falling = RP.falling_products(df)
-    return RP.optimisation_report(df, L.greedy_layout(df), falling=falling)
+    report = RP.optimisation_report(df, L.greedy_layout(df), falling=RP.falling_products(df))
+
+    def field(c, t):
+        return F.get_json_object("payload", f"$.{c}").cast(t).alias(c)
+
+    return report.select("section", "rank", *[field(c, "string") for c in _NAMES],
+                         *[field(c, "double") for c in _FIELDS])
 
 
 def _cells(spark, d):
@@ -289,6 +300,40 @@ _PLACEMENT = """placement AS (
          CAST(p_size AS DOUBLE) AS width_cm, 10e0 + p_partkey % 45 AS height_cm,
          (p_partkey % 30) / 2e0 AS weight_kg FROM part)"""
 
+
+
+def _section(name: str, source: str, rank: str = "CAST(NULL AS INTEGER)", **fields: str) -> str:
+    columns = [f"{fields.get(c, 'CAST(NULL AS VARCHAR)')} AS {c}" for c in _NAMES]
+    columns += [f"CAST({fields.get(c, 'NULL')} AS DOUBLE) AS {c}" for c in _FIELDS]
+    return f"SELECT '{name}' AS section, {rank} AS rank, {', '.join(columns)} FROM {source}"
+
+
+_SECTIONS = [
+    _section("summary", "(SELECT sum(orig_profit) AS o, sum(opt_profit) AS n FROM compared) t",
+             "1", profit_before=S.half_up("o", 2), profit_after=S.half_up("n", 2),
+             delta_pct=S.half_up("(n - o) / o * 100", 2)),
+    _section("relocation", f"""(
+  SELECT month_key, rack_id, product_id, i,
+         CAST(row_number() OVER (ORDER BY i DESC, month_key, rack_id, product_id) AS INTEGER) AS rk
+  FROM (SELECT w.month_key, w.rack_id, w.product_id,
+               {S.BASE} * ({S.mult('st.new_shelf')} - {S.mult('w.shelf_level')}) AS i
+        FROM wide w JOIN steps st ON st.month_key = w.month_key AND st.rack_id = w.rack_id
+             AND st.product_id = w.product_id WHERE st.new_shelf <> w.shelf_level) m
+  QUALIFY rk <= 10) r""", "rk", month_key="month_key", rack_id="rack_id",
+             product_id="CAST(product_id AS VARCHAR)", impact=S.half_up("i", 2)),
+    _section("category", """(SELECT category, sum(estimated_monthly_sales) AS t,
+  avg(profit_margin_percentage) AS m FROM wide GROUP BY 1) c""", category="category",
+             total_sales="t", avg_margin=S.half_up("m", 2)),
+    _section("underused_rack", """(SELECT month_key, rack_id, sum(product_width_cm) / 2100e0 AS o
+  FROM wide GROUP BY 1, 2 HAVING sum(product_width_cm) / 2100e0 < 0.2e0) u""",
+             month_key="month_key", rack_id="rack_id", occupancy=S.half_up("o", 4)),
+    _section("falling_product", """(SELECT product_id, estimated_monthly_sales AS s1,
+  lag(estimated_monthly_sales) OVER (PARTITION BY product_id ORDER BY month_key) AS s0
+  FROM wide QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY month_key DESC) = 1
+  AND s1 < s0) f""", product_id="CAST(product_id AS VARCHAR)", sales_before="s0",
+             sales_last="s1"),
+]
+
 ORACLES = {
     "g5_j5_compare_racks": _recursive(
         f"SELECT month_key, rack_id, category, {_r(4, *_CMP)} FROM compared", *_COMPARE),
@@ -353,6 +398,7 @@ FROM (SELECT p.*, lag(profit) OVER (PARTITION BY rack_id ORDER BY month_key) AS
       FROM profits p JOIN (SELECT month_key, rack_id, count(*) FILTER (shelf_level > 3) AS n_moves
                            FROM retail GROUP BY 1, 2) m USING (month_key, rack_id)) t""",
                                   S.PLANOGRAM, S.rack_profit_cte("retail", _RACK)),
+    "g24_optimisation_report": _recursive(" UNION ALL ".join(_SECTIONS), *_COMPARE),
     "g21_seasonal_profile": S.query("SELECT product_id, " + ", ".join(
         S.half_up(f"sum(CASE WHEN CAST(substr(month_key, 6, 2) AS INTEGER) = {m} "
                   "THEN estimated_monthly_sales ELSE 0 END) / (sum(estimated_monthly_sales) / 12e0)", 6)
@@ -413,7 +459,8 @@ UNION ALL SELECT 'category_split', shelf_id || '/' || level || '/' || category,
   CAST(max(slot) - min(slot) + 1 - count(DISTINCT slot) AS DOUBLE) FROM placement
   GROUP BY shelf_id, level, category HAVING max(slot) - min(slot) + 1 > count(DISTINCT slot)
 UNION ALL SELECT 'incompatible_neighbours', a.shelf_id || '/' || a.level || '/' || a.slot, 1e0
-  FROM placement a JOIN placement b ON b.shelf_id = a.shelf_id AND b.level = a.level AND b.slot = a.slot + 1
+  FROM (SELECT DISTINCT shelf_id, level, slot, category FROM placement) a
+  JOIN (SELECT DISTINCT shelf_id, level, slot, category FROM placement) b ON b.shelf_id = a.shelf_id AND b.level = a.level AND b.slot = a.slot + 1
   WHERE (a.category, b.category) IN (('ECONOMY', 'PROMO'), ('SMALL', 'LARGE'))""", _PLACEMENT),
     "f8_orphans": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "f6_catalog_report": """SELECT count(*) AS n_rows, 12 AS n_categories,

@@ -60,8 +60,8 @@ def write_monthly(df: DataFrame, path: str, fmt: str = "csv",
 
 def upsert_months(chunks: DataFrame, path: str) -> None:
     """Replace the months present in ``chunks``; other months stay."""
-    (chunks.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("month_key").parquet(path))
+    (chunks.hint("rebalance", "month_key").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("month_key").parquet(path))
 
 
 def write_daily(df: DataFrame, path: str, fmt: str = "csv") -> None:
