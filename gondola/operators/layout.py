@@ -1,9 +1,11 @@
 """Shelf assignment per rack: overflow repair, greedy, scored and ensemble layouts.
 
 Placing products is sequential inside a rack, since each step depends on the room
-that is left, and independent across racks. The sequential step runs as one
-array fold per rack over the *candidates* only, and returns the moves; all other
-rows keep their shelf and never leave their partitions for the fold.
+that is left, and independent across racks. The sequential step sees the
+*candidates* of a rack only and returns its moves; all other rows keep their
+shelf. Greedy, scored and ensemble layouts share one step, which ``walk`` takes
+for all racks of an Arrow batch together. Repair and the marginal layout are array
+folds per rack.
 
 Candidates are an exact bound, not a cut. Room on a shelf only shrinks, so once
 a product finds no room, later products of the same width from the same shelf
@@ -18,13 +20,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import constants as K
 from ..functions import physics as P
 from ..functions.numbers import half_up, uniform
 from .profit import rack_profit, shelf_violations, width_total
 from .ranking import top_n
+from .walk import placement_task
 from .whatif import rack_state
 
 MIN_WIDTH_CM = 1.0
@@ -203,18 +206,53 @@ def _full_room() -> Column:
     return F.array(*[F.lit(K.SHELF_WIDTH_CM)] * K.NUM_SHELVES)
 
 
+def _noise_bits(seed: int, keys: Sequence[str], candidates: int) -> Column:
+    """Two hashes of 128 bits per row and noisy candidate, for seven normals each."""
+    def digest(candidate: int, part: int) -> Column:
+        return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys],
+                                 F.lit(str(candidate)), F.lit(str(part))))
+
+    return F.unhex(F.concat(*[digest(c, part) for c in range(1, candidates + 1)
+                              for part in (0, 1)]))
+
+
+def _placement_moves(df: DataFrame, scores: Column, rack_keys: Sequence[str], key: str,
+                     min_width_cm: float, state: DataFrame | None = None,
+                     noise_scale: Sequence[float] = (0.0,), seed: int = 0) -> DataFrame:
+    """Moves of the placement walk: best product first, on the best shelf with room.
+
+    With ``state``, the shelf sums per rack, several noisy candidates are
+    placed and the one with the highest rack profit counts.
+    """
+    keys = [*rack_keys, key]
+    ranked = df.withColumn("value", P.base_profit()).withColumn(
+        "scores", F.coalesce(scores, F.array(*[F.lit(None).cast("double")] * K.NUM_SHELVES)))
+    rows = _candidates(ranked, rack_keys, [F.desc("value"), key], min_width_cm).select(
+        *keys, "value", "scores", F.col("shelf_level").alias("shelf"),
+        F.col("product_width_cm").alias("width"), F.col("price_numeric").alias("price"))
+    if len(noise_scale) > 1:
+        rows = rows.withColumn("noise", _noise_bits(seed, keys, len(noise_scale) - 1))
+    if state is not None:
+        # One head row per rack, before its products, with the shelf sums as scores.
+        sums = F.concat(F.col("shelf_n").cast("array<double>"), "shelf_w", "shelf_v")
+        heads = state.select(*rack_keys, sums.alias("scores"),
+                             F.lit(float("inf")).alias("value"))
+        rows = heads.unionByName(rows, allowMissingColumns=True)
+    # The window sorts by rack and placement order; the walk reads that order.
+    placed = Window.partitionBy(*rack_keys).orderBy(F.desc("value"), key)
+    rows = rows.withColumn("position", F.row_number().over(placed))
+    rows = rows.sortWithinPartitions(*rack_keys, "position")
+    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keys)
+    return rows.mapInArrow(placement_task(keys, list(noise_scale), state is not None),
+                           f"{schema}, shelf_level int")
+
+
 def greedy_moves(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS,
                  key: str = "product_id", min_width_cm: float = MIN_WIDTH_CM) -> DataFrame:
-    def step(state: Column, x: Column) -> Column:
-        better = F.filter(_shelves(), lambda z: (_at(state["room"], z) >= x["width"])
-                          & (P.shelf_multiplier(z) > P.shelf_multiplier(x["shelf"])))
-        best = F.array_min(F.transform(better, lambda z: F.struct(
-            (-P.shelf_multiplier(z)).alias("m"), z.alias("z"))))["z"]
-        return _bind(F.coalesce(best, x["shelf"]), lambda to: F.struct(
-            _add_at(state["room"], to, -x["width"]).alias("room"),
-            _moves_with(state["moves"], x, key, to).alias("moves")))
-
-    return _fold_by_priority(df, rack_keys, key, [], {"room": _full_room()}, step, min_width_cm)
+    """A shelf scores its multiplier where that beats the product's own shelf."""
+    own = P.shelf_multiplier("shelf_level")
+    better = F.array(*[F.when(own < m, F.lit(m)) for m in K.SHELF_MULTIPLIERS.values()])
+    return _placement_moves(df, better, rack_keys, key, min_width_cm)
 
 
 def greedy_layout(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS,
@@ -229,15 +267,6 @@ def greedy_layout(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS,
     return repair(placed, "first_fit", rack_keys, key, min_width_cm) if repair_after else placed
 
 
-def _best_with_room(room: Column, width: Column, score: Callable[[Column], Column],
-                    shelf: Column) -> Column:
-    """The shelf with room and the highest score, lowest first; else ``shelf``."""
-    fits = F.filter(_shelves(), lambda z: _at(room, z) >= width)
-    best = F.array_max(F.transform(
-        fits, lambda z: F.struct(score(z).alias("score"), (-z).alias("z"))))["z"]
-    return F.coalesce(-best, shelf)
-
-
 def scored_layout(df: DataFrame, scores: str = "scores",
                   rack_keys: Sequence[str] = K.RACK_KEYS, key: str = "product_id",
                   min_width_cm: float = MIN_WIDTH_CM) -> DataFrame:
@@ -247,14 +276,7 @@ def scored_layout(df: DataFrame, scores: str = "scores",
     (``with_move_scores``) or a fitted model. The lowest shelf wins ties. A
     product that fits nowhere stays.
     """
-    def step(state: Column, x: Column) -> Column:
-        to = _best_with_room(state["room"], x["width"], lambda z: _at(x[scores], z), x["shelf"])
-        return _bind(to, lambda to: F.struct(
-            _add_at(state["room"], to, -x["width"]).alias("room"),
-            _moves_with(state["moves"], x, key, to).alias("moves")))
-
-    moves = _fold_by_priority(df, rack_keys, key, [scores], {"room": _full_room()}, step,
-                              min_width_cm)
+    moves = _placement_moves(df, F.col(scores), rack_keys, key, min_width_cm)
     rest = df.select(*[c for c in df.columns if c != scores])
     return apply_moves(rest, moves, rack_keys, key)
 
@@ -305,29 +327,6 @@ def marginal_layout(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS,
     return apply_moves(df, moves, rack_keys, key)
 
 
-def _noise(seed: int, keys: Sequence[Column]) -> Column:
-    """Eight standard normals for the keys, the first seven for the shelves.
-
-    One hash gives four uniforms, and these give four normals.
-    """
-    def four(part: Column) -> Column:
-        text = F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys],
-                           part.cast("string"))
-
-        def normals(h: Column) -> Column:
-            u = [F.conv(F.substring(h, 8 * i + 1, 8), 16, 10).cast("bigint")
-                 / F.lit(4294967296.0) for i in range(4)]
-            turn = [F.lit(6.283185307179586) * u[1], F.lit(6.283185307179586) * u[3]]
-            size = [F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u[0])),
-                    F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u[2]))]
-            return F.array(size[0] * F.cos(turn[0]), size[0] * F.sin(turn[0]),
-                           size[1] * F.cos(turn[1]), size[1] * F.sin(turn[1]))
-
-        return _bind(F.md5(text), normals)
-
-    return F.flatten(F.transform(F.array(F.lit(0), F.lit(1)), four))
-
-
 def ensemble_layout(df: DataFrame, n_candidates: int = 5, seed: int = 42,
                     noise_step: float = 5.0, scores: str = "scores",
                     rack_keys: Sequence[str] = K.RACK_KEYS, key: str = "product_id",
@@ -338,58 +337,15 @@ def ensemble_layout(df: DataFrame, n_candidates: int = 5, seed: int = 42,
     ``c * noise_step``. The first candidate wins ties; profits that differ by
     summation noise only are ties. Racks below ``min_products`` stay as they are.
 
-    A rack's items are gathered once and folded once per candidate. The fold
-    carries the sums of the rack's shelves, all of its products included, so a
-    candidate's profit comes out of its moves.
+    All candidates of a rack are placed in one pass. The sums of the rack's
+    shelves, all of its products included, come along in a head row, so a
+    candidate's profit follows from its moves.
     """
     rest = df.select(*[c for c in df.columns if c != scores])
-    price = F.col("price_numeric").alias("price")
-    items = _racks_by_priority(df, rack_keys, key, [scores, price], min_width_cm)
     state = rack_state(rest, rack_keys).filter(F.col("rack_product_count") >= min_products)
-    racks = items.join(state, list(rack_keys))
-    start = F.struct(
-        _full_room().alias("room"),
-        F.transform("shelf_n", lambda n: n.cast("bigint")).alias("n"),
-        F.col("shelf_w").alias("w"), F.col("shelf_v").alias("v"), _no_moves(df, key))
-
-    def layout(candidate: Column) -> Column:
-        def step(acc: Column, x: Column) -> Column:
-            keys = [*[F.col(k) for k in rack_keys], x[key], candidate]
-            noise = F.when(candidate == 0, F.array(*[F.lit(0.0)] * 8)).otherwise(
-                _noise(seed, keys))
-
-            def placed(bound: Column) -> Column:
-                to, a = bound, x["shelf"]
-                moved = F.when(to == a, F.lit(0.0)).otherwise(F.lit(1.0))
-                leaves = x["order"] * P.price_tier(x["price"], a) * moved
-                arrives = x["order"] * P.price_tier(x["price"], to) * moved
-                count = moved.cast("bigint")
-                return F.struct(
-                    _add_at(acc["room"], to, -x["width"]).alias("room"),
-                    _add_at(_add_at(acc["n"], a, -count), to, count).alias("n"),
-                    _add_at(_add_at(acc["w"], a, -moved * x["width"]), to,
-                            moved * x["width"]).alias("w"),
-                    _add_at(_add_at(acc["v"], a, leaves), to, -arrives).alias("v"),
-                    _moves_with(acc["moves"], x, key, to).alias("moves"))
-
-            return _bind(noise, lambda z7: _bind(
-                _best_with_room(acc["room"], x["width"],
-                                lambda z: _at(x[scores], z) + candidate * F.lit(noise_step)
-                                * _at(z7, z), x["shelf"]), placed))
-
-        def rated(acc: Column) -> Column:
-            used = F.size(F.filter(acc["n"], lambda n: n > 0))
-            values = F.transform(_shelves(), lambda z: P.shelf_value(
-                z, _at(acc["n"], z), _at(acc["w"], z), _at(acc["v"], z)))
-            profit = P.spread(used) * F.aggregate(values, F.lit(0.0), lambda t, g: t + g)
-            return F.struct(half_up(profit, 4).alias("profit"), (-candidate).alias("first"),
-                            acc["moves"].alias("moves"))
-
-        return F.aggregate("items", start, step, rated)
-
-    best = F.array_max(F.transform(F.array(*[F.lit(c) for c in range(n_candidates)]), layout))
-    moves = racks.select(*rack_keys, best["moves"].alias("moves"))
-    return apply_moves(rest, _unfold(moves, rack_keys), rack_keys, key)
+    moves = _placement_moves(df, F.col(scores), rack_keys, key, min_width_cm, state,
+                             [noise_step * c for c in range(n_candidates)], seed)
+    return apply_moves(rest, moves, rack_keys, key)
 
 
 # --- baselines ---------------------------------------------------------------------
