@@ -28,11 +28,5 @@ def uniform(seed: int | str, *keys: Column | str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
-def normal(seed: int | str, *keys: Column | str) -> Column:
-    """Standard normal number for the keys (Box-Muller on two uniforms)."""
-    radius = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - uniform(f"{seed}r", *keys)))
-    return radius * F.cos(F.lit(6.283185307179586) * uniform(f"{seed}a", *keys))
-
-
 def clamp(c: Column | str, lo: float, hi: float) -> Column:
     return F.least(F.greatest(col(c), F.lit(lo)), F.lit(hi))

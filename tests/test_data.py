@@ -106,6 +106,26 @@ def test_seed_files(spark, tmp_path):
     assert (calendar[1]["season_sin"], calendar[1]["season_cos"]) == (0.034422, 0.999407)
 
 
+def test_other_files(spark, tmp_path):
+    (tmp_path / "cal.json").write_text(json.dumps(
+        [{"day_of_year": 1, "season_sin": 0.017213, "season_cos": 0.999852}]))
+    assert RD.read_calendar(spark, str(tmp_path / "cal.json")).first()["day_of_year"] == 1
+    (tmp_path / "grid.json").write_text(json.dumps({
+        "height": 10, "width": 12, "door": [0, 0],
+        "shelves": [{"id": 1, "grid_pos": [1, 0], "balda_capacity": [8, 10],
+                     "facing_width_total": 120}],
+        "adjacencies": [{"shelf_id": 1, "neighbors": [2, 6]}]}))
+    grid = RD.read_grid(spark, str(tmp_path / "grid.json")).first()
+    assert grid["shelves"][0]["grid_pos"] == [1, 0] and grid["adjacencies"][0]["neighbors"] == [2, 6]
+    (tmp_path / "top.csv").write_text(
+        "product_id,name,category,price,margin,popularity,shelf_id,rack_level,total_units,"
+        "total_revenue,total_profit,sim_id,seed\n"
+        + "".join(f"{p},{n},c,2.0,0.2,0.5,S1,3,10,20.0,4.0,{r},{99 + r}\n"
+                  for r in (1, 2) for p, n in ((1, "a"), (r + 1, "bc"[r - 1]))))
+    top = RD.read_top_products(spark, str(tmp_path / "top.csv"))
+    assert [r["name"] for r in SA.in_all_runs(top, 2).collect()] == ["a"]
+
+
 @pytest.mark.parametrize("year, month, n, keys", [
     (2026, 1, 2, ["2025_01", "2025_11", "2025_12"]),
     (2026, 3, 2, ["2025_03", "2026_01", "2026_02"]),
