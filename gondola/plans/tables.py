@@ -12,8 +12,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def planogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly planogram: one row per (month, part), racks of one brand."""
     sales = (table(spark, sf_dir, "lineitem")
-             .groupBy("l_partkey", F.date_format("l_shipdate", "yyyy_MM").alias("month_key"))
-             .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("sales")))
+             .groupBy("l_partkey", F.trunc("l_shipdate", "MM").alias("_month"))
+             .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("sales"))
+             .withColumn("month_key", F.date_format("_month", "yyyy_MM")))
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("name"),
