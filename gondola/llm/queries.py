@@ -4,20 +4,48 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import linededup, mixing
+from .linededup import line_dedup
+from .mixing import mix_sources
 from .simhash import simhash_components
+from .substring import substring_dedup
+
+#: Share of the largest possible entropy that the mix has at least.
+MIX_ENTROPY = 0.998
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 13-word windows of earlier ones."""
+    return substring_dedup(table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
+
+
+def mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of a mix with nearly even sources."""
+    return mix_sources(table(spark, sf_dir, "documents"), target_entropy=MIX_ENTROPY)
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the three-line windows of earlier ones."""
+    return line_dedup(table(spark, sf_dir, "documents"))
+
+
 def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document, two bits apart at most."""
     return simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
 QUERIES = {
+    "op4_substring_dedup": substring,
+    "op7_mix_sources": mixing_sources,
+    "op8_line_dedup": lines,
     "op10_simhash_dedup": simhash_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op7_mix_sources": mixing.oracle(MIX_ENTROPY),
+    "op8_line_dedup": linededup.ORACLE,
+}
