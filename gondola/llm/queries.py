@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import linededup, mixing
+from . import decontaminate as decontamination, linededup, mixing
+from .decontaminate import decontaminate
 from .linededup import line_dedup
 from .mixing import mix_sources
 from .simhash import simhash_components
@@ -33,6 +34,12 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents"))
 
 
+def benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of ten words in every document."""
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                         width=10, slop=1).drop("n_near")
+
+
 def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document, two bits apart at most."""
     return simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
@@ -42,10 +49,12 @@ QUERIES = {
     "op4_substring_dedup": substring,
     "op7_mix_sources": mixing_sources,
     "op8_line_dedup": lines,
+    "op9_decontaminate": benchmark_hits,
     "op10_simhash_dedup": simhash_dedup,
 }
 
 ORACLES = {
     "op7_mix_sources": mixing.oracle(MIX_ENTROPY),
     "op8_line_dedup": linededup.ORACLE,
+    "op9_decontaminate": decontamination.ORACLE,
 }
