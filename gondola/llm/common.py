@@ -17,18 +17,30 @@ NO_ID = -(1 << 63)
 CHUNK_BYTES = 1 << 22
 
 
+#: A table of at most so many rows is broadcast; past it, an equi-join shuffles.
+BROADCAST_ROWS = 500_000
+
+
+def position(df: DataFrame, column: str) -> int:
+    """Where a column is; an exact name wins over one that differs in case."""
+    names, lower = df.columns, [c.lower() for c in df.columns]
+    return names.index(column) if column in names else lower.index(column.lower())
+
+
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """The columns ``new=old`` of ``df`` and no others.
 
     Works by position, so extra columns may have any name, also one that differs
-    from a wanted one in case only, or comes twice. An exact name wins over one
-    that differs in case.
+    from a wanted one in case only, or comes twice.
     """
-    names, lower = df.columns, [c.lower() for c in df.columns]
-    at = {new: names.index(old) if old in names else lower.index(old.lower())
-          for new, old in columns.items()}
-    plain = df.toDF(*[f"_c{i}" for i in range(len(names))])
-    return plain.select(*[F.col(f"_c{i}").alias(new) for new, i in at.items()])
+    plain = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
+    return plain.select(*[F.col(f"_c{position(df, old)}").alias(new)
+                          for new, old in columns.items()])
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it has few rows."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def saved(df: DataFrame, **partitioned) -> DataFrame:
@@ -67,3 +79,16 @@ def word_chunks(data: bytes, overlap: int = 0) -> Iterator[list[bytes]]:
 def word_hashes(words: list[bytes]) -> np.ndarray:
     """XXH64 of each word."""
     return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+
+
+def without_lines(text: Column, gone: Column) -> Column:
+    """The lines of a text at other positions than ``gone``; the text if that is null.
+
+    A set difference by hash, so the work is linear in the lines.
+    """
+    lines = F.split(text, "\n", -1)
+    one = F.array(F.struct(lines.alias("lines"), gone.alias("gone")))
+    kept = F.transform(one, lambda s: F.transform(
+        F.array_except(F.transform(s["lines"], lambda _, at: at), s["gone"]),
+        lambda at: F.get(s["lines"], at)))
+    return F.when(gone.isNull(), text).otherwise(F.array_join(kept[0], "\n"))

@@ -17,15 +17,13 @@ import string
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import NO_ID, key_of, pick, saved
+from .common import NO_ID, key_of, pick, saved, small
 
 WINDOW = 10
 SLOP = 1
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: No word; its posting holds a document's number of words.
 END = " "
-#: A table of at most so many rows is broadcast; past it, an equi-join shuffles.
-BROADCAST_ROWS = 500_000
 
 
 def words(text: str) -> Column:
@@ -35,11 +33,6 @@ def words(text: str) -> Column:
                       F.array().cast("array<string>"))
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it is written and has few rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def item_windows(items: DataFrame, width: int, item_id: str, text: str) -> DataFrame:
     """``wid, terms, item`` of every distinct window of every item."""
     rows = pick(items, item=item_id, text=text).select(

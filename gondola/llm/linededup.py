@@ -7,9 +7,9 @@ twice are joined back, and only line positions, not lines, meet per document.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .common import key_of, pick
+from .common import key_of, pick, without_lines
 
 WINDOW = 3
 #: A line that counts has something besides ASCII white space.
@@ -50,16 +50,6 @@ def later_lines(keyed: DataFrame, width: int = WINDOW) -> DataFrame:
             .groupBy("_id", "_th").agg(F.collect_set("place").alias("gone")))
 
 
-def _kept_text(text: Column, gone: Column) -> Column:
-    """The lines at other positions; set difference by hash, so linear in the lines."""
-    lines = F.split(text, "\n", -1)
-    one = F.array(F.struct(lines.alias("lines"), gone.alias("gone")))
-    kept = F.transform(one, lambda s: F.transform(
-        F.array_except(F.transform(s["lines"], lambda _, at: at), s["gone"]),
-        lambda at: F.get(s["lines"], at)))
-    return F.when(gone.isNull(), text).otherwise(F.array_join(kept[0], "\n"))
-
-
 def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                width: int = WINDOW) -> DataFrame:
     """``doc_id, n_lines, n_removed, text`` (what is left), one row per input row.
@@ -80,7 +70,7 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("bigint").alias("n_lines"),
         F.coalesce(F.when(F.col("gone").isNotNull(), F.size("gone")), F.lit(0))
         .cast("bigint").alias("n_removed"),
-        _kept_text(F.col("text"), F.col("gone")).alias("text"))
+        without_lines(F.col("text"), F.col("gone")).alias("text"))
 
 
 ORACLE = r"""

@@ -8,6 +8,7 @@ from . import decontaminate as decontamination, linededup, mixing
 from .decontaminate import decontaminate
 from .linededup import line_dedup
 from .mixing import mix_sources
+from .nbsvm import quality
 from .simhash import simhash_components
 from .substring import substring_dedup
 
@@ -19,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document as the labels mark it."""
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the 13-word windows of earlier ones."""
     return substring_dedup(table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
@@ -46,6 +52,7 @@ def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_quality_nbsvm": quality_scores,
     "op4_substring_dedup": substring,
     "op7_mix_sources": mixing_sources,
     "op8_line_dedup": lines,
