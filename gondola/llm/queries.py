@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate as decontamination, linededup, mixing
+from . import decontaminate as decontamination, linededup, mixing, rules
 from .decontaminate import decontaminate
 from .linededup import line_dedup
 from .mixing import mix_sources
 from .nbsvm import quality
+from .pii import personal_data
+from .rules import quality_rules
 from .simhash import simhash_components
 from .substring import substring_dedup
 
@@ -30,6 +32,16 @@ def substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
 
 
+def rules_with_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules of every document, and what common lines leave of it."""
+    return quality_rules(table(spark, sf_dir, "documents"), with_text=False)
+
+
+def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return personal_data(table(spark, sf_dir, "documents")).drop("found")
+
+
 def mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents of a mix with nearly even sources."""
     return mix_sources(table(spark, sf_dir, "documents"), target_entropy=MIX_ENTROPY)
@@ -54,6 +66,8 @@ def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_quality_nbsvm": quality_scores,
     "op4_substring_dedup": substring,
+    "op5_quality_rules": rules_with_line_frequency,
+    "op6_pii": pii,
     "op7_mix_sources": mixing_sources,
     "op8_line_dedup": lines,
     "op9_decontaminate": benchmark_hits,
@@ -61,6 +75,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op5_quality_rules": rules.ORACLE,
     "op7_mix_sources": mixing.oracle(MIX_ENTROPY),
     "op8_line_dedup": linededup.ORACLE,
     "op9_decontaminate": decontamination.ORACLE,
