@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import key_of, pick, without_lines
+from .common import key_of, pick, position, without_lines
 
 WINDOW = 3
 #: A line that counts has something besides ASCII white space.
@@ -73,6 +73,28 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         without_lines(F.col("text"), F.col("gone")).alias("text"))
 
 
+def documents_without_later_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                                  n_chars: str | None = "n_chars",
+                                  width: int = WINDOW) -> DataFrame:
+    """``docs`` with all its columns, its texts as ``line_dedup`` leaves them.
+
+    ``n_chars``, if given and there, becomes the length of what is left.
+    """
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    at_text = position(docs, text)
+    rows = docs.toDF(*names).withColumns(key_of(names[position(docs, doc_id)], names[at_text]))
+    found = later_lines(rows.select("_id", "_th", F.col(names[at_text]).alias("text")), width)
+    left = without_lines(F.col(names[at_text]), F.col("gone"))
+    cut = rows.join(found, ["_id", "_th"], "left").withColumn("_left", left)
+    columns = [F.col("_left") if i == at_text else F.col(c) for i, c in enumerate(names)]
+    if n_chars and n_chars.lower() in [c.lower() for c in docs.columns]:
+        at = position(docs, n_chars)
+        kind = docs.schema.fields[at].dataType
+        columns[at] = F.when(F.col("gone").isNull(), F.col(names[at])).otherwise(
+            F.length("_left").cast(kind))
+    return cut.select(*[c.alias(n) for c, n in zip(columns, names)]).toDF(*docs.columns)
+
+
 ORACLE = r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,

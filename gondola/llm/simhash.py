@@ -27,9 +27,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import pick, saved, word_chunks
+from .common import NO_ID, pick, position, saved, word_chunks
 from .components import component_labels
 
 BITS = 64
@@ -156,3 +156,23 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
     component = labelled.join(ids, "label").select("fp", "component_id")
     return prints.join(component, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_per_component(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
+                      doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with all its columns, of each component the row with the smallest id.
+
+    Of rows with that id one stays. Rows without an id stay only where their component
+    has no id at all, and then one of all such rows.
+    """
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    plain = docs.toDF(*names)
+    at_id, at_text = (names[position(docs, c)] for c in (doc_id, text))
+    found = simhash_components(plain, shingle, max_bits, at_id, at_text)
+    keep = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id")).distinct())
+    rows = plain.withColumn("_id", F.coalesce(F.col(at_id).cast("bigint"), F.lit(NO_ID)))
+    # Rows of one id: as many as the table repeats it.
+    first = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64(at_text)))
+    return (rows.join(keep, "_id", "left_semi").withColumn("_nth", first)
+            .filter("_nth = 1").select(*names).toDF(*docs.columns))
