@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate as decontamination, linededup, mixing, rules
+from . import decontaminate as decontamination, linededup, mixing, rules, warc
 from .decontaminate import decontaminate
 from .linededup import line_dedup
 from .mixing import mix_sources
 from .nbsvm import quality
 from .pii import personal_data
 from .rules import quality_rules
+from .secrets import scan_secrets
 from .simhash import simhash_components
 from .substring import substring_dedup
+from .warc import warc_round_trip
 
 #: Share of the largest possible entropy that the mix has at least.
 MIX_ENTROPY = 0.998
@@ -22,11 +24,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, and findings that the forest takes for none."""
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document as the labels mark it."""
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def warc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from the archives that it was written to."""
+    return warc_round_trip(table(spark, sf_dir, "pages"))
+
+
 def substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the 13-word windows of earlier ones."""
     return substring_dedup(table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
@@ -64,7 +76,9 @@ def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scan": secrets,
     "op2_quality_nbsvm": quality_scores,
+    "op3_warc": warc_pages,
     "op4_substring_dedup": substring,
     "op5_quality_rules": rules_with_line_frequency,
     "op6_pii": pii,
@@ -75,6 +89,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_warc": warc.ORACLE,
     "op5_quality_rules": rules.ORACLE,
     "op7_mix_sources": mixing.oracle(MIX_ENTROPY),
     "op8_line_dedup": linededup.ORACLE,
