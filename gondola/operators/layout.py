@@ -8,12 +8,14 @@ for all racks of an Arrow batch together. Repair and the marginal layout are arr
 folds per rack.
 
 Candidates are an exact bound, not a cut. Room on a shelf only shrinks, so once
-a product finds no room, later products of the same width from the same shelf
-find none either. A rack has 7 x 300 cm, so at most ``2100 / w`` products of
-width ``w`` from one shelf can be placed; ``300 / w`` more that stay use up
-what is left of their own shelf. Later ones stay and change nothing. Thus the
-first ``2400 / w + 2`` rows per (rack, shelf, width), in placement order, decide
-the layout whatever the size of the rack.
+a product finds no room, later products of the same width from the same shelf that may
+go to the same shelves find none either. A rack has 7 x 300 cm, so at most ``2100 / w``
+such products of width ``w`` can be placed; ``300 / w`` more that stay use up what is left
+of their own shelf. Later ones stay and change nothing. Thus the first ``2400 / w + 2``
+rows per (rack, shelf, width, shelves allowed), in placement order, decide the layout
+whatever the size of the rack. Products narrower than ``LIMITED_CM`` are all candidates.
+A product without a width takes no part: it stays and takes no room. A product on an
+unknown shelf moves like any other, and takes no room while it stays.
 """
 
 from __future__ import annotations
@@ -30,7 +32,9 @@ from .ranking import top_n
 from .walk import placement_task
 from .whatif import rack_state
 
-MIN_WIDTH_CM = 1.0
+# Rows at least this wide are limited per group, before the shuffle: the limit has to be
+# one literal.
+LIMITED_CM = 1.0
 
 
 def _shelves() -> Column:
@@ -41,18 +45,28 @@ def _at(values: Column, shelf: Column) -> Column:
     return F.element_at(values, shelf)
 
 
-def _candidates(df: DataFrame, rack_keys: Sequence[str], order: Sequence,
-                min_width_cm: float) -> DataFrame:
-    """The rows that can decide the layout, see the module text."""
+def _candidates(df: DataFrame, rack_keys: Sequence[str], order: Sequence, key: str,
+                allowed: Column | None = None) -> DataFrame:
+    """The rows that can decide the layout, see the module text.
+
+    ``allowed`` stands for the shelves that a row may go to, where rows differ in that.
+    """
     width = F.col("product_width_cm")
-    checked = df.withColumn("product_width_cm", F.when(width >= min_width_cm, width).otherwise(
-        F.raise_error(F.concat(F.lit(f"product_width_cm below {min_width_cm}: "),
-                               F.coalesce(width.cast("string"), F.lit("NULL"))))
-        .cast("double")))
-    limit = int(2400 / min_width_cm) + 2
-    return (top_n(checked.filter(F.col("shelf_level").between(1, K.NUM_SHELVES)),
-                  [*rack_keys, "shelf_level", "product_width_cm"], order, limit, "_rn")
-            .filter(F.col("_rn") <= F.floor(F.lit(2400.0) / width) + 2).drop("_rn"))
+    # A narrow row is a group of its own and thus within any limit.
+    alone = F.when(width < LIMITED_CM, F.col(key))
+    grouped = df.filter(width.isNotNull()).withColumns({
+        "_alone": alone, "_allowed": F.lit(0) if allowed is None else allowed})
+    limit = int(2400 / LIMITED_CM) + 2
+    return (top_n(grouped, [*rack_keys, "shelf_level", "product_width_cm", "_allowed", "_alone"],
+                  order, limit, "_rn")
+            .filter((width < LIMITED_CM) | (F.col("_rn") <= F.floor(F.lit(2400.0) / width) + 2))
+            .drop("_rn", "_allowed", "_alone"))
+
+
+def _known_shelf() -> Column:
+    """The shelf, 0 for an unknown one."""
+    shelf = F.col("shelf_level")
+    return F.when(shelf.between(1, K.NUM_SHELVES), shelf).otherwise(0)
 
 
 def _moves_type(df: DataFrame, key: str) -> str:
@@ -115,8 +129,7 @@ _CHOOSERS = {"first_fit": _first_fit, "worst_fit": _worst_fit}
 
 
 def repair_moves(df: DataFrame, rule: str = "first_fit",
-                 rack_keys: Sequence[str] = K.RACK_KEYS, key: str = "product_id",
-                 min_width_cm: float = MIN_WIDTH_CM) -> DataFrame:
+                 rack_keys: Sequence[str] = K.RACK_KEYS, key: str = "product_id") -> DataFrame:
     """Moves that bring overflowing shelves back to 300 cm, widest product first.
 
     Only racks with an overflowing shelf, and of these only the rows on such
@@ -134,7 +147,7 @@ def repair_moves(df: DataFrame, rule: str = "first_fit",
             .filter(F.try_element_at("used", F.col("shelf_level")) > K.SHELF_WIDTH_CM))
     item = F.struct(F.col("shelf_level").alias("shelf"),
                     (-F.col("product_width_cm")).alias("neg_width"), F.col(key))
-    racks = _candidates(rows, rack_keys, [key], min_width_cm).groupBy(*rack_keys).agg(
+    racks = _candidates(rows, rack_keys, [key], key).groupBy(*rack_keys).agg(
         F.first("used").alias("used"), F.sort_array(F.collect_list(item)).alias("items"))
     start = F.struct(F.col("used").alias("used"),
                      F.array().cast(_moves_type(df, key)).alias("moves"))
@@ -157,10 +170,9 @@ def repair_moves(df: DataFrame, rule: str = "first_fit",
 
 
 def repair(df: DataFrame, rule: str = "first_fit", rack_keys: Sequence[str] = K.RACK_KEYS,
-           key: str = "product_id", min_width_cm: float = MIN_WIDTH_CM) -> DataFrame:
+           key: str = "product_id") -> DataFrame:
     """The layout after overflow repair; products that fit nowhere stay."""
-    return apply_moves(df, repair_moves(df, rule, rack_keys, key, min_width_cm),
-                       rack_keys, key)
+    return apply_moves(df, repair_moves(df, rule, rack_keys, key), rack_keys, key)
 
 
 def repair_report(df: DataFrame, rule: str = "first_fit",
@@ -178,12 +190,14 @@ def repair_report(df: DataFrame, rule: str = "first_fit",
 # --- greedy and scored layouts ---------------------------------------------------
 
 def _racks_by_priority(df: DataFrame, rack_keys: Sequence[str], key: str,
-                       extras: Sequence, min_width_cm: float) -> DataFrame:
-    """One row per rack: its candidates as ``items``, highest base profit first."""
-    ranked = df.withColumn("_priority", P.base_profit())
-    chosen = _candidates(ranked, rack_keys, [F.desc("_priority"), key], min_width_cm)
-    item = F.struct((-F.col("_priority")).alias("order"), F.col(key),
-                    F.col("shelf_level").alias("shelf"),
+                       extras: Sequence) -> DataFrame:
+    """One row per rack: its candidates as ``items``, highest base profit first.
+
+    A product without a base profit comes last.
+    """
+    ranked = df.withColumn("_order", F.coalesce(-P.base_profit(), F.lit(float("inf"))))
+    chosen = _candidates(ranked, rack_keys, ["_order", key], key)
+    item = F.struct(F.col("_order").alias("order"), F.col(key), _known_shelf().alias("shelf"),
                     F.col("product_width_cm").alias("width"), *extras)
     return chosen.groupBy(*rack_keys).agg(F.sort_array(F.collect_list(item)).alias("items"))
 
@@ -193,10 +207,9 @@ def _no_moves(df: DataFrame, key: str) -> Column:
 
 
 def _fold_by_priority(df: DataFrame, rack_keys: Sequence[str], key: str,
-                      extras: Sequence, state: dict[str, Column], step,
-                      min_width_cm: float) -> DataFrame:
+                      extras: Sequence, state: dict[str, Column], step) -> DataFrame:
     """Fold every rack's candidates in priority order; returns the moves."""
-    racks = _racks_by_priority(df, rack_keys, key, extras, min_width_cm)
+    racks = _racks_by_priority(df, rack_keys, key, extras)
     start = F.struct(*[v.alias(k) for k, v in state.items()], _no_moves(df, key))
     folded = racks.select(*rack_keys, F.aggregate("items", start, step)["moves"].alias("moves"))
     return _unfold(folded, rack_keys)
@@ -217,7 +230,7 @@ def _noise_bits(seed: int, keys: Sequence[str], candidates: int) -> Column:
 
 
 def _placement_moves(df: DataFrame, scores: Column, rack_keys: Sequence[str], key: str,
-                     min_width_cm: float, state: DataFrame | None = None,
+                     state: DataFrame | None = None,
                      noise_scale: Sequence[float] = (0.0,), seed: int = 0) -> DataFrame:
     """Moves of the placement walk: best product first, on the best shelf with room.
 
@@ -227,8 +240,10 @@ def _placement_moves(df: DataFrame, scores: Column, rack_keys: Sequence[str], ke
     keys = [*rack_keys, key]
     ranked = df.withColumn("value", P.base_profit()).withColumn(
         "scores", F.coalesce(scores, F.array(*[F.lit(None).cast("double")] * K.NUM_SHELVES)))
-    rows = _candidates(ranked, rack_keys, [F.desc("value"), key], min_width_cm).select(
-        *keys, "value", "scores", F.col("shelf_level").alias("shelf"),
+    allowed = sum(F.when(F.isnan(s) | s.isNull(), 0).otherwise(1 << i)
+                  for i, s in enumerate(F.get("scores", F.lit(i)) for i in range(K.NUM_SHELVES)))
+    rows = _candidates(ranked, rack_keys, [F.desc("value"), key], key, allowed).select(
+        *keys, "value", "scores", _known_shelf().alias("shelf"),
         F.col("product_width_cm").alias("width"), F.col("price_numeric").alias("price"))
     if len(noise_scale) > 1:
         rows = rows.withColumn("noise", _noise_bits(seed, keys, len(noise_scale) - 1))
@@ -248,41 +263,39 @@ def _placement_moves(df: DataFrame, scores: Column, rack_keys: Sequence[str], ke
 
 
 def greedy_moves(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS,
-                 key: str = "product_id", min_width_cm: float = MIN_WIDTH_CM) -> DataFrame:
+                 key: str = "product_id") -> DataFrame:
     """A shelf scores its multiplier where that beats the product's own shelf."""
     own = P.shelf_multiplier("shelf_level")
     better = F.array(*[F.when(own < m, F.lit(m)) for m in K.SHELF_MULTIPLIERS.values()])
-    return _placement_moves(df, better, rack_keys, key, min_width_cm)
+    return _placement_moves(df, better, rack_keys, key)
 
 
 def greedy_layout(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS,
-                  key: str = "product_id", repair_after: bool = False,
-                  min_width_cm: float = MIN_WIDTH_CM) -> DataFrame:
+                  key: str = "product_id", repair_after: bool = False) -> DataFrame:
     """Each product, best first, on the most visible better shelf with room.
 
     A product without a better shelf stays, even where its own shelf is full, so
     the result may overflow; ``repair_after=True`` runs the first-fit repair on it.
     """
-    placed = apply_moves(df, greedy_moves(df, rack_keys, key, min_width_cm), rack_keys, key)
-    return repair(placed, "first_fit", rack_keys, key, min_width_cm) if repair_after else placed
+    placed = apply_moves(df, greedy_moves(df, rack_keys, key), rack_keys, key)
+    return repair(placed, "first_fit", rack_keys, key) if repair_after else placed
 
 
 def scored_layout(df: DataFrame, scores: str = "scores",
-                  rack_keys: Sequence[str] = K.RACK_KEYS, key: str = "product_id",
-                  min_width_cm: float = MIN_WIDTH_CM) -> DataFrame:
+                  rack_keys: Sequence[str] = K.RACK_KEYS, key: str = "product_id") -> DataFrame:
     """Each product, best first, on its highest-scored shelf with room.
 
     ``scores`` holds one score per shelf 1..7, from the exact lifts
     (``with_move_scores``) or a fitted model. The lowest shelf wins ties. A
     product that fits nowhere stays.
     """
-    moves = _placement_moves(df, F.col(scores), rack_keys, key, min_width_cm)
+    moves = _placement_moves(df, F.col(scores), rack_keys, key)
     rest = df.select(*[c for c in df.columns if c != scores])
     return apply_moves(rest, moves, rack_keys, key)
 
 
 def marginal_layout(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS,
-                    key: str = "product_id", min_width_cm: float = MIN_WIDTH_CM) -> DataFrame:
+                    key: str = "product_id") -> DataFrame:
     """Each product, best first, where the rack profit placed so far gains most.
 
     The context of a step is the products placed within capacity before it. A
@@ -323,14 +336,14 @@ def marginal_layout(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS,
     state = {"room": _full_room(), "n": F.array(*[F.lit(0)] * K.NUM_SHELVES),
              "w": zeros, "v": zeros, "g": zeros}
     extras = [F.col("price_numeric").alias("price")]
-    moves = _fold_by_priority(df, rack_keys, key, extras, state, step, min_width_cm)
+    moves = _fold_by_priority(df, rack_keys, key, extras, state, step)
     return apply_moves(df, moves, rack_keys, key)
 
 
 def ensemble_layout(df: DataFrame, n_candidates: int = 5, seed: int = 42,
                     noise_step: float = 5.0, scores: str = "scores",
                     rack_keys: Sequence[str] = K.RACK_KEYS, key: str = "product_id",
-                    min_products: int = 2, min_width_cm: float = MIN_WIDTH_CM) -> DataFrame:
+                    min_products: int = 2) -> DataFrame:
     """The best of ``n_candidates`` scored layouts per rack, by rack profit.
 
     Candidate 0 uses the plain ``scores``, candidate c adds noise of scale
@@ -343,7 +356,7 @@ def ensemble_layout(df: DataFrame, n_candidates: int = 5, seed: int = 42,
     """
     rest = df.select(*[c for c in df.columns if c != scores])
     state = rack_state(rest, rack_keys).filter(F.col("rack_product_count") >= min_products)
-    moves = _placement_moves(df, F.col(scores), rack_keys, key, min_width_cm, state,
+    moves = _placement_moves(df, F.col(scores), rack_keys, key, state,
                              [noise_step * c for c in range(n_candidates)], seed)
     return apply_moves(rest, moves, rack_keys, key)
 

@@ -2,12 +2,15 @@
 
 Spark partitions the rows by rack and orders them by placement; this helper takes
 step t of every rack in the batch together, so the cost per row is a share of a few
-array operations. It holds the racks of one batch, never a partition.
+array operations. A rack may run over any number of batches: what goes on from one to
+the next is the room on its shelves and, where candidates are rated, the rows that
+moved, which the rack's width bounds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,39 +34,36 @@ def _column(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).combine_chunks().to_numpy(zero_copy_only=False)
 
 
-def _place(scores: np.ndarray, width: np.ndarray, shelf: np.ndarray,
-           starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def _place(scores: np.ndarray, width: np.ndarray, shelf: np.ndarray, starts: np.ndarray,
+           sizes: np.ndarray, room: np.ndarray) -> np.ndarray:
     """Shelf index per row and candidate; ``scores`` is (rows, candidates, shelves).
 
-    A rack is done when no shelf has room for its narrowest product; its other
-    rows stay.
+    ``room`` is (racks, candidates, shelves and one for unknown ones) and is brought up
+    to date. A rack is done when no shelf has room for its narrowest product; its
+    other rows stay, and take room on their shelves.
     """
     candidates = scores.shape[1]
     chosen = np.repeat(shelf[:, None], candidates, axis=1)
     narrowest = np.minimum.reduceat(width, starts)
-    by_size = np.argsort(-sizes, kind="stable")
-    starts, sizes, narrowest = starts[by_size], sizes[by_size], narrowest[by_size]
-    room = np.full((len(starts), candidates, _N), K.SHELF_WIDTH_CM)
-    racks, lanes = np.arange(len(starts))[:, None], np.arange(candidates)[None, :]
-    active = len(starts)
-    for step in range(sizes[0]):
+    order = np.argsort(-sizes, kind="stable")
+    lanes = np.arange(candidates)[None, :]
+    for step in range(sizes[order[0]]):
         if step % _CHECK_EVERY == 0:
-            going = room[:active].max(axis=(1, 2)) >= narrowest[:active]
-            going &= sizes[:active] > step
-            starts, sizes, narrowest, room = (
-                x[:active][going] for x in (starts, sizes, narrowest, room))
-            active = len(starts)
-        while active and sizes[active - 1] <= step:
-            active -= 1
-        if not active:
+            fits = room[order, :, :_N].max(axis=(1, 2)) >= narrowest[order]
+            for r in order[~fits]:
+                rest = slice(starts[r] + step, starts[r] + sizes[r])
+                room[r] -= np.bincount(shelf[rest], width[rest], minlength=_N + 1)
+            order = order[fits]
+        order = order[:np.searchsorted(-sizes[order], -step)]
+        if not len(order):
             break
-        rows = starts[:active] + step
+        rows = starts[order] + step
         w = width[rows][:, None]
-        value = np.where(room[:active] >= w[:, :, None], scores[rows], -np.inf)
+        value = np.where(room[order, :, :_N] >= w[:, :, None], scores[rows], -np.inf)
         to = value.argmax(axis=2)
-        fits = value[racks[:active], lanes, to] > -np.inf
+        fits = np.take_along_axis(value, to[:, :, None], axis=2)[:, :, 0] > -np.inf
         to = np.where(fits, to, shelf[rows][:, None])
-        room[racks[:active], lanes, to] -= w
+        room[order[:, None], lanes, to] -= w
         chosen[rows] = to
     return chosen
 
@@ -87,19 +87,22 @@ def _profits(n: np.ndarray, w: np.ndarray, v: np.ndarray) -> np.ndarray:
     return (1.0 + K.SPREAD_BONUS * ((n > 0).sum(axis=-1) / _N)) * value
 
 
-def _best_candidate(heads: pa.Table, table: pa.Table, chosen: np.ndarray, shelf: np.ndarray,
-                    rack: np.ndarray) -> np.ndarray:
-    """Per rack the first candidate with the highest profit, to four decimals."""
-    known = _matrix(heads, "scores", 3 * _N).reshape(-1, 3, 1, _N)
-    sums = [np.repeat(known[:, i], chosen.shape[1], axis=1) for i in range(3)]
-    price, value = _column(table, "price"), _column(table, "value")
-    width = _column(table, "width")
+def _best_candidate(known: np.ndarray, rows: pa.Table, chosen: np.ndarray,
+                    shelf: np.ndarray, rack: np.ndarray) -> np.ndarray:
+    """Per rack the first candidate with the highest profit, to four decimals.
+
+    ``known`` has the sums of the rack's seven shelves; an unknown shelf has none.
+    """
+    sums = [np.repeat(k[:, None, :], chosen.shape[1], axis=1)
+            for k in np.moveaxis(known.reshape(-1, 3, _N), 1, 0)]
+    price, value, width = (_column(rows, c) for c in ("price", "value", "width"))
     row, lane = np.nonzero(chosen != shelf[:, None])
     for to, sign in ((shelf[row], -1.0), (chosen[row, lane], 1.0)):
-        at = (rack[row], lane, to)
+        on = to < _N
+        r, at = row[on], (rack[row[on]], lane[on], to[on])
         np.add.at(sums[0], at, sign)
-        np.add.at(sums[1], at, sign * width[row])
-        np.add.at(sums[2], at, sign * value[row] * _tier(price[row], to))
+        np.add.at(sums[1], at, sign * width[r])
+        np.add.at(sums[2], at, sign * value[r] * _tier(price[r], to[on]))
     return np.floor(_profits(*sums) * 1e4 + 0.50001).argmax(axis=1)
 
 
@@ -115,72 +118,107 @@ def _normals(table: pa.Table) -> np.ndarray:
     return pairs.reshape(table.num_rows, -1, 8)[:, :, :_N]
 
 
-def _split_heads(table: pa.Table, rack: np.ndarray) -> tuple[pa.Table, pa.Table, np.ndarray]:
-    """Head rows, product rows and their rack numbers, of racks that have both."""
-    head = table.column("shelf").is_null().to_numpy()
+@dataclass
+class _Going:
+    """A rack whose rows go on in the next batch."""
+    room: np.ndarray
+    known: np.ndarray
+    rows: pa.Table | None = None
+    chosen: np.ndarray | None = None
+    shelf: np.ndarray | None = None
+
+
+def _as_moves(rows: pa.Table, keep: list[str], to: np.ndarray, shelf: np.ndarray) -> pa.RecordBatch:
+    moved = np.flatnonzero(to != shelf)
+    out = rows.select(keep).take(pa.array(moved)).combine_chunks()
+    columns = [c.combine_chunks() for c in out.columns]
+    return pa.RecordBatch.from_arrays([*columns, pa.array((to[moved] + 1).astype(np.int32))],
+                                      names=[*keep, "shelf_level"])
+
+
+def _rated_moves(going: _Going, rows: pa.Table, chosen: np.ndarray, shelf: np.ndarray,
+                 rack: np.ndarray, known: np.ndarray, open_rack: int,
+                 keep: list[str]) -> tuple[pa.RecordBatch, _Going]:
+    """The best candidates' moves of all racks before ``open_rack``, and what goes on.
+
+    Only rows that some candidate moved count from here on.
+    """
+    some = np.flatnonzero((chosen != shelf[:, None]).any(axis=1))
+    rows, chosen, shelf, rack = rows.take(some), chosen[some], shelf[some], rack[some]
+    if going.rows is not None:
+        rows = pa.concat_tables([going.rows, rows])
+        chosen, shelf = (np.concatenate(p) for p in ((going.chosen, chosen), (going.shelf, shelf)))
+        rack = np.concatenate([np.zeros(going.rows.num_rows, dtype=rack.dtype), rack])
+    best = _best_candidate(np.nan_to_num(known), rows, chosen, shelf, rack)
+    done, rest = np.flatnonzero(rack < open_rack), np.flatnonzero(rack == open_rack)
+    to = chosen[done, best[rack[done]]]
+    return (_as_moves(rows.take(done), keep, to, shelf[done]),
+            _Going(going.room, known[-1], rows.take(rest), chosen[rest], shelf[rest]))
+
+
+def _walk(table: pa.Table, going: _Going | None, keep: list[str], noise_scale: np.ndarray,
+          rated: bool) -> tuple[pa.RecordBatch, _Going]:
+    """The moves of a batch that are settled, and its last rack."""
+    first = _column(table, "position") == 1
+    rack = np.cumsum(first)  # 0: the rack from the batch before
     n = rack[-1] + 1
-    headed = np.bincount(rack[head], minlength=n) > 0
-    filled = np.bincount(rack[~head], minlength=n) > 0
-    whole = (headed & filled)[rack]
-    renumbered = np.cumsum(headed & filled) - 1
-    products = np.flatnonzero(whole & ~head)
-    return (table.take(np.flatnonzero(whole & head)), table.take(products),
-            renumbered[rack[products]])
-
-
-def _moves(table: pa.Table, keep: list[str], noise_scale: np.ndarray,
-           rated: bool) -> pa.RecordBatch:
-    """The moves of all racks in ``table``, each rack complete."""
-    rack = np.cumsum(_column(table, "position") == 1) - 1
-    heads = None
+    room = np.full((n, len(noise_scale), _N + 1), K.SHELF_WIDTH_CM)
+    room[:, :, _N] = -np.inf
+    known = np.full((n, 3 * _N), np.nan)
+    if going is None:
+        going = _Going(room[0], known[0])
+    room[0], known[0] = going.room, going.known
     if rated:
-        heads, table, rack = _split_heads(table, rack)
+        head = table.column("shelf").is_null().to_numpy()
+        known[rack[head]] = _matrix(table.take(np.flatnonzero(head)), "scores", 3 * _N)
+        product = np.flatnonzero(~head & ~np.isnan(known[rack, 0]))
+        table, rack = table.take(product), rack[product]
+    shelf = _column(table, "shelf").astype(np.int64) - 1
+    shelf = np.where(shelf < 0, _N, shelf)
     if table.num_rows:
         starts = np.flatnonzero(np.diff(rack, prepend=-1))
         sizes = np.diff(np.append(starts, len(rack)))
-        width = _column(table, "width")
-        shelf = _column(table, "shelf").astype(np.int64) - 1
         scores = _matrix(table, "scores", _N)[:, None, :]
         if len(noise_scale) > 1:
             noisy = scores + _normals(table) * noise_scale[None, 1:, None]
             scores = np.concatenate([scores, noisy], axis=1)
         scores = np.where(np.isnan(scores), -np.inf, scores)
-        chosen = _place(scores, width, shelf, starts, sizes)
-        lane = 0 if heads is None else _best_candidate(heads, table, chosen, shelf, rack)[rack]
-        to = chosen[np.arange(len(rack)), lane]
+        walked = room[rack[starts]]
+        chosen = _place(scores, _column(table, "width"), shelf, starts, sizes, walked)
+        room[rack[starts]] = walked
     else:
-        to = shelf = np.empty(0, dtype=np.int64)
-    moved = np.flatnonzero(to != shelf)
-    out = table.select(keep).take(pa.array(moved)).combine_chunks()
-    columns = [c.combine_chunks() for c in out.columns]
-    return pa.RecordBatch.from_arrays([*columns, pa.array((to[moved] + 1).astype(np.int32))],
-                                      names=[*keep, "shelf_level"])
+        chosen = np.empty((0, len(noise_scale)), dtype=np.int64)
+    if not rated:
+        return _as_moves(table, keep, chosen[:, 0], shelf), _Going(room[-1], known[-1])
+    moves, after = _rated_moves(going, table, chosen, shelf, rack, known, n - 1, keep)
+    after.room = room[-1]
+    return moves, after
 
 
 def placement_task(keep: list[str], noise_scale: list[float], rated: bool) -> Callable[
         [Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Arrow function over rows sorted by rack and placement ``position``.
 
-    Gives one row per moved product: the ``keep`` columns and its new shelf. One
-    entry of ``noise_scale`` per candidate layout; the first one is without noise.
-    Where ``rated``, a head row without a shelf opens each rack and holds its shelf
-    sums; racks without one stay as they are.
+    Gives one row per moved product: the ``keep`` columns and its new shelf. Shelf 0 is
+    an unknown one. One entry of ``noise_scale`` per candidate layout; the first one is
+    without noise. Where ``rated``, a head row without a shelf opens each rack and holds
+    its shelf sums; racks without one stay as they are.
     """
     scale = np.array(noise_scale)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: list[pa.RecordBatch] = []
+        going = None
         for batch in batches:
-            starts = np.flatnonzero(
-                batch.column("position").to_numpy(zero_copy_only=False) == 1)
-            if len(starts):  # all racks but the batch's last one are complete
-                complete = [*pending, batch.slice(0, starts[-1])]
-                if sum(b.num_rows for b in complete):
-                    yield _moves(pa.Table.from_batches(complete), keep, scale, rated)
-                pending = [batch.slice(starts[-1])]
-            elif batch.num_rows:
-                pending.append(batch)
-        if pending:
-            yield _moves(pa.Table.from_batches(pending), keep, scale, rated)
+            if not batch.num_rows:
+                continue
+            moves, going = _walk(pa.Table.from_batches([batch]), going, keep, scale, rated)
+            if moves.num_rows:
+                yield moves
+        if going is not None and going.rows is not None and going.rows.num_rows:
+            none = np.empty(0, dtype=np.int64)
+            moves, _ = _rated_moves(
+                going, going.rows.slice(0, 0), going.chosen[:0], none, none,
+                np.stack([going.known, going.known]), 1, keep)
+            yield moves
 
     return task

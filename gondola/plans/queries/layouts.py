@@ -56,7 +56,30 @@ def _marginal(spark, d):
         "month_key", "rack_id", half_up("profit", 4).alias("profit"))
 
 
+def _masked(spark, d):
+    """Scores that leave out every third shelf, a different third per product."""
+    rows = _scored_rows(spark, d)
+    return rows.withColumn("scores", F.transform("scores", lambda x, i: F.when(
+        (F.col("product_id") + i) % 3 != 0, x)))
+
+
+def _unknown_shelves(spark, d):
+    """Every fifth product stands on a shelf that the rack does not have."""
+    return _wide(spark, d).withColumn("shelf_level", F.when(
+        F.col("product_id") % 5 == 0, 9).otherwise(F.col("shelf_level")))
+
+
+def _narrow(spark, d):
+    """Every fourth product is half a centimetre wide, every seventh has no width."""
+    return _wide(spark, d).withColumn("product_width_cm", F.when(
+        F.col("product_id") % 7 == 0, None).when(F.col("product_id") % 4 == 0, 0.5).otherwise(
+        F.col("product_width_cm")))
+
+
 QUERIES = {
+    "a1_narrow_widths": lambda s, d: L.repair(_narrow(s, d), "first_fit").select(_OUT),
+    "a3_unknown_shelf": lambda s, d: L.greedy_layout(_unknown_shelves(s, d)).select(_OUT),
+    "a4_masked_scores": lambda s, d: L.scored_layout(_masked(s, d)).select(_OUT),
     "a1_repair_first_fit": lambda s, d: L.repair(_wide(s, d), "first_fit").select(_OUT),
     "a2_repair_worst_fit": lambda s, d: L.repair(_wide(s, d), "worst_fit").select(_OUT),
     "f9_repair_report": lambda s, d: L.repair_report(_wide(s, d)),
@@ -203,7 +226,27 @@ _BASELINE = f"""runs AS (
          1 + CAST(floor({S.uniform(42, 'run', 'month_key', 'rack_id', 'product_id')} * 7) AS INTEGER) AS shelf_level),
          run FROM retail CROSS JOIN (SELECT unnest([1, 2, 3, 4, 5]) AS run) r)"""
 
+_UNKNOWN = ("odd AS (SELECT * REPLACE (CASE WHEN product_id % 5 = 0 THEN 9 ELSE shelf_level END "
+            "AS shelf_level) FROM wide)")
+_NARROW = """narrow AS (SELECT * REPLACE (CASE WHEN product_id % 7 = 0 THEN NULL
+  WHEN product_id % 4 = 0 THEN 0.5e0 ELSE product_width_cm END AS product_width_cm) FROM wide)"""
+_MASKED = """masked AS (SELECT * REPLACE (list_transform(sc, lambda x, i:
+  CASE WHEN (product_id + i - 1) % 3 <> 0 THEN x END) AS sc) FROM scored)"""
+
 ORACLES = {
+    "a1_narrow_widths": _recursive(
+        _RESULT + """ UNION ALL SELECT month_key, rack_id, product_id, shelf_level FROM narrow
+WHERE product_width_cm IS NULL""",
+        S.PLANOGRAM, _WIDE, _NARROW,
+        _REPAIR_ITEMS.replace("FROM wide WHERE TRUE",
+                              "FROM narrow WHERE product_width_cm IS NOT NULL"),
+        _steps(_FIRST_CHOICE, _REPAIR_START.replace("FROM wide", "FROM narrow"), _SHIFT)),
+    "a3_unknown_shelf": _recursive(
+        _RESULT, S.PLANOGRAM, _WIDE, _UNKNOWN, _items("odd", _ORDER),
+        _steps(_GREEDY_CHOICE, _RACKS, _TAKE)),
+    "a4_masked_scores": _recursive(
+        _RESULT, S.PLANOGRAM, _MOVES, _SCORES, _MASKED, _items("masked", _ORDER, extra=", sc"),
+        _steps(_SCORE_CHOICE, _RACKS, _TAKE)),
     "a1_repair_first_fit": _repaired(_FIRST_CHOICE),
     "a2_repair_worst_fit": _repaired(_WORST_CHOICE),
     "f9_repair_report": _repaired(_FIRST_CHOICE, """SELECT n_before, n_after, n_before - n_after AS n_fixed

@@ -205,14 +205,68 @@ def test_fewer_candidates_than_rows_of_one_width(spark):
             for i in range(3000)]
     df = spark.createDataFrame(rows, X.SCHEMA)
     ranked = df.withColumn("_priority", P.base_profit())
-    picked = L._candidates(ranked, ["rack_id"], [F.desc("_priority"), "product_id"], 1.0)
+    picked = L._candidates(ranked, ["rack_id"], [F.desc("_priority"), "product_id"], "product_id")
     assert picked.count() == 7 * (2400 // 30 + 2)
     assert shelves(L.greedy_layout(df)) == X.greedy(X.by_rack(rows)["R"])
 
 
-def test_too_narrow_products_are_named(df):
-    with pytest.raises(Exception, match="product_width_cm below"):
-        L.greedy_layout(df.withColumn("product_width_cm", F.lit(0.2))).collect()
+def test_scores_that_allow_some_shelves_only(spark):
+    """Products of one width and shelf that may go to different shelves."""
+    rows = [("2025_01", "R", i, "n", "C", 3.0, 30.0, 5000 - i, 1.0, 1) for i in range(3000)]
+    df = spark.createDataFrame(rows, X.SCHEMA).withColumn("scores", F.array(*[
+        F.when(F.col("product_id") < 2500, 1.0 if s == 2 else None).otherwise(
+            1.0 if s == 3 else None) for s in range(1, 8)]).cast("array<double>"))
+    got = shelves(L.scored_layout(df))
+    assert sorted(k for k in got if got[k] == 2) == list(range(300))
+    assert sorted(k for k in got if got[k] == 3) == list(range(2500, 2800))
+
+
+@pytest.mark.parametrize("shelf", [9, 0, None])
+def test_products_on_an_unknown_shelf_move(spark, shelf):
+    rows = [("2025_01", "R", i, "n", "C", 3.0, 30.0, 100 - i, 200.0, shelf) for i in range(5)]
+    df = spark.createDataFrame(rows, X.SCHEMA)
+    assert shelves(L.greedy_layout(df)) == {0: 3, 1: 4, 2: 5, 3: shelf, 4: shelf}
+
+
+def test_narrow_and_missing_widths(spark):
+    rng = random.Random(8)
+    rows = [(*r[:8], rng.choice([0.25, 0.5, 0.7, 40.0, 90.5]), r[9])
+            for r in X.random_rows(4, (700,), seed=6)]
+    blank = [("2025_01", "R0", 10_000 + i, "n", "C", 9.0, 50.0, 900, None, 1) for i in range(3)]
+    df = spark.createDataFrame(rows + blank, X.SCHEMA)
+    got, fixed = shelves(L.greedy_layout(df)), shelves(L.repair(df))
+    for products in X.by_rack(rows).values():
+        greedy, repaired = X.greedy(products), X.repaired(products, False)
+        assert all(got[k] == v for k, v in greedy.items())
+        assert all(fixed[k] == v for k, v in repaired.items())
+    assert all(got[r[2]] == fixed[r[2]] == 1 for r in blank)
+
+
+def test_products_without_a_profit_come_last(spark):
+    rows = [("2025_01", "R", i, "n", "C", None if i == 0 else 3.0, 30.0, 10, 300.0, 1)
+            for i in range(8)]
+    df = spark.createDataFrame(rows, X.SCHEMA)
+    assert shelves(L.marginal_layout(df))[0] == 1 and shelves(L.greedy_layout(df))[0] == 1
+
+
+@pytest.mark.parametrize("batch", [1, 7, 100])
+def test_racks_that_run_over_many_batches(spark, df, batch):
+    """The walk carries a rack from batch to batch."""
+    rows = W.with_move_scores(df)
+    whole = shelves(L.scored_layout(rows)), shelves(L.ensemble_layout(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        assert shelves(L.scored_layout(rows)) == whole[0]
+        assert shelves(L.ensemble_layout(rows)) == whole[1]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_distinct_widths_of_a_hot_rack(spark):
+    rng = random.Random(4)
+    rows = [(*r[:8], rng.uniform(0.5, 60.0), r[9]) for r in HOT]
+    df = spark.createDataFrame(rows, X.SCHEMA)
+    assert shelves(L.greedy_layout(df)) == X.greedy(X.by_rack(rows)["R0"])
 
 
 @pytest.mark.parametrize("parts", [1, 5])
