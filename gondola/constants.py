@@ -71,10 +71,6 @@ MONTH_NAMES = (
     "january", "february", "march", "april", "may", "june", "july",
     "august", "september", "october", "november", "december",
 )
-MONTH_NAMES_ES = (
-    "enero", "febrero", "marzo", "abril", "mayo", "junio", "julio",
-    "agosto", "septiembre", "octubre", "noviembre", "diciembre",
-)
 PLANOGRAM_COLUMNS = (
     "Category", "name", "subtitle", "price", "discount_price",
     "price_numeric", "discount_price_numeric",

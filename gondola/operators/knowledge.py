@@ -88,16 +88,26 @@ def category_documents(df: DataFrame, key: str = "product_id") -> DataFrame:
 
 
 def kb_chunks(df: DataFrame, key: str = "product_id") -> DataFrame:
-    """Documents with id and metadata, ready for ``upsert_months``."""
+    """Documents with id and metadata, ready for ``upsert_months``.
+
+    File and month name come from the rows where they have them, as the readers' rows do;
+    else they follow from the month.
+    """
     require_columns(df, KB_REQUIRED, "monthly planogram")
     docs = category_documents(df, key)
     month = F.substring("month_key", 6, 2).cast("int")
+    named = F.element_at(F.array(*[F.lit(n) for n in K.MONTH_NAMES]), month)
+    known = [c for c in ("source_file", "month_name") if c in df.columns]
+    if known:
+        docs = docs.join(df.groupBy("month_key").agg(*[F.max(c).alias(c) for c in known]),
+                         "month_key")
     return docs.select(
         F.concat_ws("_", "month_key", "category").alias("id"), "document",
         F.substring("month_key", 1, 4).cast("int").alias("year"), month.alias("month"),
-        F.element_at(F.array(*[F.lit(n) for n in K.MONTH_NAMES]), month).alias("month_name"),
+        (F.col("month_name") if "month_name" in known else named).alias("month_name"),
         "category", "n_products", "total_sales", "avg_sales", "avg_price", "avg_margin",
-        month_file().alias("source_file"), "month_key")
+        (F.col("source_file") if "source_file" in known else month_file()).alias("source_file"),
+        "month_key")
 
 
 def kb_stats(kb: DataFrame) -> DataFrame:

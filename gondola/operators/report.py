@@ -62,9 +62,10 @@ def compare_models(results: DataFrame) -> DataFrame:
     """Lift per model; marks the lowest error and the highest profit."""
     known = results.filter(F.col("mse").isNotNull())
     mse = known.agg(F.min_by("model", F.struct("mse", "model"))).scalar()
-    profit = results.agg(F.max_by("model", F.struct(
-        F.coalesce("optimized_profit", F.lit(0.0)), "model"))).scalar()
     zero = F.lit(0.0)
+    # The first name wins a tie.
+    profit = results.agg(F.min_by("model", F.struct(
+        -F.coalesce("optimized_profit", zero), "model"))).scalar()
     return (results.withColumn("lift", F.coalesce("optimized_profit", zero)
                                - F.coalesce("original_profit", zero))
             .withColumn("lowest_mse", F.coalesce(F.col("model") == mse, F.lit(False)))

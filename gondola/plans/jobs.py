@@ -12,6 +12,7 @@ from ..operators import (enrich, forecast as fc, knowledge as kb, layout, learni
                          whatif)
 from ..session import written
 from ..sources import readers, sinks
+from ..streaming.ingest import replace_months
 
 
 def generate_monthly(spark: SparkSession, catalog_path: str, out: str,
@@ -32,9 +33,14 @@ def monthly_planogram(spark: SparkSession, folder: str, fmt: str = "csv") -> Dat
 
 
 def build_knowledge_base(spark: SparkSession, folder: str, kb_path: str) -> DataFrame:
-    """Monthly files -> one chunk per month and category; returns its statistics."""
-    rows = readers.read_monthly(spark, folder, strict=True)
-    sinks.upsert_months(kb.kb_chunks(rows, "name"), kb_path)
+    """Monthly files -> one chunk per month and category; returns its statistics.
+
+    Of several files of a month the last one by name counts, as in the stream. A
+    ``sales_*`` file without a month in its name is an error.
+    """
+    readers.month_files(spark, folder).select(
+        readers.file_month("source_file", strict=True)).write.format("noop").mode("overwrite").save()
+    replace_months(spark, folder, kb_path)
     return kb.kb_stats(spark.read.parquet(kb_path))
 
 

@@ -14,7 +14,7 @@ from ...sources import readers, sinks
 from ...streaming.ingest import stream_ingest
 from .. import jobs, tables as T
 from . import sql as S
-from .knowledge import _DOC, _with_text
+from .knowledge import _DOC, _NAME, _with_text
 from .sales import _features
 
 
@@ -131,13 +131,42 @@ def _prompt_lines(spark, d):
 
 # --- files and streams --------------------------------------------------------------------
 
+def _in_parts(df, folder, parts=3):
+    """Monthly files of several parts each."""
+    rows = df.withColumn("source_file", sinks.month_file())
+    for k in range(parts):
+        part = rows.filter(F.col("product_id") % parts == k)
+        (part.select(*sinks._planogram_columns(part), "source_file").coalesce(1).write
+         .mode("append").partitionBy("source_file").option("header", True).csv(folder))
+
+
+def _two_files(spark, d):
+    """Two files of every month of 1997; the one that sorts last has shelf 3 only."""
+    base = shared_dir(spark)
+    df = _with_text(spark, d).filter(F.col("month_key").startswith("1997"))
+    df = df.withColumn("name", F.concat_ws("-", "name", F.col("product_id")))
+    for tail, part in (("_a", df), ("_b", df.filter(F.col("shelf_level") == 3))):
+        out = part.withColumn("source_file", F.regexp_replace(
+            sinks.month_file(), r"\.csv$", f"{tail}.csv"))
+        (out.select(*sinks._planogram_columns(out), "source_file").write.mode("append")
+         .partitionBy("source_file").option("header", True).csv(f"{base}/monthly"))
+    jobs.build_knowledge_base(spark, f"{base}/monthly", f"{base}/kb")
+    return spark.read.parquet(f"{base}/kb")
+
+
 def _streamed(spark, d):
-    """Months arrive in two runs; the second one also replaces the months of 1998."""
+    """Months arrive in two runs; the second one also replaces the months of 1998.
+
+    The months of 1998 are written in several parts, which micro-batches of a few files
+    tear apart.
+    """
     base = shared_dir(spark)
     folder, kb, done = f"{base}/monthly", f"{base}/kb", f"{base}/checkpoint"
     df = _with_text(spark, d).withColumn("name", F.concat_ws("-", "name", F.col("product_id")))
-    sinks.write_monthly(df.filter(F.col("month_key") < "1999_01"), folder)
-    stream_ingest(spark, folder, kb, done, by_folder=True).awaitTermination()
+    first = df.filter(F.col("month_key") < "1999_01")
+    sinks.write_monthly(first.filter(~F.col("month_key").startswith("1998")), folder)
+    _in_parts(first.filter(F.col("month_key").startswith("1998")), folder)
+    stream_ingest(spark, folder, kb, done, by_folder=True, max_files=25).awaitTermination()
     later = df.filter((F.col("month_key") >= "1999_01")
                       | (F.col("month_key").startswith("1998") & (F.col("shelf_level") > 2)))
     sinks.write_monthly(later, folder)
@@ -208,7 +237,7 @@ def _season(spark, d):
     """Units sold per day of year with the season wave."""
     sold = T.table(spark, d, "lineitem").groupBy(F.dayofyear("l_shipdate").alias("day_of_year")).agg(
         F.sum(F.col("l_quantity").cast("bigint")).alias("units"))
-    return sold.join(readers.calendar(spark), "day_of_year")
+    return sold.join(readers.calendar(spark, 366), "day_of_year", "left")
 
 
 def _required(spark, d):
@@ -253,6 +282,10 @@ QUERIES = {
     "r5_parse_estimates": _estimates,
     "r6_parse_multipliers": lambda s, d: RE.parse_multipliers(_multiplier_replies(s, d)),
     "st1_stream_ingest": _streamed,
+    "k3_two_files_of_a_month": lambda s, d: _two_files(s, d).select(
+        "month_key", "category", "n_products", half_up("total_sales", 2).alias("total_sales")),
+    "k3_source_file": lambda s, d: _two_files(s, d).select(
+        "id", "year", "month", "month_name", "source_file"),
     "k6_s8_layout_files": _layout_files,
     "k5_prediction_files": _prediction_files,
     "s7_read_results": _results_json,
@@ -329,6 +362,14 @@ FROM retail WHERE CAST(substr(month_key, 6, 2) AS INTEGER) % 4 <> 3 GROUP BY 1,
     "st1_stream_ingest": S.query("""SELECT month_key, category, count(*) AS n_products,
   CAST(sum(estimated_monthly_sales) AS DOUBLE) AS total_sales FROM retail
 WHERE substr(month_key, 1, 4) <> '1998' OR shelf_level > 2 GROUP BY 1, 2""", S.PLANOGRAM),
+    "k3_two_files_of_a_month": S.query("""SELECT month_key, category, count(*) AS n_products,
+  CAST(sum(estimated_monthly_sales) AS DOUBLE) AS total_sales FROM retail
+WHERE substr(month_key, 1, 4) = '1997' AND shelf_level = 3 GROUP BY 1, 2""", S.PLANOGRAM),
+    "k3_source_file": S.query(f"""SELECT month_key || '_' || category AS id,
+  CAST(substr(month_key, 1, 4) AS INTEGER) AS year, CAST(substr(month_key, 6, 2) AS INTEGER) AS month,
+  {_NAME} || '_b' AS month_name, 'sales_' || month_key || '_' || {_NAME} || '_b.csv' AS source_file
+FROM (SELECT DISTINCT month_key, category FROM retail
+      WHERE substr(month_key, 1, 4) = '1997' AND shelf_level = 3) t""", S.PLANOGRAM),
     "k6_s8_layout_files": S.query("""SELECT 'Original' AS model, shelf_level, count(*) AS n,
   CAST(sum(estimated_monthly_sales) AS BIGINT) AS sales FROM retail GROUP BY 2
 UNION ALL SELECT 'GREEDY', 4, count(*), CAST(sum(estimated_monthly_sales) AS BIGINT) FROM retail""",
@@ -344,8 +385,7 @@ FROM part GROUP BY 1""",
     "p25_s9_season_calendar": """SELECT day_of_year, units, round(sin(2e0 * pi() * day_of_year / 365e0), 6) AS season_sin,
   round(cos(2e0 * pi() * day_of_year / 365e0), 6) AS season_cos
 FROM (SELECT CAST(dayofyear(l_shipdate) AS INTEGER) AS day_of_year,
-             CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS units FROM lineitem GROUP BY 1) t
-WHERE day_of_year <= 365""",
+             CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS units FROM lineitem GROUP BY 1) t""",
     "s5_require_columns": S.query("SELECT month_key, count(*) AS n FROM retail GROUP BY 1", S.PLANOGRAM),
     "s1_read_catalog": """SELECT p_partkey AS product_id, category,
   CASE WHEN p_size % 5 IN (0, 2) THEN cents / 100e0 WHEN p_size % 5 = 1 THEN (100000 + cents) / 100e0

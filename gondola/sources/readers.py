@@ -79,6 +79,27 @@ def month_files(spark: SparkSession, path: str) -> DataFrame:
             .filter(F.col("source_file") != "").distinct())
 
 
+def last_files(spark: SparkSession, path: str, months: DataFrame | None = None) -> DataFrame:
+    """``month_key, source_file``: of several files of a month the last one by name.
+
+    ``months`` (``month_key``) narrows it to some months. No file is opened.
+    """
+    files = (month_files(spark, path)
+             .withColumn("month_key", file_month("source_file")["month_key"])
+             .filter(F.col("month_key").isNotNull()))
+    if months is not None:
+        files = files.join(months.select("month_key").distinct(), "month_key", "left_semi")
+    return files.groupBy("month_key").agg(F.max("source_file").alias("source_file"))
+
+
+def read_last_files(spark: SparkSession, path: str, months: DataFrame | None = None,
+                    fmt: str = "csv") -> DataFrame:
+    """All rows of ``last_files``; the file names, one per month, prune the scan."""
+    names = [r["source_file"] for r in last_files(spark, path, months).collect()]
+    rows = read_monthly(spark, path, fmt)
+    return rows.filter(F.col("source_file").isin(names) if names else F.lit(False))
+
+
 def read_latest(spark: SparkSession, path: str, category: str | None = None,
                 fmt: str = "csv") -> DataFrame:
     """The month whose file name sorts last, optionally one category of it."""

@@ -1,4 +1,4 @@
-"""Incremental ingest of a folder of monthly files."""
+"""Ingest of a folder of monthly files into the knowledge base, in one go or as they come."""
 
 from __future__ import annotations
 
@@ -7,19 +7,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..operators.knowledge import kb_chunks
-from ..sources.readers import with_month_from_filename
+from ..sources.readers import read_last_files, with_month_from_filename
 from ..sources.sinks import upsert_months
 
 
-def replace_months(batch: DataFrame, kb_path: str, key: str = "name") -> None:
-    """Replace the chunks of every month in the batch.
+def replace_months(spark: SparkSession, folder: str, kb_path: str,
+                   months: DataFrame | None = None, key: str = "name") -> None:
+    """Replace the chunks of the given months, or of all, from the folder as it stands.
 
-    Of several files of one month the last one by name counts, whichever order they
-    arrived in. Writing a batch again gives the same chunks.
+    A month's chunks come from all parts of its last file by name, whichever part or
+    file gave the occasion. Doing it again gives the same chunks.
     """
-    rows = with_month_from_filename(batch, strict=True)
-    last = rows.groupBy("month_key").agg(F.max("source_file").alias("source_file"))
-    upsert_months(kb_chunks(rows.join(last, ["month_key", "source_file"]), key), kb_path)
+    upsert_months(kb_chunks(read_last_files(spark, folder, months), key), kb_path)
 
 
 def stream_ingest(spark: SparkSession, folder: str, kb_path: str, checkpoint: str,
@@ -28,8 +27,9 @@ def stream_ingest(spark: SparkSession, folder: str, kb_path: str, checkpoint: st
     """Ingest the files that are new since the last run, then stop.
 
     Reads plain ``sales_*.csv`` files, or with ``by_folder`` the month folders of
-    ``write_monthly``. ``checkpoint`` holds the list of files done; keep it on the
-    shared folder.
+    ``write_monthly``. A micro-batch only says which months have news; their files are
+    read whole, so it doesn't matter how files are spread over batches. ``checkpoint``
+    holds the list of files done; keep it on the shared folder.
     """
     fields = list(schemas.PLANOGRAM.fields)
     reader = spark.readStream.option("header", True)
@@ -42,7 +42,11 @@ def stream_ingest(spark: SparkSession, folder: str, kb_path: str, checkpoint: st
     stream = reader.schema(T.StructType(fields)).csv(folder)
     if not by_folder:
         stream = stream.withColumn("source_file", F.col("_metadata.file_name"))
-    return (stream.writeStream
-            .foreachBatch(lambda batch, _: replace_months(batch, kb_path, key))
+
+    def ingest(batch: DataFrame, _: int) -> None:
+        news = with_month_from_filename(batch.select("source_file").distinct(), strict=True)
+        replace_months(batch.sparkSession, folder, kb_path, news.select("month_key"), key)
+
+    return (stream.writeStream.foreachBatch(ingest)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

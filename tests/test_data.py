@@ -175,6 +175,44 @@ def test_stream_takes_new_files_once_and_the_last_of_a_month(spark, monthly, tmp
     assert run() == {"2025_07_Pan": 3, "2025_08_Fruta": 1}
 
 
+def test_stream_takes_all_parts_of_a_month(spark, tmp_path):
+    """Parts that fall into different micro-batches."""
+    folder = tmp_path / "m" / "source_file=sales_2025_07_july.csv"
+    folder.mkdir(parents=True)
+    for k in range(3):
+        planogram_csv(folder, f"part-{k}.csv", [("Pan", f"p{k}{i}", 1, 1) for i in range(4)])
+    kb, done = str(tmp_path / "kb"), str(tmp_path / "done")
+    stream_ingest(spark, str(tmp_path / "m"), kb, done, by_folder=True, max_files=1).awaitTermination()
+    assert [r["n_products"] for r in spark.read.parquet(kb).collect()] == [12]
+
+
+def test_an_earlier_name_that_arrives_later_changes_nothing(spark, monthly, tmp_path):
+    kb, done = str(tmp_path / "kb"), str(tmp_path / "done")
+    planogram_csv(monthly, "sales_2025_07_july_b.csv", [("Pan", f"p{i}", 1, 1) for i in range(6)])
+    stream_ingest(spark, str(monthly), kb, done).awaitTermination()
+    planogram_csv(monthly, "sales_2025_07_july_a.csv", [("Pan", f"q{i}", 1, 1) for i in range(4)])
+    stream_ingest(spark, str(monthly), kb, done).awaitTermination()
+    got = {r["id"]: (r["n_products"], r["source_file"], r["month_name"])
+           for r in spark.read.parquet(kb).collect()}
+    assert got["2025_07_Pan"] == (6, "sales_2025_07_july_b.csv", "july_b")
+    jobs.build_knowledge_base(spark, str(monthly), kb)  # the same rule in one go
+    assert got == {r["id"]: (r["n_products"], r["source_file"], r["month_name"])
+                   for r in spark.read.parquet(kb).collect()}
+
+
+def test_a_file_without_a_month_is_an_error(spark, monthly, tmp_path):
+    planogram_csv(monthly, "sales_summer.csv", [("Pan", "pan", 1, 1)])
+    with pytest.raises(Exception, match="cannot read a month"):
+        jobs.build_knowledge_base(spark, str(monthly), str(tmp_path / "kb"))
+
+
+def test_profit_ties_go_to_the_first_name(spark):
+    df = spark.createDataFrame([("B", 1.0, 1.0, 5.0), ("A", 1.0, 1.0, 5.0)],
+                               "model string, mse double, original_profit double, optimized_profit double")
+    got = {r["model"]: (r["lowest_mse"], r["highest_profit"]) for r in RP.compare_models(df).collect()}
+    assert got == {"A": (True, True), "B": (False, False)}
+
+
 # --- enrichment ------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
