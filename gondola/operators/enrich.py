@@ -14,7 +14,7 @@ from ..functions.stock import month_number
 from ..session import written
 from ..sources.sinks import committed_batches
 from .layout import repair
-from .ranking import block_of, first_fraction, row_numbers
+from .ranking import first_fraction, row_numbers
 
 ESTIMATES = ("estimated_monthly_sales", "profit_margin_percentage", "product_width_cm")
 
@@ -134,7 +134,7 @@ def generate_months(catalog: DataFrame, months: Sequence[str], seed: int = 42,
 def batch_rows(df: DataFrame, size: int, part: Sequence[str] = ("month_key",),
                order: str = "product_id") -> DataFrame:
     """Batches of ``size`` rows per group: ``batch_id`` from 0, ``item_no`` from 1."""
-    numbered = row_numbers(df, part, [order], block_of(df, order), name="_row_no")
+    numbered = row_numbers(df, part, [order], name="_row_no")
     at = F.col("_row_no") - 1
     return (numbered.withColumn("batch_id", F.floor(at / size))
             .withColumn("item_no", (at % size + 1).cast("int")).drop("_row_no"))

@@ -2,19 +2,18 @@
 
 A plain window puts a whole group into one task. Where only the first rows of a
 group are wanted, ``top_n`` keeps the limit literal so Spark prunes each map
-task's output first. Where every row needs its number, ``row_numbers`` splits
-the group into ordered blocks, numbers each block on its own and adds the
-count of the earlier blocks.
+task's output first. Where every row needs its number, ``row_numbers`` cuts the
+rows into ranges of (group, order), numbers each range on its own and adds the
+counts of the ranges before it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Rows of one ordered block when blocks are cut from a unique integer key.
-BLOCK_ROWS = 65_536
+from ..session import written
 
 
 def top_n(df: DataFrame, part: Sequence[str], order: Sequence, n: int,
@@ -24,70 +23,67 @@ def top_n(df: DataFrame, part: Sequence[str], order: Sequence, n: int,
     return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= n)
 
 
-def key_block(key: str, rows: int = BLOCK_ROWS) -> Column:
-    """Ordered block of a unique integer key; holds at most ``rows`` rows."""
-    return F.floor(F.col(key) / F.lit(rows))
+def ordered_blocks(df: DataFrame, part: Sequence[str], order: Sequence) -> DataFrame:
+    """``df`` in ranges of (``part``, ``order``), numbered upwards by ``_block``.
 
-
-def block_of(df: DataFrame, key: str) -> Column:
-    """Ordered block of a unique key of ``df``.
-
-    An integer key is cut into ranges of ``BLOCK_ROWS``. A text key is cut by its
-    first four characters, which spreads hash keys over 65,536 blocks.
+    Spark samples the keys and cuts ranges of about equal size, whatever the keys look
+    like and however large a group is. The rows are written below the shared folder, so
+    all that is derived from them sees the same cuts.
     """
-    if isinstance(df.schema[key].dataType, T.IntegralType):
-        return key_block(key)
-    return F.substring(F.col(key).cast("string"), 1, 4)
+    ranged = df.repartitionByRange(*part, *order)
+    return written(ranged.withColumn("_block", F.spark_partition_id()))
 
 
-def row_numbers(df: DataFrame, part: Sequence[str], order: Sequence,
-                block: Column | Sequence[Column], name: str = "row_no") -> DataFrame:
-    """``row_number() over (partition by part order by order)``, block by block.
+def block_offsets(blocked: DataFrame, part: Sequence[str]) -> DataFrame:
+    """Rows of a group in a block, and before it: ``(*part, _block, _n, _offset)``.
 
-    ``block`` must never decrease along ``order``. Several blocks go from coarse to
-    fine, each within the one before. One task sees the rows of one finest block;
-    above that only counts meet: those of the blocks inside one coarser block.
+    Only counts meet in the window, one per group and block.
     """
     part = list(part)
-    levels = [block] if isinstance(block, Column) else list(block)
-    names = [f"_block{i}" for i in range(len(levels))]
-    blocked = df.withColumns(dict(zip(names, levels)))
-    counts = blocked.groupBy(*part, *names).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(*part, *names, F.lit(0).cast("bigint").alias("_offset"))
-    for depth, last in enumerate(names, start=1):
-        outer = [*part, *names[:depth - 1]]
-        before = Window.partitionBy(*outer).orderBy(last).rowsBetween(
-            Window.unboundedPreceding, -1)
-        sums = counts if depth == len(names) else counts.groupBy(*outer, last).agg(
-            F.sum("_n").alias("_n"))
-        level = sums.select(
-            *outer, last, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-        if len(names) == 1:
-            offsets = level.withColumnRenamed("_before", "_offset")
-        else:
-            offsets = (offsets.join(level, [*outer, last])
-                       .withColumn("_offset", F.col("_offset") + F.col("_before"))
-                       .drop("_before"))
-    inside = Window.partitionBy(*part, *names).orderBy(*order)
-    return (blocked.join(offsets, [*part, *names])
-            .withColumn(name, F.col("_offset") + F.row_number().over(inside))
-            .drop("_offset", *names))
+    before = Window.partitionBy(*part).orderBy("_block").rowsBetween(
+        Window.unboundedPreceding, -1)
+    return (blocked.groupBy(*part, "_block").agg(F.count(F.lit(1)).alias("_n"))
+            .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))))
+
+
+def numbered_blocks(blocked: DataFrame, offsets: DataFrame, part: Sequence[str],
+                    order: Sequence, name: str = "row_no") -> DataFrame:
+    """``row_number()`` over the groups of ``ordered_blocks``."""
+    part = list(part)
+    keys = [*part, "_block"]
+    inside = Window.partitionBy(*keys).orderBy(*order)
+    right = offsets.select(*[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)], "_offset")
+    # A group may be NULL.
+    same = [blocked[k].eqNullSafe(F.col(f"_o{i}")) for i, k in enumerate(keys)]
+    joined = blocked.withColumn("_rn", F.row_number().over(inside)).join(
+        right, same).withColumn(name, F.col("_offset") + F.col("_rn"))
+    return joined.drop("_offset", "_rn", "_block", *[f"_o{i}" for i in range(len(keys))])
+
+
+def row_numbers(df: DataFrame, part: Sequence[str], order: Sequence,
+                name: str = "row_no") -> DataFrame:
+    """``row_number() over (partition by part order by order)`` with no task for a group."""
+    blocked = ordered_blocks(df, part, order)
+    return numbered_blocks(blocked, block_offsets(blocked, part), part, order, name)
 
 
 def previous_value(df: DataFrame, part: Sequence[str], order: Sequence[str],
-                   value: str, block: Column, name: str) -> DataFrame:
-    """``lag(value)`` along ``order`` within ``part``, block by block."""
+                   value: str, name: str) -> DataFrame:
+    """``lag(value)`` along ``order`` within ``part``, with no task for a group."""
     part = list(part)
-    blocked = df.withColumn("_block", block)
-    last = blocked.groupBy(*part, "_block").agg(
-        F.max_by(value, F.struct(*order)).alias("_last"))
+    keys = [*part, "_block"]
+    blocked = ordered_blocks(df, part, order)
+    last = blocked.groupBy(*keys).agg(F.max_by(value, F.struct(*order)).alias("_last"))
     carried = last.select(
-        *part, "_block",
+        *[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)],
         F.lag("_last").over(Window.partitionBy(*part).orderBy("_block")).alias("_carried"))
-    inside = Window.partitionBy(*part, "_block").orderBy(*order)
-    return (blocked.join(carried, [*part, "_block"])
-            .withColumn(name, F.coalesce(F.lag(value).over(inside), F.col("_carried")))
-            .drop("_block", "_carried"))
+    inside = Window.partitionBy(*keys).orderBy(*order)
+    same = [F.col(k).eqNullSafe(F.col(f"_o{i}")) for i, k in enumerate(keys)]
+    return (blocked.withColumns({"_rn": F.row_number().over(inside),
+                                 "_lag": F.lag(value).over(inside)})
+            .join(carried, same)
+            .withColumn(name, F.when(F.col("_rn") == 1, F.col("_carried")).otherwise(F.col("_lag")))
+            .drop("_rn", "_lag", "_carried", "_block", *[f"_o{i}" for i in range(len(keys))]))
 
 
 def first_fraction(df: DataFrame, part: Sequence[str], score: Column, ties: Sequence[str],

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as K
 from ..functions import demand as D
-from .ranking import block_of, previous_value, row_numbers
+from .ranking import previous_value, row_numbers
 
 MAX_CENTRES = 1_000
 
@@ -104,13 +104,13 @@ def consolidate_prices(df: DataFrame, product: str = "name", price: str = "price
                                    F.count(F.lit(1)).alias("n_offers"))
 
 
-def transition_matrix(visits: DataFrame, visit: str, order: Sequence[str], section: str,
-                      block: Column) -> DataFrame:
+def transition_matrix(visits: DataFrame, visit: str, order: Sequence[str],
+                      section: str) -> DataFrame:
     """Probability of going from one section to the next within a visit.
 
-    ``block`` cuts a long visit into ordered parts, see ``previous_value``.
+    A visit may have any number of steps, see ``previous_value``.
     """
-    steps = previous_value(visits, [visit], order, section, block, "_from").filter(
+    steps = previous_value(visits, [visit], order, section, "_from").filter(
         F.col("_from").isNotNull())
     counts = steps.groupBy(F.col("_from").alias("from_section"),
                            F.col(section).alias("to_section")).agg(
@@ -125,14 +125,10 @@ def rank_match(products: DataFrame, slots: DataFrame, value: str = "margin",
                slot_key: str = "slot_id", by: str = "category") -> DataFrame:
     """The k-th most valuable product on the k-th most visible slot of its category.
 
-    Both sides are numbered block by block, so a large category is spread out:
-    first by ranges of the value, then by value and range of the key.
+    Both sides are numbered in ranges, so a large category is spread out.
     """
     def ranked(df: DataFrame, score: str, key: str) -> DataFrame:
-        # Coarse value ranges first; only exact ties are cut by key.
-        blocks = [F.floor(-F.col(score) * 100),
-                  F.struct((-F.col(score)).alias("score"), block_of(df, key).alias("key"))]
-        return row_numbers(df, [by], [F.desc(score), key], blocks, "_rank")
+        return row_numbers(df, [by], [F.desc(score), key], "_rank")
 
     a = ranked(products, value, product_key).select(by, "_rank", product_key, value)
     b = ranked(slots, visibility, slot_key).select(by, "_rank", slot_key, visibility)

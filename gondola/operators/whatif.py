@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as K
 from ..functions import physics as P
 from ..functions.numbers import uniform
-from .profit import racks_with, shelf_values
-from .ranking import block_of, row_numbers
+from ..session import written
+from .profit import shelf_values
+from .ranking import block_offsets, numbered_blocks, ordered_blocks, row_numbers
 
 
 def rack_state(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS) -> DataFrame:
@@ -105,35 +107,40 @@ def with_move_scores(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS,
             .select(*df.columns, scores.alias(name)))
 
 
-def training_sample(df: DataFrame, n: int, seed: int,
-                    rack_keys: Sequence[str] = K.RACK_KEYS, key: str = "product_id",
-                    min_products: int = 1) -> DataFrame:
-    """``n`` moves drawn with replacement: rack, then product, then shelf, uniformly.
+def training_samples(df: DataFrame, samples: Sequence[tuple[str, int, int]],
+                     rack_keys: Sequence[str] = K.RACK_KEYS, key: str = "product_id",
+                     min_products: int = 1) -> DataFrame:
+    """Moves drawn with replacement: rack, then product, then shelf, uniformly.
 
-    Each draw turns seeded uniforms into a rack number, a product number and a
-    shelf, and two equi joins look them up. Racks are numbered within their
-    first key and products within their rack, both block by block.
+    ``samples`` are (name, size, seed); the name is in ``sample``. Each draw turns
+    seeded uniforms into a rack number, a product number and a shelf, and two equi
+    joins look them up. The products are numbered once for all samples.
     """
     rack_keys = list(rack_keys)
     columns = [*rack_keys, key, "price_numeric", "profit_margin_percentage",
                "estimated_monthly_sales", "product_width_cm", "shelf_level"]
-    pool = (racks_with(df, min_products, rack_keys) if min_products > 1 else df).select(*columns)
-    sizes = pool.groupBy(*rack_keys).agg(F.count(F.lit(1)).alias("_size"))
-    racks = row_numbers(sizes, [], rack_keys, F.col(rack_keys[0]), name="_rack_no")
-    n_racks = sizes.agg(F.count(F.lit(1))).scalar()
-    draws = df.sparkSession.range(n).withColumnRenamed("id", "draw_id").select(
-        "draw_id",
-        (F.floor(uniform(f"{seed}r", "draw_id") * n_racks) + 1).alias("_rack_no"),
-        uniform(f"{seed}p", "draw_id").alias("_up"),
-        (F.floor(uniform(f"{seed}s", "draw_id") * K.NUM_SHELVES) + 1)
-        .cast("int").alias("new_shelf"))
-    picked = (draws.join(racks, "_rack_no")
+    pool = ordered_blocks(df.select(*columns), rack_keys, [key])
+    offsets = block_offsets(pool, rack_keys)
+    sizes = (offsets.groupBy(*rack_keys).agg(F.sum("_n").alias("_size"))
+             .filter(F.col("_size") >= min_products))
+    racks = written(row_numbers(sizes, [], rack_keys, name="_rack_no"))
+    n_racks = racks.agg(F.count(F.lit(1))).scalar()
+
+    def draws(sample: str, n: int, seed: int) -> DataFrame:
+        return df.sparkSession.range(n).withColumnRenamed("id", "draw_id").select(
+            F.lit(sample).alias("sample"), "draw_id",
+            (F.floor(uniform(f"{seed}r", "draw_id") * n_racks) + 1).alias("_rack_no"),
+            uniform(f"{seed}p", "draw_id").alias("_up"),
+            (F.floor(uniform(f"{seed}s", "draw_id") * K.NUM_SHELVES) + 1)
+            .cast("int").alias("new_shelf"))
+
+    picked = (reduce(DataFrame.unionByName, [draws(*s) for s in samples]).join(racks, "_rack_no")
               .withColumn("_product_no", F.floor(F.col("_up") * F.col("_size")) + 1)
-              .select("draw_id", "new_shelf", "_product_no", *rack_keys))
-    numbered = row_numbers(pool, rack_keys, [key], block_of(pool, key), name="_product_no")
+              .select("sample", "draw_id", "new_shelf", "_product_no", *rack_keys))
+    numbered = numbered_blocks(pool, offsets, rack_keys, [key], "_product_no")
     drawn = picked.join(numbered, [*rack_keys, "_product_no"])
     return _with_context(drawn, rack_keys, pool).select(
-        "draw_id", *rack_keys, key,
+        "sample", "draw_id", *rack_keys, key,
         "price_numeric", "profit_margin_percentage", "estimated_monthly_sales",
         "product_width_cm", "original_shelf", "new_shelf",
         F.col("_n_a").alias("n_products_on_original_shelf"),
@@ -142,6 +149,13 @@ def training_sample(df: DataFrame, n: int, seed: int,
         _lift_to(F.col("new_shelf")).alias("profit_lift"))
 
 
+def training_sample(df: DataFrame, n: int, seed: int,
+                    rack_keys: Sequence[str] = K.RACK_KEYS, key: str = "product_id",
+                    min_products: int = 1) -> DataFrame:
+    """One sample of ``training_samples``."""
+    return training_samples(df, [("", n, seed)], rack_keys, key, min_products).drop("sample")
+
+
 def split(df: DataFrame, fraction: float, seed: int,
           keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Stable split by a hash of the row key: ``(fraction, 1 - fraction)``."""

@@ -47,13 +47,12 @@ def build_knowledge_base(spark: SparkSession, folder: str, kb_path: str) -> Data
 def train_lift_model(planogram: DataFrame, kind: str = "gbt", min_products: int = 3,
                      **params) -> tuple[PipelineModel, DataFrame]:
     """Sampled moves of all racks -> fitted lift model and its test metrics."""
-    # The planogram feeds both samples, and each sample several passes of the fit.
+    # Written once; both samples come from one pass, and a fit reads them several times.
     planogram = written(planogram)
     n = planogram.count()
-    train = written(whatif.training_sample(planogram, max(20_000, 3 * n), 42,
-                                           min_products=min_products))
-    test = written(whatif.training_sample(planogram, max(3_000, n), 99,
-                                          min_products=min_products))
+    both = written(whatif.training_samples(planogram, [
+        ("train", max(20_000, 3 * n), 42), ("test", max(3_000, n), 99)], min_products=min_products))
+    train, test = (both.filter(F.col("sample") == name) for name in ("train", "test"))
     return learning.fit_lift(train, test, kind, **params)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...constants import PLANOGRAM_COLUMNS
+from ...constants import MOVE_FEATURES, PLANOGRAM_COLUMNS
 from ...functions.numbers import half_up
 from ...operators import inventory as I, knowledge as KB, layout as L, learning as ML
 from ...operators import replies as RE, vectors as V
@@ -51,9 +51,11 @@ def _layout_score(spark, d):
 
 
 def _chunks(spark, d):
-    chunks = ML.chunk_rows(T.planogram(spark, d), fields=["product_id"])
-    ids = F.transform("rows", lambda r: r["product_id"].cast("string"))
-    return chunks.select("month_key", "rack_id", "chunk_id", F.array_join(ids, ",").alias("ids"))
+    """The ten features of every product where it stands, ten products of a rack each."""
+    chunks = ML.chunk_rows(ML.layout_features(T.planogram(spark, d)))
+    text = F.transform("rows", lambda r: F.array_join(F.array(
+        *[F.format_string("%.2f", half_up(r[c].cast("double"), 2)) for c in MOVE_FEATURES]), "|"))
+    return chunks.select("month_key", "rack_id", "chunk_id", F.array_join(text, ",").alias("rows"))
 
 
 def _nearest(spark, d):
@@ -318,21 +320,23 @@ _CENTROIDS = """means AS (
   GROUP BY 1, 2),
 centre AS (SELECT label, list(x ORDER BY i) AS c FROM means GROUP BY 1)"""
 _HAS = "batch_id % 5 <> 4"
-
-ORACLES = {
-    "m5_sequences": S.query("""SELECT month_key, rack_id, (rn - 1) // 10 AS chunk_id,
-  string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY product_id) AS ids
-FROM (SELECT *, row_number() OVER (PARTITION BY month_key, rack_id ORDER BY product_id) AS rn FROM retail) t
-GROUP BY 1, 2, 3 HAVING count(*) = 10""", S.PLANOGRAM),
-    "m7_layout_features": S.query("""SELECT month_key, rack_id, product_id, price_numeric,
+_FEATURES = """SELECT month_key, rack_id, product_id, price_numeric,
   profit_margin_percentage, estimated_monthly_sales, product_width_cm,
   shelf_level AS original_shelf, shelf_level AS new_shelf,
   count(*) OVER s AS n_products_on_original_shelf, count(*) OVER s AS n_products_on_new_shelf,
   used AS n_shelves_used, count(*) OVER r AS rack_product_count
 FROM retail JOIN (SELECT month_key, rack_id, count(DISTINCT shelf_level) AS used FROM retail GROUP BY 1, 2) u
 USING (month_key, rack_id)
-WINDOW s AS (PARTITION BY month_key, rack_id, shelf_level), r AS (PARTITION BY month_key, rack_id)""",
-                                  S.PLANOGRAM),
+WINDOW s AS (PARTITION BY month_key, rack_id, shelf_level), r AS (PARTITION BY month_key, rack_id)"""
+_TEN = " || '|' || ".join(
+    f"printf('%.2f', {S.half_up(f'CAST({c} AS DOUBLE)', 2)})" for c in MOVE_FEATURES)
+
+ORACLES = {
+    "m5_sequences": S.query(f"""SELECT month_key, rack_id, (rn - 1) // 10 AS chunk_id,
+  string_agg({_TEN}, ',' ORDER BY product_id) AS rows
+FROM (SELECT *, row_number() OVER (PARTITION BY month_key, rack_id ORDER BY product_id) AS rn FROM features) t
+GROUP BY 1, 2, 3 HAVING count(*) = 10""", S.PLANOGRAM, f"features AS ({_FEATURES})"),
+    "m7_layout_features": S.query(_FEATURES, S.PLANOGRAM),
     "r2_cosine_topk": S.query(f"""SELECT CAST(label AS BIGINT) AS query_id, vec_id,
   CAST(rk AS INTEGER) AS rank, {S.half_up('sim', 6)} AS similarity
 FROM (SELECT c.label, vec_id, sim, row_number() OVER (PARTITION BY c.label ORDER BY sim DESC, vec_id) AS rk

@@ -172,7 +172,7 @@ def _seasonal_profile(spark, d):
 
 def _transitions(spark, d):
     m = ST.transition_matrix(T.table(spark, d, "events"), "user_id", ["ts", "event_id"],
-                             "event_type", F.date_trunc("hour", "ts"))
+                             "event_type")
     return _rounded(m, 6, "probability")
 
 

@@ -452,7 +452,7 @@ def test_quality(spark):
 def test_transitions(spark):
     df = spark.createDataFrame([(1, i, s) for i, s in enumerate("abab")] + [(2, 0, "a"), (2, 1, "a")],
                                "visit int, at int, section string")
-    m = ST.transition_matrix(df, "visit", ["at"], "section", F.floor(F.col("at") / 2))
+    m = ST.transition_matrix(df, "visit", ["at"], "section")
     got = {(r["from_section"], r["to_section"]): (r["n"], r["probability"]) for r in m.collect()}
     assert got == {("a", "b"): (2, pytest.approx(2 / 3)), ("a", "a"): (1, pytest.approx(1 / 3)),
                    ("b", "a"): (1, 1.0)}

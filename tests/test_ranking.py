@@ -16,18 +16,16 @@ def groups(spark, n=6000):
 
 def test_row_numbers(spark):
     df = groups(spark)
-    got = RK.row_numbers(df, ["g"], ["id"], RK.key_block("id", 100))
+    got = RK.row_numbers(df, ["g"], ["id"])
     want = df.withColumn("row_no", F.row_number().over(Window.partitionBy("g").orderBy("id")))
     assert got.select("id", "row_no").exceptAll(want.select("id", "row_no")).count() == 0
     assert got.count() == want.count()
 
 
-def test_row_numbers_with_two_levels(spark):
+def test_row_numbers_along_two_columns(spark):
     df = groups(spark)
-    blocks = [F.floor(-F.col("v") / 10), F.struct((-F.col("v")).alias("v"),
-                                                  RK.key_block("id", 50).alias("k"))]
     order = [F.desc("v"), "id"]
-    got = RK.row_numbers(df, ["g"], order, blocks)
+    got = RK.row_numbers(df, ["g"], order)
     want = df.withColumn("row_no", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
     assert got.select("id", "row_no").exceptAll(want.select("id", "row_no")).count() == 0
     assert got.count() == want.count()
@@ -35,13 +33,38 @@ def test_row_numbers_with_two_levels(spark):
 
 def test_row_numbers_without_groups(spark):
     df = groups(spark, 500)
-    got = RK.row_numbers(df, [], ["id"], RK.key_block("id", 64)).collect()
+    got = RK.row_numbers(df, [], ["id"]).collect()
     assert all(r["row_no"] == r["id"] + 1 for r in got)
 
 
+def test_row_numbers_of_text_and_sparse_keys(spark):
+    """One hot group; the keys share a long prefix, or lie far apart."""
+    df = spark.range(20_000).select(
+        F.lit("hot").alias("g"), F.format_string("SKU-%08d", "id").alias("t"),
+        (F.col("id") * 1_000_003).alias("far"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for key in ("t", "far"):
+            got = RK.row_numbers(df, ["g"], [key])
+            assert got.filter("row_no <> id + 1").count() == 0 and got.count() == 20_000
+            blocks = RK.ordered_blocks(df, ["g"], [key]).groupBy("_block").count().collect()
+            assert len(blocks) > 4 and max(r["count"] for r in blocks) < 8_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_row_numbers_of_null_groups_and_lags_of_nulls(spark):
+    rows = [(None, 1, "a"), (None, 2, None), ("g", 1, "b"), ("g", 2, None), ("g", 3, "c")]
+    df = spark.createDataFrame(rows, "g string, id int, s string")
+    got = {(r["g"], r["id"]): r["row_no"] for r in RK.row_numbers(df, ["g"], ["id"]).collect()}
+    assert got == {(g, i): i for g, i, _ in rows}
+    lag = {(r["g"], r["id"]): r["p"] for r in RK.previous_value(df, ["g"], ["id"], "s", "p").collect()}
+    assert lag == {(None, 1): None, (None, 2): "a", ("g", 1): None, ("g", 2): "b", ("g", 3): None}
+
+
 def test_previous_value(spark):
     df = groups(spark).withColumn("s", F.concat(F.lit("s"), F.col("id").cast("string")))
-    got = RK.previous_value(df, ["g"], ["id"], "s", RK.key_block("id", 128), "prev")
+    got = RK.previous_value(df, ["g"], ["id"], "s", "prev")
     want = df.withColumn("prev", F.lag("s").over(Window.partitionBy("g").orderBy("id")))
     assert got.select("id", "prev").exceptAll(want.select("id", "prev")).count() == 0
     assert got.count() == want.count()
