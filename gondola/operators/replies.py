@@ -8,28 +8,21 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import constants as K
 from ..functions.numbers import clamp, half_up
-from .ranking import top_n
+from .ranking import row_numbers, top_n
 
-SAMPLE_ABOVE = 100
+# Best sellers of a category in a prompt, and lines of one prompt.
 SAMPLE_PER_CATEGORY = 5
-MAX_LINES = 150
+LINES_PER_PROMPT = 150
 
 
-def prompt_sample(df: DataFrame, key: str = "product_id") -> DataFrame:
-    """The product lines of a prompt, numbered by ``line_no``.
+def prompt_sample(df: DataFrame, key: str = "product_id",
+                  per_category: int = SAMPLE_PER_CATEGORY) -> DataFrame:
+    """The product lines of a prompt: the best sellers of every category.
 
-    Up to 100 products come whole, in key order. Of more products the five best
-    sellers per category are taken, and the first 150 lines of these.
+    ``line_no`` numbers them by category and sales, over all categories.
     """
-    n = df.agg(F.count(F.lit(1))).scalar()
-    best = top_n(df, ["category"], [F.desc("estimated_monthly_sales"), key],
-                 SAMPLE_PER_CATEGORY, "_rank").filter(n > SAMPLE_ABOVE)
-    best = best.orderBy("category", "_rank").limit(MAX_LINES)
-    small = df.filter(n <= SAMPLE_ABOVE).limit(SAMPLE_ABOVE)
-    lines = best.select("*", F.col("category").alias("_c")).unionByName(
-        small.select("*", F.lit(0).alias("_rank"), F.lit("").alias("_c")))
-    order = Window.orderBy("_c", "_rank", key)  # over at most 150 rows
-    return (lines.withColumn("line_no", F.row_number().over(order)).drop("_c", "_rank"))
+    best = top_n(df, ["category"], [F.desc("estimated_monthly_sales"), key], per_category, "_rank")
+    return row_numbers(best, [], ["category", "_rank"], "line_no").drop("_rank")
 
 
 def product_line() -> Column:
@@ -63,15 +56,21 @@ ESTIMATE_TASK = (
 
 
 def forecast_prompt(context: DataFrame, products: DataFrame, year: int, month: int,
-                    task: str = FORECAST_TASK) -> DataFrame:
-    """One row: context per month, product lines and the task for the target month."""
+                    task: str = FORECAST_TASK, lines: int = LINES_PER_PROMPT) -> DataFrame:
+    """``part_no, prompt``: context per month, product lines and the task for the target month.
+
+    The product lines are split over as many parts as they need at ``lines`` each; every
+    part has the context and the task, so no category is left out.
+    """
     sections = context_sections(context).agg(
         _joined(F.col("section"), ["month_key"], "\n").alias("context"))
-    lines = prompt_sample(products).agg(
+    parts = prompt_sample(products).groupBy(
+        (F.floor((F.col("line_no") - 1) / lines) + 1).alias("part_no")).agg(
         _joined(product_line(), ["line_no"], "\n").alias("products"))
     head = f"Target month: {K.MONTH_NAMES[month - 1].capitalize()} {year}"
-    return lines.withColumn("context", sections.scalar()).select(F.concat_ws(
-        "\n\n", F.lit(head), F.col("context"), F.col("products"), F.lit(task)).alias("prompt"))
+    return parts.withColumn("context", sections.scalar()).select("part_no", F.concat_ws(
+        "\n\n", F.concat(F.lit(f"{head}, part "), F.col("part_no").cast("string")),
+        F.col("context"), F.col("products"), F.lit(task)).alias("prompt"))
 
 
 def batch_prompts(batches: DataFrame, part: Sequence[str] = ("month_key",),

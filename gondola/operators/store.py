@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -11,8 +10,6 @@ from .. import constants as K
 from ..functions import demand as D
 from .ranking import previous_value, row_numbers
 
-MAX_CENTRES = 1_000
-
 
 def adjacency_bonus(categories: DataFrame, neighbours: DataFrame) -> DataFrame:
     """``1 + sum of bonuses`` of the categories next to each category.
@@ -54,23 +51,24 @@ def shelf_access(cells: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
             .select(*keys, "cell_id", F.coalesce("_aisle", F.lit(False)).alias("accessible")))
 
 
-def traffic_heatmap(cells: DataFrame,
-                    centres: Sequence[tuple[float, float, float, float]]) -> DataFrame:
-    """Sum of Gaussians ``(x, y, sigma, weight)`` per cell, scaled to a maximum of 1.
+def traffic_heatmap(cells: DataFrame, centres: DataFrame, store: str = "store_id") -> DataFrame:
+    """Sum of Gaussians per cell, scaled to a maximum of 1 in each store.
 
-    Centres are the doors, tills and main aisles of a store: a short list, which
-    becomes one expression per cell.
+    ``centres`` holds ``(store, x, y, sigma, weight)``: the doors, tills and main aisles,
+    any number per store. A cell meets the centres of its own store. Without centres
+    a store has no heat (NULL).
     """
-    if len(centres) > MAX_CENTRES:
-        raise ValueError(f"{len(centres)} centres, at most {MAX_CENTRES}")
-
-    def bump(x: float, y: float, sigma: float, weight: float) -> Column:
-        dx, dy = F.col("x") - F.lit(x), F.col("y") - F.lit(y)
-        return F.lit(weight) * F.exp(-(dx * dx + dy * dy) / F.lit(2.0 * sigma * sigma))
-
-    heat = cells.withColumn("heat", reduce(lambda a, b: a + b, [bump(*c) for c in centres]))
-    top = heat.agg(F.max("heat")).scalar()
-    return heat.withColumn("heat", F.try_divide(F.col("heat"), top))
+    there = centres.select(store, F.col("x").alias("_cx"), F.col("y").alias("_cy"),
+                           F.col("sigma").alias("_sigma"), F.col("weight").alias("_weight"))
+    dx, dy = F.col("x") - F.col("_cx"), F.col("y") - F.col("_cy")
+    bump = F.col("_weight") * F.exp(
+        -(dx * dx + dy * dy) / (F.lit(2.0) * F.col("_sigma") * F.col("_sigma")))
+    heat = (cells.join(there, store).groupBy(store, "cell_id")
+            .agg(F.sum(bump).alias("heat")))
+    top = heat.groupBy(store).agg(F.max("heat").alias("_top"))
+    scaled = heat.join(top, store).select(
+        store, "cell_id", F.try_divide(F.col("heat"), F.col("_top")).alias("heat"))
+    return cells.join(scaled, [store, "cell_id"], "left")
 
 
 def shelf_traffic(shelves: DataFrame, door: tuple[int, int] = (0, 0)) -> DataFrame:

@@ -123,7 +123,7 @@ def _multiplier_replies(spark, d):
 def _forecast_prompt(spark, d):
     df = T.planogram(spark, d)
     context = KB.retrieve_context(KB.kb_chunks(df), 2000, 3)
-    return RE.forecast_prompt(context, KB.latest_month(df), 2000, 3)
+    return RE.forecast_prompt(context, KB.latest_month(df), 2000, 3, lines=20)
 
 
 def _prompt_lines(spark, d):
@@ -306,14 +306,10 @@ _LINE = f"""'  ' || category || ' | ' || name || ' | €' || printf('%.2f', {S.h
   || printf('%.1f', {S.half_up('profit_margin_percentage', 1)}) || '%'"""
 _LATEST = """latest AS (SELECT * FROM retail WHERE month_key = (SELECT max(month_key) FROM retail))"""
 _LINES = f"""lines AS (
-  SELECT CAST(row_number() OVER (ORDER BY c, rk, product_id) AS INTEGER) AS line_no, product_id, line
-  FROM (SELECT product_id, {_LINE} AS line,
-               CASE WHEN n > 100 THEN category ELSE '' END AS c, CASE WHEN n > 100 THEN rk ELSE 0 END AS rk
-        FROM (SELECT *, count(*) OVER () AS n, row_number() OVER (
-                PARTITION BY category ORDER BY estimated_monthly_sales DESC, product_id) AS rk
-              FROM latest) a
-        WHERE n <= 100 OR rk <= 5) b
-  QUALIFY row_number() OVER (ORDER BY c, rk, product_id) <= 150)"""
+  SELECT row_number() OVER (ORDER BY category, rk) AS line_no, product_id, line
+  FROM (SELECT product_id, category, {_LINE} AS line, row_number() OVER (
+          PARTITION BY category ORDER BY estimated_monthly_sales DESC, product_id) AS rk FROM latest) a
+  WHERE rk <= 5)"""
 _CENTROIDS = """means AS (
   SELECT label, i, avg(CAST(x AS DOUBLE)) AS x
   FROM (SELECT label, unnest(embedding) AS x, unnest(range(len(embedding))) AS i FROM embeddings) e
@@ -347,12 +343,13 @@ FROM (SELECT c.label, vec_id, sim, row_number() OVER (PARTITION BY c.label ORDER
   string_agg(item_no || '. Category: ' || category || ' | Name: ' || name || ' | Subtitle: - | Price: 1,00 €',
              chr(10) ORDER BY item_no) || chr(10) || chr(10) || '-' AS prompt
 FROM batched GROUP BY 1, 2""", S.PLANOGRAM, _BATCHED),
-    "r3_forecast_prompt": S.query("""SELECT 'Target month: March 2000' || chr(10) || chr(10)
+    "r3_forecast_prompt": S.query("""SELECT (line_no - 1) // 20 + 1 AS part_no,
+  'Target month: March 2000, part ' || ((line_no - 1) // 20 + 1) || chr(10) || chr(10)
   || (SELECT string_agg('### Data from ' || month_key || chr(10) || l, chr(10) ORDER BY month_key)
       FROM (SELECT month_key, string_agg('- ' || document, chr(10) ORDER BY category) AS l FROM docs
             WHERE month_key IN ('1999_03', '2000_01', '2000_02') GROUP BY 1) x)
-  || chr(10) || chr(10) || (SELECT string_agg(line, chr(10) ORDER BY line_no) FROM lines)
-  || chr(10) || chr(10) || '""" + RE.FORECAST_TASK + "' AS prompt",
+  || chr(10) || chr(10) || string_agg(line, chr(10) ORDER BY line_no)
+  || chr(10) || chr(10) || '""" + RE.FORECAST_TASK + "' AS prompt FROM lines GROUP BY 1, (line_no - 1) // 20",
         S.PLANOGRAM, "source AS (SELECT * FROM retail)", _DOC, _LATEST, _LINES),
     "t4_prompt_sample": S.query("SELECT * FROM lines", S.PLANOGRAM, _LATEST, _LINES),
     "r5_parse_estimates": S.query(f"""SELECT month_key, batch_id, item_no, product_id,

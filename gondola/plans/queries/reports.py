@@ -143,7 +143,15 @@ def _neighbours(spark, d):
     return a.join(b, "k").select("name", "neighbour").distinct()
 
 
-_CENTRES = [(0.0, 0.0, 4.0, 1.0), (39.0, 0.0, 6.0, 0.8), (20.0, 2.0, 10.0, 0.5)]
+def _heatmap(spark, d):
+    """Two stores, odd and even cells; the nations are the centres of traffic."""
+    k = F.col("n_nationkey")
+    centres = T.table(spark, d, "nation").select(
+        (k % 2).alias("store_id"), (k * 7 % 40).cast("double").alias("x"),
+        (k % 5).cast("double").alias("y"), (k % 4 + 3).cast("double").alias("sigma"),
+        ((k % 3 + 1) / 4).alias("weight"))
+    cells = _cells(spark, d).withColumn("store_id", F.col("cell_id") % 2)
+    return ST.traffic_heatmap(cells, centres)
 
 
 def _profit_map(spark, d):
@@ -249,7 +257,7 @@ QUERIES = {
     "p27_shelf_traffic": lambda s, d: _rounded(ST.shelf_traffic(_cells(s, d)), 6,
                                                "traffic", "position_factor"),
     "p32_traffic_heatmap": lambda s, d: _rounded(
-        ST.traffic_heatmap(_cells(s, d), _CENTRES), 6, "heat").select("cell_id", "heat"),
+        _heatmap(s, d), 6, "heat").select("store_id", "cell_id", "heat"),
     "p26_p28_position_profit": _profit_map,
     "p33_facing_capacity": lambda s, d: ST.facing_capacity(
         T.planogram(s, d), ["month_key", "rack_id", "shelf_level"]),
@@ -290,8 +298,6 @@ _CELLS = """cells AS (
          CASE WHEN s_suppkey = 0 THEN 'door' WHEN s_nationkey % 3 = 0 THEN 'shelf' ELSE 'aisle' END AS kind,
          CAST(1 + s_suppkey % 5 AS INTEGER) AS level FROM supplier)"""
 _VIS = "(CASE {0} WHEN 1 THEN 0.7e0 WHEN 2 THEN 0.85e0 WHEN 3 THEN 1.2e0 WHEN 4 THEN 0.95e0 ELSE 0.75e0 END)"
-_HEAT = " + ".join(f"{w}e0 * exp(-((x - {a}e0) * (x - {a}e0) + (y - {b}e0) * (y - {b}e0)) / {2 * s * s}e0)"
-                   for a, b, s, w in _CENTRES)
 _PLACEMENT = """placement AS (
   SELECT p_partkey AS product_id, p_type AS category, p_brand AS shelf_id,
          CASE WHEN p_partkey % 50 = 0 THEN 'OTHER' ELSE p_type END AS shelf_category,
@@ -425,9 +431,12 @@ FROM cells a JOIN cells b ON abs(a.x - b.x) + abs(a.y - b.y) = 1""", _CELLS),
     "p27_shelf_traffic": S.query(f"""SELECT *, {S.half_up('1e0 / (1e0 + 0.15e0 * (x + y))', 6)} AS traffic,
   {S.half_up('1e0 / (1e0 + 0.15e0 * (x + y)) * ' + _VIS.format('level'), 6)} AS position_factor FROM cells""",
                                  _CELLS),
-    "p32_traffic_heatmap": S.query(
-        f"SELECT cell_id, {S.half_up('h / max(h) OVER ()', 6)} AS heat "
-        f"FROM (SELECT cell_id, {_HEAT} AS h FROM cells) t", _CELLS),
+    "p32_traffic_heatmap": S.query(f"""SELECT store_id, cell_id,
+  {S.half_up('h / max(h) OVER (PARTITION BY store_id)', 6)} AS heat
+FROM (SELECT c.cell_id % 2 AS store_id, c.cell_id, sum((n_nationkey % 3 + 1) / 4e0 * exp(
+        -((c.x - n_nationkey * 7 % 40) ** 2 + (c.y - n_nationkey % 5) ** 2)
+        / (2e0 * (n_nationkey % 4 + 3) ** 2))) AS h
+      FROM cells c JOIN nation n ON n_nationkey % 2 = c.cell_id % 2 GROUP BY 1, 2) t""", _CELLS),
     "p26_p28_position_profit": S.query(f"""SELECT product_id, day, {S.half_up('demand', 6)} AS demand,
   {S.half_up('traffic', 6)} AS traffic,
   {S.half_up("margin_pct * demand * traffic * " + _VIS.format('(1 + product_id % 5)'), 6)} AS profit

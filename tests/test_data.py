@@ -354,12 +354,30 @@ def test_multiplier_replies(spark, text, want):
     assert {r["category"]: r["multiplier"] for r in RE.parse_multipliers(df).collect()} == want
 
 
-def test_small_prompts_keep_all_products(spark):
-    df = spark.createDataFrame(X.random_rows(1, (40,)), X.SCHEMA)
-    sample = RE.prompt_sample(df).orderBy("line_no").collect()
-    assert [r["product_id"] for r in sample] == list(range(40))
-    big = spark.createDataFrame(X.random_rows(1, (140,)), X.SCHEMA)
-    assert RE.prompt_sample(big).count() == 5
+def test_prompts_have_every_category(spark):
+    """The same rule for any number of products and categories; long prompts in parts."""
+    rows = [(*r[:4], f"C{r[2] % 70:02d}", *r[5:]) for r in X.random_rows(1, (400,))]
+    df = spark.createDataFrame(rows, X.SCHEMA)
+    sample = RE.prompt_sample(df, per_category=3).orderBy("line_no").collect()
+    assert [r["line_no"] for r in sample] == list(range(1, 211))
+    assert [r["category"] for r in sample] == [f"C{i // 3:02d}" for i in range(210)]
+    few = spark.createDataFrame(X.random_rows(1, (40,)), X.SCHEMA)
+    assert RE.prompt_sample(few).count() == 5
+    context = spark.createDataFrame([("2025_01", "C", "d")], "month_key string, category string, document string")
+    parts = RE.forecast_prompt(context, df, 2025, 2, lines=100).orderBy("part_no").collect()
+    assert [p["part_no"] for p in parts] == [1, 2, 3, 4]
+    assert all("### Data from 2025_01" in p["prompt"] and RE.FORECAST_TASK in p["prompt"] for p in parts)
+
+
+def test_heat_of_two_stores(spark):
+    cells = spark.createDataFrame([(s, i, i, 0) for s in (1, 2, 3) for i in range(3)],
+                                  "store_id int, cell_id int, x int, y int")
+    centres = spark.createDataFrame(
+        [(1, 0.0, 0.0, 1.0, 1.0)] + [(2, 2.0, 0.0, 1.0, 0.5)] * 1200,
+        "store_id int, x double, y double, sigma double, weight double")
+    heat = {(r["store_id"], r["cell_id"]): r["heat"] for r in ST.traffic_heatmap(cells, centres).collect()}
+    assert heat[1, 0] == heat[2, 2] == 1.0 and heat[3, 0] is None
+    assert heat[1, 1] == pytest.approx(heat[2, 1]) == pytest.approx(0.60653066)
 
 
 def test_cosine_topk_in_blocks(spark):
