@@ -8,6 +8,7 @@ from ... import constants as K
 from ...functions.numbers import half_up
 from ...operators import layout as L, whatif as W
 from ...operators.profit import rack_profit, shelf_counts
+from ...session import written
 from .. import tables as T
 from . import sql as S
 from .physics import _MOVES
@@ -16,13 +17,14 @@ _OUT = ["month_key", "rack_id", "product_id", "shelf_level"]
 
 
 def _wide(spark, d):
-    """The planogram with triple widths, so that most racks overflow."""
-    return T.planogram(spark, d).withColumn("product_width_cm", F.col("product_width_cm") * 3)
+    """The planogram with triple widths, so that most racks overflow; written once."""
+    return written(T.planogram(spark, d).withColumn(
+        "product_width_cm", F.col("product_width_cm") * 3))
 
 
 def _scored_rows(spark, d):
-    scored = W.with_move_scores(T.planogram(spark, d))
-    return scored.withColumn("scores", F.transform("scores", lambda x: half_up(x, 4)))
+    scored = W.with_move_scores(written(T.planogram(spark, d)))
+    return written(scored.withColumn("scores", F.transform("scores", lambda x: half_up(x, 4))))
 
 
 def _greedy(spark, d):
@@ -30,15 +32,17 @@ def _greedy(spark, d):
 
 
 def _aligned(spark, d):
-    return L.align_layouts(_wide(spark, d), _greedy(spark, d))
+    df = _wide(spark, d)
+    return L.align_layouts(df, L.greedy_layout(df))
 
 
 def _layouts(spark, d):
     """Original, greedy and repaired layouts in one table."""
     df = _wide(spark, d)
-    return (df.withColumn("model", F.lit("Original"))
-            .unionByName(L.greedy_layout(df).withColumn("model", F.lit("GREEDY")))
-            .unionByName(L.repair(df, "worst_fit").withColumn("model", F.lit("REPAIRED"))))
+    return written(
+        df.withColumn("model", F.lit("Original"))
+        .unionByName(L.greedy_layout(df).withColumn("model", F.lit("GREEDY")))
+        .unionByName(L.repair(df, "worst_fit").withColumn("model", F.lit("REPAIRED"))))
 
 
 def _best(spark, d):

@@ -68,11 +68,11 @@ def _nearest(spark, d):
 # --- replies ----------------------------------------------------------------------------
 
 def _batches(spark, d):
-    """Batches of thirty products per month."""
-    return batch_rows(T.planogram(spark, d), 30)
+    """Batches of thirty products per month, written once."""
+    return written(batch_rows(T.planogram(spark, d), 30))
 
 
-def _estimate_replies(spark, d):
+def _estimate_replies(batches):
     """One reply per batch, written from the products themselves.
 
     By ``batch_id % 5``: plain, fenced, without the first key in every element,
@@ -87,7 +87,7 @@ def _estimate_replies(spark, d):
         F.to_json(F.struct(
             ((k % 80) + 0.5).alias("profit_margin_percentage"),
             ((k % 70) + 0.25).alias("product_width_cm"))).alias("partial"))
-    grouped = _batches(spark, d).groupBy("month_key", "batch_id").agg(
+    grouped = batches.groupBy("month_key", "batch_id").agg(
         F.sort_array(F.collect_list(item)).alias("items"))
     full = F.array_join(F.transform("items", lambda i: i["full"]), ", ")
     partial = F.array_join(F.transform("items", lambda i: i["partial"]), ", ")
@@ -101,8 +101,9 @@ def _estimate_replies(spark, d):
 
 
 def _estimates(spark, d):
-    batches = _batches(spark, d).select("month_key", "batch_id", "item_no", "product_id")
-    return RE.parse_estimates(_estimate_replies(spark, d), batches)
+    batches = _batches(spark, d)
+    return RE.parse_estimates(_estimate_replies(batches), batches.select(
+        "month_key", "batch_id", "item_no", "product_id"))
 
 
 def _multiplier_replies(spark, d):

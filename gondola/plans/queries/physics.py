@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ...functions import physics as P
 from ...functions.numbers import half_up, uniform
 from ...operators import profit as R, whatif as W
+from ...session import written
 from .. import tables as T
 from . import sql as S
 
@@ -51,7 +52,7 @@ def _moves(spark, d):
 
 
 def _training(spark, d):
-    df = T.planogram(spark, d)
+    df = written(T.planogram(spark, d))
     n = max(20_000, 3 * df.count())
     sample = W.training_sample(df, n, seed=42)
     return sample.select("draw_id", "month_key", "rack_id", "product_id", "original_shelf",

@@ -8,6 +8,7 @@ from ...functions import demand as D
 from ...functions.numbers import half_up
 from ...operators import forecast as FC, layout as L, profit as R, quality as Q, report as RP
 from ...operators import sales as SA, store as ST
+from ...session import written
 from .. import tables as T
 from . import sql as S
 from .layouts import _GREEDY_CHOICE, _ORDER, _RACKS, _TAKE, _WIDE, _items, _recursive, _steps
@@ -15,7 +16,9 @@ from .sales import _STORE, _DAILY, _INVENTORY, _LIFT, _FEATURES
 
 
 def _wide(spark, d):
-    return T.planogram(spark, d).withColumn("product_width_cm", F.col("product_width_cm") * 3)
+    """The planogram with triple widths, written once."""
+    return written(T.planogram(spark, d).withColumn(
+        "product_width_cm", F.col("product_width_cm") * 3))
 
 
 def _rounded(df, places, *columns):
@@ -30,16 +33,16 @@ def _compared(spark, d):
 _CMP = ("orig_profit", "opt_profit", "lift")
 
 
-def _raised(spark, d):
+def _raised(df):
     """The forecast of the effects report: every category sells 30 % more."""
-    df = _wide(spark, d)
     mult = df.select("category").distinct().withColumn("multiplier", F.lit(1.3))
     return FC.apply_forecast(df, mult)
 
 
 def _effects(spark, d):
-    forecasted = _raised(spark, d)
-    e = RP.lift_effects(_wide(spark, d), forecasted, L.greedy_layout(forecasted))
+    df = _wide(spark, d)
+    forecasted = written(_raised(df))
+    e = RP.lift_effects(df, forecasted, L.greedy_layout(forecasted))
     return _rounded(e, 4, "base_profit", "forecast_profit", "opt_profit", "forecast_effect",
                     "layout_effect", "lift")
 
@@ -103,7 +106,8 @@ _NAMES = ("month_key", "rack_id", "product_id", "category")
 def _report(spark, d):
     """The report with its JSON payloads taken apart."""
     df = _wide(spark, d)
-    report = RP.optimisation_report(df, L.greedy_layout(df), falling=RP.falling_products(df))
+    optimised = written(L.greedy_layout(df))
+    report = RP.optimisation_report(df, optimised, falling=RP.falling_products(df))
 
     def field(c, t):
         return F.get_json_object("payload", f"$.{c}").cast(t).alias(c)
