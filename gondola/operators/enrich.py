@@ -119,15 +119,17 @@ def assign_shelf(df: DataFrame, seed: int = 42,
 
 
 def generate_months(catalog: DataFrame, months: Sequence[str], seed: int = 42,
-                    lo: float = 0.6, hi: float = 0.9, key: str = "product_id") -> DataFrame:
+                    lo: float = 0.6, hi: float = 0.9, key: str = "product_id",
+                    order: str | None = None) -> DataFrame:
     """Sampled, enriched, placed and repaired planograms of all months.
 
+    ``order`` is the column by which categories appear first, ``key`` unless given.
     The placed rows feed the shelf sums, the repair and the result, so they are
     written to the shared folder once.
     """
     rows = sample_months(catalog, months, seed, lo, hi, key)
     enriched = enrich_heuristic(rows, seed, ("month_key", key))
-    placed = assign_shelf(assign_rack(enriched, order=key), seed, ("month_key", key))
+    placed = assign_shelf(assign_rack(enriched, order=order or key), seed, ("month_key", key))
     return repair(written(placed), "worst_fit", key=key)
 
 

@@ -143,16 +143,30 @@ def wanted_months(year: int, month: int, n_recent: int = 2) -> list[str]:
 
 def retrieve_context(kb: DataFrame, year: int, month: int, category: str | None = None,
                      n_recent: int = 2) -> DataFrame:
-    """Chunks of the wanted months; the month filter prunes partitions."""
+    """Chunks of the wanted months with their metadata.
+
+    Over a table of ``upsert_months`` the month filter is a partition filter: other months
+    are not opened.
+    """
     rows = kb.filter(F.col("month_key").isin(wanted_months(year, month, n_recent)))
     return rows if category is None else rows.filter(F.col("category") == category)
 
 
+# What a chunk says about itself besides its text.
+METADATA = ("category", "year", "month", "month_name", "n_products", "total_sales", "avg_sales",
+            "avg_price", "avg_margin", "source_file")
+
+
 def context_by_month(context: DataFrame) -> DataFrame:
-    """Documents per month as one array; one chunk per category and month."""
-    return context.groupBy("month_key").agg(F.transform(
-        F.sort_array(F.collect_list(F.struct("category", "document"))),
-        lambda c: c["document"]).alias("documents"))
+    """``month_key, documents, metadata``: two arrays in the order of the categories.
+
+    One chunk per category and month, so an array has as many entries as categories.
+    """
+    chunks = F.sort_array(F.collect_list(F.struct(
+        "category", "document", F.struct(*METADATA).alias("metadata"))))
+    return context.groupBy("month_key").agg(chunks.alias("_c")).select(
+        "month_key", F.transform("_c", lambda c: c["document"]).alias("documents"),
+        F.transform("_c", lambda c: c["metadata"]).alias("metadata"))
 
 
 def category_trend(summary: DataFrame) -> DataFrame:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +10,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from .ranking import top_n
 
-# Query vectors of one pass; they travel with the tasks, so their size is bounded.
-MAX_QUERIES = 1_024
+# Average rows of a block of queries and of vectors; a task holds one of each.
+QUERY_BLOCK, VECTOR_BLOCK = 2_048, 32_768
+# Similarities that agree to so many places are ties; summation noise is below it.
+PLACES = 9
 
 
 def centroids(vectors: DataFrame, by: str = "label", vector: str = "embedding") -> DataFrame:
@@ -24,68 +24,83 @@ def centroids(vectors: DataFrame, by: str = "label", vector: str = "embedding")
         F.sort_array(F.collect_list(F.struct("_i", "_x"))), lambda e: e["_x"]).alias(vector))
 
 
-def _unit_rows(m: np.ndarray) -> np.ndarray:
-    return m / np.linalg.norm(m, axis=1, keepdims=True)
+def _usable(vector: str):
+    return (F.coalesce(F.exists(vector, lambda x: x != 0), F.lit(False))
+            & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x)))
 
 
-def _best_per_task(ids: np.ndarray, queries: np.ndarray, k: int):
-    """Arrow function: the k best vectors per query among a task's batches."""
-    unit, dim = _unit_rows(queries), queries.shape[1]
-
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = None  # (query number, vector id, similarity), k per query
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-            m = flat.astype(np.float64).reshape(-1, dim)
-            sims = unit @ _unit_rows(m).T
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
-            take = min(k, len(keys))
-            edge = -np.partition(-sims, take - 1, axis=1)[:, take - 1]
-            q, v = np.nonzero(sims >= edge[:, None])
-            found = (q, keys[v], sims[q, v])
-            if kept is not None:
-                found = tuple(np.concatenate(p) for p in zip(kept, found))
-            order = np.lexsort((found[1], -found[2], found[0]))
-            q = found[0][order]
-            first = np.searchsorted(q, q, side="left")
-            order = order[np.arange(len(q)) - first < k]
-            kept = tuple(p[order] for p in found)
-        if kept is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[kept[0]]), pa.array(kept[1]), pa.array(kept[2])],
-                names=["query_id", "vec_id", "similarity"])
+def vector_problems(vectors: DataFrame, vec_id: str = "vec_id",
+                    vector: str = "embedding") -> DataFrame:
+    """``vec_id, problem`` of the rows that ``cosine_topk`` can't compare with the others.
+
+    A missing vector or entry, all zeros, or another length than most vectors have.
+    """
+    length = F.coalesce(F.size(vector), F.lit(-1))
+    most = vectors.groupBy(length.alias("_n")).agg(F.count(F.lit(1)).alias("_rows")).agg(
+        F.max_by("_n", F.struct("_rows", "_n"))).scalar()
+    problem = (F.when(F.col(vector).isNull(), "missing")
+               .when(F.exists(vector, lambda x: x.isNull() | F.isnan(x)), "missing entry")
+               .when(length != most, F.concat(F.lit("length "), length.cast("string")))
+               .when(~F.exists(vector, lambda x: x != 0), "all zero"))
+    return vectors.select(vec_id, problem.alias("problem")).filter(F.col("problem").isNotNull())
+
+
+def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
+    flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    m = flat.astype(np.float64).reshape(-1, dim)
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
 
-    return best
 
+def _best_of_block(k: int):
+    """Arrow function: the k best vectors of a block per query of another block."""
+    def best(queries: pa.Table, vectors: pa.Table) -> pa.Table:
+        dim = len(queries["vec"][0]) if queries.num_rows else 0
+        if not (queries.num_rows and vectors.num_rows):
+            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()),
+                             "similarity": pa.array([], pa.float64())})
+        q, ids = _matrix(queries["vec"], dim), vectors["id"].to_numpy()
+        sims = np.round(q @ _matrix(vectors["vec"], dim).T, PLACES)
+        take = min(k, len(ids))
+        edge = -np.partition(-sims, take - 1, axis=1)[:, take - 1]
+        row, col = np.nonzero(sims >= edge[:, None])
+        order = np.lexsort((ids[col], -sims[row, col], row))
+        row, col = row[order], col[order]
+        order = np.arange(len(row)) - np.searchsorted(row, row, side="left") < k
+        row, col = row[order], col[order]
+        return pa.table({"query_id": queries["id"].to_numpy()[row], "vec_id": ids[col],
+                         "similarity": sims[row, col]})
 
-def _one_pass(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
-    rows = queries.collect()  # at most a block of MAX_QUERIES, see cosine_topk
-    ids = np.array([r[0] for r in rows], dtype=np.int64)
-    matrix = np.array([r[1] for r in rows], dtype=np.float64)
-    fits = vectors.filter(
-        (F.size("vec") == matrix.shape[1])
-        & F.exists("vec", lambda x: x != 0) & ~F.exists("vec", lambda x: x.isNull()))
-    return fits.mapInArrow(_best_per_task(ids, matrix, k),
-                           "query_id bigint, vec_id bigint, similarity double")
+    return best
 
 
 def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int = 5,
                 query_id: str = "query_id", vec_id: str = "vec_id",
-                vector: str = "embedding", max_queries: int = MAX_QUERIES) -> DataFrame:
+                vector: str = "embedding", query_block: int = QUERY_BLOCK,
+                vector_block: int = VECTOR_BLOCK) -> DataFrame:
     """The ``k`` most similar vectors per query, best first; ids break ties.
 
-    A task multiplies its vectors with a block of queries and keeps ``k`` rows
-    per query, so no pairs are shuffled. More than ``max_queries`` queries are
-    worked off in several blocks, each one a pass over the vectors.
+    Queries and vectors are cut into blocks by hash and by length, and every block of
+    queries meets every block of vectors of its length in a task of its own, which keeps
+    ``k`` rows per query. No task holds more than two blocks, nothing passes through the
+    driver. Vectors are compared with queries of their own length; see
+    ``vector_problems`` for those that differ. Without queries or vectors the result is
+    empty.
     """
-    q = queries.select(F.col(query_id).cast("bigint").alias("q"), F.col(vector).alias("vec"))
+    q = queries.select(F.col(query_id).cast("bigint").alias("id"), F.col(vector).alias("vec"))
     v = vectors.select(F.col(vec_id).cast("bigint").alias("id"), F.col(vector).alias("vec"))
-    n = q.count()
-    # Blocks of half the maximum on average leave room for uneven hashing.
-    blocks = 1 if n <= max_queries else math.ceil(2 * n / max_queries)
-    block = F.pmod(F.xxhash64("q"), F.lit(blocks))
-    passes = [_one_pass(q.filter(block == b), v, k) for b in range(blocks)]
-    return top_n(reduce(DataFrame.unionByName, passes), ["query_id"],
-                 [F.desc("similarity"), "vec_id"], k)
+    q, v = (df.filter(_usable("vec")).withColumn("n", F.size("vec")) for df in (q, v))
+    q_blocks = max(1, math.ceil(q.agg(F.count(F.lit(1))).first()[0] / query_block))
+    v_blocks = max(1, math.ceil(v.agg(F.count(F.lit(1))).first()[0] / vector_block))
+
+    def block(of: int):
+        return F.pmod(F.xxhash64("id"), F.lit(of)).cast("int")
+
+    def every(of: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(of - 1)))
+
+    left = q.withColumn("qb", block(q_blocks)).withColumn("vb", every(v_blocks))
+    right = v.withColumn("vb", block(v_blocks)).withColumn("qb", every(q_blocks))
+    keys = ["n", "qb", "vb"]
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
+        _best_of_block(k), "query_id bigint, vec_id bigint, similarity double")
+    return top_n(found, ["query_id"], [F.desc("similarity"), "vec_id"], k)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import (enrich, forecast as fc, knowledge as kb, layout, learning, report,
                          whatif)
+from ..operators.profit import shelf_violations
 from ..session import written
 from ..sources import readers, sinks
 from ..streaming.ingest import replace_months
@@ -18,11 +19,22 @@ from ..streaming.ingest import replace_months
 def generate_monthly(spark: SparkSession, catalog_path: str, out: str,
                      months: Sequence[str] | None = None, seed: int = 42,
                      skip_existing: bool = False) -> None:
-    """Catalogue CSV -> enriched, placed and repaired monthly files."""
+    """Catalogue CSV -> enriched, placed and repaired monthly files.
+
+    Racks are numbered as categories first appear in the catalogue's files. With
+    ``skip_existing`` months that are already there are left out before any work.
+    """
+    wanted = list(months or enrich.month_keys())
+    if skip_existing:
+        # One name per month.
+        there = {r["source_file"] for r in sinks.existing_months(spark, out).collect()}
+        wanted = [m for m in wanted if sinks.month_file_name(m) not in there]
+        if not wanted:
+            return
     catalog = enrich.with_prices(readers.require_columns(
         readers.read_catalog(spark, catalog_path), ("Category", "name", "price"), catalog_path))
     keyed = readers.with_product_id(catalog, part=())
-    rows = enrich.generate_months(keyed, months or enrich.month_keys(), seed)
+    rows = enrich.generate_months(keyed, wanted, seed, order="row_order")
     sinks.write_monthly(rows, out, skip_existing=skip_existing)
 
 
@@ -61,6 +73,7 @@ class Prediction(NamedTuple):
 
     multipliers: DataFrame
     layout: DataFrame
+    violations: DataFrame
     racks: DataFrame
     totals: DataFrame
 
@@ -70,13 +83,15 @@ def predict_month(base: DataFrame, month: int, replies: DataFrame | None = None,
                   key: str = "product_id") -> Prediction:
     """Forecast sales of the base month's products and optimise every rack.
 
-    The lift compares base sales on the old layout with forecast sales on the new
+    The layout is repaired at the end; ``violations`` are the shelves that stay too full
+    because their products fit nowhere. The lift compares base sales on the old layout with forecast sales on the new
     one; ``report.lift_effects`` tells the two effects apart.
     """
     multipliers = fc.forecast(base, month, replies)
     forecasted = fc.apply_forecast(base, multipliers)
     scored = (whatif.with_move_scores(forecasted) if model is None
               else learning.model_scores(model, forecasted, key=key))
-    best = written(layout.ensemble_layout(scored, n_candidates, key=key))
+    best = written(layout.repair(layout.ensemble_layout(scored, n_candidates, key=key), key=key))
     racks = report.compare_racks(base, best, order=key)
-    return Prediction(multipliers, best, racks, report.compare_totals(racks))
+    return Prediction(multipliers, best, shelf_violations(best), racks,
+                      report.compare_totals(racks))

@@ -10,6 +10,8 @@ from ...functions.numbers import half_up
 from ...functions.prices import is_eur, parse_eur
 from ...functions.stock import month_number
 from ...operators import enrich as E, forecast as FC, knowledge as KB
+from ...session import shared_dir
+from ...sources import readers
 from .. import tables as T
 from . import sql as S
 
@@ -47,6 +49,20 @@ def _placed(spark, d):
         "month_key", "product_id", *_EST, "rack_id", "shelf_level")
 
 
+def _file_order(spark, d):
+    """Racks by first appearance in CSV files whose order is not that of any key."""
+    path = shared_dir(spark)
+    k = F.col("product_id")
+    catalog = T.catalog(spark, d).select(
+        F.col("category").alias("Category"), "name", k.cast("string").alias("subtitle"),
+        "price", F.lit(None).cast("string").alias("discount_price"))
+    shuffled = catalog.orderBy((F.col("subtitle").cast("bigint") * 7919) % 2003, "subtitle")
+    shuffled.write.option("header", True).option("maxRecordsPerFile", 300).csv(path)
+    rows = readers.read_catalog(spark, path).withColumnRenamed("Category", "category")
+    return E.assign_rack(rows, part=(), order="row_order").select(
+        F.col("subtitle").cast("bigint").alias("product_id"), "category", "row_order", "rack_id")
+
+
 def _gaps(spark, d):
     """The planogram with sales that are missing (0 or NULL) in a third of its rows."""
     sales = F.col("estimated_monthly_sales")
@@ -83,6 +99,7 @@ QUERIES = {
     "p13_enrich_simple": lambda s, d: E.enrich_simple(T.catalog(s, d)).select("product_id", *_EST),
     "p14_j1_assign_rack": lambda s, d: E.assign_rack(T.planogram(s, d).drop("rack_id")).select(
         "month_key", "product_id", "category", "rack_id"),
+    "p14_file_order": _file_order,
     "p15_assign_shelf": lambda s, d: E.assign_shelf(T.planogram(s, d)).select(
         "month_key", "product_id", "shelf_level"),
     "p31_fill_estimates": lambda s, d: E.fill_estimates(_gaps(s, d)).select(
@@ -225,6 +242,13 @@ JOIN simple USING (category)""", CATALOG, _band_ctes("simple", rules.BANDS_SIMPL
   CAST(dense_rank() OVER (PARTITION BY month_key ORDER BY first) - 1 AS INTEGER) AS rack_id
 FROM (SELECT *, min(product_id) OVER (PARTITION BY month_key, category) AS first FROM retail) t""",
                                   S.PLANOGRAM),
+    "p14_file_order": """SELECT product_id, category, row_order,
+  CAST(dense_rank() OVER (ORDER BY first) - 1 AS INTEGER) AS rack_id
+FROM (SELECT *, min(row_order) OVER (PARTITION BY category) AS first
+      FROM (SELECT p_partkey AS product_id, row_number() OVER (
+                     ORDER BY (p_partkey * 7919) % 2003, CAST(p_partkey AS VARCHAR)) AS row_order,
+                   [""" + ", ".join(f"'{w}'" for w in T.CATEGORY_WORDS) + """][CAST(p_partkey % 12 AS INTEGER) + 1] AS category
+            FROM part) p) t""",
     "p15_assign_shelf": S.query(
         f"SELECT month_key, product_id, {_SHELF} AS shelf_level FROM retail", S.PLANOGRAM),
     "p31_fill_estimates": S.query(f"""SELECT month_key, product_id,

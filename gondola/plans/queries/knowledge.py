@@ -80,15 +80,25 @@ def _trend(spark, d):
     return _rounded(trend, "change_previous", "change_last_year")
 
 
+def stored_chunks(spark, d):
+    """A written knowledge base of all months, cut by month."""
+    path = shared_dir(spark)
+    sinks.upsert_months(KB.kb_chunks(T.planogram(spark, d)), path)
+    return spark.read.parquet(path)
+
+
 def _context(spark, d):
-    kb = KB.kb_chunks(T.planogram(spark, d))
-    return KB.retrieve_context(kb, 2000, 3).select("month_key", "category", "document")
+    return KB.retrieve_context(stored_chunks(spark, d), 2000, 3).select(
+        "month_key", "category", "document")
 
 
 def _context_documents(spark, d):
-    kb = KB.kb_chunks(T.planogram(spark, d))
-    docs = KB.context_by_month(KB.retrieve_context(kb, 2000, 3, n_recent=12))
-    return docs.select("month_key", F.array_join("documents", "\n").alias("documents"))
+    docs = KB.context_by_month(KB.retrieve_context(stored_chunks(spark, d), 2000, 3, n_recent=12))
+    about = F.transform("metadata", lambda m: F.concat_ws(
+        "|", m["category"], m["month_name"], m["n_products"].cast("string"),
+        F.format_string("%.2f", m["total_sales"]), m["source_file"]))
+    return docs.select("month_key", F.array_join("documents", "\n").alias("documents"),
+                       F.array_join(about, "\n").alias("metadata"))
 
 
 def _latest_file(spark, d):
@@ -196,7 +206,10 @@ FROM docs""", S.PLANOGRAM, _UPSERTED, _DOC),
         f"SELECT month_key, category, document FROM docs WHERE month_key IN {_WANTED}",
         S.PLANOGRAM, _ALL, _DOC),
     "r1_context_documents": S.query(
-        "SELECT month_key, string_agg(document, chr(10) ORDER BY category) AS documents FROM docs "
+        "SELECT month_key, string_agg(document, chr(10) ORDER BY category) AS documents, "
+        f"string_agg(category || '|' || {_NAME} || '|' || n_products || '|' || "
+        f"printf('%.2f', total_sales) || '|sales_' || month_key || '_' || {_NAME} || '.csv', "
+        "chr(10) ORDER BY category) AS metadata FROM docs "
         "WHERE month_key BETWEEN '1999_03' AND '2000_02' GROUP BY 1", S.PLANOGRAM, _ALL, _DOC),
     "w3_top_sellers": S.query("""SELECT month_key, category, product_id, estimated_monthly_sales,
   CAST(row_number() OVER (PARTITION BY month_key, category

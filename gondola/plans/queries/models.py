@@ -65,6 +65,23 @@ def _nearest(spark, d):
     return top.select("query_id", "vec_id", "rank", half_up("similarity", 6).alias("similarity"))
 
 
+def _all_nearest(spark, d):
+    """The nearest vectors of every vector, itself included."""
+    vectors = T.table(spark, d, "embeddings")
+    top = V.cosine_topk(vectors.withColumnRenamed("vec_id", "query_id"), vectors, 3,
+                        query_block=128, vector_block=256)
+    return top.select("query_id", "vec_id", "rank", half_up("similarity", 6).alias("similarity"))
+
+
+def _vector_problems(spark, d):
+    """Every tenth vector lacks its last entry, every seventh is all zero."""
+    k, e = F.col("vec_id"), F.col("embedding")
+    broken = T.table(spark, d, "embeddings").withColumn("embedding", F.when(
+        k % 10 == 0, F.slice(e, 1, F.size(e) - 1)).when(
+        k % 7 == 0, F.transform(e, lambda x: F.lit(0.0).cast("float"))).otherwise(e))
+    return V.vector_problems(broken)
+
+
 # --- replies ----------------------------------------------------------------------------
 
 def _batches(spark, d):
@@ -278,6 +295,8 @@ QUERIES = {
     "m7_layout_score": _layout_score,
     "a4_model_layout": _model_layout,
     "r2_cosine_topk": _nearest,
+    "r2_all_vectors": _all_nearest,
+    "r2_vector_problems": _vector_problems,
     "r3_batch_prompts": lambda s, d: RE.batch_prompts(
         batch_rows(_with_text(s, d), 30), task="-"),
     "r3_forecast_prompt": _forecast_prompt,
@@ -340,6 +359,14 @@ FROM (SELECT c.label, vec_id, sim, row_number() OVER (PARTITION BY c.label ORDER
       FROM (SELECT c.label, e.vec_id,
                    list_cosine_similarity(c.c, CAST(e.embedding AS DOUBLE[])) AS sim
             FROM centre c CROSS JOIN embeddings e) c) t WHERE rk <= 5""", _CENTROIDS),
+    "r2_all_vectors": f"""SELECT query_id, vec_id, CAST(rk AS INTEGER) AS rank,
+  {S.half_up('sim', 6)} AS similarity
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, vec_id) AS rk
+      FROM (SELECT a.vec_id AS query_id, b.vec_id, round(list_cosine_similarity(
+              CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 9) AS sim
+            FROM embeddings a CROSS JOIN embeddings b) c) t WHERE rk <= 3""",
+    "r2_vector_problems": """SELECT vec_id, CASE WHEN vec_id % 10 = 0 THEN 'length ' || (len(embedding) - 1)
+  ELSE 'all zero' END AS problem FROM embeddings WHERE vec_id % 10 = 0 OR vec_id % 7 = 0""",
     "r3_batch_prompts": S.query("""SELECT month_key, batch_id, count(*) AS n_items,
   string_agg(item_no || '. Category: ' || category || ' | Name: ' || name || ' | Subtitle: - | Price: 1,00 €',
              chr(10) ORDER BY item_no) || chr(10) || chr(10) || '-' AS prompt

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import constants as K, schemas
+from ..operators.ranking import row_numbers
 
 
 class MissingColumns(ValueError):
@@ -22,9 +23,25 @@ def require_columns(df: DataFrame, columns: Sequence[str], where: str = "table")
     return df
 
 
+def file_order() -> Column:
+    """Where a row stands in its files: name, place of the split, and place within it.
+
+    Ids of rows rise within a split, so the struct orders rows as the files have them,
+    however the splits are spread over tasks.
+    """
+    return F.struct(F.col("_metadata.file_name").alias("file"),
+                    F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
+
+
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """Catalogue CSV: five text columns, blanks as NULL, in file order by name."""
-    return spark.read.schema(schemas.CATALOG).option("header", True).csv(path)
+    """Catalogue CSV: five text columns, blanks as NULL, and ``row_order``.
+
+    ``row_order`` counts the rows from 1 in the order of file names and lines. The numbered
+    rows are written below the shared folder.
+    """
+    rows = spark.read.schema(schemas.CATALOG).option("header", True).csv(path)
+    return row_numbers(rows.withColumn("_at", file_order()), [], ["_at"], "row_order").drop("_at")
 
 
 def file_month(name: Column | str, strict: bool = False) -> Column:
@@ -178,9 +195,9 @@ def with_product_id(df: DataFrame, part: Sequence[str] = ("month_key",),
     """Adds a stable text key per row, unique within the month.
 
     Rows that agree in all identity columns are numbered; the number depends on
-    the row's values only, not on where the row was read.
+    the row's values only, not on where the row was read, unless there is a ``row_order``.
     """
-    order = [c for c in df.columns if c not in part and c not in identity]
+    order = [c for c in df.columns if c not in part and c not in identity] or ["name"]
     w = Window.partitionBy(*part, *identity).orderBy(*order)
     text = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in identity])
     return (df.withColumn("_copy", F.row_number().over(w))

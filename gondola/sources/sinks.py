@@ -35,6 +35,17 @@ def month_file(month_key: Column | str = "month_key") -> Column:
     return F.concat(F.lit("sales_"), key, F.lit("_"), name, F.lit(".csv"))
 
 
+def month_file_name(month_key: str) -> str:
+    """``month_file`` of one key."""
+    return f"sales_{month_key}_{K.MONTH_NAMES[int(month_key[5:7]) - 1]}.csv"
+
+
+def existing_months(spark: SparkSession, path: str) -> DataFrame:
+    """Names of the monthly files below ``path``; none where nothing was written yet."""
+    there = _if_present(lambda: month_files(spark, path))
+    return there if there is not None else spark.createDataFrame([], "source_file string")
+
+
 def _planogram_columns(df: DataFrame) -> list[Column]:
     have = {c.lower() for c in df.columns}
     return [(F.col(c) if c.lower() in have else F.lit(None).cast("string")).alias(c)
@@ -50,9 +61,7 @@ def write_monthly(df: DataFrame, path: str, fmt: str = "csv",
     """
     out = df.withColumn("source_file", month_file())
     if skip_existing:
-        old = _if_present(lambda: month_files(df.sparkSession, path))
-        if old is not None:
-            out = out.join(old, "source_file", "left_anti")
+        out = out.join(existing_months(df.sparkSession, path), "source_file", "left_anti")
     (out.select(*_planogram_columns(out), "source_file").hint("rebalance", "source_file")
      .write.mode("append" if skip_existing else "overwrite")
      .partitionBy("source_file").option("header", True).format(fmt).save(path))

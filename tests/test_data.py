@@ -311,6 +311,21 @@ def test_catalogue_to_prediction(spark, tmp_path):
     assert guided.layout.count() == base.count()
 
 
+def test_known_months_are_skipped_before_any_work(spark, tmp_path):
+    source, out = tmp_path / "products.csv", str(tmp_path / "monthly")
+    source.write_text("Category,name,subtitle,price,discount_price\n" + "\n".join(
+        f'{("Pan", "Fruta", "Vino")[i % 3]},p{i},s,"1,{i % 90 + 10} €",' for i in range(40)), encoding="utf-8")
+    jobs.generate_monthly(spark, str(source), out, ["2025_01"], skip_existing=True)
+    jobs.generate_monthly(spark, str(tmp_path / "gone.csv"), out, ["2025_01"], skip_existing=True)
+    jobs.generate_monthly(spark, str(source), out, ["2025_01", "2025_02"], skip_existing=True)
+    rows = RD.read_monthly(spark, out)
+    assert {r["month_key"] for r in rows.collect()} == {"2025_01", "2025_02"}
+    first = {r["Category"]: r["rack_id"] for r in rows.filter("month_key = '2025_01'").collect()}
+    seen = sorted((int(r["name"][1:]), r["Category"]) for r in rows.filter("month_key = '2025_01'").collect())
+    order = list(dict.fromkeys(c for _, c in seen))
+    assert first == {c: i for i, c in enumerate(order)}
+
+
 # --- replies and vectors -----------------------------------------------------------------
 
 def estimates(spark, text, n=3):
@@ -388,7 +403,7 @@ def test_cosine_topk_in_blocks(spark):
     v = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(6)
     q = v.filter("vec_id < 40").withColumnRenamed("vec_id", "query_id")
     got = {(r["query_id"], r["rank"]): r["vec_id"]
-           for r in V.cosine_topk(q, v, 4, max_queries=16).collect()}
+           for r in V.cosine_topk(q, v, 4, query_block=16, vector_block=50).collect()}
     m = np.array([x for i, x in vectors if i != 999])
     ids = np.array([i for i, _ in vectors if i != 999])
     unit = m / np.linalg.norm(m, axis=1, keepdims=True)
@@ -398,6 +413,30 @@ def test_cosine_topk_in_blocks(spark):
         assert [got[i, r] for r in range(1, 5)] == list(want)
 
 
+def test_cosine_topk_of_nothing_and_of_odd_vectors(spark):
+    v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0]), (4, [0.0, 0.0]), (5, None),
+                               (6, [1.0, None])], "vec_id long, embedding array<double>")
+    q = v.withColumnRenamed("vec_id", "query_id")
+    assert V.cosine_topk(q.limit(0), v).collect() == [] == V.cosine_topk(q, v.limit(0)).collect()
+    got = {(r["query_id"], r["vec_id"]) for r in V.cosine_topk(q, v, 1).collect()}
+    assert got == {(1, 1), (2, 2), (3, 3)}
+    problems = {r["vec_id"]: r["problem"] for r in V.vector_problems(v).collect()}
+    assert problems == {3: "length 1", 4: "all zero", 5: "missing", 6: "missing entry"}
+    assert V.vector_problems(v.limit(0)).collect() == []
+
+
+def test_retrieval_opens_the_wanted_months_only(spark, monthly, tmp_path):
+    kb = str(tmp_path / "kb")
+    jobs.build_knowledge_base(spark, str(monthly), kb)
+    context = KB.retrieve_context(spark.read.parquet(kb), 2025, 9, n_recent=1)
+    plan = context._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "month_key" in plan.split("PartitionFilters: [")[1][:200]
+    row = KB.context_by_month(context).collect()
+    assert [r["month_key"] for r in row] == ["2025_08"]
+    assert row[0]["metadata"][0]["source_file"] == "sales_2025_08_august.csv"
+    assert len(row[0]["documents"]) == len(row[0]["metadata"]) == 1
+
+
 # --- analytics ----------------------------------------------------------------------------
 
 def test_store_and_frequency(spark):
