@@ -56,15 +56,18 @@ def build_knowledge_base(spark: SparkSession, folder: str, kb_path: str) -> Data
     return kb.kb_stats(spark.read.parquet(kb_path))
 
 
-def train_lift_model(planogram: DataFrame, kind: str = "gbt", min_products: int = 3,
-                     **params) -> tuple[PipelineModel, DataFrame]:
-    """Sampled moves of all racks -> fitted lift model and its test metrics."""
-    # Written once; both samples come from one pass, and a fit reads them several times.
-    planogram = written(planogram)
+def lift_samples(planogram: DataFrame, min_products: int = 3) -> tuple[DataFrame, DataFrame]:
+    """Written training and test moves, in proportion to the planogram's rows."""
     n = planogram.count()
     both = written(whatif.training_samples(planogram, [
         ("train", max(20_000, 3 * n), 42), ("test", max(3_000, n), 99)], min_products=min_products))
-    train, test = (both.filter(F.col("sample") == name) for name in ("train", "test"))
+    return tuple(both.filter(F.col("sample") == name) for name in ("train", "test"))
+
+
+def train_lift_model(planogram: DataFrame, kind: str = "gbt", min_products: int = 3,
+                     **params) -> tuple[PipelineModel, DataFrame]:
+    """Sampled moves of all racks -> fitted lift model and its test metrics."""
+    train, test = lift_samples(written(planogram), min_products)
     return learning.fit_lift(train, test, kind, **params)
 
 

@@ -237,7 +237,49 @@ _NARROW = """narrow AS (SELECT * REPLACE (CASE WHEN product_id % 7 = 0 THEN NULL
 _MASKED = """masked AS (SELECT * REPLACE (list_transform(sc, lambda x, i:
   CASE WHEN (product_id + i - 1) % 3 <> 0 THEN x END) AS sc) FROM scored)"""
 
+def _marginal_steps() -> str:
+    """The marginal walk: every option's rack profit from the shelf sums so far."""
+    def value(n: str, w: str, v: str) -> str:
+        return (f"CASE WHEN {n} > 0 THEN {S.mult('z')} * {S.crowd(n)} * {S.dim('z', w)} * ({v}) "
+                "ELSE 0e0 END")
+
+    own = "base * " + S.tier("price", "z")
+    gained = value("(n[z] + 1)", "(sw[z] + w)", f"v[z] + {own}")
+    opens = "used + CASE WHEN n[z] > 0 THEN 0 ELSE 1 END"
+    profit = S.half_up(f"{S.spread(opens)} * (total - g[z] + {gained})", 4)
+    shelves = "[1, 2, 3, 4, 5, 6, 7]"
+    zero = "[0e0, 0e0, 0e0, 0e0, 0e0, 0e0, 0e0]"
+
+    def added(name: str, amount: str) -> str:
+        return (f"list_transform({shelves}, lambda z: {name}[z] + "
+                f"CASE WHEN z = best THEN {amount} ELSE 0 END)")
+
+    return f"""steps AS (
+  SELECT month_key, rack_id, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS product_id,
+         0 AS new_shelf, {_ROOM} AS room, [0, 0, 0, 0, 0, 0, 0] AS n, {zero} AS sw, {zero} AS v
+  FROM (SELECT DISTINCT month_key, rack_id FROM items)
+  UNION ALL
+  SELECT month_key, rack_id, rn, product_id, coalesce(best, s),
+         list_transform({shelves}, lambda z: room[z] - CASE WHEN z = coalesce(best, s) THEN w ELSE 0e0 END),
+         {added('n', '1')}, {added('sw', 'w')}, {added('v', 'base * ' + S.tier('price', 'z'))}
+  FROM (SELECT *, CASE WHEN list_max(options) IS NOT NULL THEN list_position(options, list_max(options)) END AS best
+    FROM (SELECT *, list_transform({shelves}, lambda z: CASE WHEN room[z] >= w THEN {profit} END) AS options
+      FROM (SELECT *, list_sum(g) AS total, len(list_filter(n, lambda x: x > 0)) AS used
+        FROM (SELECT i.month_key, i.rack_id, i.rn, i.product_id, i.s, i.w, i.price, i.base,
+                     st.room, st.n, st.sw, st.v,
+                     list_transform({shelves}, lambda z: {value('st.n[z]', 'st.sw[z]', 'st.v[z]')}) AS g
+              FROM steps st JOIN items i ON i.month_key = st.month_key AND i.rack_id = st.rack_id
+                   AND i.rn = st.rn + 1) a) b) c) d)"""
+
+
 ORACLES = {
+    "a4_marginal_layout": _recursive(
+        f"SELECT month_key, rack_id, {S.half_up('profit', 4)} AS profit FROM profits",
+        S.PLANOGRAM, _WIDE, _items("wide", _ORDER, extra=f", price_numeric AS price, {S.BASE} AS base"),
+        _marginal_steps(),
+        "placed AS (SELECT w.* REPLACE (st.new_shelf AS shelf_level) FROM wide w "
+        "JOIN steps st USING (month_key, rack_id, product_id))",
+        S.rack_profit_cte("placed", "month_key, rack_id")),
     "a1_narrow_widths": _recursive(
         _RESULT + """ UNION ALL SELECT month_key, rack_id, product_id, shelf_level FROM narrow
 WHERE product_width_cm IS NULL""",

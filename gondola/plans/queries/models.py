@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
 
-from ...constants import MOVE_FEATURES, PLANOGRAM_COLUMNS
+from pyspark.sql import DataFrame, functions as F
+
+from ...constants import LIFT_MAX, LIFT_MIN, MOVE_FEATURES, PLANOGRAM_COLUMNS
 from ...functions.numbers import half_up
 from ...operators import inventory as I, knowledge as KB, layout as L, learning as ML
 from ...operators import replies as RE, vectors as V
@@ -18,36 +20,103 @@ from .knowledge import _DOC, _NAME, _with_text
 from .sales import _features
 
 
-def _lift_model(spark, d, kind="linear", **params):
-    df = T.planogram(spark, d)
-    return jobs.train_lift_model(df, kind, **params)
+def _samples(spark, d):
+    """Written training and test moves of the planogram."""
+    return jobs.lift_samples(written(T.planogram(spark, d)), min_products=3)
+
 
+def _facts(spark, *facts):
+    """Rows of ``fact, holds``; each ``holds`` is a DataFrame of one boolean."""
+    return reduce(DataFrame.unionByName, [
+        df.toDF("holds").select(F.lit(name).alias("fact"), "holds") for name, df in facts])
 
-def _metrics(kind, **params):
-    def run(spark, d):
-        return _lift_model(spark, d, kind, **params)[1].withColumn("kind", F.lit(kind))
-    return run
+
+def _beats_mean(metrics):
+    """Whether a model errs less than the mean of the test rows would."""
+    return metrics.select((F.col("r2") > 0) & (F.col("mae") >= 0))
+
+
+def _linear_fit(spark, d):
+    """What must hold for a least squares fit: its residuals leave nothing to any feature.
+
+    A fit on fewer rows than asked for must fail.
+    """
+    train, test = _samples(spark, d)
+    model, metrics = ML.fit_lift(train, test, "linear")
+    try:
+        ML.fit_lift(train.limit(50), test, "linear")
+        refused = False
+    except ML.NotEnoughRows:
+        refused = True
+    rest = model.transform(train).withColumn("rest", F.col("profit_lift") - F.col("prediction"))
+
+    def left_to(x):
+        """Cosine between the residuals and a centred feature."""
+        size = F.sqrt(F.sum(F.col("rest") ** 2) * F.count(F.lit(1)) * F.var_pop(x))
+        return F.try_divide(F.sum("rest") * F.avg(x) - F.sum(F.col("rest") * F.col(x)), size)
+
+    cosines = rest.agg(*[left_to(x).alias(x) for x in MOVE_FEATURES],
+                       F.try_divide(F.sum("rest"), F.sum(F.abs("rest"))).alias("mean"))
+    orthogonal = cosines.select(F.explode(F.create_map(*[
+        e for x in (*MOVE_FEATURES, "mean") for e in (F.lit(x), F.col(x))])).alias("fact", "c")).select(
+        "fact", (F.abs("c") < 1e-6).alias("holds"))
+    return orthogonal.unionByName(_facts(
+        spark, ("beats the mean", _beats_mean(metrics)),
+        ("refuses few rows", spark.range(1).select(F.lit(refused)))))
+
+
+def _tree_fit(spark, d):
+    train, test = _samples(spark, d)
+    model, metrics = ML.fit_lift(train, test, "gbt")
+    return _facts(spark, ("beats the mean", _beats_mean(metrics)), (
+        "importances add up", ML.feature_importances(model).agg(
+            F.abs(F.sum("importance") - 1) < 1e-6)))
 
 
 def _planogram_model(spark, d):
+    """Boosted trees, saved and loaded again: facts that hold whatever the trees are."""
     path = shared_dir(spark)
     data = written(I.with_lift(_features(spark, d)))
-    model, metrics = ML.fit_planogram_lift(data, trees=10)
+    model, metrics = ML.fit_planogram_lift(data)
     ML.save_model(model, path)
-    return ML.feature_importances(ML.load_model(path)).unionByName(
-        metrics.select(F.lit("test mae").alias("feature"), F.col("mae").alias("importance")))
+    loaded = ML.load_model(path)
+    both = ML.predict_planogram_lift(model, data).withColumnRenamed("prediction", "a").select(
+        "product_id", "day", "a").join(ML.predict_planogram_lift(loaded, data).select(
+            "product_id", "day", F.col("prediction").alias("b")), ["product_id", "day"])
+    return _facts(
+        spark, ("beats the mean", _beats_mean(metrics)),
+        ("importances add up", ML.feature_importances(loaded).agg(F.abs(F.sum("importance") - 1) < 1e-6)),
+        ("within the bounds", both.agg((F.min("b") >= LIFT_MIN) & (F.max("b") <= LIFT_MAX))),
+        ("the same after loading", both.agg(F.max(F.abs(F.col("a") - F.col("b"))) == 0)))
 
 
 def _model_layout(spark, d):
-    df = T.planogram(spark, d)
-    model, _ = _lift_model(spark, d)
-    return L.scored_layout(ML.model_scores(model, df)).select(
-        "month_key", "rack_id", "product_id", "shelf_level")
+    """Racks under a layout by model scores: rows kept, no shelf filled beyond its width."""
+    df = written(T.planogram(spark, d))
+    model, _ = ML.fit_lift(*_samples(spark, d), "linear")
+    layout = written(L.scored_layout(ML.model_scores(model, df)))
+    moved = df.select("month_key", "rack_id", "product_id", F.col("shelf_level").alias("_from")).join(
+        layout, ["month_key", "rack_id", "product_id"])
+    received = moved.groupBy("month_key", "rack_id", "shelf_level").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.col("shelf_level") != F.col("_from")).alias("got"),
+        F.sum("product_width_cm").alias("w"))
+    return received.groupBy("month_key", "rack_id").agg(
+        F.sum("n").alias("n_products"),
+        F.max(F.col("got") & (F.col("w") > 300.0001)).alias("overfilled"))
 
 
 def _layout_score(spark, d):
-    model, _ = _lift_model(spark, d)
-    return ML.layout_score(model, T.planogram(spark, d))
+    """Scores of racks, and whether they are the model's formula summed up."""
+    df = written(T.planogram(spark, d))
+    model, _ = ML.fit_lift(*_samples(spark, d), "linear")
+    fitted = model.stages[-1]
+    formula = sum((F.col(c) * float(w) for c, w in zip(MOVE_FEATURES, fitted.coefficients)),
+                  F.lit(float(fitted.intercept)))
+    plain = ML.layout_features(df).groupBy("month_key", "rack_id").agg(
+        F.count(F.lit(1)).alias("n_products"), F.sum(formula).alias("plain"))
+    same = F.abs(F.col("score") - F.col("plain")) <= 1e-6 * (1 + F.abs("plain"))
+    return ML.layout_score(model, df).join(plain, ["month_key", "rack_id"]).select(
+        "month_key", "rack_id", "n_products", same.alias("as_formula"))
 
 
 def _chunks(spark, d):
@@ -280,15 +349,26 @@ def _catalog_csv(spark, d):
 
 
 def _predict(spark, d):
+    """Profit of the base month's racks as it was, and what the optimised layout must keep:
+    shelves that are too full after the repair have got no product."""
     base = written(KB.latest_month(T.planogram(spark, d)))
-    return jobs.predict_month(base, 1).racks.select(
-        "month_key", "rack_id", "category", half_up("orig_profit", 2).alias("orig_profit"),
-        half_up("opt_profit", 2).alias("opt_profit"), half_up("lift", 2).alias("lift"))
+    result = jobs.predict_month(base, 1)
+    keys = ["month_key", "rack_id", "product_id"]
+    moved = base.select(*keys, F.col("shelf_level").alias("_from")).join(result.layout, keys).filter(
+        F.col("_from") != F.col("shelf_level"))
+    spoiled = moved.join(result.violations.select("month_key", "rack_id", "shelf_level"),
+                         ["month_key", "rack_id", "shelf_level"], "left_semi").select(
+        "month_key", "rack_id").distinct().withColumn("_bad", F.lit(True))
+    return result.racks.join(spoiled, ["month_key", "rack_id"], "left").select(
+        "month_key", "rack_id", half_up("orig_profit", 2).alias("orig_profit"),
+        (F.col("opt_profit") > 0).alias("has_profit"),
+        (F.abs(F.col("opt_profit") - F.col("orig_profit") - F.col("lift")) < 1e-6).alias("adds_up"),
+        F.col("_bad").isNotNull().alias("spoiled"))
 
 
 QUERIES = {
-    "m3_f5_fit_lift_linear": _metrics("linear"),
-    "m3_fit_lift_gbt": _metrics("gbt", maxIter=5, maxDepth=4),
+    "m3_f5_fit_lift_linear": _linear_fit,
+    "m3_fit_lift_gbt": _tree_fit,
     "m4_planogram_lift_model": _planogram_model,
     "m5_sequences": _chunks,
     "m7_layout_features": lambda s, d: ML.layout_features(T.planogram(s, d)),
@@ -347,7 +427,22 @@ WINDOW s AS (PARTITION BY month_key, rack_id, shelf_level), r AS (PARTITION BY m
 _TEN = " || '|' || ".join(
     f"printf('%.2f', {S.half_up(f'CAST({c} AS DOUBLE)', 2)})" for c in MOVE_FEATURES)
 
+def _fact_rows(*names: str) -> str:
+    return "SELECT fact, true AS holds FROM (VALUES " + ", ".join(f"('{n}')" for n in names) + ") t(fact)"
+
+
 ORACLES = {
+    "m3_f5_fit_lift_linear": _fact_rows(*MOVE_FEATURES, "mean", "beats the mean", "refuses few rows"),
+    "m3_fit_lift_gbt": _fact_rows("beats the mean", "importances add up"),
+    "m4_planogram_lift_model": _fact_rows("beats the mean", "importances add up", "within the bounds",
+                                          "the same after loading"),
+    "m7_layout_score": S.query("""SELECT month_key, rack_id, count(*) AS n_products, true AS as_formula
+FROM retail GROUP BY 1, 2""", S.PLANOGRAM),
+    "a4_model_layout": S.query("""SELECT month_key, rack_id, count(*) AS n_products, false AS overfilled
+FROM retail GROUP BY 1, 2""", S.PLANOGRAM),
+    "job_predict_month": S.query(f"""SELECT month_key, rack_id, {S.half_up('profit', 2)} AS orig_profit,
+  true AS has_profit, true AS adds_up, false AS spoiled FROM profits""", S.PLANOGRAM, _LATEST,
+                                 S.rack_profit_cte("latest", "month_key, rack_id")),
     "m5_sequences": S.query(f"""SELECT month_key, rack_id, (rn - 1) // 10 AS chunk_id,
   string_agg({_TEN}, ',' ORDER BY product_id) AS rows
 FROM (SELECT *, row_number() OVER (PARTITION BY month_key, rack_id ORDER BY product_id) AS rn FROM features) t
