@@ -122,6 +122,7 @@ def plain_substring(rows, width):
 @pytest.mark.parametrize("flush", [1 << 22, 40])
 def test_substring_dedup(spark, monkeypatch, flush):
     monkeypatch.setattr(substring, "FLUSH", flush)
+    monkeypatch.setattr(substring, "SKETCH_FLUSH", flush)
     got = substring_dedup(clashing(documents(spark)).repartition(3)).collect()
     want = plain_substring([r[:2] for r in awkward_documents()], 13)
     assert sorted(map(tuple, got), key=key) == sorted(want, key=key)

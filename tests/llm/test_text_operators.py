@@ -208,15 +208,17 @@ def plain_rules(rows, limit_docs, limit_percent):
 def test_quality_rules(spark):
     common = "Common Line  of this site\tagain and again with so many words in it"
     rows = [(r[0], r[1], r[3]) for r in awkward_documents() if r[0] not in (14, 15)]
-    rows += [(100 + i, common + "\n" + " ".join(passage(50 + i, 25 if i % 2 else 3)) + "\n"
-              + common.lower() + "\n# a | b <c> & $%*", "site") for i in range(14)]
+    rows += [(100 + i, (common if i % 3 else common.lower()) + "\n"
+              + " ".join(passage(50 + i, 25 if i % 2 else 1)) + "\n# a | <c> &$%*", "site")
+             for i in range(14)]
+    rows += [(200 + i, (common + " more of it ") * 2, "site") for i in range(3)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
     got = quality_rules(clashing(df).drop("host"), limit_docs=10, limit_percent=10).collect()
     want = plain_rules(rows, 10, 10)
     assert sorted((tuple(r)[:9] for r in got), key=key) == sorted(want, key=key)
     assert {r.kept for r in got if (r.doc_id or 0) >= 100} == {True, False}
     left = {r.doc_id: r.left_text for r in got}
-    assert common not in left[101] and "# a | b" in left[101]
+    assert left[101] == " ".join(passage(51, 25))
     assert quality_rules(documents(spark, [])).collect() == []
 
 
