@@ -71,6 +71,12 @@ MONTH_NAMES = (
     "january", "february", "march", "april", "may", "june", "july",
     "august", "september", "october", "november", "december",
 )
+# --- fixed values: labels of a category's monthly line, in order ---------------
+SUMMARY_LABELS = (
+    "Category: ", " | Month: ", " | Products: ", " | Total sales: ",
+    " units | Avg sales/product: ", " | Avg price: €", " | Avg margin: ",
+    "% | Avg width: ", "cm | Shelf distribution: [", "] | Top sellers: ",
+)
 PLANOGRAM_COLUMNS = (
     "Category", "name", "subtitle", "price", "discount_price",
     "price_numeric", "discount_price_numeric",

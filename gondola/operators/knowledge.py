@@ -72,17 +72,12 @@ def category_documents(df: DataFrame, key: str = "product_id") -> DataFrame:
         "_top", lambda t: F.concat(t["name"], F.lit(" ("), t["units"].cast("string"),
                                    F.lit(" units)"))), ", ")
     month = F.concat(F.substring("month_key", 6, 2), F.lit("/"), F.substring("month_key", 1, 4))
-    document = F.concat(
-        F.lit("Category: "), F.col("category"),
-        F.lit(" | Month: "), month,
-        F.lit(" | Products: "), F.col("n_products").cast("string"),
-        F.lit(" | Total sales: "), _fixed("total_sales", 0),
-        F.lit(" units | Avg sales/product: "), _fixed("avg_sales", 0),
-        F.lit(" | Avg price: €"), _fixed("avg_price", 2),
-        F.lit(" | Avg margin: "), _fixed("avg_margin", 1),
-        F.lit("% | Avg width: "), _fixed("avg_width", 1),
-        F.lit("cm | Shelf distribution: ["), shelf_text,
-        F.lit("] | Top sellers: "), top_text)
+    values = (
+        F.col("category"), month, F.col("n_products").cast("string"), _fixed("total_sales", 0),
+        _fixed("avg_sales", 0), _fixed("avg_price", 2), _fixed("avg_margin", 1),
+        _fixed("avg_width", 1), shelf_text, top_text)
+    document = F.concat(*[part for label, value in zip(K.SUMMARY_LABELS, values)
+                          for part in (F.lit(label), value)])
     return (summary.join(sellers, list(_KEYS))
             .withColumn("document", document).drop("_shelves", "_top"))
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -44,18 +47,27 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8,
     return tune(spark)
 
 
+@functools.cache
+def _local_dir() -> str:
+    """A temporary folder of this process, removed at its end."""
+    path = tempfile.mkdtemp(prefix="gondola-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder for written tables, below the cluster's shared folder.
 
     ``spark.checkpoint.dir`` names the shared folder. Only where it is unset,
-    as in local tests, a temporary folder stands in for it.
+    as in local tests, a temporary folder stands in for it. Results read from such tables
+    until they are used, so they stay; the folder's owner clears it between jobs.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all "
                              "executors share")
-        base = tempfile.mkdtemp(prefix="gondola-")
+        base = _local_dir()
     return os.path.join(base, f"gondola-{uuid.uuid4().hex}")
 
 

@@ -2,11 +2,12 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from gondola.functions import physics as P
-from gondola.operators import layout as L, profit as R, whatif as W
+from gondola.operators import layout as L, profit as R, walk, whatif as W
 from tests import racks as X
 
 ROWS = X.random_rows(25, (1, 2, 7, 30, 60), seed=3)
@@ -53,6 +54,13 @@ def test_rack_profit(df):
         assert got[rack] == pytest.approx(X.profit(products), rel=1e-12)
 
 
+def test_the_walk_rates_a_rack_as_the_operator_does(df):
+    want = {r["rack_id"]: r["profit"] for r in R.rack_profit(df).collect()}
+    for r in W.rack_state(df).collect():
+        n, w, v = (np.array(r[c], dtype=float) for c in ("shelf_n", "shelf_w", "shelf_v"))
+        assert walk._profits(n, w, v) == pytest.approx(want[r["rack_id"]], rel=1e-12)
+
+
 def test_rack_profit_of_nothing_has_no_rows(df):
     assert R.rack_profit(df.limit(0)).count() == 0
 
