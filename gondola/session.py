@@ -22,6 +22,9 @@ SETTINGS = {
     # the default of 1,000 would turn the map-side limit off.
     "spark.sql.optimizer.windowGroupLimitThreshold": "4096",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Rows may hold long texts: batches for Python workers are cut by rows and by bytes.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
 
