@@ -17,20 +17,19 @@ import string
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import NO_ID, key_of, pick, saved, small
+from .common import NO_ID, ascii_lower, key_of, pick, saved, small, split_words
 
 WINDOW = 10
 SLOP = 1
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Characters between words, once A-Z are lower-cased.
+BETWEEN = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
 #: No word; its posting holds a document's number of words.
 END = " "
 
 
 def words(text: str) -> Column:
     """Words of a text column, A-Z lower-cased; none for null."""
-    lowered = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
-    return F.coalesce(F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0)),
-                      F.array().cast("array<string>"))
+    return split_words(ascii_lower(text), BETWEEN)
 
 
 def item_windows(items: DataFrame, width: int, item_id: str, text: str) -> DataFrame:
