@@ -21,7 +21,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F
 
 from .common import key_of, pick, word_chunks, word_hashes
 
@@ -32,10 +33,10 @@ ROWS = 2
 CELLS_PER_BYTE = 0.3125
 #: Largest size of the merged sketch.
 SKETCH_MB = 128
-#: Cells that one merge step holds together; a position in them is two bytes.
+#: Cells that one merge step holds together.
 SEGMENT = 1 << 16
-#: Windows a task gathers before it sends them on.
-FLUSH = 1 << 22
+#: Windows a task gathers before it sends them on: for the sketch, and to be grouped.
+SKETCH_FLUSH, FLUSH = 1 << 21, 1 << 18
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MUL2 = np.uint64(0xD6E8FEB86659FD93)
@@ -74,40 +75,71 @@ def _cells(h: np.ndarray, segments: int) -> list[np.ndarray]:
     """Cell of every hash in each sketch row, rows one after the other."""
     width = np.uint64(segments * SEGMENT)
     low, bits = np.uint64(0xFFFFFFFF), np.uint64(32)
-    return [((h >> bits) * width) >> bits, width + (((h & low) * width) >> bits)]
+    return [((part * width) >> bits) + width * np.uint64(row)
+            for row, part in enumerate((h >> bits, h & low))]
 
 
-def _binary(cells: np.ndarray, segments: int) -> pa.Array:
-    """Sorted cells as one binary value per segment, two bytes a cell."""
-    bounds = np.searchsorted(cells, np.arange(segments + 1, dtype=np.uint64) * np.uint64(SEGMENT))
-    places = (cells & np.uint64(SEGMENT - 1)).astype("<u2")
+def _packed(cells: np.ndarray, segments: int, wide: bool) -> pa.Array:
+    """Sorted distinct cells as one binary value per segment.
+
+    Wide: two bytes per place. Else a byte per gap from the place before, where 255
+    means 255 further and no place yet.
+    """
+    starts = np.arange(segments + 1, dtype=np.uint64) * np.uint64(SEGMENT)
+    bounds = np.searchsorted(cells, starts)
+    places = (cells & np.uint64(SEGMENT - 1)).astype(np.int64)
+    if wide:
+        ends, data = bounds * 2, places.astype("<u2")
+    else:
+        gaps = places.copy()
+        gaps[1:] -= places[:-1]
+        first = bounds[:-1][bounds[:-1] < bounds[1:]]
+        gaps[first] = places[first]
+        ends = np.concatenate(([0], np.cumsum(gaps // 255 + 1)))
+        data = np.full(ends[-1], 255, np.uint8)
+        data[ends[1:] - 1] = gaps % 255
+        ends = ends[bounds]
     return pa.Array.from_buffers(pa.binary(), segments, [
-        None, pa.py_buffer((bounds * 2).astype(np.int32)), pa.py_buffer(places)])
+        None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+
+
+def _places(packed: bytes, wide: bool) -> np.ndarray:
+    if wide:
+        return np.frombuffer(packed, "<u2")
+    gaps = np.frombuffer(packed, np.uint8)
+    return np.cumsum(gaps, dtype=np.int64)[gaps != 255]
 
 
 def _sketches(width: int, segments: int):
-    """Arrow function: sparse sketch segments of a task's windows."""
-    def flushed(gathered: list[np.ndarray]) -> pa.RecordBatch:
-        cells = np.sort(np.concatenate(_cells(np.concatenate(gathered), segments)))
-        again = np.zeros(len(cells), bool)
-        again[1:] = cells[1:] == cells[:-1]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(ROWS * segments, dtype=np.int32)),
-             _binary(cells[~again], ROWS * segments),
-             _binary(cells[again], ROWS * segments)], names=["segment", "seen", "again"])
+    """Arrow function: sparse sketch segments of a task's windows, one count a document."""
+    def flushed(gathered: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        h = np.concatenate(gathered)
+        for row in range(ROWS):
+            cells = _cells(h, segments)[row] - np.uint64(row * segments * SEGMENT)
+            cells.sort()
+            first = np.ones(len(cells), bool)
+            first[1:] = cells[1:] != cells[:-1]
+            many = np.diff(np.append(np.flatnonzero(first), len(cells))) > 1
+            cells = cells[first]
+            wide = len(cells) * 512 < segments * SEGMENT
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(row * segments, (row + 1) * segments, dtype=np.int32)),
+                 pa.array(np.full(segments, wide)), _packed(cells[~many], segments, wide),
+                 _packed(cells[many], segments, wide)],
+                names=["segment", "wide", "seen", "again"])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered, n = [], 0
         for batch in batches:
             for text in batch.column(0):
-                h, _, _ = window_hashes(text.as_py(), width)
+                h = np.unique(window_hashes(text.as_py(), width)[0])
                 gathered.append(h)
                 n += len(h)
-                if n >= FLUSH:
-                    yield flushed(gathered)
+                if n >= SKETCH_FLUSH:
+                    yield from flushed(gathered)
                     gathered, n = [], 0
         if n:
-            yield flushed(gathered)
+            yield from flushed(gathered)
 
     return build
 
@@ -116,42 +148,57 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Add the sparse segments of all tasks; a bit per cell that counts two or more."""
     counts: dict[int, np.ndarray] = {}
     for batch in batches:
-        for segment, seen, again in zip(*(c.to_pylist() for c in batch.columns)):
+        for segment, wide, seen, again in zip(*(c.to_pylist() for c in batch.columns)):
             cells = counts.setdefault(segment, np.zeros(SEGMENT, np.uint8))
-            at = np.frombuffer(seen, "<u2")
+            at = _places(seen, wide)
             cells[at] = np.minimum(cells[at] + 1, 2)
-            cells[np.frombuffer(again, "<u2")] = 2
+            cells[_places(again, wide)] = 2
     for segment, cells in counts.items():
         yield pa.RecordBatch.from_arrays(
             [pa.array([segment], pa.int32()), pa.array([np.packbits(cells == 2).tobytes()])],
             names=["segment", "bits"])
 
 
-def repeated_sketch(texts: DataFrame, width: int, sketch_mb: int) -> np.ndarray:
+def repeated_sketch(texts: DataFrame, n_bytes: int, width: int, sketch_mb: int,
+                    tasks: int) -> np.ndarray:
     """Bits of the merged sketch: is a cell's count two or more?"""
-    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     most = (sketch_mb << 20) * 8 // (ROWS * SEGMENT)
     segments = max(1, min(most, int(n_bytes * CELLS_PER_BYTE) // SEGMENT + 1))
     parts = texts.mapInArrow(_sketches(width, segments),
-                             "segment int, seen binary, again binary")
-    tasks = max(8, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+                             "segment int, wide boolean, seen binary, again binary")
     rows = (parts.filter((F.length("seen") > 0) | (F.length("again") > 0))
-            .repartition(tasks, "segment").mapInArrow(_merged, "segment int, bits binary"))
+            .repartitionById(tasks, "segment").mapInArrow(_merged, "segment int, bits binary"))
     bits = np.zeros((ROWS * segments, SEGMENT // 8), np.uint8)
     for segment, packed in rows.collect():  # at most sketch_mb
         bits[segment] = np.frombuffer(packed, np.uint8)
     return bits
 
 
-def _occurrences(width: int, sketch):
+def _planes(values: np.ndarray) -> bytes:
+    """The values' 16-bit digits, digit by digit: high digits are zeros that compress."""
+    digits = np.ascontiguousarray(values).view("<u2").reshape(len(values), -1)
+    return digits.T.tobytes()
+
+
+def _whole(planes: bytes, kind: str) -> np.ndarray:
+    digits = np.frombuffer(planes, "<u2").reshape(np.dtype(kind).itemsize // 2, -1)
+    return np.ascontiguousarray(digits.T).view(kind).reshape(-1)
+
+
+_PACKED = pa.schema([("part", pa.int32()), ("h1", pa.binary()), ("h2", pa.binary()),
+                     ("pos", pa.binary()), ("ids", pa.binary()), ("ths", pa.binary()),
+                     ("counts", pa.binary()), ("_id", pa.int64()), ("_th", pa.int64()),
+                     ("known", pa.binary())])
+_PACKED_SQL = ("part int, h1 binary, h2 binary, pos binary, ids binary, ths binary, "
+               "counts binary, _id bigint, _th bigint, known binary")
+
+
+def _occurrences(width: int, sketch, parts: int):
     """Arrow function: windows estimated repeated, or later copies known by the task.
 
-    A row with ``known`` holds the positions of later copies in one document, under a
-    random hash; the others are one window each.
+    Windows go on in blocks, one per ``part`` of the hashes; a row with ``known`` has the
+    positions of later copies in one document.
     """
-    schema = pa.schema([("h1", pa.int64()), ("h2", pa.int32()), ("_id", pa.int64()),
-                        ("_th", pa.int64()), ("pos", pa.int32()), ("known", pa.binary())])
-
     def estimated(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
         flat, passes = bits.reshape(-1), np.ones(len(h), bool)
         for cells in _cells(h, bits.shape[0] // ROWS):
@@ -159,35 +206,47 @@ def _occurrences(width: int, sketch):
             passes &= (byte >> (7 - (cells & np.uint64(7)).astype(np.uint8))) & 1 == 1
         return passes
 
-    def flushed(gathered: list) -> Iterator[pa.RecordBatch]:
-        h1, h2, pos = (np.concatenate([g[k] for g in gathered]) for k in range(3))
-        rows = np.repeat(np.arange(len(gathered)), [len(g[0]) for g in gathered])
-        ids = np.array([g[3] for g in gathered], np.int64)
-        texts = np.array([g[4] for g in gathered], np.int64)
-        order = np.lexsort((ids[rows], h2, h1))
-        h1, h2, pos, rows = h1[order], h2[order], pos[order], rows[order]
+    def block(part: int, h1, h2, pos, ids, ths) -> tuple:
         starts = np.ones(len(h1), bool)
-        starts[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-        group = np.cumsum(starts) - 1
-        later = ids[rows] > ids[rows[np.flatnonzero(starts)]][group]
-        ask = ~later
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(h1[ask].view(np.int64)), pa.array(h2[ask].view(np.int32)),
-             pa.array(ids[rows[ask]]), pa.array(texts[rows[ask]]),
-             pa.array(pos[ask]), pa.nulls(int(ask.sum()), pa.binary())], schema=schema)
-        known, places = rows[later], pos[later]
-        order = np.argsort(known, kind="stable")
-        known, places = known[order], places[order].astype("<i4")
-        doc, first = np.unique(known, return_index=True)
-        if len(doc):
-            bounds = np.append(first, len(known)) * 4
-            spread = _mixed(texts[doc].view(np.uint64) * _MUL + ids[doc].view(np.uint64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(spread.view(np.int64)), pa.array(np.zeros(len(doc), np.int32)),
-                 pa.array(ids[doc]), pa.array(texts[doc]), pa.nulls(len(doc), pa.int32()),
-                 pa.Array.from_buffers(pa.binary(), len(doc), [
-                     None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(places)])],
-                schema=schema)
+        starts[1:] = (ids[1:] != ids[:-1]) | (ths[1:] != ths[:-1])
+        first = np.flatnonzero(starts)
+        counts = np.diff(np.append(first, len(h1))).astype("<u4")
+        # Ids ascend within a block, so their differences are small.
+        gaps = np.diff(ids[first], prepend=np.int64(0)).astype("<i8")
+        return (part, h1.astype("<u8").tobytes(), h2.astype("<u4").tobytes(), _planes(pos),
+                _planes(gaps), ths[first].astype("<i8").tobytes(), _planes(counts),
+                None, None, None)
+
+    def flushed(gathered: list) -> pa.RecordBatch:
+        h1, h2, pos = (np.concatenate([g[k] for g in gathered]) for k in range(3))
+        sizes = [len(g[0]) for g in gathered]
+        ids = np.repeat(np.array([g[3] for g in gathered], np.int64), sizes)
+        ths = np.repeat(np.array([g[4] for g in gathered], np.int64), sizes)
+        order = np.lexsort((ids, h2, h1))
+        starts = np.ones(len(order), bool)
+        a, b = order[1:], order[:-1]
+        starts[1:] = (h1[a] != h1[b]) | (h2[a] != h2[b])
+        least = ids[order[np.flatnonzero(starts)]][np.cumsum(starts) - 1]
+        later = np.zeros(len(order), bool)
+        later[order] = ids[order] > least
+        part = (h1 % np.uint64(parts)).astype(np.int64)
+        ask = np.flatnonzero(~later)
+        ask = ask[np.lexsort((pos[ask], ths[ask], ids[ask], part[ask]))]
+        rows = []
+        if len(ask):
+            for at in np.split(ask, np.flatnonzero(np.diff(part[ask])) + 1):
+                rows.append(block(int(part[at[0]]), *(x[at] for x in (h1, h2, pos, ids, ths))))
+        known = np.flatnonzero(later)
+        known = known[np.lexsort((ths[known], ids[known]))]
+        if len(known):
+            change = (np.diff(ids[known]) != 0) | (np.diff(ths[known]) != 0)
+            for at in np.split(known, np.flatnonzero(change) + 1):
+                one = at[0]
+                rows.append((int(part[one]), *[None] * 6, int(ids[one]), int(ths[one]),
+                             pos[at].astype("<i4").tobytes()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[k] for r in rows], field.type) for k, field in enumerate(_PACKED)],
+            schema=_PACKED)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, gathered, n = sketch.value, [], 0
@@ -196,32 +255,83 @@ def _occurrences(width: int, sketch):
                 h1, h2, _ = window_hashes(batch.column(2)[i].as_py(), width)
                 at = np.flatnonzero(estimated(h1, bits))
                 if len(at):
-                    gathered.append((h1[at], h2[at], at.astype(np.int32),
+                    gathered.append((h1[at], h2[at], at.astype(np.uint32),
                                      batch.column(0)[i].as_py(), batch.column(1)[i].as_py()))
                     n += len(at)
                 if n >= FLUSH:
-                    yield from flushed(gathered)
+                    yield flushed(gathered)
                     gathered, n = [], 0
         if n:
-            yield from flushed(gathered)
+            yield flushed(gathered)
 
     return find
 
 
+_ROWS = pa.schema([("h1", pa.int64()), ("h2", pa.int32()), ("_id", pa.int64()),
+                   ("_th", pa.int64()), ("pos", pa.int32()), ("known", pa.binary())])
+_ROWS_SQL = "h1 bigint, h2 int, _id bigint, _th bigint, pos int, known binary"
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per window of the blocks; rows of known positions as they are."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["known"] is not None:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row.get(f.name) if f.name in ("_id", "_th", "known") else None],
+                              f.type) for f in _ROWS], schema=_ROWS)
+                continue
+            counts = _whole(row["counts"], "<u4")
+            h1 = np.frombuffer(row["h1"], "<i8")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h1), pa.array(np.frombuffer(row["h2"], "<i4")),
+                 pa.array(np.repeat(np.cumsum(_whole(row["ids"], "<i8")), counts)),
+                 pa.array(np.repeat(np.frombuffer(row["ths"], "<i8"), counts)),
+                 pa.array(_whole(row["pos"], "<u4").astype(np.int32)),
+                 pa.nulls(len(h1), pa.binary())], schema=_ROWS)
+
+
+def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by window and id, those whose id isn't the window's smallest."""
+    last, least = None, 0
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        known = table.filter(pc.is_valid(table["known"]))
+        if known.num_rows:
+            yield from known.select(["_id", "_th", "pos", "known"]).to_batches()
+        table = table.filter(pc.is_null(table["known"]))
+        if not table.num_rows:
+            continue
+        h1, h2, ids = (table[c].to_numpy() for c in ("h1", "h2", "_id"))
+        starts = np.ones(len(h1), bool)
+        starts[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+        starts[0] = last != (h1[0], h2[0])
+        of = np.concatenate(([least], ids[starts]))[np.cumsum(starts)]
+        last, least = (h1[-1], h2[-1]), of[-1]
+        found = table.filter(pa.array(ids > of)).select(["_id", "_th", "pos", "known"])
+        yield from found.to_batches()
+
+
 def later_copies(keyed: DataFrame, width: int, sketch_mb: int) -> DataFrame:
-    """``_id, _th`` and the packed start positions of windows a smaller id also has."""
-    sketch = keyed.sparkSession.sparkContext.broadcast(
-        repeated_sketch(keyed.select("text"), width, sketch_mb))
-    found = (keyed.select("_id", "_th", "text").mapInArrow(
-        _occurrences(width, sketch),
-        "h1 bigint, h2 int, _id bigint, _th bigint, pos int, known binary"))
-    # Rows of one window: at most one task's smallest document each.
-    least = F.min(F.when(F.col("known").isNull(), F.col("_id"))).over(
-        Window.partitionBy("h1", "h2"))
-    return (found.withColumn("least", least)
-            .filter(F.col("known").isNotNull() | (F.col("_id") > F.col("least")))
-            .groupBy("_id", "_th")
-            .agg(F.collect_list("pos").alias("starts"), F.collect_list("known").alias("known")))
+    """``_id, _th`` and the start positions of windows that a smaller id also has."""
+    spark = keyed.sparkSession
+    sums = (keyed.groupBy("_id").agg(F.sum(F.octet_length("text")).alias("n"),
+                                     (F.min("_th") != F.max("_th")).alias("again"))
+            .agg(F.sum("n").alias("n"), F.max("again").alias("again")).first())
+    # Where no id has two texts, its text's hash says nothing more.
+    texts = keyed.select("_id", (F.col("_th") if sums["again"] else
+                                 F.lit(0).cast("bigint")).alias("_th"), "text")
+    tasks = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sketch = spark.sparkContext.broadcast(
+        repeated_sketch(texts.select("text"), sums["n"] or 0, width, sketch_mb, tasks))
+    blocks = texts.mapInArrow(_occurrences(width, sketch, tasks), _PACKED_SQL)
+    # Rows of one window: at most one task's smallest document each. The sort spills.
+    found = (blocks.repartitionById(tasks, "part").mapInArrow(_unpacked, _ROWS_SQL)
+             .sortWithinPartitions("h1", "h2", "_id")
+             .mapInArrow(_later, "_id bigint, _th bigint, pos int, known binary"))
+    copies = found.groupBy("_id", "_th").agg(
+        F.collect_list("pos").alias("starts"), F.collect_list("known").alias("known"))
+    return copies if sums["again"] else copies.drop("_th")
 
 
 def covered(n_words: int, starts: np.ndarray, width: int) -> np.ndarray:
@@ -286,7 +396,8 @@ def substring_dedup(docs: DataFrame, width: int = WINDOW, doc_id: str = "doc_id"
     """
     rows = pick(docs, doc_id=doc_id, text=text).withColumns(key_of())
     copies = later_copies(rows.filter(F.col("doc_id").isNotNull()), width, sketch_mb)
-    joined = rows.join(copies, ["_id", "_th"], "left").select("doc_id", "text", "starts", "known")
+    keys = [c for c in ("_id", "_th") if c in copies.columns]
+    joined = rows.join(copies, keys, "left").select("doc_id", "text", "starts", "known")
     kind = rows.schema["doc_id"].dataType.simpleString()
     return joined.mapInArrow(
         _kept(width, with_text), f"doc_id {kind}, n_words bigint, n_removed bigint, "
