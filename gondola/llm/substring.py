@@ -36,7 +36,7 @@ SKETCH_MB = 128
 #: Cells that one merge step holds together.
 SEGMENT = 1 << 16
 #: Windows a task gathers before it sends them on: for the sketch, and to be grouped.
-SKETCH_FLUSH, FLUSH = 1 << 21, 1 << 18
+SKETCH_FLUSH, FLUSH = 3 << 20, 1 << 18
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MUL2 = np.uint64(0xD6E8FEB86659FD93)
@@ -242,7 +242,8 @@ def _occurrences(width: int, sketch, parts: int):
             change = (np.diff(ids[known]) != 0) | (np.diff(ths[known]) != 0)
             for at in np.split(known, np.flatnonzero(change) + 1):
                 one = at[0]
-                rows.append((int(part[one]), *[None] * 6, int(ids[one]), int(ths[one]),
+                # By document: copies share their windows, and thus the windows' part.
+                rows.append((int(ids[one] % parts), *[None] * 6, int(ids[one]), int(ths[one]),
                              pos[at].astype("<i4").tobytes()))
         return pa.RecordBatch.from_arrays(
             [pa.array([r[k] for r in rows], field.type) for k, field in enumerate(_PACKED)],
