@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import constants as K
 from ..functions import physics as P
 from ..functions.numbers import uniform
-from ..session import written
 from .profit import shelf_values
 from .ranking import block_offsets, numbered_blocks, ordered_blocks, row_numbers
 
@@ -123,7 +122,7 @@ def training_samples(df: DataFrame, samples: Sequence[tuple[str, int, int]],
     offsets = block_offsets(pool, rack_keys)
     sizes = (offsets.groupBy(*rack_keys).agg(F.sum("_n").alias("_size"))
              .filter(F.col("_size") >= min_products))
-    racks = written(row_numbers(sizes, [], rack_keys, name="_rack_no"))
+    racks = row_numbers(sizes, [], rack_keys, name="_rack_no")
     n_racks = racks.agg(F.count(F.lit(1))).scalar()
 
     def draws(sample: str, n: int, seed: int) -> DataFrame:
