@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate as decontamination, linededup, mixing, rules, warc
+from . import decontaminate as decontamination, linededup, mixing, rules, substring as substrings, warc
 from .decontaminate import decontaminate
 from .linededup import line_dedup
 from .mixing import mix_sources
@@ -90,6 +90,7 @@ QUERIES = {
 
 ORACLES = {
     "op3_warc": warc.ORACLE,
+    "op4_substring_dedup": substrings.ORACLE,
     "op5_quality_rules": rules.ORACLE,
     "op7_mix_sources": mixing.oracle(MIX_ENTROPY),
     "op8_line_dedup": linededup.ORACLE,

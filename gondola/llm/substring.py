@@ -403,3 +403,23 @@ def substring_dedup(docs: DataFrame, width: int = WINDOW, doc_id: str = "doc_id"
     return joined.mapInArrow(
         _kept(width, with_text), f"doc_id {kind}, n_words bigint, n_removed bigint, "
         "kept_sha256 string, kept_text string")
+
+
+ORACLE = rf"""
+WITH texts AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+windows AS (
+  SELECT doc_id, k, w[k:k + {WINDOW - 1}] AS win FROM (
+    SELECT doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS k FROM texts WHERE len(w) >= {WINDOW})),
+later AS (
+  SELECT doc_id, k FROM windows QUALIFY doc_id > min(doc_id) OVER (PARTITION BY win)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(k, k + {WINDOW})) AS p FROM later),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM texts),
+kept AS (
+  SELECT w.doc_id, count(g.p) AS n_removed,
+         coalesce(string_agg(word, ' ' ORDER BY w.p) FILTER (WHERE g.p IS NULL), '') AS kept
+  FROM words w LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.p = w.p GROUP BY w.doc_id)
+SELECT t.doc_id, len(t.w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON k.doc_id = t.doc_id
+"""
