@@ -37,8 +37,9 @@ def without_later_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each SimHash component."""
-    return one_per_component(docs, shingle=3, max_bits=2)
+    """The document with the smallest id of each SimHash component, one without an id
+    where none has any."""
+    return one_per_component(docs, shingle=3, max_bits=2, one_per_id=False)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

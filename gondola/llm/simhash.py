@@ -27,9 +27,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import NO_ID, pick, position, saved, word_chunks
+from .common import NO_ID, key_of, pick, position, saved, word_chunks
 from .components import component_labels
 
 BITS = 64
@@ -65,16 +65,19 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, doc_id: str = "doc_id",
-                 text: str = "text") -> DataFrame:
-    """``doc_id`` and signed ``fp`` of every row; null and wordless texts get 0."""
+                 text: str = "text", *more: str) -> DataFrame:
+    """``doc_id``, signed ``fp`` and the bigints ``more`` of every row; null and wordless
+    texts get 0."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints, pa.int64())], names=["doc_id", "fp"])
+                [batch.column(0), pa.array(prints, pa.int64()), *batch.columns[2:]],
+                names=["doc_id", "fp", *more])
 
-    rows = pick(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("bigint"), "text")
-    return rows.mapInArrow(of, "doc_id bigint, fp bigint")
+    rows = pick(docs, doc_id=doc_id, text=text, **{c: c for c in more}).select(
+        F.col("doc_id").cast("bigint"), "text", *more)
+    return rows.mapInArrow(of, ", ".join(f"{c} bigint" for c in ("doc_id", "fp", *more)))
 
 
 def _masks(max_bits: int) -> list[int]:
@@ -133,6 +136,13 @@ def links(prints: DataFrame, max_bits: int = 2, bucket_rows: int = BUCKET_ROWS)
     return pairs.unionByName(stars).distinct()
 
 
+def labels(prints: DataFrame, max_bits: int = 2, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``fp, label`` of distinct fingerprints ``fp``: one label per component."""
+    prints = saved(prints.select("fp"))
+    linked = component_labels(saved(links(prints, max_bits, bucket_rows))).toDF("fp", "label")
+    return prints.join(linked, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+
+
 def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
                        doc_id: str = "doc_id", text: str = "text",
                        bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -148,10 +158,7 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
     """
     prints = saved(fingerprints(docs, shingle, doc_id, text))
     classes = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
-    edges = saved(links(classes, max_bits, bucket_rows))
-    labels = component_labels(edges).toDF("fp", "label")
-    labelled = classes.join(labels, "fp", "left").withColumn(
-        "label", F.coalesce("label", "fp"))
+    labelled = classes.join(labels(classes, max_bits, bucket_rows), "fp")
     ids = labelled.groupBy("label").agg(F.min("least_id").alias("component_id"))
     component = labelled.join(ids, "label").select("fp", "component_id")
     return prints.join(component, "fp").select(
@@ -159,20 +166,27 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
 
 
 def one_per_component(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
-                      doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+                      doc_id: str = "doc_id", text: str = "text",
+                      one_per_id: bool = True) -> DataFrame:
     """``docs`` with all its columns, of each component the row with the smallest id.
 
-    Of rows with that id one stays. Rows without an id stay only where their component
-    has no id at all, and then one of all such rows.
+    Null ids come after all others; of equal ids the lowest text hash stays, and of rows
+    that repeat with the same id and text one. So every component keeps one row, also
+    where it has no id. With ``one_per_id`` an id that is the smallest of several
+    components, through different texts, stays with one of them only.
     """
     names = [f"_c{i}" for i in range(len(docs.columns))]
-    plain = docs.toDF(*names)
     at_id, at_text = (names[position(docs, c)] for c in (doc_id, text))
-    found = simhash_components(plain, shingle, max_bits, at_id, at_text)
-    keep = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id")).distinct())
-    rows = plain.withColumn("_id", F.coalesce(F.col(at_id).cast("bigint"), F.lit(NO_ID)))
-    # Rows of one id: as many as the table repeats it.
-    first = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64(at_text)))
-    return (rows.join(keep, "_id", "left_semi").withColumn("_nth", first)
-            .filter("_nth = 1").select(*names).toDF(*docs.columns))
+    rows = docs.toDF(*names).withColumns(key_of(at_id, at_text))
+    prints = saved(fingerprints(rows, shingle, "_id", at_text, "_th"))
+    labelled = labels(prints.select("fp").distinct(), max_bits)
+    keep = (prints.join(labelled, "fp").groupBy("label")
+            .agg(F.min(F.struct((F.col("doc_id") == NO_ID).alias("without"),
+                                F.col("doc_id").alias("_id"), "_th")).alias("x"))
+            .select("x._id", "x._th"))
+    if one_per_id:
+        keep = (keep.groupBy("_id", F.when(F.col("_id") == NO_ID, F.col("_th")).alias("_own"))
+                .agg(F.min("_th").alias("_th")).drop("_own"))
+    # Repeated rows are reduced before they are dealt out, so they don't meet in one task.
+    return (rows.dropDuplicates(["_id", "_th"]).join(keep, ["_id", "_th"], "left_semi")
+            .select(*names).toDF(*docs.columns))

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
+import corpus_pipeline
 from gondola.llm import common, simhash, substring
 from gondola.llm.components import component_labels
 from gondola.llm.linededup import documents_without_later_lines, line_dedup
@@ -100,6 +101,24 @@ def test_one_per_component(spark):
     assert one_per_component(documents(spark, [])).collect() == []
 
 
+def test_rows_without_ids_keep_their_components(spark):
+    """Rows are chosen by component, not by id: null and repeated ids lose nothing else."""
+    texts = [" ".join(passage(s)) for s in range(60, 66)]
+    rows = [(None, texts[0]), (None, texts[0]), (None, texts[1]), (None, texts[2]), (5, texts[2]),
+            (7, texts[3]), (7, texts[4]), (8, texts[4]), (7, texts[3]), (6, texts[5]), (9, texts[5])]
+    df = documents(spark, [(i, t, "en", "s", 0) for i, t in rows])
+    kept = one_per_component(df, one_per_id=False).collect()
+    want = [(None, texts[0]), (None, texts[1]), (5, texts[2]), (7, texts[3]), (7, texts[4]),
+            (6, texts[5])]
+    assert sorted((r[:2] for r in kept), key=key) == sorted(want, key=key)
+    once = [r[:2] for r in one_per_component(df).collect()]
+    assert set(once) < set(want) and sorted(i for i, _ in once if i) == [5, 6, 7]
+    assert {t for i, t in once if i is None} == set(texts[:2])
+    group = dict(corpus_pipeline.STAGES)["simhash near-dedup"]
+    staged = group(spark, df, "").collect()
+    assert sorted((r[:2] for r in staged), key=key) == sorted(want, key=key)
+
+
 def plain_substring(rows, width):
     first = {}
     split = [(d, WORD.findall(t or "")) for d, t in rows]
