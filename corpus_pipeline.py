@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gondola.llm.common import NO_ID, position, saved
+from gondola.llm.common import key_of, position, saved
 from gondola.llm.decontaminate import decontaminate
 from gondola.llm.linededup import documents_without_later_lines
 from gondola.llm.mixing import mix_sources
@@ -45,16 +45,15 @@ def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no ten-word window of a benchmark item occurs.
 
-    Rows that share an id go together.
+    Every text is judged by itself, also where ids are null or repeat.
     """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate(docs, items, width=10, slop=0)
-    hit = (found.filter("contaminated")
-           .select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id")).distinct())
+    found = decontaminate(docs, items, width=10, slop=0, with_key=True)
+    hit = found.filter("contaminated").select("_id", "_th").distinct()
     names = [f"_c{i}" for i in range(len(docs.columns))]
-    at = names[position(docs, "doc_id")]
-    rows = docs.toDF(*names).withColumn("_id", F.coalesce(F.col(at).cast("bigint"), F.lit(NO_ID)))
-    return rows.join(hit, "_id", "left_anti").select(*names).toDF(*docs.columns)
+    at_id, at_text = (names[position(docs, c)] for c in ("doc_id", "text"))
+    rows = docs.toDF(*names).withColumns(key_of(at_id, at_text))
+    return rows.join(hit, ["_id", "_th"], "left_anti").select(*names).toDF(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

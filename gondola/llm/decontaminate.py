@@ -123,7 +123,7 @@ def _n_covered(spans: Column) -> Column:
 
 def decontaminate(docs: DataFrame, items: DataFrame, width: int = WINDOW, slop: int = SLOP,
                   doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-                  item_text: str = "text") -> DataFrame:
+                  item_text: str = "text", with_key: bool = False) -> DataFrame:
     """What of the benchmark every row has, one row per input row.
 
     ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near``: words
@@ -135,6 +135,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = WINDOW, slop:
     windows. Rows that repeat get the same result each. Null item ids count as one
     item with an empty id; null document ids stay null (as does the smallest bigint).
     Without items nothing is contaminated; an empty table gives an empty result.
+    ``with_key`` adds ``_id`` and ``_th``, the ``key_of`` a row, which tells rows apart
+    whose ids are null or repeat.
     """
     windows = saved(item_windows(items, width, item_id, item_text))
     vocabulary = saved(
@@ -167,7 +169,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = WINDOW, slop:
         F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")).cast("binary"), 256)
         .alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
-        F.coalesce("n_near", F.lit(0)).alias("n_near"))
+        F.coalesce("n_near", F.lit(0)).alias("n_near"),
+        *(["_id", "_th"] if with_key else []))
 
 
 ORACLE = rf"""

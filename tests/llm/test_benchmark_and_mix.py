@@ -187,6 +187,19 @@ def test_pipeline_decisions(spark, sf_dir, tmp_path):
     assert drawn.agg(F.max("epoch")).first()[0] <= 1
 
 
+def test_contaminated_rows_go_alone(spark, tmp_path):
+    """A null or repeated id with one contaminated text keeps its clean ones."""
+    spark.createDataFrame([(1, " ".join(passage(1, 12)))], "item_id bigint, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet")
+    bad, clean, other = " ".join(passage(1, 12) + ["x"]), " ".join(passage(2)), " ".join(passage(3))
+    rows = [(None, bad), (None, clean), (None, None), (4, bad), (4, clean), (4, clean), (5, other),
+            (6, bad)]
+    docs = documents(spark, [(i, t, "en", "s", 0) for i, t in rows])
+    kept = corpus_pipeline.without_benchmark(spark, docs, str(tmp_path)).collect()
+    assert sorted((r[:2] for r in kept), key=key) == sorted(
+        [r for r in rows if r[1] != bad], key=key)
+
+
 def test_pipeline_on_awkward_rows(spark, tmp_path, sf_dir):
     """Every stage takes nulls, blanks, repeats and more columns."""
     docs = documents(spark).withColumn("score", F.lit("x")).withColumn("_id", F.lit(1))
