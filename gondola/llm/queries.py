@@ -46,7 +46,8 @@ def substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rules_with_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules of every document, and what common lines leave of it."""
-    return quality_rules(table(spark, sf_dir, "documents"), with_text=False)
+    return quality_rules(table(spark, sf_dir, "documents"), limit_percent=rules.LIMIT_PERCENT,
+                         with_text=False)
 
 
 def pii(spark: SparkSession, sf_dir: str) -> DataFrame:

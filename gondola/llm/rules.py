@@ -17,7 +17,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
 #: Words of the windows whose repetition within a text counts.
 WINDOW = 8
-#: A line is common above so many documents of its host, and above this percentage.
+#: A line is common above so many documents of its host; the query's SQL also has this percentage.
 LIMIT_DOCS, LIMIT_PERCENT = 10, 10
 #: Percentage of its words that a document must keep.
 LEAST_LEFT = 30
@@ -77,7 +77,7 @@ def _lines(rows: DataFrame) -> DataFrame:
         (F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1).alias("n"), "at")
 
 
-def quality_rules(docs: DataFrame, limit_docs: int = LIMIT_DOCS, limit_percent: int = LIMIT_PERCENT,
+def quality_rules(docs: DataFrame, limit_docs: int = LIMIT_DOCS, limit_percent: int | None = None,
                   least_left: int = LEAST_LEFT, doc_id: str = "doc_id", text: str = "text",
                   host: str = "source", with_text: bool = True) -> DataFrame:
     """Base figures and verdict of every row.
@@ -85,9 +85,10 @@ def quality_rules(docs: DataFrame, limit_docs: int = LIMIT_DOCS, limit_percent:
     ``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, n_left_words`` and, if asked for, ``left_text``, the text
     without common lines. A line is normalised by lower-casing A-Z and reducing
-    white space. It is common if more than ``limit_docs`` documents of the host, and more
-    than ``limit_percent`` of a hundred, have it. A document is kept if it passes the base
-    rules and at least ``least_left`` of a hundred of its words are left.
+    white space. It is common if more than ``limit_docs`` documents of the host have it, however
+    large the host is, and, only if ``limit_percent`` is given, more than that part of a
+    hundred. A document is kept if it passes the base rules and at least ``least_left`` of a
+    hundred of its words are left.
 
     Null texts count as empty and fail. A null host is a host of its own. Rows that
     repeat with the same id and text are one document to the counts and get the same
@@ -97,12 +98,13 @@ def quality_rules(docs: DataFrame, limit_docs: int = LIMIT_DOCS, limit_percent:
     measured = _measured(rows)
     lines = saved(_lines(rows))
     having = lines.groupBy("host", "a", "b").agg(F.countDistinct("_id", "_th").alias("having"))
-    hosts = rows.select("host", "_id", "_th").groupBy(F.col("host").alias("_host")).agg(
-        F.countDistinct("_id", "_th").alias("docs"))
-    common = (having.filter(F.col("having") > limit_docs)
-              .join(hosts, F.col("host").eqNullSafe(F.col("_host")))
-              .filter(F.col("having") * 100 > F.col("docs") * limit_percent)
-              .select(F.col("host").alias("_host"), "a", "b"))
+    common = having.filter(F.col("having") > limit_docs)
+    if limit_percent is not None:
+        hosts = rows.select("host", "_id", "_th").groupBy(F.col("host").alias("_host")).agg(
+            F.countDistinct("_id", "_th").alias("docs"))
+        common = (common.join(hosts, F.col("host").eqNullSafe(F.col("_host")))
+                  .filter(F.col("having") * 100 > F.col("docs") * limit_percent))
+    common = common.select(F.col("host").alias("_host"), "a", "b")
     # At most as many places as the document has lines; a repeated row has each twice.
     gone = (lines.join(common, F.col("host").eqNullSafe(F.col("_host"))
                        & (lines["a"] == common["a"]) & (lines["b"] == common["b"]))

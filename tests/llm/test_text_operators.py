@@ -222,6 +222,15 @@ def test_quality_rules(spark):
     assert quality_rules(documents(spark, [])).collect() == []
 
 
+def test_common_lines_of_a_large_host(spark):
+    """A line in two per cent of a large host's documents is common."""
+    rows = [(i, ("all rights reserved here\n" if i % 50 == 0 else "") + " ".join(passage(i, 25)), "big")
+            for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: r for r in quality_rules(df).collect()}
+    assert all(got[i].n_left_words == 25 and got[i].left_text == " ".join(passage(i, 25)) for i in got)
+
+
 # --- WARC
 
 def test_archive_round_trip_and_damage():
