@@ -10,6 +10,8 @@ from gondola.operators import (enrich as E, forecast as FC, inventory as I, know
                                learning as ML, quality as Q, replies as RE, report as RP,
                                sales as SA, store as ST, vectors as V, whatif as W)
 from gondola.plans import jobs
+from gondola.plans.queries.models import _two_files
+from gondola.plans.tables import planogram
 from gondola.sources import readers as RD, sinks as SK
 from gondola.streaming.ingest import stream_ingest
 from tests import racks as X
@@ -513,3 +515,12 @@ def test_transitions(spark):
     got = {(r["from_section"], r["to_section"]): (r["n"], r["probability"]) for r in m.collect()}
     assert got == {("a", "b"): (2, pytest.approx(2 / 3)), ("a", "a"): (1, pytest.approx(1 / 3)),
                    ("b", "a"): (1, 1.0)}
+
+
+def test_two_files_of_every_month(spark, sf_dir):
+    """No month is left out before the files are written and ingested."""
+    months = {r[0] for r in planogram(spark, sf_dir).filter("shelf_level = 3")
+              .select("month_key").distinct().collect()}
+    kb = _two_files(spark, sf_dir).select("month_key", "source_file").distinct().collect()
+    assert {r["month_key"] for r in kb} == months and len({m[:4] for m in months}) > 1
+    assert all(r["source_file"].endswith("_b.csv") for r in kb)
