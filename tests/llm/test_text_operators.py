@@ -319,3 +319,18 @@ def test_secret_scan_with_given_labels(spark):
     assert again == {(r.value_sha256, r.is_secret) for r in turned.collect()}
     one = scan_secrets(df, labelled=turned.filter("is_secret")).collect()
     assert len({r.score for r in one}) == 1
+
+
+def test_named_values_and_dotted_tokens(spark):
+    """Assigned values of any length and characters, and tokens with dots, are whole."""
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.c2lnbmF0dXJlX29mX2l0"
+    whole = {1: ('x password = "S3cr3t!pass" y', "S3cr3t!pass"), 2: ("api_key: a1b2c3d4, z", "a1b2c3d4"),
+             3: (f"see {jwt} here", jwt), 4: ("MY_DATABASE_PASSWORD=h.nter@2$", "h.nter@2$"),
+             5: ("pwd='p:w\"1'", 'p:w"1')}
+    df = documents(spark, [(i, t, "en", "s", 0) for i, (t, _) in whole.items()])
+    got = [(r.doc_id, whole[r.doc_id][0][r.start:r.end]) for r in scan_secrets(df).collect()]
+    assert {(i, v) for i, (_, v) in whole.items()} <= set(got)
+    assert [v for i, v in got if i == 3] == [jwt]
+    far = ("a." * 5_000) + "b" * 20
+    assert [(r.start, r.end) for r in scan_secrets(
+        documents(spark, [(9, far, "en", "s", 0)])).collect()] == [(0, len(far))]
