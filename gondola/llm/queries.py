@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate as decontamination, linededup, mixing, rules, substring as substrings, warc
+from . import (codes, decontaminate as decontamination, linededup, mixing, rules,
+               substring as substrings, warc)
+from .codes import vector_codes
 from .decontaminate import decontaminate
 from .linededup import line_dedup
 from .mixing import mix_sources
@@ -76,6 +78,11 @@ def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def codes_of_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code of every vector in eight codebooks of sixteen entries, six rounds."""
+    return vector_codes(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6)
+
+
 QUERIES = {
     "op1_secret_scan": secrets,
     "op2_quality_nbsvm": quality_scores,
@@ -87,6 +94,7 @@ QUERIES = {
     "op8_line_dedup": lines,
     "op9_decontaminate": benchmark_hits,
     "op10_simhash_dedup": simhash_dedup,
+    "op13_vector_codes": codes_of_vectors,
 }
 
 ORACLES = {
@@ -96,4 +104,5 @@ ORACLES = {
     "op7_mix_sources": mixing.oracle(MIX_ENTROPY),
     "op8_line_dedup": linededup.ORACLE,
     "op9_decontaminate": decontamination.ORACLE,
+    "op13_vector_codes": codes.oracle(),
 }
