@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.errors import PythonException
 
 from gondola.llm import codes
 from gondola.llm.codes import encoded, fit_codebooks, nearest, tree_over, vector_codes
@@ -94,7 +95,7 @@ def test_components_go_down_also_below_zero(spark):
 
 def test_components_that_may_overflow_are_refused(spark):
     rows = [(1, [3e38] * 8, 1)]
-    with pytest.raises(ValueError, match="overflow"):
+    with pytest.raises(PythonException, match="overflow"):
         fit_codebooks(spark.createDataFrame(rows, SCHEMA))
 
 
