@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (codes, decontaminate as decontamination, linededup, mixing, rules,
+from . import (codes, decontaminate as decontamination, linededup, mixing, prefix_trie, rules,
                substring as substrings, warc)
 from .codes import vector_codes
 from .decontaminate import decontaminate
@@ -12,6 +12,7 @@ from .linededup import line_dedup
 from .mixing import mix_sources
 from .nbsvm import quality
 from .pii import personal_data
+from .prefix_trie import conversation_trie
 from .rules import quality_rules
 from .secrets import scan_secrets
 from .simhash import simhash_components
@@ -78,6 +79,11 @@ def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def conversations_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def codes_of_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code of every vector in eight codebooks of sixteen entries, six rounds."""
     return vector_codes(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6)
@@ -94,6 +100,7 @@ QUERIES = {
     "op8_line_dedup": lines,
     "op9_decontaminate": benchmark_hits,
     "op10_simhash_dedup": simhash_dedup,
+    "op11_prefix_trie": conversations_trie,
     "op13_vector_codes": codes_of_vectors,
 }
 
@@ -104,5 +111,6 @@ ORACLES = {
     "op7_mix_sources": mixing.oracle(MIX_ENTROPY),
     "op8_line_dedup": linededup.ORACLE,
     "op9_decontaminate": decontamination.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
     "op13_vector_codes": codes.oracle(),
 }
