@@ -8,6 +8,7 @@ from . import (codes, decontaminate as decontamination, linededup, mixing, prefi
                substring as substrings, warc)
 from .codes import vector_codes
 from .decontaminate import decontaminate
+from .fingerprints import fingerprints
 from .linededup import line_dedup
 from .mixing import mix_sources
 from .nbsvm import quality
@@ -84,6 +85,11 @@ def conversations_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(table(spark, sf_dir, "conversations"))
 
 
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bottom-128 fingerprint of every document, and its likeness to edited and next texts."""
+    return fingerprints(table(spark, sf_dir, "documents"), shingle=5, k=128)
+
+
 def codes_of_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code of every vector in eight codebooks of sixteen entries, six rounds."""
     return vector_codes(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6)
@@ -101,6 +107,7 @@ QUERIES = {
     "op9_decontaminate": benchmark_hits,
     "op10_simhash_dedup": simhash_dedup,
     "op11_prefix_trie": conversations_trie,
+    "op12_fingerprints": document_fingerprints,
     "op13_vector_codes": codes_of_vectors,
 }
 
