@@ -74,6 +74,12 @@ def shared_dir(spark: SparkSession) -> str:
     return os.path.join(base, f"gondola-{uuid.uuid4().hex}")
 
 
+def set_checkpoint_dir(spark: SparkSession) -> None:
+    """Give ``checkpoint()`` a shared folder where the session has none."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
 def written(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
