@@ -63,6 +63,18 @@ def _candidates(df: DataFrame, rack_keys: Sequence[str], order: Sequence, key: s
             .drop("_rn", "_allowed", "_alone"))
 
 
+def beyond_candidates(df: DataFrame, rack_keys: Sequence[str],
+                      allowed: Column | None = None) -> DataFrame:
+    """Keys of the racks that have rows beyond their candidates; sums per group only."""
+    width = F.col("product_width_cm")
+    groups = df.filter(width >= LIMITED_CM).withColumn(
+        "_allowed", F.lit(0) if allowed is None else allowed)
+    return (groups.groupBy(*rack_keys, "shelf_level", "product_width_cm", "_allowed")
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .filter(F.col("_n") > F.floor(F.lit(2400.0) / width) + 2)
+            .select(*rack_keys).distinct())
+
+
 def _known_shelf() -> Column:
     """The shelf, 0 for an unknown one."""
     shelf = F.col("shelf_level")

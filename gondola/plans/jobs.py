@@ -8,8 +8,8 @@ from typing import NamedTuple
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import (enrich, forecast as fc, knowledge as kb, layout, learning, report,
-                         whatif)
+from ..operators import (enrich, forecast as fc, guided, knowledge as kb, layout, learning,
+                         report, whatif)
 from ..operators.profit import shelf_violations
 from ..session import written
 from ..sources import readers, sinks
@@ -86,15 +86,18 @@ def predict_month(base: DataFrame, month: int, replies: DataFrame | None = None,
                   key: str = "product_id") -> Prediction:
     """Forecast sales of the base month's products and optimise every rack.
 
-    The layout is repaired at the end; ``violations`` are the shelves that stay too full
+    Candidates come from the exact lifts, or from a fitted model that sees what is placed and
+    then rates whole layouts. The layout is repaired at the end; ``violations`` are the shelves that stay too full
     because their products fit nowhere. The lift compares base sales on the old layout with forecast sales on the new
     one; ``report.lift_effects`` tells the two effects apart.
     """
     multipliers = fc.forecast(base, month, replies)
     forecasted = fc.apply_forecast(base, multipliers)
-    scored = (whatif.with_move_scores(forecasted) if model is None
-              else learning.model_scores(model, forecasted, key=key))
-    best = written(layout.repair(layout.ensemble_layout(scored, n_candidates, key=key), key=key))
+    if model is None:
+        chosen = layout.ensemble_layout(whatif.with_move_scores(forecasted), n_candidates, key=key)
+    else:
+        chosen = guided.guided_ensemble(forecasted, model, n_candidates=n_candidates, key=key)
+    best = written(layout.repair(chosen, key=key))
     racks = report.compare_racks(base, best, order=key)
     return Prediction(multipliers, best, shelf_violations(best), racks,
                       report.compare_totals(racks))

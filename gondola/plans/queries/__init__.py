@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("physics", "layouts", "enrichment", "knowledge", "sales", "reports",
+_MODULES = ("physics", "layouts", "guided", "enrichment", "knowledge", "sales", "reports",
             "models")
 
 

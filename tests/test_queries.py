@@ -12,7 +12,7 @@ ORACLES = entry_points.oracle_sql()
 
 
 # Shelves of the smallest tables are neither crowded nor too full.
-LAYOUTS = ("a1_", "a2_", "a3_", "a4_scored", "a4_masked", "a4_marginal", "a5_", "f9_", "g16_", "j4_")
+LAYOUTS = ("a1_", "a2_", "a3_", "a4_scored", "a4_masked", "a4_marginal", "a4_model_context", "a5_", "f9_", "g16_", "j4_")
 
 
 @pytest.fixture(scope="module")
