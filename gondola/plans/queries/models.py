@@ -246,11 +246,6 @@ def _two_files(spark, d):
     return spark.read.parquet(f"{base}/kb")
 
 
-def _two_files_of_1997(spark, d):
-    """What the SQL twins list of all months."""
-    return _two_files(spark, d).filter(F.col("month_key").startswith("1997"))
-
-
 def _streamed(spark, d):
     """Months arrive in two runs; the second one also replaces the months of 1998.
 
@@ -392,9 +387,9 @@ QUERIES = {
     "r5_parse_estimates": _estimates,
     "r6_parse_multipliers": lambda s, d: RE.parse_multipliers(_multiplier_replies(s, d)),
     "st1_stream_ingest": _streamed,
-    "k3_two_files_of_a_month": lambda s, d: _two_files_of_1997(s, d).select(
+    "k3_two_files_of_a_month": lambda s, d: _two_files(s, d).select(
         "month_key", "category", "n_products", half_up("total_sales", 2).alias("total_sales")),
-    "k3_source_file": lambda s, d: _two_files_of_1997(s, d).select(
+    "k3_source_file": lambda s, d: _two_files(s, d).select(
         "id", "year", "month", "month_name", "source_file"),
     "k6_s8_layout_files": _layout_files,
     "k5_prediction_files": _prediction_files,
@@ -496,12 +491,12 @@ FROM retail WHERE CAST(substr(month_key, 6, 2) AS INTEGER) % 4 <> 3 GROUP BY 1,
 WHERE substr(month_key, 1, 4) <> '1998' OR shelf_level > 2 GROUP BY 1, 2""", S.PLANOGRAM),
     "k3_two_files_of_a_month": S.query("""SELECT month_key, category, count(*) AS n_products,
   CAST(sum(estimated_monthly_sales) AS DOUBLE) AS total_sales FROM retail
-WHERE substr(month_key, 1, 4) = '1997' AND shelf_level = 3 GROUP BY 1, 2""", S.PLANOGRAM),
+WHERE shelf_level = 3 GROUP BY 1, 2""", S.PLANOGRAM),
     "k3_source_file": S.query(f"""SELECT month_key || '_' || category AS id,
   CAST(substr(month_key, 1, 4) AS INTEGER) AS year, CAST(substr(month_key, 6, 2) AS INTEGER) AS month,
   {_NAME} || '_b' AS month_name, 'sales_' || month_key || '_' || {_NAME} || '_b.csv' AS source_file
 FROM (SELECT DISTINCT month_key, category FROM retail
-      WHERE substr(month_key, 1, 4) = '1997' AND shelf_level = 3) t""", S.PLANOGRAM),
+      WHERE shelf_level = 3) t""", S.PLANOGRAM),
     "k6_s8_layout_files": S.query("""SELECT 'Original' AS model, shelf_level, count(*) AS n,
   CAST(sum(estimated_monthly_sales) AS BIGINT) AS sales FROM retail GROUP BY 2
 UNION ALL SELECT 'GREEDY', 4, count(*), CAST(sum(estimated_monthly_sales) AS BIGINT) FROM retail""",
