@@ -148,12 +148,14 @@ class Model:
     offset: float = 0.0
     prior: float | None = None
 
-    def score(self, row: np.ndarray) -> float:
-        """Probability of label 1 for a row of buckets."""
-        if self.prior is not None:
-            return self.prior
-        at = self.slope * margin(row, self.ratio, self.weights, self.bias) + self.offset
-        return 1 / (1 + math.exp(-min(max(at, -700.0), 700.0)))
+
+def probability(row: np.ndarray, ratio: np.ndarray, weights: np.ndarray, bias: float,
+                slope: float, offset: float, prior: float | None) -> float:
+    """Probability of label 1 for a row of buckets, from a model's fields."""
+    if prior is not None:
+        return prior
+    at = slope * margin(row, ratio, weights, bias) + offset
+    return 1 / (1 + math.exp(-min(max(at, -700.0), 700.0)))
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -193,7 +195,7 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _fit(ratio, cost: float, epochs: int):
     """Arrow function for the one task that holds the sample: weights and sigmoid."""
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks, sample = np.zeros(BUCKETS, bool), []
+        marks, sample, ratios = np.zeros(BUCKETS, bool), [], ratio.value
         for batch in batches:
             for doc, text, label in zip(batch.column(0).to_pylist(), batch.column(1),
                                         batch.column(2).to_pylist()):
@@ -206,11 +208,11 @@ def _fit(ratio, cost: float, epochs: int):
         if len(set(labels[aside])) < 2 or len(set(labels[~aside])) < 2:
             aside[:] = False
         used = np.flatnonzero(~aside)
-        weights, bias = dual_descent([rows[i] for i in used], labels[used], ratio.value,
+        weights, bias = dual_descent([rows[i] for i in used], labels[used], ratios,
                                      cost, epochs)
         known = np.flatnonzero(aside) if aside.any() else used
         slope, offset = sigmoid_fit(np.array([
-            margin(rows[i], ratio.value, weights, bias) for i in known]), labels[known])
+            margin(rows[i], ratios, weights, bias) for i in known]), labels[known])
         yield pa.RecordBatch.from_pydict({
             "weights": [weights.tobytes()], "bias": [bias], "slope": [slope], "offset": [offset]})
 
@@ -254,7 +256,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str, fit_rows: int = FIT_RO
     ratio = log_count_ratio(counts[1], counts[0])
     lowest = (known.join(texts.select("doc_id"), F.col("doc_id") == F.col("_id"), "left_semi")
               .orderBy(F.xxhash64("_id"), "_id", "label").limit(fit_rows))
-    fitted = (labelled(lowest).coalesce(1).mapInArrow(
+    # The sample alone moves to one task; its texts are read where they lie.
+    fitted = (labelled(lowest).repartition(1).mapInArrow(
         _fit(spark.sparkContext.broadcast(ratio), cost, epochs),
         "weights binary, bias double, slope double, offset double").first())
     return Model(ratio, np.frombuffer(fitted["weights"]), fitted["bias"], fitted["slope"],
@@ -263,14 +266,19 @@ def train(docs: DataFrame, labels: DataFrame, label: str, fit_rows: int = FIT_RO
 
 def with_score(docs: DataFrame, model: Model, text: str = "text",
                score: str = "score") -> DataFrame:
-    """``docs`` and a last column ``score``; rows stay where they are."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    """``docs`` and a last column ``score``; rows stay where they are.
+
+    What is broadcast is plain: arrays and numbers, which workers read without this package.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (model.ratio, model.weights, float(model.bias), float(model.slope), float(model.offset),
+         model.prior))
     names = [f"_c{i}" for i in range(len(docs.columns))] + [score]
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks, fitted = np.zeros(BUCKETS, bool), shared.value
         for batch in batches:
-            scores = [fitted.score(features(t.as_py(), marks)) for t in batch.column(0)]
+            scores = [probability(features(t.as_py(), marks), *fitted) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(scores, pa.float64())], names=names)
 

@@ -17,8 +17,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
 #: Words of the windows whose repetition within a text counts.
 WINDOW = 8
-#: A line is common above so many documents of its host; the query's SQL also has this percentage.
-LIMIT_DOCS, LIMIT_PERCENT = 10, 10
+#: A line is common above so many documents of its host.
+LIMIT_DOCS = 10
 #: Percentage of its words that a document must keep.
 LEAST_LEFT = 30
 LEAST_WORDS, MOST_REPEATED = 20, 30
@@ -77,17 +77,16 @@ def _lines(rows: DataFrame) -> DataFrame:
         (F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1).alias("n"), "at")
 
 
-def quality_rules(docs: DataFrame, limit_docs: int = LIMIT_DOCS, limit_percent: int | None = None,
-                  least_left: int = LEAST_LEFT, doc_id: str = "doc_id", text: str = "text",
-                  host: str = "source", with_text: bool = True) -> DataFrame:
+def quality_rules(docs: DataFrame, limit_docs: int = LIMIT_DOCS, least_left: int = LEAST_LEFT,
+                  doc_id: str = "doc_id", text: str = "text", host: str = "source",
+                  with_text: bool = True) -> DataFrame:
     """Base figures and verdict of every row.
 
     ``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, n_left_words`` and, if asked for, ``left_text``, the text
     without common lines. A line is normalised by lower-casing A-Z and reducing
     white space. It is common if more than ``limit_docs`` documents of the host have it, however
-    large the host is, and, only if ``limit_percent`` is given, more than that part of a
-    hundred. A document is kept if it passes the base rules and at least ``least_left`` of a
+    large the host is. A document is kept if it passes the base rules and at least ``least_left`` of a
     hundred of its words are left.
 
     Null texts count as empty and fail. A null host is a host of its own. Rows that
@@ -99,11 +98,6 @@ def quality_rules(docs: DataFrame, limit_docs: int = LIMIT_DOCS, limit_percent:
     lines = saved(_lines(rows))
     having = lines.groupBy("host", "a", "b").agg(F.countDistinct("_id", "_th").alias("having"))
     common = having.filter(F.col("having") > limit_docs)
-    if limit_percent is not None:
-        hosts = rows.select("host", "_id", "_th").groupBy(F.col("host").alias("_host")).agg(
-            F.countDistinct("_id", "_th").alias("docs"))
-        common = (common.join(hosts, F.col("host").eqNullSafe(F.col("_host")))
-                  .filter(F.col("having") * 100 > F.col("docs") * limit_percent))
     common = common.select(F.col("host").alias("_host"), "a", "b")
     # At most as many places as the document has lines; a repeated row has each twice.
     gone = (lines.join(common, F.col("host").eqNullSafe(F.col("_host"))
@@ -145,12 +139,9 @@ lines AS (
   FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM t)
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY doc_id),
-hosts AS (SELECT source, count(*) AS docs FROM t GROUP BY source),
 common AS (
-  SELECT l.source, plain FROM lines l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
-  GROUP BY l.source, plain, docs
-  HAVING count(DISTINCT doc_id) > {LIMIT_DOCS}
-     AND count(DISTINCT doc_id) * 100 > docs * {LIMIT_PERCENT}),
+  SELECT source, plain FROM lines GROUP BY source, plain
+  HAVING count(DISTINCT doc_id) > {LIMIT_DOCS}),
 gone AS (
   SELECT doc_id, sum(n)::BIGINT AS n FROM lines l JOIN common c
     ON l.source IS NOT DISTINCT FROM c.source AND l.plain = c.plain GROUP BY doc_id),

@@ -178,14 +178,13 @@ def test_scans_are_linear(bad):
 
 # --- quality rules
 
-def plain_rules(rows, limit_docs, limit_percent):
+def plain_rules(rows, limit_docs):
     def norm(line):
         low = "".join(c.lower() if "A" <= c <= "Z" else c for c in line)
         return " ".join(WORD.findall(low))
 
-    having, hosts = {}, {}
+    having = {}
     for i, t, h in set(rows):
-        hosts[h] = hosts.get(h, 0) + 1
         for x in {norm(x) for x in (t or "").split("\n")} - {""}:
             having[h, x] = having.get((h, x), 0) + 1
     out = []
@@ -196,8 +195,7 @@ def plain_rules(rows, limit_docs, limit_percent):
         rep = {p for k, r in enumerate(runs) if runs.count(r) > 1 for p in range(k, k + 8)} \
             if len(runs) < 500 else set()
         solid = [x for x in t.split("\n") if WORD.search(x)]
-        left = sum(len(WORD.findall(x)) for x in solid if not (
-            having[h, norm(x)] > limit_docs and having[h, norm(x)] * 100 > hosts[h] * limit_percent))
+        left = sum(len(WORD.findall(x)) for x in solid if having[h, norm(x)] <= limit_docs)
         failed = len(w) < 20 or 100 * len(rep) > 30 * len(w)
         out.append((i, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)),
                     len(solid) - len(set(solid)), len(rep), failed,
@@ -213,8 +211,8 @@ def test_quality_rules(spark):
              for i in range(14)]
     rows += [(200 + i, (common + " more of it ") * 2, "site") for i in range(3)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
-    got = quality_rules(clashing(df).drop("host"), limit_docs=10, limit_percent=10).collect()
-    want = plain_rules(rows, 10, 10)
+    got = quality_rules(clashing(df).drop("host"), limit_docs=10).collect()
+    want = plain_rules(rows, 10)
     assert sorted((tuple(r)[:9] for r in got), key=key) == sorted(want, key=key)
     assert {r.kept for r in got if (r.doc_id or 0) >= 100} == {True, False}
     left = {r.doc_id: r.left_text for r in got}
