@@ -12,10 +12,10 @@ bits. The first link of the chain allows no difference, so it is an equi-join on
 (start, segment); the longer chains are conditions of that join, before the full
 Hamming check.
 
-Buckets of more than ``bucket_rows`` fingerprints aren't paired. Their members
-emit every value within half of ``max_bits`` of them; two fingerprints link if and
-only if they share such a value, so a star around the smallest one per value gives
-the same components in linear work.
+A bucket that is too large to be compared pair by pair is narrowed by the next segment of
+the chain: one side has its own bits there, the other every value that the chain's
+budget allows, and both meet in buckets of two segments. Buckets that are still too large
+go on with the third, up to the whole ring, where only fingerprints in reach meet.
 """
 
 from __future__ import annotations
@@ -34,8 +34,8 @@ from .components import component_labels
 
 BITS = 64
 SEED = 42
-#: Largest bucket that is compared pair by pair.
-BUCKET_ROWS = 64
+#: Side of the largest bucket that is compared pair by pair; larger ones are narrowed.
+PAIR_ROWS = 8192
 #: Shingle hashes whose bits are counted at a time.
 BLOCK = 1 << 14
 
@@ -103,49 +103,85 @@ def _chain_holds(masks: list[int], max_bits: int) -> Column:
     return reduce(Column.__or__, per_start) & (F.bit_count(differing) <= max_bits)
 
 
-def links(prints: DataFrame, max_bits: int = 2, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Edges ``a, b`` between distinct fingerprints ``fp`` that span all components."""
+def _flips(masks: list[int], max_bits: int, start: int, length: int) -> list[int]:
+    """Differences that a chain of ``length`` segments may have, within all of its budgets."""
+    n, found = len(masks), [(0, 0)]
+    for link in range(2, length + 1):
+        own = masks[(start + link - 1) % n]
+        bits = [1 << b for b in range(BITS) if own >> b & 1]
+        budget = link * max_bits // n
+        found = [(flip | sum(some), used + k) for flip, used in found
+                 for k in range(budget - used + 1) for some in combinations(bits, k)]
+    return [flip for flip, _ in found]
+
+
+def _sides(rows: DataFrame, masks: list[int], max_bits: int,
+           length: int) -> tuple[DataFrame, DataFrame]:
+    """``fp, start, key`` by a row's own first ``length`` segments, and by all allowed ones."""
+    n = len(masks)
+    mask = F.element_at(F.array(*[
+        F.lit(_signed(reduce(int.__or__, (masks[(start + k) % n] for k in range(length)))))
+        .cast("bigint") for start in range(n)]), F.col("start") + 1)
+    own = rows.select("fp", "start", F.col("fp").bitwiseAND(mask).alias("key"))
+    if length == 1:
+        return own, own
+    flips = rows.sparkSession.createDataFrame(
+        [(start, _signed(f)) for start in range(n)
+         for f in _flips(masks, max_bits, start, length)], "start int, flip bigint")
+    near = F.col("fp").bitwiseXOR(F.col("flip")).bitwiseAND(mask)
+    return own, rows.join(F.broadcast(flips), "start").select("fp", "start", near.alias("key"))
+
+
+def links(prints: DataFrame, max_bits: int = 2, pair_rows: int = PAIR_ROWS) -> DataFrame:
+    """All edges ``a < b`` between distinct fingerprints ``fp`` within ``max_bits`` bits."""
     if max_bits == 0:
         return prints.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
     masks = _masks(max_bits)
-    segments = prints.select("fp", F.posexplode(F.array(*[
-        F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])).alias("start", "segment"))
-    sizes = (segments.groupBy("start", "segment").agg(F.count(F.lit(1)).alias("n"))
-             .filter(F.col("n") > 1))
-    shared = saved(segments.join(sizes, ["start", "segment"]))
-    few = shared.filter(F.col("n") <= bucket_rows)
-    pairs = (few.alias("a").join(few.alias("b"), (
-        (F.col("a.start") == F.col("b.start")) & (F.col("a.segment") == F.col("b.segment"))
-        & (F.col("a.fp") < F.col("b.fp")) & _chain_holds(masks, max_bits)))
-        .select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")))
-
-    wide, narrow = (max_bits + 1) // 2, max_bits // 2
-    flips = [(_signed(sum(1 << i for i in bits)), k <= narrow)
-             for k in range(wide + 1) for bits in combinations(range(BITS), k)]
-    crowded = shared.filter(F.col("n") > bucket_rows).select("fp").distinct()
-    around = crowded.select("fp", F.explode(F.array(*[
-        F.struct(F.lit(m).cast("bigint").alias("flip"), F.lit(near).alias("near"))
-        for m, near in flips])).alias("x"))
-    # Distinct fingerprints around one value: at most as many as there are flips.
-    stars = (around.groupBy(F.col("fp").bitwiseXOR(F.col("x.flip")).alias("value"))
-             .agg(F.min(F.when(F.col("x.near"), F.col("fp"))).alias("hub"),
-                  F.collect_list("fp").alias("members"))
-             .filter((F.size("members") > 1) & F.col("hub").isNotNull())
-             .select("hub", F.explode("members").alias("fp")).filter("fp <> hub")
-             .select(F.least("fp", "hub").alias("a"), F.greatest("fp", "hub").alias("b")))
-    return pairs.unionByName(stars).distinct()
-
-
-def labels(prints: DataFrame, max_bits: int = 2, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    rows = prints.select("fp", F.explode(F.array(*[F.lit(i) for i in range(len(masks))]))
+                         .alias("start"))
+    found = []
+    for length in range(1, len(masks) + 1):
+        own, allowed = _sides(rows, masks, max_bits, length)
+        last = length == len(masks)
+        if not last:
+            own, allowed, crowded = _by_size(own, allowed, pair_rows)
+        found.append(own.alias("a").join(allowed.alias("b"), (
+            (F.col("a.start") == F.col("b.start")) & (F.col("a.key") == F.col("b.key"))
+            & (F.col("a.fp") < F.col("b.fp")) & _chain_holds(masks, max_bits)))
+            .select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")))
+        if last or crowded.isEmpty():
+            break
+        rows = crowded
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def _by_size(own: DataFrame, allowed: DataFrame,
+             pair_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Both sides in buckets that can be compared, and ``fp, start`` of the rows in others."""
+    count = F.count(F.lit(1))
+    sizes = own.groupBy("start", "key").agg(count.alias("n"))
+    if allowed is own:
+        both = saved(own.join(sizes.filter("n > 1"), ["start", "key"]))
+        near = both.filter(F.col("n") <= pair_rows)
+        return near, near, both.filter(F.col("n") > pair_rows).select("fp", "start")
+    pairs = sizes.join(allowed.groupBy("start", "key").agg(count.alias("m")), ["start", "key"])
+    pairs = saved(pairs.filter("m > 1").withColumn(
+        "large", F.col("n") * F.col("m") > pair_rows * pair_rows))
+    sides = [saved(side.join(pairs, ["start", "key"])) for side in (own, allowed)]
+    crowded = sides[0].unionByName(sides[1]).filter("large").select("fp", "start").distinct()
+    return *(side.filter("NOT large") for side in sides), saved(crowded)
+
+
+def labels(prints: DataFrame, max_bits: int = 2, pair_rows: int = PAIR_ROWS) -> DataFrame:
     """``fp, label`` of distinct fingerprints ``fp``: one label per component."""
     prints = saved(prints.select("fp"))
-    linked = component_labels(saved(links(prints, max_bits, bucket_rows))).toDF("fp", "label")
+    linked = component_labels(saved(links(prints, max_bits, pair_rows))).toDF("fp", "label")
     return prints.join(linked, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
 
 
 def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
                        doc_id: str = "doc_id", text: str = "text",
-                       bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+                       pair_rows: int = PAIR_ROWS) -> DataFrame:
     """``doc_id, fingerprint, component_id``, one row per input row.
 
     Words are what stands between ASCII white space, A-Z lower-cased; a shingle is
@@ -158,7 +194,7 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
     """
     prints = saved(fingerprints(docs, shingle, doc_id, text))
     classes = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
-    labelled = classes.join(labels(classes, max_bits, bucket_rows), "fp")
+    labelled = classes.join(labels(classes, max_bits, pair_rows), "fp")
     ids = labelled.groupBy("label").agg(F.min("least_id").alias("component_id"))
     component = labelled.join(ids, "label").select("fp", "component_id")
     return prints.join(component, "fp").select(
@@ -167,7 +203,7 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
 
 def one_per_component(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
                       doc_id: str = "doc_id", text: str = "text",
-                      one_per_id: bool = True) -> DataFrame:
+                      one_per_id: bool = False) -> DataFrame:
     """``docs`` with all its columns, of each component the row with the smallest id.
 
     Null ids come after all others; of equal ids the lowest text hash stays, and of rows
@@ -187,6 +223,6 @@ def one_per_component(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
     if one_per_id:
         keep = (keep.groupBy("_id", F.when(F.col("_id") == NO_ID, F.col("_th")).alias("_own"))
                 .agg(F.min("_th").alias("_th")).drop("_own"))
-    # Repeated rows are reduced before they are dealt out, so they don't meet in one task.
-    return (rows.dropDuplicates(["_id", "_th"]).join(keep, ["_id", "_th"], "left_semi")
+    # Kept rows alone are reduced to one of each, first where they are.
+    return (rows.join(keep, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"])
             .select(*names).toDF(*docs.columns))

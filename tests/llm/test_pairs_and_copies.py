@@ -68,9 +68,9 @@ def test_chunks_of_a_text_give_the_same_words(monkeypatch):
 
 
 @pytest.mark.parametrize("max_bits", [1, 2, 3])
-@pytest.mark.parametrize("bucket_rows", [1, 1000])
-def test_links_span_the_components(spark, max_bits, bucket_rows):
-    """Crowded buckets and paired ones find the same components."""
+@pytest.mark.parametrize("pair_rows", [1, 5, 1000])
+def test_links_are_all_pairs_in_reach(spark, max_bits, pair_rows):
+    """Buckets compared pair by pair, narrowed once and narrowed to the end find the same links."""
     rng = np.random.default_rng(7)
     centres = [int(x) for x in rng.integers(0, 2**63, 6)]
     prints = set(centres) | {0}
@@ -80,12 +80,25 @@ def test_links_span_the_components(spark, max_bits, bucket_rows):
             prints.add(c ^ sum(1 << int(b) for b in flips))
     signed = [p - (1 << 64) if p >> 63 else p for p in sorted(prints)]
     df = spark.createDataFrame([(p,) for p in signed], "fp bigint")
-    labels = {r.node: r.label for r in
-              component_labels(simhash.links(df, max_bits, bucket_rows)).collect()}
+    edges = simhash.links(df, max_bits, pair_rows)
+    near = {(a, b) for a in signed for b in signed
+            if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= max_bits}
+    assert sorted(map(tuple, edges.collect())) == sorted(near)
+    labels = {r.node: r.label for r in component_labels(edges).collect()}
     want = plain_components([(p, p % (1 << 64)) for p in signed], max_bits)
     assert [labels.get(p, p) for p in signed] == want
 
 
+def test_a_chain_goes_within_all_of_its_budgets():
+    masks = simhash._masks(2)
+    assert [len(simhash._flips(masks, 2, 0, n)) for n in (1, 2, 3)] == [
+        1, 1 + 21, 1 + 22 + 231 + 21 * (1 + 22)]
+    for start in range(3):
+        for flip in simhash._flips(masks, 2, start, 3):
+            used = [(flip & masks[(start + k) % 3]).bit_count() for k in range(3)]
+            assert used[0] == 0 and used[1] <= 1 and sum(used) <= 2
+
+
 def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)], "a bigint, b bigint")
     assert {r.label for r in component_labels(edges).collect()} == {0}
@@ -94,9 +107,13 @@ def test_long_chain_is_one_component(spark):
 def test_one_per_component(spark):
     rows = awkward_documents()
     kept = one_per_component(documents(spark)).collect()
-    prints = [(r[0], plain_print(r[1])) for r in rows]
-    reps = {c for c in plain_components(prints, 2) if c is not None}
-    assert sorted(r.doc_id for r in kept) == sorted(reps)
+    prints = [plain_print(r[1]) for r in rows]
+    group = dict(zip(prints, plain_components(list(enumerate(prints)), 2)))
+    ids = {}
+    for r, p in zip(rows, prints):
+        ids.setdefault(group[p], []).append(r[0])
+    want = [(g, min((i for i in own if i is not None), default=None)) for g, own in ids.items()]
+    assert sorted((group[plain_print(r.text)], r.doc_id) for r in kept) == sorted(want)
     assert kept[0].__fields__ == ["doc_id", "text", "lang", "source", "n_chars"]
     assert one_per_component(documents(spark, [])).collect() == []
 
@@ -107,13 +124,10 @@ def test_rows_without_ids_keep_their_components(spark):
     rows = [(None, texts[0]), (None, texts[0]), (None, texts[1]), (None, texts[2]), (5, texts[2]),
             (7, texts[3]), (7, texts[4]), (8, texts[4]), (7, texts[3]), (6, texts[5]), (9, texts[5])]
     df = documents(spark, [(i, t, "en", "s", 0) for i, t in rows])
-    kept = one_per_component(df, one_per_id=False).collect()
+    kept = one_per_component(df).collect()
     want = [(None, texts[0]), (None, texts[1]), (5, texts[2]), (7, texts[3]), (7, texts[4]),
             (6, texts[5])]
     assert sorted((r[:2] for r in kept), key=key) == sorted(want, key=key)
-    once = [r[:2] for r in one_per_component(df).collect()]
-    assert set(once) < set(want) and sorted(i for i, _ in once if i) == [5, 6, 7]
-    assert {t for i, t in once if i is None} == set(texts[:2])
     group = dict(corpus_pipeline.STAGES)["simhash near-dedup"]
     staged = group(spark, df, "").collect()
     assert sorted((r[:2] for r in staged), key=key) == sorted(want, key=key)
