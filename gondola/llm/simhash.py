@@ -202,14 +202,12 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
 
 
 def one_per_component(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
-                      doc_id: str = "doc_id", text: str = "text",
-                      one_per_id: bool = False) -> DataFrame:
+                      doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with all its columns, of each component the row with the smallest id.
 
     Null ids come after all others; of equal ids the lowest text hash stays, and of rows
     that repeat with the same id and text one. So every component keeps one row, also
-    where it has no id. With ``one_per_id`` an id that is the smallest of several
-    components, through different texts, stays with one of them only.
+    where it has no id, or an id that other texts in other components have too.
     """
     names = [f"_c{i}" for i in range(len(docs.columns))]
     at_id, at_text = (names[position(docs, c)] for c in (doc_id, text))
@@ -220,9 +218,6 @@ def one_per_component(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
             .agg(F.min(F.struct((F.col("doc_id") == NO_ID).alias("without"),
                                 F.col("doc_id").alias("_id"), "_th")).alias("x"))
             .select("x._id", "x._th"))
-    if one_per_id:
-        keep = (keep.groupBy("_id", F.when(F.col("_id") == NO_ID, F.col("_th")).alias("_own"))
-                .agg(F.min("_th").alias("_th")).drop("_own"))
     # Kept rows alone are reduced to one of each, first where they are.
     return (rows.join(keep, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"])
             .select(*names).toDF(*docs.columns))
