@@ -13,9 +13,11 @@ sums of ``FAN`` blocks and the sums of such groups, and never a whole source.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..operators.ranking import row_numbers
 from .common import pick, saved
 
 #: Documents of a block on average, and blocks of a group.
@@ -23,6 +25,8 @@ BLOCK_DOCS, FAN = 1024, 1024
 #: Exponents tried in one job: as many as STEPS halvings need.
 STEPS = 5
 ROUNDS = 8
+#: Epochs that one array lists at most.
+EPOCHS = 1000
 #: Exponents lie in this interval: 0 makes sources equal, 1 leaves their shares.
 LOW, HIGH = 0.0, 1.0
 WORD = r"[^\x20\x09-\x0D]+"
@@ -33,9 +37,8 @@ def source_shares(tokens: DataFrame) -> DataFrame:
     sums = (tokens.groupBy("source").agg(
         F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
         .filter("tokens > 0"))
-    total = sums.agg(F.sum("tokens").alias("total"))
-    # One row joins every source's row.
-    return sums.join(F.broadcast(total)).select(
+    total = sums.agg(F.sum("tokens")).scalar()
+    return sums.withColumn("total", total).select(
         "source", "tokens", "docs", (F.col("tokens") / F.col("total")).alias("share"), "total")
 
 
@@ -58,38 +61,64 @@ def find_exponent(shares: DataFrame, target_entropy: float | None, max_repetitio
 
     With a target entropy: the largest exponent whose weights reach it. With a
     repetition limit: the smallest within it, so the sources come as close to even
-    as the limit allows. Both measures fall as the exponent grows. Every job tries
-    all exponents that the next ``STEPS`` halvings may ask for.
+    as the limit allows. With both: the largest that reaches the entropy, or, where that
+    repeats a source too often, the smallest within the limit, which is the harder of the two.
+    Both measures fall as the exponent grows. Every job tries all exponents that the next
+    ``STEPS`` halvings may ask for.
     """
-    if (target_entropy is None) == (max_repetition is None):
+    if target_entropy is None and max_repetition is None:
         raise ValueError("give a target entropy or a repetition limit")
-
-    def measure(e: float) -> Column:
-        return _entropy(e) if max_repetition is None else _repetition(e, budget)
-
-    limit = target_entropy if max_repetition is None else max_repetition
+    found = []
+    if target_entropy is not None:
+        if target_entropy > 1:
+            raise ValueError(f"the target entropy {target_entropy} is over 1, that of even sources")
+        found.append(_bisected(shares, _entropy, target_entropy, True))
+    if max_repetition is not None:
+        if budget > max_repetition * (1 + 1e-9):
+            raise ValueError(
+                f"{budget} totals need a repetition limit of that size, not {max_repetition}")
+        found.append(_bisected(shares, lambda e: _repetition(e, budget), max_repetition, False))
+    return max(found)
+
+
+def _bisected(shares: DataFrame, measure: Callable[[float], Column], limit: float,
+              at_least: bool) -> float:
+    """The largest exponent that measures ``limit`` at least, or the smallest that does at most.
+
+    No shares at all give the plain ones.
+    """
     low, high = LOW, HIGH
     ends = shares.agg(measure(low).alias("low"), measure(high).alias("high")).first()
-    if ends["low"] is None:
+    if ends["low"] is None or at_least and ends["high"] >= limit:
         return HIGH
-    if max_repetition is None:
-        if limit > 1:
-            raise ValueError(f"the target entropy {limit} is over 1, that of even sources")
-        if ends["high"] >= limit:
-            return HIGH
-    else:
-        if ends["high"] > limit * (1 + 1e-9):
-            raise ValueError(f"{budget} totals need a repetition limit of that size, not {limit}")
-        if ends["low"] <= limit:
-            return LOW
+    if not at_least and ends["low"] <= limit:
+        return LOW
     for _ in range(ROUNDS):
         n = 1 << STEPS
         tried = [low + (high - low) * k / n for k in range(1, n)]
         found = shares.agg(*[measure(e).alias(f"m{k}") for k, e in enumerate(tried)]).first()
         first = next((k for k in range(n - 1) if found[k] <= limit), n - 1)
         low, high = [low, *tried][first], [*tried, high][first]
-    return (math.ceil(high * 1e6 - 1e-3) if target_entropy is None
-            else math.floor(low * 1e6 + 1e-3)) / 1e6
+    return (math.floor(low * 1e6 + 1e-3) if at_least else math.ceil(high * 1e6 - 1e-3)) / 1e6
+
+
+def _numbered(tokens: DataFrame) -> DataFrame:
+    """``tokens`` with ``own``: what tells rows apart that share their id, or have none.
+
+    Empty where an id is there once. Else the hash of the text and the number of the row among
+    those equal in both, so that each row is drawn for itself.
+    """
+    ids = tokens.groupBy(F.col("doc_id").alias("_doc")).agg(F.count(F.lit(1)).alias("_n"))
+    shared = ids.filter("_n > 1 OR _doc IS NULL").select("_doc")
+    if shared.isEmpty():
+        return tokens.withColumn("own", F.lit(""))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc"))
+    copies = row_numbers(tokens.join(shared, same, "left_semi"), ["source", "doc_id", "text_hash"],
+                         ["_row"], "_copy")
+    own = F.concat(F.lit("|"), F.col("text_hash").cast("string"), F.lit("|"),
+                   F.col("_copy").cast("string"))
+    return tokens.join(shared, same, "left_anti").withColumn("own", F.lit("")).unionByName(
+        copies.withColumn("own", own).drop("_copy"))
 
 
 def mix_sources(docs: DataFrame, target_entropy: float | None = None,
@@ -106,29 +135,35 @@ def mix_sources(docs: DataFrame, target_entropy: float | None = None,
 
     Tokens are words between ASCII white space; null texts have none. A null source is
     a source of its own. A source without tokens gets no budget and no rows. A row
-    that repeats is drawn as often as it is there; a null id hashes like an empty
-    one. An empty table gives an empty mix. Exactly one of the limits must be
-    given; one that no exponent in [0, 1] meets raises ``ValueError``.
+    that repeats is drawn as often as it is there. Rows without an id, or with the same one,
+    are spread by the hashes of their texts, equal texts by a number. An empty table gives an
+    empty mix. At least one limit must be given; with both, the repetition limit holds
+    wherever they disagree. One that no exponent in [0, 1] meets raises ``ValueError``.
     """
     tokens = saved(pick(docs, doc_id=doc_id, source=source, text=text).select(
         "doc_id", "source",
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("n_tokens")))
+        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("n_tokens"),
+        F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("_row")))
     shares = saved(source_shares(tokens))
     exponent = find_exponent(shares, target_entropy, max_repetition, budget)
     power = F.pow("share", F.lit(exponent))
-    norm = shares.agg(F.sum(power).alias("norm"))
-    plan = shares.join(F.broadcast(norm)).select(
+    norm = shares.agg(F.sum(power)).scalar()
+    plan = shares.withColumn("norm", norm).select(
         F.col("source").alias("_source"), "tokens", "total", (power / F.col("norm")).alias("weight"),
         F.ceil(F.col("docs") / F.lit(BLOCK_DOCS)).alias("blocks"),
         F.floor(power / F.col("norm") * F.col("total") * F.lit(float(budget))).alias("budget"))
-    drawn = (tokens.join(plan, F.col("source").eqNullSafe(F.col("_source")))
+    epochs = F.ceil(F.col("budget") / F.col("tokens"))
+    lot = F.col("_lot") * EPOCHS
+    drawn = (_numbered(tokens).join(plan, F.col("source").eqNullSafe(F.col("_source")))
              .filter("budget > 0")
+             # No array per row is longer than EPOCHS or a share of the epochs.
+             .withColumn("_lot", F.explode(F.sequence(
+                 F.lit(0).cast("bigint"), F.floor((epochs - 1) / EPOCHS))))
              .withColumn("epoch", F.explode(F.sequence(
-                 F.lit(0).cast("bigint"),
-                 F.ceil(F.col("budget") / F.col("tokens")) - 1)))
-             .withColumn("r", F.conv(F.substring(F.md5(F.concat_ws(
-                 "|", F.lit(str(seed)), F.col("epoch").cast("string"),
-                 F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 15), 16, 10)
+                 lot, F.least(lot + EPOCHS, epochs) - 1)))
+             .withColumn("r", F.conv(F.substring(F.md5(F.concat(
+                 F.lit(f"{seed}|"), F.col("epoch").cast("string"), F.lit("|"),
+                 F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "own")), 1, 15), 16, 10)
                  .cast("bigint"))
              .withColumn("block", F.floor(
                  F.col("r") / F.lit(float(1 << 60)) * F.col("blocks"))))
@@ -152,7 +187,7 @@ def mix_sources(docs: DataFrame, target_entropy: float | None = None,
         F.col("block").alias("b_block"),
         (F.col("before_group") + F.col("before_block")).alias("before_block"))
     placed = (drawn.withColumn("inside", before(
-        "n_tokens", ["_source", "epoch", "block"], ["r", "doc_id", "n_tokens"]))
+        "n_tokens", ["_source", "epoch", "block"], ["r", "doc_id", "own", "n_tokens"]))
         .join(starts, F.col("_source").eqNullSafe(F.col("b_source"))
               & (F.col("epoch") == F.col("b_epoch")) & (F.col("block") == F.col("b_block")))
         .withColumn("start", F.col("epoch") * F.col("tokens") + F.col("before_block")

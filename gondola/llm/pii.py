@@ -1,7 +1,7 @@
 """Personal data by patterns, checksums and context.
 
 Patterns propose spans. Validators confirm them: Luhn for cards, mod-97 for bank
-accounts, number ranges for addresses. Words shortly before a span raise its score, and
+accounts, number ranges for addresses and social security numbers. Words near a span, on either side, raise its score, and
 a span whose kind needs context is dropped without it.
 
 All scans are linear in the text: a pattern is only tried where a run of its
@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -36,7 +38,7 @@ CONTEXT = {
     "ssn": ("ssn", "social", "security"),
 }
 CONTEXT_SCORE = 0.4
-#: Characters before a span in which a context word counts.
+#: Characters before and behind a span in which a context word counts.
 CONTEXT_CHARS = 40
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -112,9 +114,30 @@ def ibans(text: str) -> Iterator[tuple[int, int]]:
             yield m.span()
 
 
-def _context(text: str, start: int, kind: str) -> float:
-    before = text[max(0, start - CONTEXT_CHARS):start].lower()
-    return CONTEXT_SCORE if any(w in CONTEXT[kind] for w in _WORD.findall(before)) else 0.0
+def ssns(text: str) -> Iterator[tuple[int, int]]:
+    """Social security numbers whose area, group and serial may be issued."""
+    for m in _SSN.finditer(text):
+        area, group, serial = m[0].split("-")
+        if area not in ("000", "666") and area < "900" and group != "00" and serial != "0000":
+            yield m.span()
+
+
+def _context(text: str, start: int, end: int, kind: str) -> float:
+    """The context score if a word of the kind stands near, on either side."""
+    near = f"{text[max(0, start - CONTEXT_CHARS):start]} {text[end:end + CONTEXT_CHARS]}".lower()
+    return CONTEXT_SCORE if any(w in CONTEXT[kind] for w in _WORD.findall(near)) else 0.0
+
+
+def _uncovered(spans: Iterable[tuple[int, int]],
+               covers: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Spans that no cover overlaps, by one look at the sorted covers each."""
+    covers = sorted(covers)
+    starts = [s for s, _ in covers]
+    reach = list(accumulate((e for _, e in covers), max))
+    for s, e in spans:
+        before = bisect_left(starts, e)
+        if not before or reach[before - 1] <= s:
+            yield s, e
 
 
 def spans_of(text: str | None) -> list[Span]:
@@ -129,12 +152,10 @@ def spans_of(text: str | None) -> list[Span]:
         if "+" in text:
             found += [("phone", *s) for s in phones(text)]
         base = [(s, e) for _, s, e in found]
-        more = [("iban", *s) for s in ibans(text)]
-        more += [("ssn", *m.span()) for m in _SSN.finditer(text)]
-        # What a base span already covers isn't named again.
-        found += [(k, s, e) for k, s, e in more
-                  if not any(b < e and s < f for b, f in base)]
-    scored = [Span(k, s, e, min(1.0, SCORES[k] + _context(text, s, k))) for k, s, e in found]
+        # An account has its own checksum; a number without one gives way to a base span.
+        found += [("iban", *s) for s in ibans(text)]
+        found += [("ssn", *s) for s in _uncovered(ssns(text), base)]
+    scored = [Span(k, s, e, min(1.0, SCORES[k] + _context(text, s, e, k))) for k, s, e in found]
     return [x for x in scored if x.kind in BASE or x.score >= LEAST_SCORE]
 
 
@@ -165,8 +186,9 @@ def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
     ``n_*`` and ``base_sha256`` are about the four base kinds, ``spans`` lists all spans as
     ``kind:start:end`` in code points, ``found`` holds them with their scores. The
-    method adds bank accounts that pass mod-97, and social security numbers where
-    context names them, unless a base span covers the place.
+    method adds bank accounts that pass mod-97, also where a base span overlaps them, and
+    social security numbers that may be issued, where a word near by names them and no base span
+    covers the place. Work is linear in a text of any length.
 
     Null and empty texts have no spans. Rows that repeat get the same result each;
     null ids stay. An empty table gives an empty result.

@@ -23,7 +23,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import shared_dir
-from .common import pick, position, saved
+from .common import pick, position, saved, small
 
 #: Smallest payload that is stored once for all records that have it.
 LEAST_SHARED = 1000
@@ -37,8 +37,11 @@ HTTP_TYPE = "application/http; msgtype=response"
 
 
 class Record(NamedTuple):
+    """``digest`` is measured on the payload that was read; ``payload_ok`` is null for a revisit,
+    which leaves its payload out."""
     headers: dict[str, str]
     payload: bytes
+    digest: str
     block_ok: bool
     payload_ok: bool | None
 
@@ -153,9 +156,12 @@ def read_records(source: BinaryIO) -> Iterator[Record]:
         if members.rest() != b"\r\n\r\n":
             raise ValueError("a record is longer than its Content-Length")
         _, _, payload = block.partition(b"\r\n\r\n")
+        digest = _sha1(payload)
+        stated = (headers.get("warc-payload-digest", f"sha1:{digest}").lower(),
+                  headers.get("x-payload-length", str(len(payload))))
         whole = headers["warc-type"] != "revisit"
-        yield Record(headers, payload, _same(headers.get("warc-block-digest"), block),
-                     _same(headers.get("warc-payload-digest"), payload) if whole else None)
+        yield Record(headers, payload, digest, _same(headers.get("warc-block-digest"), block),
+                     stated == (f"sha1:{digest}", str(len(payload))) if whole else None)
 
 
 def _write(folder: str, archive_bytes: int):
@@ -222,19 +228,23 @@ def write_warc(pages: DataFrame, folder: str | None = None, page_id: str = "page
                                     "archive string, n_bytes bigint, n_records bigint"))
 
 
-def _read(with_payload: bool):
-    """Arrow function: the records of archives."""
+def _read(with_payload: bool, strict: bool):
+    """Arrow function: the records of archives; ``strict`` raises on a wrong digest or length."""
     fields = [("warc_type", pa.string()), ("page_id", pa.string()), ("url", pa.string()),
               ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
               ("refers_to", pa.string()), ("block_ok", pa.bool_()), ("payload_ok", pa.bool_()),
               ("payload", pa.binary())]
 
     def row(r: Record) -> tuple:
-        h = r.headers
-        return (h["warc-type"], h["x-page-id"], h["warc-target-uri"], int(h["x-payload-length"]),
-                h["warc-payload-digest"].partition(":")[2], h.get("x-refers-to-page-id"),
-                r.block_ok, r.payload_ok,
-                r.payload if with_payload and h["warc-type"] != "revisit" else None)
+        h, whole = r.headers, r.headers["warc-type"] != "revisit"
+        if strict and not (r.block_ok and r.payload_ok is not False):
+            raise ValueError(f"record {h['warc-record-id']} isn't what its digests say")
+        # A response is measured; a revisit only states what its response has.
+        return (h["warc-type"], h["x-page-id"], h["warc-target-uri"],
+                len(r.payload) if whole else int(h["x-payload-length"]),
+                r.digest if whole else h["warc-payload-digest"].partition(":")[2].lower(),
+                h.get("x-refers-to-page-id"), r.block_ok, r.payload_ok,
+                r.payload if with_payload and whole else None)
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -259,16 +269,18 @@ def _read(with_payload: bool):
     return read
 
 
-def read_warc(archives: DataFrame, with_payload: bool = True) -> DataFrame:
+def read_warc(archives: DataFrame, with_payload: bool = True, strict: bool = True) -> DataFrame:
     """The records of the archives whose paths are in ``archive``.
 
     ``warc_type, page_id, url, payload_bytes, payload_digest, refers_to, block_ok,
-    payload_ok, payload``; ids are texts, a revisit has no payload. One archive is one
-    task's sequential read.
+    payload_ok, payload``; ids are texts, a revisit has no payload. Length and digest of a
+    response are those of the payload read. A record that isn't what it states raises, unless
+    ``strict`` is off: then ``block_ok`` and ``payload_ok`` tell. One archive is one task's
+    sequential read.
     """
     names = pick(archives, archive="archive")
     spread = names.repartition(max(1, min(10_000, names.count())), "archive")
-    return spread.mapInArrow(_read(with_payload), (
+    return spread.mapInArrow(_read(with_payload, strict), (
         "warc_type string, page_id string, url string, payload_bytes bigint, "
         "payload_digest string, refers_to string, block_ok boolean, payload_ok boolean, "
         "payload binary"))
@@ -279,17 +291,36 @@ def warc_round_trip(pages: DataFrame, folder: str | None = None, page_id: str =
     """``page_id, payload_bytes, payload_digest, record_type, refers_to, verified`` of every
     page, as read back from the archives it was written to.
 
-    ``verified``: all stated digests that the archive has the bytes for are right. Null
+    Length and digest of a response are measured on what was read, those of a revisit come from
+    the response that it refers to. A damaged record, or a revisit whose response isn't there
+    with that digest, raises, so ``verified`` is true in every row that comes back. Null
     html has an empty payload; null and repeated ids keep their rows. An empty table
     writes no archive and gives an empty result.
     """
     kind = pages.schema.fields[position(pages, page_id)].dataType
-    found = read_warc(write_warc(pages, folder, page_id, url, html), with_payload=False)
-    return found.select(
+    found = saved(read_warc(write_warc(pages, folder, page_id, url, html), with_payload=False)
+                  .drop("payload"))
+    return with_responses(found).select(
         F.when(F.col("page_id") != "", F.col("page_id")).cast(kind).alias("page_id"),
         "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"),
-        F.col("refers_to").cast(kind).alias("refers_to"),
-        (F.col("block_ok") & F.coalesce("payload_ok", F.lit(True))).alias("verified"))
+        F.col("refers_to").cast(kind).alias("refers_to"), F.lit(True).alias("verified"))
+
+
+def with_responses(found: DataFrame) -> DataFrame:
+    """Records with the measured length of their response in every revisit.
+
+    A revisit whose response isn't there, or has another payload, raises.
+    """
+    whole = found.filter("warc_type <> 'revisit'")
+    there = whole.groupBy(F.col("page_id").alias("_key"), F.col("payload_digest").alias("_digest")
+                          ).agg(F.max("payload_bytes").alias("_bytes"))
+    revisits = found.filter("warc_type = 'revisit'").join(small(there), (
+        (F.col("refers_to") == F.col("_key")) & (F.col("payload_digest") == F.col("_digest"))), "left")
+    lost = F.raise_error(F.concat(F.lit("no such response: "), F.col("refers_to"), F.lit(" "),
+                                  F.col("payload_digest"))).cast("bigint")
+    measured = F.when(F.col("_bytes").isNull(), lost).otherwise(F.col("_bytes"))
+    return whole.unionByName(revisits.withColumn("payload_bytes", measured)
+                             .drop("_key", "_digest", "_bytes"))
 
 
 ORACLE = """

@@ -151,6 +151,44 @@ def test_small_blocks_give_the_same_mix(spark, monkeypatch):
     assert sorted(map(tuple, mix_sources(docs, target_entropy=0.9).collect()), key=key) == whole
 
 
+def test_rows_without_an_id_are_drawn_one_by_one(spark):
+    """Null and repeated ids are spread like others: a permutation, over many blocks."""
+    rows = [(None, " ".join(["w"] * (1 + i % 40)) + f" {i}", "en", "a", 0) for i in range(3000)]
+    rows += [(7, f"seven {i}", "en", "a", 0) for i in range(500)]
+    rows += [(None, "the same text", "en", "a", 0)] * 1000 + [(None, None, "en", "a", 0)] * 3
+    df = documents(spark, rows).repartition(5)
+    mix = mix_sources(df, target_entropy=0.5).collect()
+    assert len(mix) == 4503
+    first = sorted(mix, key=lambda r: r.position)[:1000]
+    assert 0.8 < sum(r.n_tokens for r in first) / 1000 / (sum(r.n_tokens for r in mix) / 4503) < 1.2
+    assert 60 < sum(r.doc_id == 7 for r in first) < 170
+    assert len({r.position for r in mix}) >= 4500
+    again = mix_sources(documents(spark, rows[::-1]).repartition(3), target_entropy=0.5).collect()
+    assert sorted(map(tuple, again), key=key) == sorted(map(tuple, mix), key=key)
+
+
+def test_both_limits(spark):
+    """The entropy is reached as far as the repetition limit lets it."""
+    rows = [(i, "a b c d e", "en", "big", 0) for i in range(400)] + [(1000, "x", "en", "tiny", 0)]
+    df = documents(spark, rows)
+    free = mix_sources(df, target_entropy=0.9)
+    assert free.filter("source = 'tiny'").count() > 500
+    bound = mix_sources(df, target_entropy=0.9, max_repetition=3.0)
+    assert bound.filter("source = 'tiny'").count() <= 3
+    loose = mix_sources(df, target_entropy=0.9, max_repetition=10_000.0)
+    assert {r.exponent for r in loose.collect()} == {r.exponent for r in free.collect()}
+
+
+def test_epochs_come_in_lots(spark, monkeypatch):
+    from gondola.llm import mixing
+
+    rows = [(i, "a b c d e", "en", "big", 0) for i in range(40)] + [(1000, "x", "en", "tiny", 0)]
+    df = documents(spark, rows)
+    whole = sorted(map(tuple, mix_sources(df, target_entropy=0.99).collect()), key=key)
+    monkeypatch.setattr(mixing, "EPOCHS", 7)
+    assert sorted(map(tuple, mix_sources(df, target_entropy=0.99).collect()), key=key) == whole
+
+
 # --- the pipeline
 
 def test_stages_keep_the_columns(spark, sf_dir):

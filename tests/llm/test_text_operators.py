@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from gondola.llm import nbsvm, pii, warc
@@ -176,6 +177,51 @@ def test_scans_are_linear(bad):
     pii.spans_of(bad + " @ 1")
 
 
+def iban(country, body):
+    """An account number with the check digits that make the remainder 1."""
+    rest = int("".join(str(int(c, 36)) for c in body + country + "00")) % 97
+    return f"{country}{98 - rest:02d}{body}"
+
+
+def test_no_valid_account_is_lost_to_a_card():
+    rng = random.Random(4)
+    accounts = [iban("BE", "".join(rng.choices("0123456789", k=12))) for _ in range(500)]
+    covered = 0
+    for a in accounts:
+        spans = pii.spans_of(f"to {a} now")
+        assert (3, 3 + len(a)) in {(x.start, x.end) for x in spans if x.kind == "iban"}
+        covered += any(x.kind == "card" for x in spans)
+    assert covered > 10  # cards stay beside them
+
+
+def test_context_counts_on_both_sides_and_numbers_must_be_issued():
+    def ssns(t):
+        return [t[x.start:x.end] for x in pii.spans_of(t) if x.kind == "ssn"]
+
+    assert ssns("123-45-6789 (SSN)") == ssns("ssn 123-45-6789") == ["123-45-6789"]
+    assert ssns("123-45-6789" + " far" * 20 + " ssn") == []
+    for bad in ("000-12-3456", "666-12-3456", "900-12-3456", "123-00-4567", "123-45-0000"):
+        assert ssns("SSN " + bad) == []
+    assert ssns("SSN +1 123-45-6789") == []  # a phone covers it
+
+
+def test_uncovered_spans_equal_the_plain_comparison():
+    rng = random.Random(5)
+    for _ in range(200):
+        covers = [(s, s + rng.randint(1, 30)) for s in rng.sample(range(100), rng.randint(0, 6))]
+        spans = [(s, s + rng.randint(1, 9)) for s in range(0, 120, 7)]
+        want = [(s, e) for s, e in spans if not any(a < e and s < b for a, b in covers)]
+        assert list(pii._uncovered(spans, covers)) == want
+
+
+def test_a_long_text_of_mixed_numbers():
+    """Ten megabytes with every kind; a comparison of all pairs would take hours."""
+    piece = "BE71 0961 2345 6769 ssn 123-45-6789 1.2.3.4 4111 1111 1111 1111, x@y.zz +49 30 123456 . "
+    n = 10_000_000 // len(piece)
+    found = pii.spans_of(piece * n)
+    assert sum(x.kind == "ip" for x in found) == sum(x.kind == "iban" for x in found) == n
+
+
 # --- quality rules
 
 def plain_rules(rows, limit_docs):
@@ -279,6 +325,37 @@ def test_small_archives(spark, tmp_path):
         (i, bytearray(b"x" * i)) for i in range(50)]
 
 
+def test_damaged_archives_raise(spark, tmp_path):
+    """Digest and length are those of the payload read, not those that a record states."""
+    def archive(name, *members):
+        (tmp_path / name).write_bytes(b"".join(members))
+        return spark.createDataFrame([(f"file://{tmp_path}/{name}",)], "archive string")
+
+    sound = record_bytes("1", "u", b"abc", None, hashlib.sha1(b"abc").hexdigest(), 3)
+    row = warc.read_warc(archive("a", sound)).first()
+    assert (row.payload_bytes, row.payload_digest) == (3, hashlib.sha1(b"abc").hexdigest())
+    for name, digest, length in (("b", "0" * 40, 3), ("c", hashlib.sha1(b"abc").hexdigest(), 4)):
+        wrong = archive(name, sound, record_bytes("2", "u", b"abc", None, digest, length))
+        with pytest.raises(PythonException, match="isn't what its digests say"):
+            warc.read_warc(wrong).collect()
+        told = {r.page_id: r for r in warc.read_warc(wrong, strict=False).collect()}
+        assert told["1"].payload_ok and not told["2"].payload_ok
+        assert (told["2"].payload_bytes, told["2"].payload_digest) == (
+            3, hashlib.sha1(b"abc").hexdigest())
+
+
+def test_revisits_need_their_response(spark):
+    fields = ("warc_type string, page_id string, payload_bytes bigint, payload_digest string, "
+              "refers_to string")
+    whole = ("response", "9", 2000, "d1", None)
+    found = spark.createDataFrame([whole, ("revisit", "3", 77, "d1", "9")], fields)
+    assert {r.page_id: r.payload_bytes for r in warc.with_responses(found).collect()} == {
+        "9": 2000, "3": 2000}
+    for lost in (("revisit", "3", 77, "d1", "8"), ("revisit", "3", 77, "d2", "9")):
+        with pytest.raises(Exception, match="no such response"):
+            warc.with_responses(spark.createDataFrame([whole, lost], fields)).collect()
+
+
 # --- secrets
 
 def secret_rows():
