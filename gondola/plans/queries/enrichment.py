@@ -9,7 +9,7 @@ from ...functions import demand as D
 from ...functions.numbers import half_up
 from ...functions.prices import is_eur, parse_eur
 from ...functions.stock import month_number
-from ...operators import enrich as E, forecast as FC, knowledge as KB
+from ...operators import enrich as E, forecast as FC, knowledge as KB, rule_tables as RT
 from ...session import shared_dir
 from ...sources import readers
 from .. import tables as T
@@ -40,6 +40,38 @@ def _bands(spark, d):
                     F.col("s.m_lo").alias("simple_m_lo"), F.col("s.w_hi").alias("simple_w_hi")))
 
 
+def _rules_of_parts(spark, d):
+    """A rule for every part: a piece of some product name, for one month of the year.
+
+    Some hundred patterns are shared by several rules, and every twentieth rule is a default.
+    """
+    k = F.col("p_partkey")
+    piece = F.upper(F.substring(F.col("p_name"), (1 + k % 3).cast("int"), (2 + k % 6).cast("int")))
+    return T.table(spark, d, "part").select(
+        (1 + k % 13).cast("int").alias("month"), (k * 7919 % 10007).alias("priority"),
+        F.when(k % 20 != 0, piece).alias("pattern"), (0.5 + k % 40 / 20).alias("multiplier"))
+
+
+def _rule_table(spark, d):
+    """The first rule of every product and month, by its name and type."""
+    rows = T.planogram(spark, d).select(
+        "month_key", "product_id", F.concat_ws(" ", "category", "name").alias("title"),
+        F.substring("month_key", 6, 2).cast("int").alias("month"))
+    return RT.with_first_rule(rows, _rules_of_parts(spark, d), "title", ["month"]).select(
+        "month_key", "product_id", "multiplier", "priority")
+
+
+def _constants_as_tables(spark, d):
+    """Season and band of every product and month, with the constants as rule tables."""
+    rows = _monthly(spark, d).select("product_id", "month_key", "category",
+                                     month_number("month_key").alias("month"))
+    seasons = RT.with_first_rule(rows, RT.seasonal_rules(spark, rules.SEASONAL_GENERATION),
+                                 "category", ["month"]).drop("priority")
+    return RT.with_first_rule(seasons, RT.band_rules(spark, rules.BANDS_GENERATION), "category",
+                              missing="nan").select(
+        "product_id", "month_key", "multiplier", "m_lo", "m_hi", "w_lo", "w_hi")
+
+
 _EST = ["estimated_monthly_sales", "profit_margin_percentage", "product_width_cm"]
 
 
@@ -92,6 +124,8 @@ QUERIES = {
         "product_id", parse_eur("price").alias("value"), is_eur("price").alias("is_price")),
     "p9_j2_seasonal_multiplier": _seasons,
     "p10_category_band": _bands,
+    "j2_rule_table": _rule_table,
+    "j2_constants_as_tables": _constants_as_tables,
     "p11_base_sales": lambda s, d: T.catalog(s, d).select(
         "product_id", D.base_sales("price_numeric").alias("base_sales")),
     "p12_enrich_heuristic": lambda s, d: E.enrich_heuristic(_monthly(s, d)).select(
@@ -228,6 +262,28 @@ FROM catalog""", CATALOG),
         "JOIN simple s USING (category)",
         CATALOG, _band_ctes("band", rules.BANDS_GENERATION, "catalog"),
         _band_ctes("simple", rules.BANDS_SIMPLE, "catalog")),
+    "j2_rule_table": S.query("""SELECT r.month_key, r.product_id,
+  coalesce(f.multiplier, e.multiplier) AS multiplier, coalesce(f.priority, e.priority) AS priority
+FROM rows r LEFT JOIN found f USING (title, month) LEFT JOIN defaults e USING (month)""",
+        S.PLANOGRAM, """rules AS (
+  SELECT CAST(1 + p_partkey % 13 AS INTEGER) AS month, p_partkey * 7919 % 10007 AS priority,
+         CASE WHEN p_partkey % 20 <> 0 THEN lower(substr(
+           p_name, CAST(1 + p_partkey % 3 AS BIGINT), CAST(2 + p_partkey % 6 AS BIGINT))) END AS pattern,
+         0.5e0 + (p_partkey % 40) / 20e0 AS multiplier FROM part),
+rows AS (
+  SELECT month_key, product_id, category || ' ' || name AS title,
+         CAST(substr(month_key, 6, 2) AS INTEGER) AS month FROM retail),
+found AS (
+  SELECT title, month, arg_min(multiplier, (priority, pattern, multiplier)) AS multiplier,
+         min(priority) AS priority
+  FROM (SELECT DISTINCT title, month FROM rows) t JOIN rules USING (month)
+  WHERE pattern <> '' AND contains(lower(title), pattern) GROUP BY 1, 2),
+defaults AS (
+  SELECT month, arg_min(multiplier, (priority, multiplier)) AS multiplier, min(priority) AS priority
+  FROM rules WHERE coalesce(pattern, '') = '' GROUP BY 1)"""),
+    "j2_constants_as_tables": S.query(
+        "SELECT product_id, month_key, s.mult AS multiplier, b.m_lo, b.m_hi, b.w_lo, b.w_hi "
+        "FROM monthly JOIN season s USING (category, month) JOIN band b USING (category)", *_GEN_CTES),
     "p11_base_sales": S.query(f"SELECT product_id, {_SIMPLE_BASE} AS base_sales FROM catalog", CATALOG),
     "p12_enrich_heuristic": S.query(
         f"SELECT product_id, month_key, {_heuristic('monthly', 'month_key', 'product_id')} "
