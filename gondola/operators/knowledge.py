@@ -20,14 +20,25 @@ _MEASURES = {"estimated_monthly_sales": "sales", "price_numeric": "price",
              "profit_margin_percentage": "margin", "product_width_cm": "width"}
 
 
-def _per_shelf(df: DataFrame) -> DataFrame:
+_SUMS = ("n", *(f"{what}_{n}" for n in _MEASURES.values() for what in ("sum", "n")))
+#: What tells a part of a monthly file apart, besides its month.
+_PART = ("source_file", "month_name", "part")
+
+
+def _per_shelf(df: DataFrame, keys: Sequence[str] = _KEYS) -> DataFrame:
     """Counts and sums per (month, category, shelf): one pass, combined map-side."""
     sums = [a for c, n in _MEASURES.items()
             for a in (F.sum(c).alias(f"sum_{n}"), F.count(c).alias(f"n_{n}"))]
-    return (df.filter(F.col("category").isNotNull()).groupBy(*_KEYS, "shelf_level")
+    return (df.filter(F.col("category").isNotNull()).groupBy(*keys, "shelf_level")
             .agg(F.count(F.lit(1)).alias("n"), *sums))
 
 
+def _best_sellers(df: DataFrame, key: str, keys: Sequence[str] = _KEYS) -> DataFrame:
+    """The five best sellers with their ``rank``, by a map-side limit."""
+    return top_n(df.filter(F.col("category").isNotNull()), keys,
+                 [F.desc("estimated_monthly_sales"), key], 5)
+
+
 def _summary(per_shelf: DataFrame, *extra: Column) -> DataFrame:
     def avg(n: str) -> Column:
         return (F.sum(f"sum_{n}") / F.sum(f"n_{n}")).alias(f"avg_{n}")
@@ -56,11 +67,13 @@ def category_documents(df: DataFrame, key: str = "product_id") -> DataFrame:
     Lists are bounded before they are collected: one entry per shelf level and the
     five best sellers, which ``top_n`` selects with a map-side limit.
     """
+    return _documents(_per_shelf(df), _best_sellers(df, key))
+
+
+def _documents(per_shelf: DataFrame, best: DataFrame) -> DataFrame:
     shelves = F.sort_array(F.collect_list(F.struct("shelf_level", "n"))).alias("_shelves")
     # A shelf level of NULL counts in the totals, not in the distribution.
-    summary = _summary(_per_shelf(df), shelves)
-    best = top_n(df.filter(F.col("category").isNotNull()), _KEYS,
-                 [F.desc("estimated_monthly_sales"), key], 5)
+    summary = _summary(per_shelf, shelves)
     sellers = best.groupBy(*_KEYS).agg(F.sort_array(F.collect_list(
         F.struct("rank", "name", F.col("estimated_monthly_sales").cast("bigint").alias("units")))
     ).alias("_top"))
@@ -90,19 +103,48 @@ def kb_chunks(df: DataFrame, key: str = "product_id") -> DataFrame:
     """
     require_columns(df, KB_REQUIRED, "monthly planogram")
     docs = category_documents(df, key)
-    month = F.substring("month_key", 6, 2).cast("int")
-    named = F.element_at(F.array(*[F.lit(n) for n in K.MONTH_NAMES]), month)
     known = [c for c in ("source_file", "month_name") if c in df.columns]
     if known:
         docs = docs.join(df.groupBy("month_key").agg(*[F.max(c).alias(c) for c in known]),
                          "month_key")
+    return _chunks(docs)
+
+
+def _chunks(docs: DataFrame) -> DataFrame:
+    """Documents with ids and dates."""
+    month = F.substring("month_key", 6, 2).cast("int")
+    named = F.element_at(F.array(*[F.lit(n) for n in K.MONTH_NAMES]), month)
     return docs.select(
         F.concat_ws("_", "month_key", "category").alias("id"), "document",
         F.substring("month_key", 1, 4).cast("int").alias("year"), month.alias("month"),
-        (F.col("month_name") if "month_name" in known else named).alias("month_name"),
+        (F.col("month_name") if "month_name" in docs.columns else named).alias("month_name"),
         "category", "n_products", "total_sales", "avg_sales", "avg_price", "avg_margin",
-        (F.col("source_file") if "source_file" in known else month_file()).alias("source_file"),
-        "month_key")
+        (F.col("source_file") if "source_file" in docs.columns else month_file())
+        .alias("source_file"), "month_key")
+
+
+def month_parts(df: DataFrame, key: str = "product_id") -> DataFrame:
+    """What each part of a monthly file gives to its month's chunks; it can be merged.
+
+    One row per (month, file, part, category): sums by shelf level, and the five best sellers.
+    """
+    require_columns(df, (*KB_REQUIRED, *_PART), "monthly planogram")
+    keys = ["month_key", *_PART, "category"]
+    shelves = _per_shelf(df, keys).groupBy(*keys).agg(
+        F.collect_list(F.struct("shelf_level", *_SUMS)).alias("shelves"))
+    top = _best_sellers(df, key, keys).groupBy(*keys).agg(F.collect_list(F.struct(
+        F.col(key).alias("seller"), "name", "estimated_monthly_sales")).alias("top"))
+    return shelves.join(top, keys)
+
+
+def chunks_of_parts(parts: DataFrame) -> DataFrame:
+    """``kb_chunks`` of the rows behind ``month_parts``, of one file per month."""
+    shelves = parts.select(*_KEYS, F.inline("shelves")).groupBy(*_KEYS, "shelf_level").agg(
+        *[F.sum(c).alias(c) for c in _SUMS])
+    best = top_n(parts.select(*_KEYS, F.inline("top")), _KEYS,
+                 [F.desc("estimated_monthly_sales"), "seller"], 5)
+    files = parts.groupBy("month_key").agg(*[F.max(c).alias(c) for c in _PART[:2]])
+    return _chunks(_documents(shelves, best).join(files, "month_key"))
 
 
 def kb_stats(kb: DataFrame) -> DataFrame:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..operators.knowledge import kb_chunks
-from ..sources.readers import read_last_files, with_month_from_filename
+from ..operators.knowledge import chunks_of_parts, kb_chunks, month_parts
+from ..sources.readers import last_file_parts, read_last_files, with_month_from_filename
 from ..sources.sinks import upsert_months
 
 
@@ -27,9 +27,11 @@ def stream_ingest(spark: SparkSession, folder: str, kb_path: str, checkpoint: st
     """Ingest the files that are new since the last run, then stop.
 
     Reads plain ``sales_*.csv`` files, or with ``by_folder`` the month folders of
-    ``write_monthly``. A micro-batch only says which months have news; their files are
-    read whole, so it doesn't matter how files are spread over batches. ``checkpoint``
-    holds the list of files done; keep it on the shared folder.
+    ``write_monthly``. A new file is opened once: what it gives to its month is kept in sums
+    per file, and a month's chunks are merged from the sums of all parts that its last file
+    by name has at the time. So a part costs its own rows, it doesn't matter how files are
+    spread over batches, and a batch that is done again replaces its own sums. ``checkpoint``
+    holds the list of files done and their sums; keep it on the shared folder.
     """
     fields = list(schemas.PLANOGRAM.fields)
     reader = spark.readStream.option("header", True)
@@ -40,12 +42,27 @@ def stream_ingest(spark: SparkSession, folder: str, kb_path: str, checkpoint: st
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     stream = reader.schema(T.StructType(fields)).csv(folder)
+    stream = stream.withColumn("part", F.col("_metadata.file_path"))
     if not by_folder:
         stream = stream.withColumn("source_file", F.col("_metadata.file_name"))
 
-    def ingest(batch: DataFrame, _: int) -> None:
-        news = with_month_from_filename(batch.select("source_file").distinct(), strict=True)
-        replace_months(batch.sparkSession, folder, kb_path, news.select("month_key"), key)
+    def ingest(batch: DataFrame, number: int) -> None:
+        session, sums = batch.sparkSession, f"{checkpoint}/parts"
+        own = f"{sums}/batch={number}"
+        (month_parts(with_month_from_filename(batch, strict=True), key)
+         .write.mode("overwrite").partitionBy("month_key").parquet(own))
+        # The folders of the batch name its months.
+        schema = session.read.parquet(own).schema
+        months = session.read.schema(schema).parquet(own).select("month_key").distinct()
+        news = [r["month_key"] for r in months.collect()]
+        if not news:
+            return
+        there = last_file_parts(session, folder, months)
+        parts = (session.read.option("basePath", sums).parquet(sums)
+                 .filter(F.col("month_key").isin(news)).drop("batch")
+                 .dropDuplicates(["month_key", "source_file", "part", "category"])
+                 .join(there, ["month_key", "source_file", "part"], "left_semi"))
+        upsert_months(chunks_of_parts(parts), kb_path)
 
     return (stream.writeStream.foreachBatch(ingest)
             .option("checkpointLocation", checkpoint)

@@ -188,6 +188,41 @@ def test_stream_takes_all_parts_of_a_month(spark, tmp_path):
     assert [r["n_products"] for r in spark.read.parquet(kb).collect()] == [12]
 
 
+def test_stream_opens_new_parts_only(spark, tmp_path):
+    """Parts that were taken in are listed, not read again: what they hold by now has no effect."""
+    folder = tmp_path / "m" / "source_file=sales_2025_07_july.csv"
+    folder.mkdir(parents=True)
+    kb, done = str(tmp_path / "kb"), str(tmp_path / "done")
+    run = lambda: stream_ingest(spark, str(tmp_path / "m"), kb, done, by_folder=True).awaitTermination()
+    planogram_csv(folder, "part-0.csv", [("Pan", f"p{i}", 10 + i, 1 + i % 3) for i in range(6)])
+    run()
+    planogram_csv(folder, "part-0.csv", [("Pan", "other", 900, 1)] * 50)
+    planogram_csv(folder, "part-1.csv", [("Pan", f"q{i}", 13 + i, 2) for i in range(4)]
+                  + [("Vino", "v", 1, 1)])
+    run()
+    got = {r["id"]: r for r in spark.read.parquet(kb).collect()}
+    assert {i: r["n_products"] for i, r in got.items()} == {"2025_07_Pan": 10, "2025_07_Vino": 1}
+    assert "other" not in got["2025_07_Pan"]["document"]
+    # A part that is gone no longer counts, as soon as its month has news.
+    (folder / "part-0.csv").unlink()
+    planogram_csv(folder, "part-2.csv", [("Vino", "w", 1, 1)])
+    run()
+    got = {r["id"]: r["n_products"] for r in spark.read.parquet(kb).collect()}
+    assert got == {"2025_07_Pan": 4, "2025_07_Vino": 2}
+
+
+def test_merged_parts_give_the_chunks_of_all_rows(spark, tmp_path):
+    for k in range(4):
+        planogram_csv(tmp_path, f"sales_2025_07_july{k}.csv", [
+            (c, f"{c}{k}{i}", (7 * i + k) % 23, 1 + i % 7) for c in ("Pan", "Vino") for i in range(9)])
+    rows = RD.read_monthly(spark, str(tmp_path)).withColumn("part", F.col("source_file")).withColumns(
+        {"source_file": F.lit("sales_2025_07_july.csv"), "month_name": F.lit("july")})
+    whole = KB.kb_chunks(rows, "name").drop("avg_price", "avg_margin", "avg_sales").collect()
+    parts = KB.chunks_of_parts(KB.month_parts(rows, "name"))
+    assert sorted(map(str, whole)) == sorted(map(str, parts.drop(
+        "avg_price", "avg_margin", "avg_sales").collect()))
+
+
 def test_an_earlier_name_that_arrives_later_changes_nothing(spark, monthly, tmp_path):
     kb, done = str(tmp_path / "kb"), str(tmp_path / "done")
     planogram_csv(monthly, "sales_2025_07_july_b.csv", [("Pan", f"p{i}", 1, 1) for i in range(6)])
