@@ -96,16 +96,20 @@ def month_files(spark: SparkSession, path: str) -> DataFrame:
             .filter(F.col("source_file") != "").distinct())
 
 
-def last_file_parts(spark: SparkSession, path: str, months: DataFrame) -> DataFrame:
+def last_file_parts(spark: SparkSession, path: str, months: Sequence[str]) -> DataFrame:
     """``month_key, source_file, part``: the parts there are of each month's last file.
 
-    ``part`` is the path as in ``_metadata.file_path``. No file is opened.
+    ``part`` is the path as in ``_metadata.file_path``. The folder is listed once and no file
+    is opened.
     """
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     parts = listing.select(
         F.regexp_extract("path", r"(?:^|/|=)(sales_[^/]*)", 1).alias("source_file"),
-        F.col("_metadata.file_path").alias("part"))
-    return parts.join(last_files(spark, path, months), "source_file")
+        F.col("_metadata.file_path").alias("part")).withColumn(
+        "month_key", file_month("source_file")["month_key"]).filter(
+        F.col("month_key").isin(list(months)))
+    last = parts.groupBy("month_key").agg(F.max("source_file").alias("source_file"))
+    return parts.join(last, ["month_key", "source_file"])
 
 
 def last_files(spark: SparkSession, path: str, months: DataFrame | None = None) -> DataFrame:

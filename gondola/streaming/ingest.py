@@ -48,20 +48,17 @@ def stream_ingest(spark: SparkSession, folder: str, kb_path: str, checkpoint: st
 
     def ingest(batch: DataFrame, number: int) -> None:
         session, sums = batch.sparkSession, f"{checkpoint}/parts"
-        own = f"{sums}/batch={number}"
-        (month_parts(with_month_from_filename(batch, strict=True), key)
-         .write.mode("overwrite").partitionBy("month_key").parquet(own))
-        # The folders of the batch name its months.
-        schema = session.read.parquet(own).schema
-        months = session.read.schema(schema).parquet(own).select("month_key").distinct()
-        news = [r["month_key"] for r in months.collect()]
+        rows = with_month_from_filename(batch, strict=True).persist()
+        own = month_parts(rows, key)
+        own.write.mode("overwrite").partitionBy("month_key").parquet(f"{sums}/batch={number}")
+        news = [r["month_key"] for r in rows.select("month_key").distinct().collect()]
+        rows.unpersist()
         if not news:
             return
-        there = last_file_parts(session, folder, months)
-        parts = (session.read.option("basePath", sums).parquet(sums)
-                 .filter(F.col("month_key").isin(news)).drop("batch")
-                 .dropDuplicates(["month_key", "source_file", "part", "category"])
-                 .join(there, ["month_key", "source_file", "part"], "left_semi"))
+        parts = (session.read.schema(own.schema).option("basePath", sums).parquet(sums)
+                 .filter(F.col("month_key").isin(news))
+                 .join(last_file_parts(session, folder, news),
+                       ["month_key", "source_file", "part"], "left_semi"))
         upsert_months(chunks_of_parts(parts), kb_path)
 
     return (stream.writeStream.foreachBatch(ingest)
