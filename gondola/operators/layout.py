@@ -13,7 +13,15 @@ go to the same shelves find none either. A rack has 7 x 300 cm, so at most ``210
 such products of width ``w`` can be placed; ``300 / w`` more that stay use up what is left
 of their own shelf. Later ones stay and change nothing. Thus the first ``2400 / w + 2``
 rows per (rack, shelf, width, shelves allowed), in placement order, decide the layout
-whatever the size of the rack. Products narrower than ``LIMITED_CM`` are all candidates.
+whatever the size of the rack. Products narrower than ``LIMITED_CM`` pass that limit.
+
+Where widths hardly repeat, narrower products decide as well: a product that finds room
+leaves no earlier, narrower one of its shelf and shelves allowed without room. At most
+2,100 cm of those can have been placed, and 300 more that stay leave nothing of their own
+shelf. So a row is no candidate if such rows before it add up to more than 2,400 cm, counted
+by classes of width (``_undominated``). The rows that prove this are candidates themselves.
+A repair goes by width, widest first, so this second bound does not hold for it.
+
 A product without a width takes no part: it stays and takes no room. A product on an
 unknown shelf moves like any other, and takes no room while it stays.
 """
@@ -21,20 +29,26 @@ unknown shelf moves like any other, and takes no room while it stays.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import constants as K
 from ..functions import physics as P
 from ..functions.numbers import half_up, uniform
+from ..session import written
 from .profit import rack_profit, shelf_violations, width_total
-from .ranking import top_n
+from .ranking import ordered_blocks, top_n
 from .walk import placement_task
 from .whatif import rack_state
 
 # Rows at least this wide are limited per group, before the shuffle: the limit has to be
 # one literal.
 LIMITED_CM = 1.0
+# What can be placed and what uses up a shelf, in cm; groups wider than CROWDED_CM in all
+# are narrowed by classes of width, as often as that halves them.
+DECIDED_CM, CROWDED_CM = 2400.0, 24_000.0
+CLASSES, ROUNDS = 64, 6
 
 
 def _shelves() -> Column:
@@ -46,33 +60,107 @@ def _at(values: Column, shelf: Column) -> Column:
 
 
 def _candidates(df: DataFrame, rack_keys: Sequence[str], order: Sequence, key: str,
-                allowed: Column | None = None) -> DataFrame:
+                allowed: Column | None = None, by_priority: bool = True) -> DataFrame:
     """The rows that can decide the layout, see the module text.
 
-    ``allowed`` stands for the shelves that a row may go to, where rows differ in that.
+    ``allowed`` stands for the shelves that a row may go to, where rows differ in that. With
+    ``by_priority``, ``order`` is the order of placement and bounds crowded groups further.
     """
     width = F.col("product_width_cm")
     # A narrow row is a group of its own and thus within any limit.
     alone = F.when(width < LIMITED_CM, F.col(key))
     grouped = df.filter(width.isNotNull()).withColumns({
         "_alone": alone, "_allowed": F.lit(0) if allowed is None else allowed})
-    limit = int(2400 / LIMITED_CM) + 2
-    return (top_n(grouped, [*rack_keys, "shelf_level", "product_width_cm", "_allowed", "_alone"],
+    limit = int(DECIDED_CM / LIMITED_CM) + 2
+    rows = (top_n(grouped, [*rack_keys, "shelf_level", "product_width_cm", "_allowed", "_alone"],
                   order, limit, "_rn")
-            .filter((width < LIMITED_CM) | (F.col("_rn") <= F.floor(F.lit(2400.0) / width) + 2))
-            .drop("_rn", "_allowed", "_alone"))
+            .filter((width < LIMITED_CM) | (F.col("_rn") <= F.floor(F.lit(DECIDED_CM) / width) + 2))
+            .drop("_rn", "_alone"))
+    if by_priority:
+        crowded = _crowded(grouped, [*rack_keys, "shelf_level", "_allowed"])
+        if not crowded.isEmpty():
+            rows = _undominated(rows, crowded, [*rack_keys, "shelf_level", "_allowed"], order)
+    return rows.drop("_allowed")
+
+
+def _crowded(df: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Groups wider than ``CROWDED_CM``; a negative width rules its group out."""
+    return (df.groupBy(*group).agg(F.sum("product_width_cm").alias("_cm"),
+                                   F.min("product_width_cm").alias("_least"))
+            .filter((F.col("_cm") > CROWDED_CM) & (F.col("_least") >= 0)).select(*group))
+
+
+def _in_groups(df: DataFrame, groups: DataFrame, group: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join on the group, NULL included."""
+    named = groups.select(*[F.col(c).alias(f"_g_{c}") for c in group])
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in group))
+    return df.join(named, same, how)
+
+
+def _undominated(rows: DataFrame, crowded: DataFrame, group: Sequence[str],
+                 order: Sequence) -> DataFrame:
+    """``rows`` without those of ``crowded`` groups that narrower ones before them rule out.
+
+    Widths are classed between the group's extremes. For every row, what earlier rows in
+    lower classes add up to comes from sums over sampled ranges, so no group meets in a
+    task. What is left of the lowest class is classed anew in the next round.
+    """
+    rest = _in_groups(rows, crowded, group, "left_anti")
+    kept = _in_groups(rows, crowded, group, "left_semi")
+    for _ in range(ROUNDS):
+        blocked = ordered_blocks(kept, group, order)
+        kept = written(_with_narrower(blocked, group, order).filter(
+            F.col("_narrower") <= DECIDED_CM).drop("_narrower", "_block", "_class"))
+        if kept.count() > blocked.count() / 2:
+            break
+    return rest.unionByName(kept)
+
+
+def _with_narrower(blocked: DataFrame, group: Sequence[str], order: Sequence) -> DataFrame:
+    """Adds ``_narrower``: the width of the group's earlier rows in lower classes of width."""
+    width, group = F.col("product_width_cm"), list(group)
+    ends = blocked.filter(width > 0).groupBy(*[F.col(c).alias(f"_e_{c}") for c in group]).agg(
+        F.min("product_width_cm").alias("_low"), F.max("product_width_cm").alias("_high"))
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_e_{c}")) for c in group))
+    scale = F.try_divide(F.ln(width / F.col("_low")), F.ln(F.col("_high") / F.col("_low")))
+    classed = blocked.join(ends, same, "left").withColumn("_class", F.when(
+        width > 0, F.least(F.lit(CLASSES - 1), F.floor(F.coalesce(scale, F.lit(0.0)) * CLASSES)))
+        .otherwise(0).cast("int")).drop("_low", "_high", *[f"_e_{c}" for c in group])
+
+    def sums(over: Window | None, prefix: str) -> list[Column]:
+        each = [F.sum(F.when(F.col("_class") == i, width)) for i in range(CLASSES)]
+        return [F.coalesce(x if over is None else x.over(over), F.lit(0.0)).alias(f"{prefix}{i}")
+                for i, x in enumerate(each)]
+
+    ahead = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = classed.groupBy(*group, "_block").agg(*sums(None, "_s")).select(
+        *[F.col(c).alias(f"_e_{c}") for c in group], F.col("_block").alias("_of"), F.array(*[
+            F.coalesce(F.sum(f"_s{i}").over(ahead), F.lit(0.0)) for i in range(CLASSES)])
+        .alias("_ahead"))
+    inside = Window.partitionBy(*group, "_block").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, -1)
+    lower = F.aggregate(
+        F.slice(F.zip_with("_here", "_ahead", lambda a, b: a + b), F.lit(1), F.col("_class")),
+        F.lit(0.0), lambda total, x: total + x)
+    here = classed.select("*", *sums(inside, "_h")).withColumn(
+        "_here", F.array(*[f"_h{i}" for i in range(CLASSES)])).drop(
+        *[f"_h{i}" for i in range(CLASSES)])
+    return (here.join(blocks, same & (F.col("_block") == F.col("_of")))
+            .withColumn("_narrower", lower)
+            .drop("_here", "_ahead", "_of", *[f"_e_{c}" for c in group]))
 
 
 def beyond_candidates(df: DataFrame, rack_keys: Sequence[str],
                       allowed: Column | None = None) -> DataFrame:
-    """Keys of the racks that have rows beyond their candidates; sums per group only."""
+    """Keys of the racks that may have rows beyond their candidates; sums per group only."""
     width = F.col("product_width_cm")
-    groups = df.filter(width >= LIMITED_CM).withColumn(
+    groups = df.filter(width.isNotNull()).withColumn(
         "_allowed", F.lit(0) if allowed is None else allowed)
-    return (groups.groupBy(*rack_keys, "shelf_level", "product_width_cm", "_allowed")
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") > F.floor(F.lit(2400.0) / width) + 2)
-            .select(*rack_keys).distinct())
+    equal = (groups.filter(width >= LIMITED_CM).groupBy(*rack_keys, "shelf_level", "product_width_cm", "_allowed")
+             .agg(F.count(F.lit(1)).alias("_n"))
+             .filter(F.col("_n") > F.floor(F.lit(DECIDED_CM) / width) + 2).select(*rack_keys))
+    crowded = _crowded(groups, [*rack_keys, "shelf_level", "_allowed"]).select(*rack_keys)
+    return equal.unionByName(crowded).distinct()
 
 
 def _known_shelf() -> Column:
@@ -159,7 +247,7 @@ def repair_moves(df: DataFrame, rule: str = "first_fit",
             .filter(F.try_element_at("used", F.col("shelf_level")) > K.SHELF_WIDTH_CM))
     item = F.struct(F.col("shelf_level").alias("shelf"),
                     (-F.col("product_width_cm")).alias("neg_width"), F.col(key))
-    racks = _candidates(rows, rack_keys, [key], key).groupBy(*rack_keys).agg(
+    racks = _candidates(rows, rack_keys, [key], key, by_priority=False).groupBy(*rack_keys).agg(
         F.first("used").alias("used"), F.sort_array(F.collect_list(item)).alias("items"))
     start = F.struct(F.col("used").alias("used"),
                      F.array().cast(_moves_type(df, key)).alias("moves"))

@@ -298,3 +298,50 @@ def test_shelf_counts_fill_empty_shelves(spark):
     rows = spark.createDataFrame([("A", 1), ("A", 1), ("B", 7)], "model string, shelf_level int")
     got = {r["shelf_level"]: (r["A"], r["B"]) for r in R.shelf_counts(rows, ["A", "B"]).collect()}
     assert got == {1: (2, 0), 7: (0, 1), **{s: (0, 0) for s in range(2, 7)}}
+
+
+def crowded_rows(n, seed, least=0.5, most=60.0):
+    """One rack of ``n`` products whose widths never repeat, and a small one."""
+    rng = random.Random(seed)
+    rows = [("2025_01", "hot", i, "P", "C", round(rng.uniform(0.5, 9.5), 2), 30.0,
+             rng.randint(1, 300), least + (most - least) * rng.random() + i * 1e-9,
+             rng.randint(1, 7)) for i in range(n)]
+    return rows + [("2025_01", "small", n + i, "P", "C", 3.0, 30.0, 9 + i, 100.0, 4)
+                   for i in range(6)]
+
+
+@pytest.mark.parametrize("least", [0.5, 59.9])
+def test_widths_that_never_repeat_give_the_same_layouts(spark, least):
+    """Rows that narrower ones rule out decide nothing, in any layout by priority."""
+    rows = crowded_rows(3000, 11, least)
+    df = spark.createDataFrame(rows, X.SCHEMA).repartition(5)
+    want, marginal = {}, {}
+    for products in X.by_rack(rows).values():
+        want.update(X.greedy(products))
+    assert shelves(L.greedy_layout(df)) == want
+    rng = random.Random(3)
+    scores = {r[2]: [rng.random() for _ in range(7)] for r in rows}
+    for products in X.by_rack(rows).values():
+        marginal.update(X.scored(products, scores))
+    scored = df.join(spark.createDataFrame(list(scores.items()), "product_id long, scores array<double>"),
+                     "product_id")
+    assert shelves(L.scored_layout(scored)) == marginal
+
+
+def test_a_hot_rack_sends_a_bounded_number_of_rows(spark):
+    """A rack of any size whose widths all differ.
+
+    For even widths of 1 to 300 cm on seven shelves the bound comes to some 33,000 rows.
+    """
+    def sent(n):
+        rack = spark.range(n).select(
+            F.lit("2025_01").alias("month_key"), F.lit("hot").alias("rack_id"),
+            F.col("id").alias("product_id"), (1 + F.col("id") % 7).cast("int").alias("shelf_level"),
+            (F.rand(5) * 299 + 1).alias("product_width_cm"), F.rand(6).alias("value"))
+        chosen = L._candidates(rack, ["month_key", "rack_id"], [F.desc("value"), "product_id"],
+                               "product_id")
+        return chosen.count()
+
+    few, many = sent(100_000), sent(1_000_000)
+    assert few < 10_000
+    assert many < 33_000
