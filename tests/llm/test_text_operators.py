@@ -11,7 +11,7 @@ import pytest
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
-from gondola.llm import nbsvm, pii, warc
+from gondola.llm import nbsvm, pii, secrets, warc
 from gondola.llm.nbsvm import quality
 from gondola.llm.pii import personal_data
 from gondola.llm.rules import quality_rules
@@ -396,6 +396,67 @@ def test_secret_scan_with_given_labels(spark):
     assert len({r.score for r in one}) == 1
 
 
+def test_mixed_values_that_nothing_names(spark):
+    """Hashes and UUIDs look like secrets; they are none where texts share them unnamed."""
+    rng = random.Random(6)
+    hexa = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    commit, uuid = hexa(40), f"{hexa(8)}-{hexa(4)}-{hexa(4)}-{hexa(4)}-{hexa(12)}"
+    rows = secret_rows() + [(1000 + i, f"{' '.join(passage(i, 6))} commit {commit} by me {i}")
+                            for i in range(8)]
+    rows += [(2000 + i, f"{' '.join(passage(i, 5))} id {hexa(8)}-{hexa(4)}-{hexa(4)}-{hexa(4)}-{hexa(12)} x")
+             for i in range(20)] + [(3000, f"row {uuid} end")]
+    df = spark.createDataFrame([(*r, "src/a") for r in rows], "doc_id bigint, text string, source string")
+    got = {(r.doc_id, r.value_sha256): r.is_secret for r in scan_secrets(df).collect()}
+    sha = lambda v: hashlib.sha256(v.encode()).hexdigest()
+    assert not any(got[1000 + i, sha(commit)] for i in range(8))
+    assert not got[3000, sha(uuid)]
+    assert all(v for (i, _), v in got.items() if i is not None and i < 60)  # the named ones
+
+
+def test_the_forest_learns_from_labelled_findings(spark):
+    """Held-out findings that no rule labels: tokens beside one word, checksums beside another."""
+    rng = random.Random(7)
+    rows, truth = [], {}
+    for i in range(400):
+        value = "".join(rng.choices("0123456789abcdef", k=32))
+        kind = rng.random() < 0.5
+        word = rng.choice(["use", "login", "bearer"]) if kind else rng.choice(["md5", "sum", "rev"])
+        rows.append((i, f"{' '.join(passage(i, 5))} {word} {value} {' '.join(passage(i + 9, 4))}", "src/a"))
+        truth[hashlib.sha256(value.encode()).hexdigest()] = kind
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    known = dict(list(truth.items())[:250])
+    labelled = spark.createDataFrame(list(known.items()), "value_sha256 string, is_secret boolean")
+    got = {r.value_sha256: r.is_secret for r in scan_secrets(df, labelled=labelled).collect()}
+    held = [(got[v], kind) for v, kind in truth.items() if v not in known]
+    right = sum(a == b for a, b in held) / len(held)
+    called = [kind for is_secret, kind in held if is_secret]
+    assert right > 0.9 and sum(called) / len(called) > 0.9
+    # Rules alone label none of them, so they call all alike.
+    assert len(set(r.score for r in scan_secrets(df).collect())) == 1
+
+
+def test_features_equal_the_plain_ones(spark):
+    rows = [(i, t) for i, t in secret_rows() if t]
+    df = spark.createDataFrame([(i, t, "src/tests/a.py") for i, t in rows],
+                               "doc_id bigint, text string, source string")
+    found = secrets.findings(df, "doc_id", "text", "source")
+    having = {}
+    for r in found.collect():
+        having.setdefault(r.value, set()).add(r._th)
+    for r in secrets.with_features(found, df, "text").collect():
+        v = r.value
+        kinds = ["a" if "a" <= c <= "z" else "A" if "A" <= c <= "Z" else "0" if c.isdigit() else "-"
+                 for c in v]
+        plain = {
+            "length": len(v), "digits": sum(c.isdigit() for c in v) / len(v),
+            "capitals": sum("A" <= c <= "Z" for c in v) / len(v),
+            "class_changes": sum(a != b for a, b in zip(kinds, kinds[1:])) / len(v),
+            "distinct": len(set(v)) / len(v), "texts": len(having[v]), "path_depth": 2,
+            "path_test": 1, "quoted": float(r.before[-1:] == '"' and r.after[:1] == '"')}
+        assert {k: r[k] for k in plain} == pytest.approx(plain)
+        assert all(0 <= r[k] < secrets.BUCKETS for k in secrets.NOMINAL)
+
+
 def test_named_values_and_dotted_tokens(spark):
     """Assigned values of any length and characters, and tokens with dots, are whole."""
     jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.c2lnbmF0dXJlX29mX2l0"
