@@ -18,8 +18,8 @@ NO_ID = -(1 << 63)
 CHUNK_BYTES = 1 << 22
 
 
-#: A table of at most so many rows is broadcast; past it, an equi-join shuffles.
-BROADCAST_ROWS = 500_000
+#: A table of at most so many rows and bytes is broadcast; past them, an equi-join shuffles.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64 << 20
 
 
 def position(df: DataFrame, column: str) -> int:
@@ -39,9 +39,16 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
                           for new, old in columns.items()])
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has few rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if it has few rows and bytes.
+
+    A value counts with the bytes of its text, and sixteen more.
+    """
+    long = [F.octet_length(f.name) for f in df.schema.fields
+            if f.dataType.typeName() in ("string", "binary")]
+    width = sum((F.coalesce(n, F.lit(0)) for n in long), F.lit(16 * len(df.columns)))
+    n, total = df.limit(rows + 1).agg(F.count(F.lit(1)), F.sum(width.cast("bigint"))).first()
+    return F.broadcast(df) if n <= rows and (total or 0) <= size else df
 
 
 def saved(df: DataFrame, **partitioned) -> DataFrame:

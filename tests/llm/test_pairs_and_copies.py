@@ -57,6 +57,16 @@ def test_fingerprints_and_components(spark):
     assert simhash_components(documents(spark, [])).collect() == []
 
 
+def test_broadcasts_are_bound_by_rows_and_bytes(spark):
+    def hinted(df, **bounds):
+        plan = common.small(df, **bounds)._jdf.queryExecution().analyzed().toString()
+        return "strategy=broadcast" in plan
+
+    df = spark.createDataFrame([(i, "x" * 1000) for i in range(50)], "i int, t string")
+    assert hinted(df) and hinted(df.limit(0)) and hinted(df, rows=50)
+    assert not hinted(df, rows=49) and not hinted(df, size=50_000)
+
+
 def test_chunks_of_a_text_give_the_same_words(monkeypatch):
     text = " ".join(passage(5, 400)) + " \t " + " ".join(passage(6, 100))
     whole = simhash.fingerprint(text, 3), substring.window_hashes(text, 13)
