@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -146,15 +147,24 @@ def enrich_resumable(df: DataFrame, path: str, enricher, slices: int = 1,
                      part: Sequence[str] = ("month_key",)) -> DataFrame:
     """Enrich batches that are not yet written below ``path``; returns all of them.
 
-    Each slice of batches is committed by one append, so a run that stops starts
-    again with the first slice that was not written.
+    Each slice of batches is a commit: its rows are written to a folder of their own, then its
+    batches to the ledger beside ``path``. What has no entry there was never finished: it is not
+    read, and its batches are done again. So a run that stops anywhere goes on with the first
+    slice that is missing, and finding it reads the ledger, not the output.
     """
     keys = [*part, "batch_id"]
-    spark = df.sparkSession
+    spark, ledger = df.sparkSession, f"{path.rstrip('/')}-ledger"
     for number in range(slices):
         todo = df.filter(F.pmod(F.xxhash64(*keys), F.lit(slices)) == number)
-        done = committed_batches(spark, path, keys)
+        done = committed_batches(spark, ledger, keys)
         if done is not None:
             todo = todo.join(done, keys, "left_anti")
-        enricher(todo).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+        commit = f"commit=c{uuid.uuid4().hex}"
+        enricher(todo).write.parquet(f"{path}/{commit}")
+        (spark.read.parquet(f"{path}/{commit}").select(*keys).distinct()
+         .write.parquet(f"{ledger}/{commit}"))
+    known = spark.read.parquet(ledger).select("commit").distinct()
+    # One name per slice of every run.
+    commits = [r["commit"] for r in known.collect()]
+    rows = spark.read.parquet(path)
+    return rows.filter(F.col("commit").isin(commits) if commits else F.lit(False)).drop("commit")

@@ -1,6 +1,7 @@
 """Files, enrichment, knowledge base, replies, vectors, streams and jobs."""
 
 import json
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -316,6 +317,32 @@ def test_resume_skips_written_batches(catalog, tmp_path):
     assert rows.agg(F.max("item_no")).first()[0] == 30
 
 
+def test_a_run_that_stops_between_slices_goes_on(spark, catalog, tmp_path):
+    path = tmp_path / "out"
+    rows = E.batch_rows(catalog.withColumn("month_key", F.lit("2025_01")), 30)
+    calls = []
+
+    def stops(df):
+        calls.append(df.count())
+        if len(calls) == 3:
+            raise RuntimeError("stopped")
+        return E.enrich_heuristic(df)
+
+    with pytest.raises(RuntimeError, match="stopped"):
+        E.enrich_resumable(rows, str(path), stops, slices=4)
+    # Rows that were written, but whose commit never came into the ledger.
+    first = sorted(path.glob("commit=*"))[0]
+    shutil.copytree(first, path / "commit=cunfinished")
+    out = E.enrich_resumable(rows, str(path), stops, slices=4)
+    assert out.count() == out.select("product_id").distinct().count() == 400
+    assert calls[3:5] == [0, 0] and sum(calls[:2]) + sum(calls[3:]) == 400
+    assert sorted(out.columns) == sorted(E.enrich_heuristic(rows).columns)
+    # The ledger alone tells what is done: the output isn't opened for it.
+    for part in path.glob("commit=*/*.parquet"):
+        part.write_bytes(b"")
+    assert spark.read.parquet(f"{path}-ledger").select("month_key", "batch_id").distinct().count() == 14
+
+
 def test_written_months_are_skipped(spark, catalog, tmp_path):
     path = str(tmp_path / "m")
     df = E.generate_months(catalog, ["2025_01", "2025_02"]).withColumnRenamed(
