@@ -39,7 +39,12 @@ def shelf_values(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS) -> DataF
 
 def rack_profit(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS) -> DataFrame:
     """Profit per rack with crowding, diminishing returns, price tier and spread."""
-    return (shelf_values(df, rack_keys).groupBy(*rack_keys).agg(
+    return profit_of_shelves(shelf_values(df, rack_keys), rack_keys)
+
+
+def profit_of_shelves(values: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS) -> DataFrame:
+    """Rack profit from ``n_products`` and ``value`` of every shelf."""
+    return (values.groupBy(*rack_keys).agg(
         F.sum("n_products").alias("n_products"),
         F.count(F.lit(1)).alias("n_shelves_used"),
         F.sum("value").alias("_value"))

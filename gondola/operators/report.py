@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import constants as K
 from ..functions.numbers import half_up
-from ..functions.physics import base_profit, shelf_multiplier
-from .layout import align_layouts, greedy_layout
-from .profit import head_of_rack, largest_rack, rack_profit
+from ..functions.physics import base_profit, price_tier, shelf_multiplier, shelf_value
+from ..session import written
+from .layout import greedy_layout
+from .profit import head_of_rack, largest_rack, profit_of_shelves, rack_profit
 
 
 def compare_racks(original: DataFrame, optimised: DataFrame,
@@ -129,11 +130,23 @@ def iteration_gain(df: DataFrame, by: Sequence[str] = ("rack_id",), iteration: s
             .withColumn("roi", F.try_divide(F.col("profit") - previous - cost, cost)))
 
 
-def category_metrics(df: DataFrame) -> DataFrame:
-    return df.groupBy("category").agg(
-        F.count(F.lit(1)).alias("n_products"),
-        F.sum("estimated_monthly_sales").alias("total_sales"),
-        F.avg("profit_margin_percentage").alias("avg_margin"))
+def _shelf_category_sums(df: DataFrame, rack_keys: Sequence[str]) -> DataFrame:
+    """Sums per (rack, shelf, category) that profits, fill and categories follow from; written."""
+    tier_value = base_profit() * price_tier("price_numeric", "shelf_level")
+    return written(df.groupBy(*rack_keys, "shelf_level", "category").agg(
+        F.count(F.lit(1)).alias("n_products"), F.sum("product_width_cm").alias("width_cm"),
+        F.sum(tier_value).alias("tier_value"), F.sum("estimated_monthly_sales").alias("total_sales"),
+        F.sum("profit_margin_percentage").alias("margin_sum"),
+        F.count("profit_margin_percentage").alias("margin_n")))
+
+
+def _rack_profit_of(sums: DataFrame, rack_keys: Sequence[str]) -> DataFrame:
+    """Rack profit from ``_shelf_category_sums``."""
+    shelves = sums.groupBy(*rack_keys, "shelf_level").agg(
+        F.sum("n_products").alias("n_products"),
+        *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("width_cm", "tier_value")])
+    return profit_of_shelves(shelves.withColumn("value", shelf_value(
+        "shelf_level", "n_products", "width_cm", "tier_value")), rack_keys)
 
 
 def optimisation_report(original: DataFrame, optimised: DataFrame,
@@ -149,24 +162,34 @@ def optimisation_report(original: DataFrame, optimised: DataFrame,
         return df.select(F.lit(section).alias("section"), rank.cast("int").alias("rank"),
                          F.to_json(F.struct(*fields)).alias("payload"))
 
-    totals = compare_totals(compare_racks(original, optimised, rack_keys, key))
+    keys = list(rack_keys)
+    sums = _shelf_category_sums(optimised, rack_keys)
+    before, after = (p.select(*keys, F.col("profit").alias(name)) for p, name in (
+        (rack_profit(original, rack_keys), "orig_profit"),
+        (_rack_profit_of(sums, rack_keys), "opt_profit")))
+    totals = compare_totals(before.join(after, keys))
     summary = rows(totals, "summary", F.lit(1), half_up("orig_profit", 2).alias("profit_before"),
                    half_up("opt_profit", 2).alias("profit_after"),
                    half_up("lift_pct", 2).alias("delta_pct"))
-    value = original.select(*rack_keys, key, base_profit().alias("_value"))
-    moves = (align_layouts(original, optimised, rack_keys, key).filter("moved")
-             .join(value, [*rack_keys, key])
+    stood = original.select(*keys, key, F.col("shelf_level").alias("orig_shelf"),
+                            base_profit().alias("_value"))
+    stands = optimised.select(*keys, key, F.col("shelf_level").alias("new_shelf"))
+    moves = (stood.join(stands, [*keys, key]).filter("orig_shelf <> new_shelf")
              .withColumn("impact", F.col("_value") * (shelf_multiplier("new_shelf")
                                                       - shelf_multiplier("orig_shelf")))
-             .orderBy(F.desc("impact"), *rack_keys, key).limit(10))
+             .orderBy(F.desc("impact"), *keys, key).limit(10))
     order = Window.orderBy(F.desc("impact"), *rack_keys, key)  # over ten rows
     relocations = rows(moves.withColumn("_rank", F.row_number().over(order)), "relocation",
                        F.col("_rank"), *rack_keys, key, "orig_shelf", "new_shelf",
                        half_up("impact", 2).alias("impact"))
-    categories = rows(category_metrics(optimised), "category", F.lit(None), "category",
+    by_category = sums.groupBy("category").agg(
+        F.sum("n_products").alias("n_products"), F.sum("total_sales").alias("total_sales"),
+        F.try_divide(F.sum("margin_sum"), F.sum("margin_n")).alias("avg_margin"))
+    categories = rows(by_category, "category", F.lit(None), "category",
                       "n_products", "total_sales", half_up("avg_margin", 2).alias("avg_margin"))
-    underused = rows(space_kpis(optimised, rack_keys).filter(F.col("occupancy") < low_fill),
-                     "underused_rack", F.lit(None), *rack_keys,
+    occupancy = F.sum("width_cm") / (K.SHELF_WIDTH_CM * K.NUM_SHELVES)
+    underused = rows(sums.groupBy(*keys).agg(occupancy.alias("occupancy"))
+                     .filter(F.col("occupancy") < low_fill), "underused_rack", F.lit(None), *rack_keys,
                      half_up("occupancy", 4).alias("occupancy"))
     report = summary.unionByName(relocations).unionByName(categories).unionByName(underused)
     if falling is not None:
