@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ...constants import LIFT_MAX, LIFT_MIN, MOVE_FEATURES, PLANOGRAM_COLUMNS
 from ...functions.numbers import half_up
 from ...operators import inventory as I, knowledge as KB, layout as L, learning as ML
-from ...operators import replies as RE, vectors as V
+from ...operators import replies as RE, vector_cells as VC, vectors as V
 from ...operators.enrich import batch_rows
 from ...session import shared_dir, written
 from ...sources import readers, sinks
@@ -145,6 +145,14 @@ def _all_nearest(spark, d):
     return top.select("query_id", "vec_id", "rank", half_up("similarity", 6).alias("similarity"))
 
 
+def _nearest_in_cells(spark, d):
+    """The nearest vectors of every vector, from cells that were stored before."""
+    path, vectors = shared_dir(spark), T.table(spark, d, "embeddings")
+    VC.store_cells(vectors, path, cells=32)
+    top = VC.cells_topk(vectors.withColumnRenamed("vec_id", "query_id"), path, 3)
+    return top.select("query_id", "vec_id", "rank", half_up("similarity", 6).alias("similarity"))
+
+
 def _vector_problems(spark, d):
     """Every tenth vector lacks its last entry, every seventh is all zero."""
     k, e = F.col("vec_id"), F.col("embedding")
@@ -379,6 +387,7 @@ QUERIES = {
     "a4_model_layout": _model_layout,
     "r2_cosine_topk": _nearest,
     "r2_all_vectors": _all_nearest,
+    "r2_stored_cells": _nearest_in_cells,
     "r2_vector_problems": _vector_problems,
     "r3_batch_prompts": lambda s, d: RE.batch_prompts(
         batch_rows(_with_text(s, d), 30), task="-"),
@@ -401,6 +410,13 @@ QUERIES = {
     "job_predict_month": _predict,
 }
 
+_ALL_NEAREST = f"""SELECT query_id, vec_id, CAST(rk AS INTEGER) AS rank,
+  {S.half_up('sim', 6)} AS similarity
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, vec_id) AS rk
+      FROM (SELECT a.vec_id AS query_id, b.vec_id, round(list_cosine_similarity(
+              CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 9) AS sim
+            FROM embeddings a CROSS JOIN embeddings b) c) t WHERE rk <= 3"""
+
 _BATCHED = """batched AS (
   SELECT *, (rn - 1) // 30 AS batch_id, CAST((rn - 1) % 30 + 1 AS INTEGER) AS item_no
   FROM (SELECT *, row_number() OVER (PARTITION BY month_key ORDER BY product_id) AS rn FROM retail) t)"""
@@ -457,12 +473,8 @@ FROM (SELECT c.label, vec_id, sim, row_number() OVER (PARTITION BY c.label ORDER
       FROM (SELECT c.label, e.vec_id,
                    list_cosine_similarity(c.c, CAST(e.embedding AS DOUBLE[])) AS sim
             FROM centre c CROSS JOIN embeddings e) c) t WHERE rk <= 5""", _CENTROIDS),
-    "r2_all_vectors": f"""SELECT query_id, vec_id, CAST(rk AS INTEGER) AS rank,
-  {S.half_up('sim', 6)} AS similarity
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, vec_id) AS rk
-      FROM (SELECT a.vec_id AS query_id, b.vec_id, round(list_cosine_similarity(
-              CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 9) AS sim
-            FROM embeddings a CROSS JOIN embeddings b) c) t WHERE rk <= 3""",
+    "r2_all_vectors": _ALL_NEAREST,
+    "r2_stored_cells": _ALL_NEAREST,
     "r2_vector_problems": """SELECT vec_id, CASE WHEN vec_id % 10 = 0 THEN 'length ' || (len(embedding) - 1)
   ELSE 'all zero' END AS problem FROM embeddings WHERE vec_id % 10 = 0 OR vec_id % 7 = 0""",
     "r3_batch_prompts": S.query("""SELECT month_key, batch_id, count(*) AS n_items,
