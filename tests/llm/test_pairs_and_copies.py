@@ -77,8 +77,7 @@ def test_chunks_of_a_text_give_the_same_words(monkeypatch):
     assert (h1 == whole[1][0]).all() and (h2 == whole[1][1]).all()
 
 
-@pytest.mark.parametrize("max_bits", [1, 2, 3])
-@pytest.mark.parametrize("pair_rows", [1, 5, 1000])
+@pytest.mark.parametrize(("max_bits", "pair_rows"), [(1, 5), (2, 1), (2, 5), (2, 1000), (3, 5)])
 def test_links_are_all_pairs_in_reach(spark, max_bits, pair_rows):
     """Buckets compared pair by pair, narrowed once and narrowed to the end find the same links."""
     rng = np.random.default_rng(7)

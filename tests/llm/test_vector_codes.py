@@ -62,7 +62,7 @@ def results(df):
     return sorted((tuple(r) for r in df.collect()), key=key)
 
 
-@pytest.mark.parametrize("n", [1, 5, 16, 300])
+@pytest.mark.parametrize("n", [1, 16, 300])
 def test_codes_equal_the_plain_rounds(spark, monkeypatch, n):
     monkeypatch.setattr(codes, "BLOCK_ROWS", 50)
     monkeypatch.setattr(codes, "LEAF_ROWS", 4)
