@@ -214,9 +214,10 @@ def one_per_component(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
     rows = docs.toDF(*names).withColumns(key_of(at_id, at_text))
     prints = saved(fingerprints(rows, shingle, "_id", at_text, "_th"))
     labelled = labels(prints.select("fp").distinct(), max_bits)
-    keep = (prints.join(labelled, "fp").groupBy("label")
-            .agg(F.min(F.struct((F.col("doc_id") == NO_ID).alias("without"),
-                                F.col("doc_id").alias("_id"), "_th")).alias("x"))
+    # Copies are reduced to one row of each fingerprint before they meet their label.
+    first = prints.groupBy("fp").agg(F.min(F.struct(
+        (F.col("doc_id") == NO_ID).alias("without"), F.col("doc_id").alias("_id"), "_th")).alias("x"))
+    keep = (first.join(labelled, "fp").groupBy("label").agg(F.min("x").alias("x"))
             .select("x._id", "x._th"))
     # Kept rows alone are reduced to one of each, first where they are.
     return (rows.join(keep, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"])
