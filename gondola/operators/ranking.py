@@ -93,23 +93,26 @@ def first_fraction(df: DataFrame, part: Sequence[str], score: Column, ties: Sequ
     ``score`` is uniform in [0, 1); ``wanted`` holds ``(*part, n_keep)``. A
     count per score bucket finds the bucket where each group's quota ends, and
     ranking that one bucket finds the last row to keep. The rows themselves are
-    then filtered where they are, against one cut per group.
+    then filtered where they are, against one cut per group. What has a row per group is
+    written: Spark guesses that a join is as large as the product of its sides, takes the
+    rows for the small side and would send all of them through the driver.
     """
     part = list(part)
+    wanted = written(wanted)
     scored = df.withColumn("_at", F.struct(score.alias("_score"), *ties))
     bucketed = scored.select(*part, "_at", F.floor(F.col("_at._score") * buckets).alias("_bucket"))
     counts = bucketed.groupBy(*part, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*part).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1)
-    edge = (counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-            .join(wanted, part)
-            .filter(F.col("_before") < F.col("n_keep"))
-            .groupBy(*part).agg(F.max(F.struct(
-                "_bucket", (F.col("n_keep") - F.col("_before")).alias("_need"))).alias("_edge"))
-            .select(*part, F.col("_edge._bucket").alias("_bucket"), "_edge._need"))
+    edge = written(counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+                   .join(wanted, part)
+                   .filter(F.col("_before") < F.col("n_keep"))
+                   .groupBy(*part).agg(F.max(F.struct(
+                       "_bucket", (F.col("n_keep") - F.col("_before")).alias("_need"))).alias("_edge"))
+                   .select(*part, F.col("_edge._bucket").alias("_bucket"), "_edge._need"))
     rank = F.row_number().over(Window.partitionBy(*part).orderBy("_at"))
-    cuts = (bucketed.join(edge, [*part, "_bucket"]).withColumn("_rn", rank)
-            .filter(F.col("_rn") <= F.col("_need"))
-            .groupBy(*part).agg(F.max("_at").alias("_cut")))
+    cuts = written(bucketed.join(edge, [*part, "_bucket"]).withColumn("_rn", rank)
+                   .filter(F.col("_rn") <= F.col("_need"))
+                   .groupBy(*part).agg(F.max("_at").alias("_cut")))
     return (scored.join(cuts, part).filter(F.col("_at") <= F.col("_cut"))
             .drop("_at", "_cut"))

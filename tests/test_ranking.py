@@ -95,6 +95,17 @@ def test_first_fraction_of_everything(spark):
     assert RK.first_fraction(df, ["g"], uniform(1, "id"), ["id"], wanted).count() == 300
 
 
+def test_first_fraction_broadcasts_quotas_and_no_rows(spark, tmp_path):
+    spark.range(50_000).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows")).withColumn(
+        "g", F.explode(F.array(F.lit("a"), F.lit("b"))))
+    wanted = spark.createDataFrame([("a", 100), ("b", 40_000)], "g string, n_keep long")
+    got = RK.first_fraction(rows, ["g"], uniform(1, "g", "id"), ["id"], wanted)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BuildLeft" not in plan and "SortMergeJoin" not in plan
+    assert {r["g"]: r["count"] for r in got.groupBy("g").count().collect()} == {"a": 100, "b": 40_000}
+
+
 def test_half_up_takes_noise_for_a_tie(spark):
     row = spark.range(1).select(
         half_up(F.lit(1.005), 2).alias("a"), half_up(F.lit(2.675), 2).alias("b"),
