@@ -2,9 +2,11 @@
 
 import hashlib
 import io
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -470,3 +472,29 @@ def test_named_values_and_dotted_tokens(spark):
     far = ("a." * 5_000) + "b" * 20
     assert [(r.start, r.end) for r in scan_secrets(
         documents(spark, [(9, far, "en", "s", 0)])).collect()] == [(0, len(far))]
+
+
+def test_transitions_are_counted_in_whole_texts(spark):
+    """Words far from any finding count, and those of texts without one; findings don't."""
+    token = "Zq7xK2vB9mT4wL6c"
+    far = "banana " * 200
+    df = documents(spark, [(1, f"{far}see {token} there {far}", "en", "s", 0),
+                           (2, "coconut coconut", "en", "s", 0), (3, None, "en", "s", 0)])
+    found = secrets.findings(df, "doc_id", "text", "source")
+    assert [r["value"] for r in found.collect()] == [token]
+    words = ["banana"] * 400 + ["see", "there", "coconut", "coconut"]
+    pairs = Counter(w[i:i + 2] for w in words for i in range(len(w) - 1))
+    first = Counter()
+    for pair, n in pairs.items():
+        first[pair[0]] += n
+    plain = "".join("0" if c.isdigit() else c for c in token.lower())
+    own = [plain[i:i + 2] for i in range(len(plain) - 1)]
+    logs = [math.log((pairs[p] + 1) / (first[p[0]] + len(secrets.CLASSES))) if p in pairs
+            else secrets.UNSEEN for p in own]
+    got = secrets.transition_scores(found, df, "text").collect()
+    assert [(r["value"], r["transition"]) for r in got] == [(token, round(sum(logs) / len(logs), 6))]
+    probe = found.withColumn("value", F.lit("banana"))
+    want = [math.log((pairs[p] + 1) / (first[p[0]] + len(secrets.CLASSES)))
+            for p in ("ba", "an", "na", "an", "na")]
+    got = secrets.transition_scores(probe, df, "text").first()["transition"]
+    assert got == pytest.approx(sum(want) / 5, abs=2e-6)
