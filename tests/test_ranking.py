@@ -106,6 +106,21 @@ def test_first_fraction_broadcasts_quotas_and_no_rows(spark, tmp_path):
     assert {r["g"]: r["count"] for r in got.groupBy("g").count().collect()} == {"a": 100, "b": 40_000}
 
 
+def test_merged_shuffle_partitions_stay_small(spark):
+    settings = {"spark.sql.shuffle.partitions": "64",
+                "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = spark.range(2_500_000).select("id", *[F.xxhash64("id", F.lit(i)).alias(f"h{i}")
+                                                     for i in range(2)])
+        assert rows.repartition("id").rdd.getNumPartitions() >= 3
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_half_up_takes_noise_for_a_tie(spark):
     row = spark.range(1).select(
         half_up(F.lit(1.005), 2).alias("a"), half_up(F.lit(2.675), 2).alias("b"),
