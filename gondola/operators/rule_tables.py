@@ -66,7 +66,9 @@ def first_rules(df: DataFrame, rules: DataFrame, text: str, by: Sequence[str] =
         found = wanted.withColumn("_default", defaults.select("_default").scalar())
     if lengths:
         pieces = _pieces(wanted.select("_low").distinct(), lengths)
-        best = (pieces.join(table.filter(~plain), F.col("_piece") == F.col("_pattern"))
+        # Of rules that share pattern and group, only the first can apply.
+        firsts = table.filter(~plain).groupBy(*keys, "_pattern").agg(F.min("_rule").alias("_rule"))
+        best = (pieces.join(firsts, F.col("_piece") == F.col("_pattern"))
                 .groupBy("_low", *keys).agg(F.min("_rule").alias("_best"))
                 .withColumnRenamed("_low", "_of"))
         found = found.join(best, (F.col("_low") == F.col("_of")) & _same(by, "", "_r_"), "left")

@@ -68,3 +68,18 @@ def test_constants_give_the_same_as_tables(spark):
     bands = RT.with_first_rule(df, table, "category", missing="nan").withColumn("b", band)
     same = [F.col(c).eqNullSafe(F.col(f"b.{c}")) for c in ("m_lo", "m_hi", "w_lo", "w_hi", "priority")]
     assert bands.filter(~(same[0] & same[1] & same[2] & same[3] & same[4])).count() == 0
+
+
+def test_rules_that_share_a_pattern_meet_the_texts_once(spark):
+    """Of equal patterns of a group only the first rule is joined; the result stays the same."""
+    texts = spark.createDataFrame([(1, "Rose tea"), (2, "rose"), (3, None), (1, "x")],
+                                  "month int, title string")
+    rules = spark.createDataFrame(
+        [(m, p, pattern, p / 2) for m in (1, 2, None) for pattern in ("ROSE", "tea", "rose")
+         for p in (9, 3, 7, 3)] + [(3, 5, None, 0.25)],
+        "month int, priority int, pattern string, multiplier double")
+    got = RT.first_rules(texts, rules, "title", ["month"])
+    assert sorted(got.collect(), key=str) == sorted(
+        [(1, "Rose tea", 1.5, 3), (2, "rose", 1.5, 3), (3, None, 0.25, 5), (1, "x", None, None)], key=str)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "min(" in plan[plan.index("Join Inner"):]
