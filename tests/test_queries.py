@@ -39,6 +39,13 @@ def test_entry_is_the_rack_profit(spark):
     assert df.count() > 0
 
 
+def test_corpus_queries_merge_partitions_as_spark_does(spark, sf_dir):
+    for name, size in (("p11_base_sales", 16 << 20), ("op13_vector_codes", 64 << 20),
+                       ("p11_base_sales", 16 << 20)):
+        QUERIES[name](spark, sf_dir)
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(size)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, scale, name):
     folder, con = scale(name)
