@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gondola import constants as K
 from gondola.functions import physics as P
 from gondola.operators import layout as L, profit as R, walk, whatif as W
 from tests import racks as X
@@ -343,3 +344,30 @@ def test_a_hot_rack_sends_a_bounded_number_of_rows(spark):
         return chosen.count()
 
     assert sent(600_000) < 33_000
+
+
+def test_small_racks_are_walked_as_a_whole(spark):
+    """Racks of up to ``WHOLE_RACK`` rows keep all rows, larger ones their candidates only."""
+    sizes = {"small": L.WHOLE_RACK, "large": L.WHOLE_RACK + 1, None: L.WHOLE_RACK + 1}
+    rows = [("2025_01", rack, i, "n", "C", 3.0, 30.0, i % 90 + 1, 150.0, 1 + i % 7)
+            for rack, n in sizes.items() for i in range(n)]
+    df = spark.createDataFrame(rows, X.SCHEMA)
+    picked = L._candidates(df.withColumn("value", P.base_profit()), K.RACK_KEYS,
+                           [F.desc("value"), "product_id"], "product_id")
+    got = {r["rack_id"]: r["count"] for r in picked.groupBy("rack_id").count().collect()}
+    assert got == {"small": L.WHOLE_RACK, "large": 7 * (2400 // 150 + 2), None: 7 * (2400 // 150 + 2)}
+
+
+def test_random_layouts_meet_as_sums(spark, tmp_path):
+    """Products are moved once, not once a run: each run's overflow and profit come from the same sums."""
+    df = spark.createDataFrame(X.random_rows(2, (30,), seed=4, widths=(20, 60)), X.SCHEMA)
+    plan = L.random_baseline(df, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1 and "Join" not in plan
+    many = L.random_layouts(df, 5, 42)
+    keys = [*K.RACK_KEYS, "run"]
+    bad = {(r["rack_id"], r["run"]) for r in L.shelf_violations(many, keys).collect()}
+    profit = {(r["rack_id"], r["run"]): r["profit"] for r in L.rack_profit(many, keys).collect()}
+    for r in L.random_baseline(df, 5).collect():
+        runs = [k for k in profit if k[0] == r["rack_id"]]
+        assert r["valid_share"] == pytest.approx(sum(k not in bad for k in runs) / 5)
+        assert r["mean_profit"] == pytest.approx(sum(profit[k] for k in runs) / 5)
