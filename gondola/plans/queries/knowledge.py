@@ -8,7 +8,7 @@ from ...functions.numbers import half_up
 from ...operators import knowledge as KB
 from ...operators.enrich import batch_rows, enrich_heuristic, enrich_resumable
 from ...operators.ranking import top_n
-from ...session import shared_dir
+from ...session import shared_dir, written
 from ...sources import readers, sinks
 from .. import tables as T
 from . import sql as S
@@ -107,9 +107,9 @@ def _latest_file(spark, d):
 
 
 def _resumed(spark, d):
-    """Enrichment that was stopped after some batches and then resumed."""
+    """Enrichment that was stopped after some batches and then resumed; batches are numbered once."""
     path = shared_dir(spark)
-    rows = batch_rows(T.planogram(spark, d).drop("estimated_monthly_sales"), 30)
+    rows = written(batch_rows(T.planogram(spark, d).drop("estimated_monthly_sales"), 30))
     enrich_resumable(rows.filter(F.col("batch_id") < 20), path, enrich_heuristic)
     return enrich_resumable(rows, path, enrich_heuristic, slices=2).select(
         "month_key", "product_id", "batch_id", "item_no", "estimated_monthly_sales",
