@@ -232,11 +232,11 @@ def _prompt_lines(spark, d):
 # --- files and streams --------------------------------------------------------------------
 
 def _in_parts(df, folder, parts=3):
-    """Monthly files of several parts each."""
+    """Monthly files of several parts each; Spark cuts them, no task holds all months."""
     rows = df.withColumn("source_file", sinks.month_file())
     for k in range(parts):
         part = rows.filter(F.col("product_id") % parts == k)
-        (part.select(*sinks._planogram_columns(part), "source_file").coalesce(1).write
+        (part.select(*sinks._planogram_columns(part), "source_file").hint("rebalance", "source_file").write
          .mode("append").partitionBy("source_file").option("header", True).csv(folder))
 
 

@@ -11,7 +11,7 @@ from gondola.operators import (enrich as E, forecast as FC, inventory as I, know
                                learning as ML, quality as Q, replies as RE, report as RP,
                                sales as SA, store as ST, vectors as V, whatif as W)
 from gondola.plans import jobs
-from gondola.plans.queries.models import _two_files
+from gondola.plans.queries.models import _in_parts, _two_files
 from gondola.plans.tables import planogram
 from gondola.sources import readers as RD, sinks as SK
 from gondola.streaming.ingest import stream_ingest
@@ -189,6 +189,24 @@ def test_stream_takes_all_parts_of_a_month(spark, tmp_path):
     assert [r["n_products"] for r in spark.read.parquet(kb).collect()] == [12]
 
 
+def test_parts_of_months_are_written_by_several_tasks(spark, tmp_path):
+    merged = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(merged)
+    rows = [(f"2025_{m:02d}", i, "Pan", f"p{i}", float(i), 1 + i % 7) for m in range(1, 13) for i in range(60)]
+    df = spark.createDataFrame(rows, "month_key string, product_id bigint, category string, "
+                                     "name string, estimated_monthly_sales double, shelf_level int")
+    spark.conf.set(merged, "100")
+    try:
+        _in_parts(df, str(tmp_path / "m"))
+    finally:
+        spark.conf.set(merged, before)
+    files = list((tmp_path / "m").glob("source_file=*/part-*.csv"))
+    assert len({f.name.split("-")[1] for f in files}) > 1
+    per_month = [len(list(f.glob("part-*.csv"))) for f in (tmp_path / "m").glob("source_file=*")]
+    assert len(per_month) == 12 and min(per_month) >= 3
+    assert RD.read_monthly(spark, str(tmp_path / "m")).count() == len(rows)
+
+
 def test_stream_opens_new_parts_only(spark, tmp_path):
     """Parts that were taken in are listed, not read again: what they hold by now has no effect."""
     folder = tmp_path / "m" / "source_file=sales_2025_07_july.csv"
