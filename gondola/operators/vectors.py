@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from .ranking import top_n
 
-# Average rows of a block of queries and of vectors; a task holds one of each.
-QUERY_BLOCK, VECTOR_BLOCK = 2_048, 32_768
+# Average rows of a block of queries and of vectors; a task holds one of each. Every row is sent
+# to all blocks of the other side, so few large blocks move less.
+QUERY_BLOCK, VECTOR_BLOCK = 8_192, 32_768
+# Similarities of a task at a time, and vectors of which the best one bounds the rest.
+HELD, GROUP = 1 << 22, 64
 # Similarities that agree to so many places are ties; summation noise is below it.
 PLACES = 9
 
@@ -45,30 +48,53 @@ def vector_problems(vectors: DataFrame, vec_id: str = "vec_id",
     return vectors.select(vec_id, problem.alias("problem")).filter(F.col("problem").isNotNull())
 
 
-def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
-    flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    m = flat.astype(np.float64).reshape(-1, dim)
+def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
+    """Unit rows of a column of lists."""
+    whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    m = whole.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
     return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
+def _best(q: np.ndarray, m: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """Row, id and similarity of the ``k`` best of ``m`` for every row of ``q``.
+
+    The k-th of the groups' best is no larger than the k-th of all, so what is below it is
+    neither rounded nor sorted.
+    """
+    sims = q @ m.T
+    take, groups = min(k, len(m)), len(m) // GROUP
+    best = sims if groups < take else sims[:, :groups * GROUP].reshape(
+        len(q), groups, GROUP).max(axis=2)
+    edge = np.partition(best, best.shape[1] - take, axis=1)[:, best.shape[1] - take]
+    row, col = np.nonzero(sims >= edge[:, None] - 2 * 10.0 ** -PLACES)
+    sims, found = np.round(sims[row, col], PLACES), ids[col]
+    order = np.lexsort((found, -sims, row))
+    row, found, sims = row[order], found[order], sims[order]
+    first = np.arange(len(row)) - np.searchsorted(row, row, side="left") < k
+    return row[first], found[first], sims[first]
+
+
 def _best_of_block(k: int):
-    """Arrow function: the k best vectors of a block per query of another block."""
+    """Arrow function: the k best vectors of a block per query of another block.
+
+    A task holds ``HELD`` similarities at a time, however large the blocks are.
+    """
     def best(queries: pa.Table, vectors: pa.Table) -> pa.Table:
-        dim = len(queries["vec"][0]) if queries.num_rows else 0
-        if not (queries.num_rows and vectors.num_rows):
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()),
-                             "similarity": pa.array([], pa.float64())})
-        q, ids = _matrix(queries["vec"], dim), vectors["id"].to_numpy()
-        sims = np.round(q @ _matrix(vectors["vec"], dim).T, PLACES)
-        take = min(k, len(ids))
-        edge = -np.partition(-sims, take - 1, axis=1)[:, take - 1]
-        row, col = np.nonzero(sims >= edge[:, None])
-        order = np.lexsort((ids[col], -sims[row, col], row))
-        row, col = row[order], col[order]
-        order = np.arange(len(row)) - np.searchsorted(row, row, side="left") < k
-        row, col = row[order], col[order]
-        return pa.table({"query_id": queries["id"].to_numpy()[row], "vec_id": ids[col],
-                         "similarity": sims[row, col]})
+        parts = []
+        if queries.num_rows and vectors.num_rows:
+            dim = len(queries["vec"][0])
+            q, m = _matrix(queries["vec"], dim), _matrix(vectors["vec"], dim)
+            q_ids, ids = queries["id"].to_numpy(), vectors["id"].to_numpy()
+            # What holds an infinite number is like nothing.
+            q_good, good = np.isfinite(q).all(axis=1), np.isfinite(m).all(axis=1)
+            q, q_ids, m, ids = q[q_good], q_ids[q_good], m[good], ids[good]
+            rows = max(1, HELD // max(1, len(m)))
+            for at in range(0, len(q) if len(m) else 0, rows):
+                row, found, sims = _best(q[at:at + rows], m, ids, k)
+                parts.append((q_ids[at + row], found, sims))
+        query, found, sims = map(np.concatenate, zip(*parts)) if parts else ([], [], [])
+        return pa.table({"query_id": pa.array(query, pa.int64()), "vec_id": pa.array(found, pa.int64()),
+                         "similarity": pa.array(sims, pa.float64())})
 
     return best
 

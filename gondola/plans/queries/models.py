@@ -140,8 +140,7 @@ def _nearest(spark, d):
 def _all_nearest(spark, d):
     """The nearest vectors of every vector, itself included."""
     vectors = T.table(spark, d, "embeddings")
-    top = V.cosine_topk(vectors.withColumnRenamed("vec_id", "query_id"), vectors, 3,
-                        query_block=128, vector_block=256)
+    top = V.cosine_topk(vectors.withColumnRenamed("vec_id", "query_id"), vectors, 3)
     return top.select("query_id", "vec_id", "rank", half_up("similarity", 6).alias("similarity"))
 
 
