@@ -15,15 +15,15 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..session import written
 from .ranking import top_n
-from .vectors import QUERY_BLOCK, VECTOR_BLOCK, _best_of_block, _usable
+from .vectors import QUERY_BLOCK, VECTOR_BLOCK, _best_of_block, _matrix, _usable
 
 #: Cells of a stored table at most; centres are sampled, all vectors are stored.
 CELLS = 256
-STORED = "id bigint, vec array<double>, angle double, n int, cell int"
+STORED = "id bigint, vec {}, angle double, n int, cell int"
 #: Angles are kept apart by more than their rounding.
 SLACK = 1e-6
 
@@ -40,6 +40,17 @@ def _unit(rows: list) -> np.ndarray:
     return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
+def _numbers(df: DataFrame, vector: str) -> Column:
+    """The vectors as floats where they are, which half the bytes hold, or as doubles."""
+    floats = df.schema[vector].dataType == T.ArrayType(T.FloatType(), True)
+    return F.col(vector).cast("array<float>" if floats else "array<double>")
+
+
+def _kind(spark: SparkSession, path: str) -> str:
+    """Type of the stored vectors: that of the centres."""
+    return spark.read.parquet(f"{path}/cells").schema["centre"].dataType.simpleString()
+
+
 def _angles(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(vectors @ centres.T, -1.0, 1.0))
 
@@ -51,8 +62,9 @@ def store_cells(vectors: DataFrame, path: str, cells: int = CELLS, vec_id: str =
     Centres are the ``cells`` vectors of a length whose ids hash lowest.
     """
     rows = vectors.select(F.col(vec_id).cast("bigint").alias("id"),
-                          F.col(vector).cast("array<double>").alias("vec")).filter(
+                          _numbers(vectors, vector).alias("vec")).filter(
         _usable("vec")).withColumn("n", F.size("vec"))
+    kind = rows.schema["vec"].dataType.simpleString()
     sampled = top_n(rows, ["n"], [F.xxhash64("id"), F.col("id")], cells)
     centres: dict[int, list] = {}
     for r in sampled.orderBy("n", "rank").collect():  # at most ``cells`` a length
@@ -64,22 +76,22 @@ def store_cells(vectors: DataFrame, path: str, cells: int = CELLS, vec_id: str =
             lengths = batch.column("n").to_numpy(zero_copy_only=False)
             for n in np.unique(lengths).tolist():
                 own = batch.filter(pa.array(lengths == n))
-                angle = _angles(_unit(own.column("vec").to_pylist()), unit[n])
+                angle = _angles(_matrix(own.column("vec"), n), unit[n])
                 cell = angle.argmin(axis=1)
                 yield pa.RecordBatch.from_pydict({
                     **{c: own.column(c) for c in ("id", "vec", "n")},
                     "cell": pa.array(cell.astype(np.int32)),
                     "angle": pa.array(angle[np.arange(len(cell)), cell])})
 
-    stored = rows.mapInArrow(assign, "id bigint, vec array<double>, n int, cell int, angle double")
+    stored = rows.mapInArrow(assign, f"id bigint, vec {kind}, n int, cell int, angle double")
     (stored.hint("rebalance", "n", "cell").write.mode("overwrite").partitionBy("n", "cell")
      .parquet(f"{path}/vectors"))
     spark = vectors.sparkSession
-    found = (spark.read.schema(STORED).parquet(f"{path}/vectors").groupBy("n", "cell")
+    found = (spark.read.schema(STORED.format(kind)).parquet(f"{path}/vectors").groupBy("n", "cell")
              .agg(F.max("angle").alias("radius"), F.count(F.lit(1)).alias("size")))
     middle = spark.createDataFrame(
         [(n, i, list(map(float, c))) for n, own in centres.items() for i, c in enumerate(own)],
-        "n int, cell int, centre array<double>")
+        f"n int, cell int, centre {kind}")
     found.join(middle, ["n", "cell"]).write.mode("overwrite").parquet(f"{path}/cells")
 
 
@@ -112,7 +124,7 @@ def _wanted(cells: dict, k: int, again: bool):
                     continue
                 own = batch.filter(pa.array(lengths == n))
                 number, c = cells[n]
-                angle = _angles(_unit(own.column("vec").to_pylist()), c.centre)
+                angle = _angles(_matrix(own.column("vec"), n), c.centre)
                 take = near(angle, c)
                 if again:
                     least = own.column("least").to_numpy(zero_copy_only=False)[:, None]
@@ -151,12 +163,13 @@ def cells_topk(queries: DataFrame, path: str, k: int = 5, query_id: str = "query
                vector_block: int = VECTOR_BLOCK) -> DataFrame:
     """``cosine_topk`` over the vectors of ``store_cells``: same rows, fewer cells opened."""
     spark = queries.sparkSession
-    cells, pairs = read_cells(spark, path), "id bigint, vec array<double>, n int, cell int"
     q = written(queries.select(F.col(query_id).cast("bigint").alias("id"),
-                               F.col(vector).cast("array<double>").alias("vec"))
+                               _numbers(queries, vector).alias("vec"))
                 .filter(_usable("vec")).withColumn("n", F.size("vec")))
+    cells = read_cells(spark, path)
+    pairs = f"id bigint, vec {q.schema['vec'].dataType.simpleString()}, n int, cell int"
     blocks = max(1, math.ceil(q.count() / query_block))
-    stored = spark.read.schema(STORED).parquet(f"{path}/vectors").select("id", "vec", "n", "cell")
+    stored = spark.read.schema(STORED.format(_kind(spark, path))).parquet(f"{path}/vectors").select("id", "vec", "n", "cell")
     sizes = spark.read.parquet(f"{path}/cells").select("n", "cell", "size")
     args = stored, sizes, k, blocks, vector_block
     first = written(_looked_into(q.mapInArrow(_wanted(cells, k, False), pairs), *args))

@@ -1,5 +1,7 @@
 """Search in stored cells against the search over all vectors."""
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -58,3 +60,48 @@ def test_nothing_stored_and_no_queries(spark, tmp_path):
     assert C.cells_topk(queries.limit(0), str(tmp_path / "v")).collect() == []
     C.store_cells(vectors.limit(0), str(tmp_path / "none"), 4)
     assert C.cells_topk(queries, str(tmp_path / "none")).collect() == []
+
+
+def table(ids, x):
+    return pa.table({"id": pa.array(ids, pa.int64()), "vec": pa.array(list(x), pa.list_(pa.float32()))})
+
+
+def test_a_task_holds_few_similarities_of_large_blocks():
+    """Ties and copies included, and a vector that holds an infinite number."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(6000, 4)).astype(np.float32)
+    x[1000:1400] = x[3]
+    x[17, 2] = np.inf
+    q = np.concatenate([x[:1500], rng.normal(size=(1500, 4)).astype(np.float32)])
+    tracemalloc.start()
+    got = V._best_of_block(3)(table(range(len(q)), q), table(range(len(x)), x))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120e6  # all 18 million similarities are 144 MB
+    unit = lambda m: m.astype(float) / np.linalg.norm(m.astype(float), axis=1, keepdims=True)
+    sims = np.round(unit(q[:, :]) @ unit(np.delete(x, 17, axis=0)).T, V.PLACES)
+    ids = np.delete(np.arange(len(x)), 17)
+    want = [(i, ids[j], sims[i, j]) for i in range(len(q)) if i != 17
+            for j in np.lexsort((ids, -sims[i]))[:3]]
+    assert list(zip(*(got[c].to_pylist() for c in got.column_names))) == [tuple(r) for r in want]
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_vectors_are_stored_as_they_are(spark, tmp_path, kind):
+    vectors = spark.createDataFrame(clustered(50, 2), f"vec_id bigint, embedding array<{kind}>")
+    C.store_cells(vectors, str(tmp_path / "v"), 4)
+    assert spark.read.parquet(str(tmp_path / "v/vectors")).schema["vec"].dataType.simpleString() == f"array<{kind}>"
+    queries = vectors.withColumnRenamed("vec_id", "query_id")
+    for q in (queries, queries.withColumn("embedding", queries.embedding.cast("array<double>"))):
+        assert rows(C.cells_topk(q, str(tmp_path / "v"), 3)) == rows(V.cosine_topk(q, vectors, 3))
+
+
+def test_all_vectors_meet_in_few_blocks(spark, monkeypatch, sf_dir):
+    """The search over all vectors copies none of them for blocks of a few hundred rows."""
+    seen = []
+    search = V.cosine_topk
+    monkeypatch.setattr(V, "cosine_topk", lambda *a, **k: seen.append(k) or search(*a, **k))
+    from gondola.plans.queries.models import QUERIES
+    assert QUERIES["r2_all_vectors"](spark, sf_dir).count() > 0
+    assert all(k.get("query_block", V.QUERY_BLOCK) >= 8_192 and k.get("vector_block", V.VECTOR_BLOCK) >= 8_192
+               for k in seen)
