@@ -10,7 +10,7 @@ from ...functions.numbers import half_up
 from ...functions.prices import is_eur, parse_eur
 from ...functions.stock import month_number
 from ...operators import enrich as E, forecast as FC, knowledge as KB, rule_tables as RT
-from ...session import shared_dir
+from ...session import shared_dir, written
 from ...sources import readers
 from .. import tables as T
 from . import sql as S
@@ -77,8 +77,8 @@ _EST = ["estimated_monthly_sales", "profit_margin_percentage", "product_width_cm
 
 def _placed(spark, d):
     rows = E.sample_months(T.catalog(spark, d), _MONTHS)
-    return E.assign_shelf(E.assign_rack(E.enrich_heuristic(rows))).select(
-        "month_key", "product_id", *_EST, "rack_id", "shelf_level")
+    return written(E.assign_shelf(E.assign_rack(E.enrich_heuristic(rows))).select(
+        "month_key", "product_id", *_EST, "rack_id", "shelf_level"))
 
 
 def _file_order(spark, d):
@@ -104,17 +104,19 @@ def _gaps(spark, d):
 
 
 def _base(spark, d):
-    """Sampled, enriched rows of 2025 as the base of a forecast."""
-    return E.assign_rack(E.enrich_heuristic(E.sample_months(T.catalog(spark, d), _MONTHS)))
+    """Sampled, enriched rows of 2025 as the base of a forecast, drawn and written once."""
+    rows = E.enrich_heuristic(E.sample_months(T.catalog(spark, d), _MONTHS))
+    return written(E.assign_rack(rows).select(
+        "month_key", "product_id", "category", "rack_id", "estimated_monthly_sales"))
 
 
-def _forecasted(spark, d):
-    base = _base(spark, d)
+def _forecasted(base):
     return FC.apply_forecast(base, FC.forecast(base, 12))
 
 
 def _effect(spark, d):
-    return FC.forecast_effect(_base(spark, d), _forecasted(spark, d)).select(
+    base = _base(spark, d)
+    return FC.forecast_effect(base, _forecasted(base)).select(
         half_up("avg_sales_before", 4).alias("avg_sales_before"),
         half_up("avg_sales_after", 4).alias("avg_sales_after"), "n_products", "n_racks")
 
@@ -145,7 +147,7 @@ QUERIES = {
         "month_key", "product_id", *_EST, "rack_id", "shelf_level"),
     "r7_forecast_multipliers": lambda s, d: FC.forecast(
         KB.latest_month(_monthly(s, d)), 7),
-    "p16_apply_forecast": lambda s, d: _forecasted(s, d).select(
+    "p16_apply_forecast": lambda s, d: _forecasted(_base(s, d)).select(
         "month_key", "product_id", "estimated_monthly_sales"),
     "t3_top_adjustments": lambda s, d: FC.top_adjustments(FC.forecast(_monthly(s, d), 12)),
     "g26_forecast_effect": _effect,

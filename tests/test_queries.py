@@ -46,6 +46,17 @@ def test_corpus_queries_merge_partitions_as_spark_does(spark, sf_dir):
         assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(size)
 
 
+@pytest.mark.parametrize("name", ["p16_apply_forecast", "g26_forecast_effect", "u1_enriched_months"])
+def test_sampled_months_are_written_once(spark, sf_dir, monkeypatch, name):
+    """What comes after the draw reads the written rows, instead of drawing them per use."""
+    from gondola.plans.queries import enrichment
+    drawn, draw = [], enrichment.E.sample_months
+    monkeypatch.setattr(enrichment.E, "sample_months", lambda *a, **k: drawn.append(a) or draw(*a, **k))
+    files = QUERIES[name](spark, sf_dir).inputFiles()
+    assert len(drawn) == 1 and files
+    assert not [f for f in files if "part.parquet" in f]
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, scale, name):
     folder, con = scale(name)
