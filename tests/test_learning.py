@@ -1,8 +1,25 @@
-"""Training partitions of models that pass over the rows many times."""
+"""Training rows and scores of lift models."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from gondola.operators import learning as ML
+from gondola.operators import learning as ML, whatif as W
+
+_SCHEMA = ("month_key string, rack_id string, product_id bigint, price_numeric double, "
+           "profit_margin_percentage double, estimated_monthly_sales bigint, product_width_cm double, "
+           "shelf_level int")
+
+
+@pytest.fixture(scope="module")
+def planogram(spark):
+    """Two racks; product 5 of the first one is there twice, with different prices and shelves."""
+    rows = [(f"2025_0{m}", "r", p, 1.0 + p * m % 11, 20.0 + p % 7, 3 + p, 5.0 + p, 1 + p % 7)
+            for m in (1, 2) for p in range(1, 31)]
+    return spark.createDataFrame([*rows, ("2025_01", "r", 5, 40.0, 30.0, 9, 8.0, 2)], _SCHEMA)
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_boosted_trees_schedule_few_tasks_a_level(spark):
@@ -15,3 +32,16 @@ def test_boosted_trees_schedule_few_tasks_a_level(spark):
         assert max(sizes) <= ML.TRAIN_ROWS
     finally:
         even.unpersist()
+
+
+def test_draws_meet_products_that_have_their_rack(planogram):
+    """The last join goes by two numbers; no join of the draws goes by the keys of a rack."""
+    sample = W.training_sample(planogram, 400, 7)
+    first = next(line for line in _plan(sample).splitlines() if "Join " in line)
+    assert "_rack_no" in first and "_product_no" in first and "month_key" not in first
+    moves = W.move_lift(planogram.filter("month_key = '2025_02'"))
+    keys = ["month_key", "rack_id", "product_id", "new_shelf"]
+    both = sample.filter("month_key = '2025_02'").join(
+        moves.select(*keys, F.col("profit_lift").alias("lift")), keys).select("profit_lift", "lift").collect()
+    assert len(both) == sample.filter("month_key = '2025_02'").count() > 100
+    assert all(abs(r["profit_lift"] - r["lift"]) < 1e-9 for r in both)
