@@ -1,8 +1,10 @@
 """Training rows and scores of lift models."""
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from gondola import constants as K
 from gondola.operators import learning as ML, whatif as W
 
 _SCHEMA = ("month_key string, rack_id string, product_id bigint, price_numeric double, "
@@ -45,3 +47,23 @@ def test_draws_meet_products_that_have_their_rack(planogram):
         moves.select(*keys, F.col("profit_lift").alias("lift")), keys).select("profit_lift", "lift").collect()
     assert len(both) == sample.filter("month_key = '2025_02'").count() > 100
     assert all(abs(r["profit_lift"] - r["lift"]) < 1e-9 for r in both)
+
+
+def test_scores_rate_a_row_where_it_stands(planogram):
+    """No row is repeated per shelf; rows of equal keys get the highest, rows without a key none."""
+    moves = W.move_lift(planogram)
+    model, _ = ML.fit_lift(moves, moves, "linear")
+    assert isinstance(model, PipelineModel)
+    extra = planogram.withColumns({"prediction": F.lit("mine"), "new_shelf": F.lit(0)})
+    nameless = extra.limit(1).withColumn("product_id", F.lit(None).cast("bigint"))
+    scored = ML.model_scores(model, extra.unionByName(nameless))
+    assert "Generate" not in _plan(scored)
+    keys = [*K.RACK_KEYS, "product_id"]
+    assert scored.columns == [*keys, *[c for c in extra.columns if c not in keys], "scores"]
+    full = W.move_lift(extra.unionByName(nameless)).dropna(subset=keys)
+    best = {(*r[:3], r["new_shelf"]): r["p"] for r in model.transform(full).groupBy(
+        *keys, "new_shelf").agg(F.max("prediction").alias("p")).collect()}
+    rows = scored.collect()
+    assert len(rows) == planogram.count() and all(r["new_shelf"] == 0 for r in rows)
+    for r in rows:
+        assert list(r["scores"]) == [best[(*[r[k] for k in keys], s)] for s in K.SHELVES]
