@@ -19,12 +19,13 @@ def half_up(c: Column | str, places: int) -> Column:
     return F.floor(col(c) * F.lit(scale) + F.lit(HALF)) / F.lit(scale)
 
 
-def uniform(seed: int | str, *keys: Column | str) -> Column:
+def uniform(seed: int | str | Column, *keys: Column | str) -> Column:
     """Uniform number in [0, 1) that depends on the seed and the keys only.
 
     The value does not change with partitioning, row order or retries.
     """
-    text = F.concat_ws("|", F.lit(str(seed)), *[col(k).cast("string") for k in keys])
+    first = seed if isinstance(seed, Column) else F.lit(str(seed))
+    text = F.concat_ws("|", first, *[col(k).cast("string") for k in keys])
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 

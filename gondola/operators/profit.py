@@ -26,13 +26,14 @@ def shelf_stats(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS) -> DataFr
     return shelves.withColumn("n_shelves_used", F.count(F.lit(1)).over(rack))
 
 
-def shelf_values(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS) -> DataFrame:
-    """Per (rack, shelf): count, width, tier-weighted value, profit before spread."""
+def shelf_values(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS,
+                 more: Sequence[Column] = ()) -> DataFrame:
+    """Per (rack, shelf): count, width, tier-weighted value, profit before spread, and ``more``."""
     tier_value = P.base_profit() * P.price_tier("price_numeric", "shelf_level")
     return (df.groupBy(*rack_keys, "shelf_level").agg(
         F.count(F.lit(1)).alias("n_products"),
         F.coalesce(F.sum("product_width_cm"), F.lit(0.0)).alias("width_cm"),
-        F.coalesce(F.sum(tier_value), F.lit(0.0)).alias("tier_value"))
+        F.coalesce(F.sum(tier_value), F.lit(0.0)).alias("tier_value"), *more)
         .withColumn("value", P.shelf_value("shelf_level", "n_products", "width_cm",
                                            "tier_value")))
 

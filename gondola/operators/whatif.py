@@ -12,12 +12,27 @@ from ..functions import physics as P
 from ..functions.numbers import uniform
 from ..session import written
 from .profit import shelf_values
-from .ranking import block_offsets, numbered_blocks, ordered_blocks, row_numbers
+from .ranking import row_numbers
 
+#: What a move is rated by, besides its shelves.
+_RATED = ("price_numeric", "profit_margin_percentage", "estimated_monthly_sales", "product_width_cm")
+_SHELF_BITS = K.NUM_SHELVES.bit_length()
+#: Draws meet racks in pieces of up to so many products.
+PIECE_ROWS = 1024
+#: About so many draws meet a copy of a piece, at most, and so many are made by a task.
+PIECE_DRAWS, TASK_DRAWS = 200_000, 2_000_000
 
-def rack_state(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS) -> DataFrame:
-    """One row per rack: count, width, tier value and profit of shelves 1..7 as arrays."""
-    values = shelf_values(df, rack_keys)
+
+def rack_state(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS,
+               item: Column | None = None) -> DataFrame:
+    """One row per rack: count, width, tier value and profit of shelves 1..7 as arrays.
+
+    With ``item``, all items of the rack are in ``_items``, in their order.
+    """
+    some = [] if item is None else [F.collect_list(item).alias("_items")]
+    every = [] if item is None else [
+        F.sort_array(F.flatten(F.collect_list("_items"))).alias("_items")]
+    values = shelf_values(df, rack_keys, some)
 
     def per_shelf(column: str, empty: Column) -> Column:
         return F.array(*[
@@ -32,7 +47,7 @@ def rack_state(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS) -> DataFra
         per_shelf("value", zero).alias("shelf_g"),
         F.count(F.lit(1)).alias("n_shelves_used"),
         F.sum("n_products").alias("rack_product_count"),
-        F.sum("value").alias("rack_value"))
+        F.sum("value").alias("rack_value"), *every)
 
 
 def _checked_shelf(c: str) -> Column:
@@ -105,41 +120,99 @@ def with_move_scores(df: DataFrame, rack_keys: Sequence[str] = K.RACK_KEYS,
             .select(*df.columns, scores.alias(name)))
 
 
+def _drawn_from(rows: DataFrame, racks: DataFrame, large: DataFrame | None,
+                copies: Column | None, rack_keys: list[str], key: str) -> DataFrame:
+    """Racks as rows: the products of a piece in ``_items``, beside the state of their rack.
+
+    A rack of up to ``PIECE_ROWS`` products is one piece, and its state comes from the same
+    groups. The products of ``large`` racks are numbered first. A piece goes by the number of its
+    rack and the number of its first product; its copies go by the numbers after that.
+    """
+    item = F.struct(key, *_RATED, "shelf_level")
+    number = ["_rack_no", "_product_no"]
+    at = rows.join(racks, rack_keys).withColumn(
+        "_product_no", F.when(F.col("_size") <= PIECE_ROWS, F.lit(1).cast("bigint")))
+    if large is not None:
+        at = at.filter(F.col("_size") <= PIECE_ROWS)
+    pieces = rack_state(at.repartition(*number), [*number, *rack_keys, "_size"], item)
+    if large is not None:
+        own = rows.join(large, rack_keys)
+        first = F.col("_product_no") - (F.col("_product_no") - 1) % PIECE_ROWS
+        cut = (row_numbers(own, rack_keys, [key], name="_product_no")
+               .withColumn("_product_no", first).groupBy(*number, *rack_keys, "_size")
+               .agg(F.sort_array(F.collect_list(item)).alias("_items")))
+        pieces = pieces.unionByName(cut.join(rack_state(own, ["_rack_no"]), "_rack_no"))
+    if copies is None:
+        return pieces
+    return pieces.withColumn("_product_no", F.explode(F.sequence(
+        "_product_no", F.col("_product_no") + copies - 1)))
+
+
 def training_samples(df: DataFrame, samples: Sequence[tuple[str, int, int]],
                      rack_keys: Sequence[str] = K.RACK_KEYS, key: str = "product_id",
                      min_products: int = 1) -> DataFrame:
     """Moves drawn with replacement: rack, then product, then shelf, uniformly.
 
     ``samples`` are (name, size, seed); the name is in ``sample``. Each draw turns
-    seeded uniforms into a rack number, a product number and a shelf, and two equi
-    joins look them up. The products are numbered once for all samples. They meet the state of
-    their rack before the draws do: there are fewer of them, and a draw goes by two numbers.
+    seeded uniforms into a rack number, a product number and a shelf. Only its own number, its
+    shelf and the numbers of the piece of a rack that it meets are sent: a row there has the
+    piece's products and the state of the rack, and the product is picked beside it. Racks of up to
+    ``PIECE_ROWS`` products are one piece, so a draw from them needs no size; the few larger
+    ones are looked up before. Where racks are few, a piece is there several times.
     """
     rack_keys = list(rack_keys)
-    columns = [*rack_keys, key, "price_numeric", "profit_margin_percentage",
-               "estimated_monthly_sales", "product_width_cm", "shelf_level"]
-    pool = ordered_blocks(df.select(*columns), rack_keys, [key])
-    offsets = block_offsets(pool, rack_keys)
-    sizes = (offsets.groupBy(*rack_keys).agg(F.sum("_n").alias("_size"))
-             .filter(F.col("_size") >= min_products))
+    spark = df.sparkSession
+    rows = df.select(*rack_keys, key, *_RATED, "shelf_level")
+    sizes = rows.groupBy(*rack_keys).agg(F.count(F.lit(1)).alias("_size")).filter(
+        F.col("_size") >= min_products)
     racks = written(row_numbers(sizes, [], rack_keys, name="_rack_no"))
-    n_racks = racks.agg(F.count(F.lit(1))).scalar()
-
-    def draws(sample: str, n: int, seed: int) -> DataFrame:
-        return df.sparkSession.range(n).withColumnRenamed("id", "draw_id").select(
-            F.lit(sample).alias("sample"), "draw_id",
-            (F.floor(uniform(f"{seed}r", "draw_id") * n_racks) + 1).alias("_rack_no"),
-            uniform(f"{seed}p", "draw_id").alias("_up"),
-            (F.floor(uniform(f"{seed}s", "draw_id") * K.NUM_SHELVES) + 1)
-            .cast("int").alias("new_shelf"))
-
-    picked = (reduce(DataFrame.unionByName, [draws(*s) for s in samples])
-              .join(racks.select("_rack_no", "_size"), "_rack_no")
-              .withColumn("_product_no", F.floor(F.col("_up") * F.col("_size")) + 1)
-              .select("sample", "draw_id", "new_shelf", "_rack_no", "_product_no"))
-    numbered = numbered_blocks(pool, offsets, rack_keys, [key], "_product_no")
-    states = rack_state(pool, rack_keys).join(racks.drop("_size"), rack_keys)
-    drawn = picked.join(numbered.join(states, rack_keys), ["_rack_no", "_product_no"])
+    facts = racks.agg(F.count(F.lit(1)).alias("n"), F.max("_size").alias("most")).first()
+    n_racks = facts["n"]
+    large = None
+    if n_racks and facts["most"] > PIECE_ROWS:
+        large = written(racks.filter(F.col("_size") > PIECE_ROWS))
+    per_rack = sum(n for _, n, _ in samples) / max(1, n_racks)
+    n_pieces = F.ceil(F.col("_size") / PIECE_ROWS)
+    copies = None
+    if per_rack > PIECE_DRAWS:
+        copies = F.least(F.ceil(F.lit(per_rack / PIECE_DRAWS) / n_pieces), F.lit(PIECE_ROWS))
+    # A draw's sample and shelf, both from 0, are one number.
+    sample = F.shiftright("_what", _SHELF_BITS)
+    seeds = F.array(*[F.lit(f"{seed}p") for _, _, seed in samples])
+    # The product's number, from 0; 0 in a rack of one product.
+    product = F.floor(uniform(F.get(seeds, sample), "draw_id") * F.col("_size"))
+
+    def drawn_from(n: int, what: str) -> Column:
+        """A whole number below ``n``; told not to be NULL, which would be tested for again."""
+        return F.coalesce(F.floor(uniform(what, "draw_id") * n), F.lit(0))
+
+    def draws(i: int, n: int, seed: int) -> DataFrame:
+        tasks = max(spark.sparkContext.defaultParallelism, -(-n // TASK_DRAWS))
+        return spark.range(0, n, 1, tasks).withColumnRenamed("id", "draw_id").withColumns({
+            "_rack_no": drawn_from(n_racks, f"{seed}r") + 1,
+            "_what": drawn_from(K.NUM_SHELVES, f"{seed}s").cast("int") + (i << _SHELF_BITS)})
+
+    sent = reduce(DataFrame.unionByName, [
+        draws(i, n, seed) for i, (_, n, seed) in enumerate(samples)])
+    if large is None:
+        sent = sent.withColumn("_size", F.lit(1))
+    else:
+        sent = sent.join(large.select("_rack_no", "_size"), "_rack_no", "left").fillna(1, "_size")
+    first = F.lit(1).cast("bigint")
+    if large is not None:
+        first = F.floor(product / PIECE_ROWS) * PIECE_ROWS + first
+    sent = sent.select("_what", "draw_id", "_rack_no", (
+        first + F.col("draw_id") % (F.lit(1) if copies is None else copies)).alias("_product_no"))
+    pieces = _drawn_from(rows, racks, large, copies, rack_keys, key)
+    at = product if large is None else product % PIECE_ROWS
+    met = sent.join(pieces, ["_rack_no", "_product_no"]).withColumn(
+        "_item", F.get("_items", at.cast("int")))
+    state = [c for c in pieces.columns if c not in (*rack_keys, "_rack_no", "_product_no", "_size",
+                                                    "_items")]
+    names = F.array(*[F.lit(name) for name, _, _ in samples])
+    drawn = met.select(
+        F.get(names, sample).alias("sample"), "draw_id", *rack_keys, "_item.*",
+        (F.col("_what").bitwiseAND((1 << _SHELF_BITS) - 1) + 1).alias("new_shelf"), *state)
     return _with_leaving(drawn).select(
         "sample", "draw_id", *rack_keys, key,
         "price_numeric", "profit_margin_percentage", "estimated_monthly_sales",
