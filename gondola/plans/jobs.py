@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..constants import MOVE_FEATURES
 from ..operators import (enrich, forecast as fc, guided, knowledge as kb, layout, learning,
                          report, whatif)
 from ..operators.profit import shelf_violations
@@ -57,10 +58,14 @@ def build_knowledge_base(spark: SparkSession, folder: str, kb_path: str) -> Data
 
 
 def lift_samples(planogram: DataFrame, min_products: int = 3) -> tuple[DataFrame, DataFrame]:
-    """Written training and test moves, in proportion to the planogram's rows."""
+    """Written training and test moves, in proportion to the planogram's rows.
+
+    Written is what a model sees: the features and the lift.
+    """
     n = planogram.count()
     both = written(whatif.training_samples(planogram, [
-        ("train", max(20_000, 3 * n), 42), ("test", max(3_000, n), 99)], min_products=min_products))
+        ("train", max(20_000, 3 * n), 42), ("test", max(3_000, n), 99)],
+        min_products=min_products).select("sample", *MOVE_FEATURES, "profit_lift"))
     return tuple(both.filter(F.col("sample") == name) for name in ("train", "test"))
 
 
